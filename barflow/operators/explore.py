@@ -102,23 +102,13 @@ def correlations(df: DataFrame, columns: Sequence[str], lower_only: bool = False
 
     ``(a, b, corr)``, both orders and the diagonal unless ``lower_only`` (a after b in ``columns``).
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[: i + 1]]
-    found = df.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(a).alias("a"),
-                    F.lit(b).alias("b"),
-                    F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("corr"),
-                )
-                for a, b in pairs
-            ]
-        ).alias("c")
-    ).select(F.inline("c"))
-    below = found.where(F.col("a") != F.col("b"))
-    if lower_only:
-        return below
-    return found.unionByName(below.select(F.col("b").alias("a"), F.col("a").alias("b"), "corr"))
+    found = []
+    for i, a in enumerate(columns):
+        for b in columns[: i + (0 if lower_only else 1)]:
+            value = F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
+            for x, y in {(a, b)} if lower_only or a == b else ((a, b), (b, a)):
+                found.append(F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), value.alias("corr")))
+    return df.agg(F.array(*found).alias("c")).select(F.inline("c"))
 
 
 def top_correlated(df: DataFrame, columns: Sequence[str], target: str, n: int = 10) -> DataFrame:

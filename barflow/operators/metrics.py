@@ -229,14 +229,15 @@ def calmar_ratio(
     return found.select(*by, value.alias("calmar_ratio"))
 
 
-def paired_returns(strategy: DataFrame, benchmark: DataFrame, on: Sequence[str], check: bool = True) -> DataFrame:
-    """Join two return series on their time key; unmatched rows on either side raise."""
-    if check:
-        extra = strategy.join(benchmark, list(on), "left_anti").select(*on)
-        extra = extra.unionByName(benchmark.join(strategy, list(on), "left_anti").select(*on))
-        if not extra.isEmpty():
-            raise ValueError("strategy and benchmark returns must cover the same rows")
-    return strategy.join(benchmark, list(on))
+def paired_returns(strategy: DataFrame, benchmark: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Join two return series on their time key. A row without a partner raises when the job runs."""
+    left = strategy.withColumn("_left", F.lit(True))
+    right = benchmark.withColumn("_right", F.lit(True))
+    joined = left.join(right, list(on), "full")
+    complete = F.when(F.col("_left") & F.col("_right"), True).otherwise(
+        F.raise_error(F.lit("strategy and benchmark returns must cover the same rows")).cast("boolean")
+    )
+    return joined.where(complete).drop("_left", "_right")
 
 
 def information_ratio(

@@ -88,7 +88,8 @@ def add_documents(
     """
     start = 0
     if path_exists(spark, path):
-        start = (spark.read.parquet(path).agg(F.max("doc_id")).first()[0] or -1) + 1
+        top = spark.read.parquet(path).agg(F.max("doc_id")).first()[0]
+        start = 0 if top is None else top + 1
     if docs.isEmpty():
         return start
     if "metadata" not in docs.columns:

@@ -139,9 +139,10 @@ def cut_blocks(
         ROW, F.col("_base") + F.row_number().over(Window.partitionBy(*keys, BLOCK).orderBy(*order)) - 1
     )
     low = F.col(BLOCK) * F.col("_size")
-    numbered = numbered.withColumn(
-        CORE, (F.col(ROW) >= low) & (F.col(ROW) < low + F.col("_size"))
-    ).where((F.col(ROW) >= low - lookback) & (F.col(ROW) < low + F.col("_size") + lookahead))
+    end = low + F.col("_size")
+    numbered = numbered.withColumn(CORE, (F.col(ROW) >= low) & (F.col(ROW) < end))
+    if not carries:  # a carried value is right only behind the whole bucket
+        numbered = numbered.where((F.col(ROW) >= low - lookback) & (F.col(ROW) < end + lookahead))
     numbered = numbered.drop("_size", "_base")
     helpers = (BLOCK, ROW, CORE, *carries) + (() if by else (ALL_KEY,))
     return Blocks(numbered, keys, order, helpers)
