@@ -6,6 +6,8 @@ from barflow.plans import (  # noqa: F401
     q_explore,
     q_metrics,
     q_prompts,
+    q_retrieval,
+    q_scoring,
     q_series,
     q_sources,
 )

@@ -98,13 +98,13 @@ def price_direction_accuracy(spark, folder):
 
 @query(
     "i05_tick_direction_accuracy",
-    "SELECT round(avg(CAST((value > pv) = (event_id % 7 > pu) AS INT)), 6) AS price_direction_accuracy FROM (SELECT *, "
-    "lag(value) OVER (ORDER BY event_id) AS pv, lag(event_id % 7) OVER (ORDER BY event_id) AS pu FROM events) WHERE pv IS NOT NULL",
+    "SELECT round(avg(CAST((value > pv) = (user_id > pu) AS INT)), 6) AS price_direction_accuracy FROM (SELECT *, "
+    "lag(value) OVER (ORDER BY event_id) AS pv, lag(user_id) OVER (ORDER BY event_id) AS pu FROM events) WHERE pv IS NOT NULL",
 )
 def tick_direction_accuracy(spark, folder):
     """One series over all events, cut into blocks by the integer order key."""
     e = I.table(spark, folder, "events").select(
-        "event_id", F.col("value").alias("y_true"), (F.col("event_id") % 7).alias("y_pred")
+        "event_id", F.col("value").alias("y_true"), F.col("user_id").alias("y_pred")
     )
     bucket = F.expr("event_id div 512")
     blocks = metrics.cut_blocks(e, [], "event_id", 1, 0, 1024, bucket)
