@@ -158,34 +158,70 @@ def sharpe_ratio(df: DataFrame, returns: str = "ret", risk_free: float = 0.02, b
     )
 
 
+def _compounded(df: DataFrame, order: str, returns: str, by: Sequence[str], block_rows: int) -> tuple[DataFrame, list[str]]:
+    """Rows with the product of 1 + return since the start of their block and its running maximum."""
+    blocks = cut_blocks(df.select(*by, order, returns), by, order, 0, 0, block_rows)
+    blocks = blocks.with_columns({"_grow": F.product(1 + F.col(returns)).over(blocks.so_far)})
+    blocks = blocks.with_columns({"_top": F.max("_grow").over(blocks.so_far)})
+    return blocks.df, list(by) or [ALL_KEY]
+
+
+def _block_states(rows: DataFrame, keys: list[str], returns: str) -> DataFrame:
+    """One row per block: what it adds to a drawdown, the product ``_factor`` of all blocks before it
+    and the highest cumulative value ``_high`` reached before it.
+
+    A row's value over its peak is the smaller of its ratio to ``_high`` and its ratio to the peak inside
+    the block, so the lowest value and the lowest inner ratio of a block say all about it.
+    """
+    inner = F.try_divide(F.col("_grow"), F.col("_top"))
+    states = rows.groupBy(*keys, BLOCK).agg(
+        F.max_by("_grow", ROW).alias("_end"),
+        F.max("_grow").alias("_max"),
+        F.min(F.struct(F.col("_grow"), F.col(ROW))).alias("_low"),
+        F.min(F.struct(inner.alias("q"), F.col(ROW), F.col("_top"))).alias("_worst"),
+        F.sum(returns).alias("_sum"),
+        F.count(returns).alias("_n"),
+    )
+    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    states = states.withColumn("_factor", F.coalesce(F.product("_end").over(before), F.lit(1.0)))
+    return states.withColumn("_high", F.max(F.col("_factor") * F.col("_max")).over(before))
+
+
 def cumulative_returns(
     df: DataFrame, order: str, returns: str = "ret", by: Sequence[str] = (), block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Per row ``idx``, ``cumulative`` product of 1 + return, its running maximum ``peak`` and ``drawdown``.
 
-    Both scans are running windows inside a block plus one value carried over from the blocks
-    before, so no series has to fit in one task.
+    Both scans are running windows inside a block plus one value carried over from the blocks before, so
+    no series has to fit in one task.
     """
-    keys = list(by) or [ALL_KEY]
-    blocks = cut_blocks(df.select(*by, order, returns), by, order, 0, 0, block_rows)
-    rows = blocks.with_columns({"_local": F.product(1 + F.col(returns)).over(blocks.so_far)}).df
-    rows = _carry(rows, keys, F.max_by("_local", ROW), F.product, "_factor")
-    rows = rows.withColumn("cumulative", F.col("_local") * F.coalesce("_factor", F.lit(1.0)))
-    rows = _carry(rows, keys, F.max("cumulative"), F.max, "_high")
-    inside = F.max("cumulative").over(blocks.so_far)
-    rows = rows.withColumn("peak", F.greatest(inside, "_high"))
+    rows, keys = _compounded(df, order, returns, by, block_rows)
+    states = _block_states(rows, keys, returns).select(*keys, BLOCK, "_factor", "_high")
+    joined = rows.join(states, [*keys, BLOCK])
+    joined = joined.withColumn("cumulative", F.col("_factor") * F.col("_grow"))
+    joined = joined.withColumn("peak", F.greatest(F.col("_factor") * F.col("_top"), "_high"))
     drawdown = F.try_divide(F.col("cumulative") - F.col("peak"), F.col("peak"))
-    return rows.select(
+    return joined.select(
         *by, order, F.col(returns), F.col(ROW).alias("idx"), "cumulative", "peak", drawdown.alias("drawdown")
     )
 
 
-def _carry(rows: DataFrame, keys: list[str], summary: Column, prefix, name: str) -> DataFrame:
-    """Join the running ``prefix`` of a per-block summary over the blocks before."""
-    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    totals = rows.groupBy(*keys, BLOCK).agg(summary.alias("_s"))
-    carried = totals.select(*keys, BLOCK, prefix("_s").over(before).alias(name))
-    return rows.join(carried, [*keys, BLOCK])
+def _deepest(states: DataFrame) -> Column:
+    """(value over peak, row, peak) of a block's deepest point."""
+    outer = F.when(
+        F.col("_high").isNotNull(),
+        F.struct(
+            F.try_divide(F.col("_factor") * F.col("_low._grow"), F.col("_high")).alias("q"),
+            F.col(f"_low.{ROW}").alias("row"),
+            F.col("_high").alias("peak"),
+        ),
+    )
+    inner = F.struct(
+        F.col("_worst.q").alias("q"),
+        F.col(f"_worst.{ROW}").alias("row"),
+        (F.col("_factor") * F.col("_worst._top")).alias("peak"),
+    )
+    return F.least(outer, inner)
 
 
 def max_drawdown(
@@ -193,33 +229,45 @@ def max_drawdown(
 ) -> DataFrame:
     """Deepest drawdown, its first index, the first index that regains the peak, and the duration.
 
-    The duration is null without recovery, and also when the recovery index is 0.
+    The duration is null without recovery, and also when the recovery index is 0. The depth comes from
+    block summaries; for the recovery only the rows of at most two blocks per series are looked at.
     """
-    return _drawdown(cumulative_returns(df, order, returns, by, block_rows), by)
-
-
-def _drawdown(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    worst = rows.groupBy(*by).agg(
-        F.min("drawdown").alias("max_drawdown"),
-        F.min_by(F.struct("idx", "peak"), F.struct("drawdown", "idx")).alias("_at"),
+    rows, keys = _compounded(df, order, returns, by, block_rows)
+    states = _block_states(rows, keys, returns)
+    series = Window.partitionBy(*keys)
+    states = states.withColumn("_deep", _deepest(states))
+    states = states.withColumn("_w", F.min(F.struct("_deep", BLOCK)).over(series))
+    states = states.select(
+        *keys, BLOCK, "_factor", "_max", "_w._deep.q", "_w._deep.row", "_w._deep.peak", F.col(f"_w.{BLOCK}").alias("_at")
+    )
+    later = F.col(BLOCK) > F.col("_at")
+    regains = later & (F.col("_factor") * F.col("_max") >= F.col("peak"))
+    visits = states.withColumn("_next", F.min(F.when(regains, F.col(BLOCK))).over(series))
+    visits = visits.where((F.col(BLOCK) == F.col("_at")) | (F.col(BLOCK) == F.col("_next")))
+    seen = rows.select(*keys, BLOCK, ROW, "_grow").join(
+        visits.select(*keys, BLOCK, "_factor", "q", "row", "peak"), [*keys, BLOCK]
     )
-    worst = worst.select("*", F.col("_at.idx").alias("max_drawdown_idx"), F.col("_at.peak").alias("_peak")).drop("_at")
-    joined = _combine(rows.select(*by, "idx", "cumulative"), worst, by)
-    back = (F.col("idx") >= F.col("max_drawdown_idx")) & (F.col("cumulative") >= F.col("_peak"))
-    found = joined.groupBy(*by).agg(
-        F.first("max_drawdown").alias("max_drawdown"),
-        F.first("max_drawdown_idx").alias("max_drawdown_idx"),
-        F.min(F.when(back, F.col("idx"))).alias("recovery_idx"),
+    back = (F.col(ROW) >= F.col("row")) & (F.col("_factor") * F.col("_grow") >= F.col("peak"))
+    found = seen.groupBy(*keys).agg(
+        (F.first("q") - 1).alias("max_drawdown"),
+        F.first("row").alias("max_drawdown_idx"),
+        F.min(F.when(back, F.col(ROW))).alias("recovery_idx"),
     )
     duration = F.when(F.col("recovery_idx") > 0, F.col("recovery_idx") - F.col("max_drawdown_idx"))
-    return found.withColumn("drawdown_duration", duration)
+    return found.select(
+        *by, "max_drawdown", "max_drawdown_idx", "recovery_idx", duration.alias("drawdown_duration")
+    )
 
 
 def calmar_ratio(
     df: DataFrame, order: str, returns: str = "ret", by: Sequence[str] = (), block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    rows = cumulative_returns(df, order, returns, by, block_rows)
-    found = rows.groupBy(*by).agg(F.avg(returns).alias("m"), F.min("drawdown").alias("d"))
+    """Annual mean return over the depth of the deepest drawdown, from block summaries alone."""
+    rows, keys = _compounded(df, order, returns, by, block_rows)
+    states = _block_states(rows, keys, returns)
+    found = states.withColumn("_deep", _deepest(states)).groupBy(*keys).agg(
+        F.try_divide(F.sum("_sum"), F.sum("_n")).alias("m"), (F.min("_deep.q") - 1).alias("d")
+    )
     annual = F.col("m") * TRADING_DAYS
     value = (
         F.when(F.col("d").isNull(), 0.0)

@@ -7,8 +7,9 @@ on every block the values they give on the whole series. The cut needs exact row
 from row counts per time bucket, a table far smaller than the data:
 
 1. count rows per ``(key, bucket)`` (map-side combined),
-2. running sums of those counts give each bucket's first row number and thus its blocks,
-3. join that routing back to the rows on ``(key, bucket)`` and shuffle once on ``(key, block)``.
+2. for series longer than a block, running sums of those counts give each bucket's first row number
+   and thus its blocks; a shorter series is one block and needs no routing,
+3. join the routing to the rows on ``(key, bucket)`` and shuffle once on ``(key, block)``.
 
 Steps 1 and 2 can also carry per-bucket aggregates forward (last non-null value, running product),
 which replaces an unbounded look-back.
@@ -27,6 +28,7 @@ from pyspark.sql.window import WindowSpec
 
 BLOCK_ROWS = 65_536
 INTEGER_BUCKET_ROWS = 32_768
+UNROUTED_ROWS = 1 << 60
 # Terms of a recurrence weighted below 2**-80 are lost in double rounding anyway.
 NEGLIGIBLE_BITS = 80
 MAX_SCALE_EXPONENT = 600.0
@@ -109,31 +111,44 @@ def cut_blocks(
         F.count(F.lit(1)).alias("_n"), *[agg.alias(name) for name, (agg, _) in carries.items()]
     )
     per_key = Window.partitionBy(*keys)
+    long_series = counts.withColumns(
+        {
+            "_total": F.sum("_n").over(per_key),
+            "_size": F.greatest(F.lit(block_rows), F.max("_n").over(per_key)).cast("bigint"),
+        }
+    ).where(F.col("_total") > F.col("_size"))
     before = per_key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    spans = counts.select(
+    spans = long_series.select(
         *keys,
         "_bucket",
         "_n",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
-        F.sum("_n").over(per_key).alias("_total"),
-        F.greatest(F.lit(block_rows), F.max("_n").over(per_key)).alias("_size"),
+        "_total",
+        "_size",
         *[prefix(F.col(name), before).alias(name) for name, (_, prefix) in carries.items()],
     )
     first = F.expr(f"greatest(_start - {lookahead}, 0) div _size")
     last = F.expr(f"least(_total - 1, _start + _n - 1 + {lookback}) div _size")
-    routed = spans.withColumn(BLOCK, F.explode(F.sequence(first, last)))
+    routed = spans.withColumn("_to", F.explode(F.sequence(first, last)))
     routed = routed.select(
         *[F.col(k).alias(f"_to_{k}") for k in keys],
         F.col("_bucket").alias("_to_bucket"),
-        BLOCK,
-        "_size",
-        F.min("_start").over(Window.partitionBy(*keys, BLOCK)).alias("_base"),
+        "_to",
+        F.col("_size").alias("_to_size"),
+        F.min("_start").over(Window.partitionBy(*keys, "_to")).alias("_base"),
         *carries,
     )
     match = F.col("_bucket").eqNullSafe(F.col("_to_bucket"))
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"_to_{k}"))
-    joined = rows.join(routed, match).drop("_bucket", "_to_bucket", *[f"_to_{k}" for k in keys])
+    joined = rows.join(routed, match, "left").withColumns(
+        {
+            BLOCK: F.coalesce("_to", F.lit(0)),
+            "_size": F.coalesce("_to_size", F.lit(UNROUTED_ROWS)),
+            "_base": F.coalesce("_base", F.lit(0)),
+        }
+    )
+    joined = joined.drop("_bucket", "_to_bucket", "_to", "_to_size", *[f"_to_{k}" for k in keys])
 
     numbered = joined.withColumn(
         ROW, F.col("_base") + F.row_number().over(Window.partitionBy(*keys, BLOCK).orderBy(*order)) - 1
