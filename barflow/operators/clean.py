@@ -22,7 +22,7 @@ def forward_fill(
     by: Sequence[str] = ("symbol",),
     order: str = "date",
     block_rows: int = BLOCK_ROWS,
-    bucket: Column | None = None,
+    bucket: Column | str | None = None,
 ) -> DataFrame:
     """Last non-null value so far, however far back; leading nulls stay null."""
     carries = {

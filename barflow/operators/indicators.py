@@ -167,7 +167,7 @@ def technical_indicators(
     close: str = "Close",
     volume: str = "Volume",
     block_rows: int = BLOCK_ROWS,
-    bucket: Column | None = None,
+    bucket: Column | str | None = None,
 ) -> DataFrame:
     """Append technical indicators. ``Close`` must have no gaps after its first value (clean first)."""
     blocks = cut_blocks(df, by, order, lookback_for(columns), 0, block_rows, bucket)
@@ -183,7 +183,7 @@ def ema(
     by: Sequence[str] = ("symbol",),
     order: str = "date",
     block_rows: int = BLOCK_ROWS,
-    bucket: Column | None = None,
+    bucket: Column | str | None = None,
 ) -> DataFrame:
     """Exponential moving average of any span."""
     alpha = span_alpha(span)

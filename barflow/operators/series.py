@@ -93,19 +93,22 @@ def cut_blocks(
     lookback: int = 0,
     lookahead: int = 0,
     block_rows: int = BLOCK_ROWS,
-    bucket: Column | None = None,
+    bucket: Column | str | None = None,
     carries: dict[str, Carry] | None = None,
 ) -> Blocks:
     """Cut every series of ``df`` into blocks with ``lookback``/``lookahead`` halo rows.
 
-    ``order`` must be unique within a key. ``carries`` maps a name to a bucket aggregate and a
+    ``order`` must be unique within a key. ``bucket`` (a column or SQL expression) is monotone in the
+    order key and coarse enough to count by, fine enough to hold few rows. ``carries`` maps a name to a bucket aggregate and a
     function giving its prefix over the buckets before; each row gets the prefix of its bucket.
     """
     order = (order,) if isinstance(order, str) else tuple(order)
     keys = tuple(by) or (ALL_KEY,)
     carries = carries or {}
     rows = df if by else df.withColumn(ALL_KEY, F.lit(0))
-    rows = rows.withColumn("_bucket", default_bucket(df, order[0]) if bucket is None else bucket)
+    if bucket is None:
+        bucket = default_bucket(df, order[0])
+    rows = rows.withColumn("_bucket", F.expr(bucket) if isinstance(bucket, str) else bucket)
 
     counts = rows.groupBy(*keys, "_bucket").agg(
         F.count(F.lit(1)).alias("_n"), *[agg.alias(name) for name, (agg, _) in carries.items()]

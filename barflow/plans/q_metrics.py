@@ -106,8 +106,7 @@ def tick_direction_accuracy(spark, folder):
     e = I.table(spark, folder, "events").select(
         "event_id", F.col("value").alias("y_true"), F.col("user_id").alias("y_pred")
     )
-    bucket = F.expr("event_id div 512")
-    blocks = metrics.cut_blocks(e, [], "event_id", 1, 0, 1024, bucket)
+    blocks = metrics.cut_blocks(e, [], "event_id", 1, 0, 1024, "event_id div 512")
     w = blocks.window
     same = (F.col("y_true") > F.lag("y_true").over(w)) == (F.col("y_pred") > F.lag("y_pred").over(w))
     moves = blocks.with_columns({"same": same}).result(keep=[metrics.ROW]).where(F.col(metrics.ROW) > 0)
