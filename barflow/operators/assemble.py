@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barflow.operators.clean import clean_price_data, drop_missing_targets
+from barflow.operators.correlation import pair_correlations
 from barflow.operators.indicators import INDICATORS, add_indicators, lookback_for
 from barflow.operators.news import news_features
 from barflow.operators.series import BLOCK_ROWS, ROW, cut_blocks
-from barflow.operators.targets import HORIZONS, add_targets
+from barflow.operators.targets import CHANGE_BESIDE_INDICATORS, HORIZONS, add_targets
 
 SPLIT = "split"
 SHUFFLE_BUCKET_BITS = 16
@@ -152,23 +153,12 @@ def feature_scores(df: DataFrame, columns: Sequence[str], target: str, k: int =
     ``(feature, idx, score, rank, selected)``; a constant feature scores 0 and of equal scores the
     later column ranks first. Rows with a null in a feature or the target do not count for it.
     """
-    y = F.col(target).cast("double")
-    parts = []
-    for i, c in enumerate(columns):
-        x = F.col(c).cast("double")
-        parts.append(
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.lit(i).alias("idx"),
-                F.corr(x, y).alias("r"),
-                F.count_if(x.isNotNull() & y.isNotNull()).alias("n"),
-            )
-        )
-    r2 = F.col("r") * F.col("r")
-    score = F.when(F.isnan("r") | F.col("r").isNull(), 0.0).otherwise(
+    found = pair_correlations(df, [(c, target) for c in columns])
+    r2 = F.col("corr") * F.col("corr")
+    score = F.when(F.col("corr").isNull(), 0.0).otherwise(
         F.when(r2 >= 1, F.lit(float("inf"))).otherwise(F.try_divide(r2, 1 - r2) * (F.col("n") - 2))
     )
-    scored = df.agg(F.array(*parts).alias("p")).select(F.inline("p")).select("feature", "idx", score.alias("score"))
+    scored = found.select(F.col("a").alias("feature"), F.col("pair").alias("idx"), score.alias("score"))
     best = Window.orderBy(F.desc("score"), F.desc("idx"))
     return scored.withColumn("rank", F.row_number().over(best)).withColumn("selected", F.col("rank") <= k)
 
@@ -231,10 +221,13 @@ def feature_table(
     clean: bool = True,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Clean, indicators, targets and news for all symbols; indicators and targets share one cut."""
+    """Clean, indicators, targets and news for all symbols; indicators and targets share one cut.
+
+    Return targets are called ``next_price_change_<h>d`` here.
+    """
     base = clean_price_data(bars, block_rows=block_rows) if clean else bars
     blocks = cut_blocks(base, ["symbol"], "date", lookback_for(indicators), max(horizons), block_rows)
-    blocks = add_targets(add_indicators(blocks, indicators), horizons)
+    blocks = add_targets(add_indicators(blocks, indicators), horizons, change=CHANGE_BESIDE_INDICATORS)
     table = blocks.result()
     return news_features(news, table) if news is not None else table
 

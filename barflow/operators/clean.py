@@ -111,5 +111,5 @@ def feature_columns(df: DataFrame, target: str = "price_direction_1d", reference
     kept = [c for c in df.columns if c not in (*ID_COLUMNS, target)]
     if reference_compat:
         return kept
-    future = tuple(f"{k}_" for k in ("price_direction", "price_change", "volatility"))
+    future = tuple(f"{k}_" for k in ("price_direction", "price_change", "next_price_change", "volatility"))
     return [c for c in kept if not (c.startswith(future) and c.endswith("d") and c[:-1].rsplit("_", 1)[-1].isdigit())]

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barflow.operators.correlation import pair_correlations
 from barflow.operators.quantiles import ONE_PASS_GROUP_ROWS, exact_quantiles
 
 
@@ -102,25 +103,17 @@ def correlations(df: DataFrame, columns: Sequence[str], lower_only: bool = False
 
     ``(a, b, corr)``, both orders and the diagonal unless ``lower_only`` (a after b in ``columns``).
     """
-    found = []
-    for i, a in enumerate(columns):
-        for b in columns[: i + (0 if lower_only else 1)]:
-            value = F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
-            for x, y in {(a, b)} if lower_only or a == b else ((a, b), (b, a)):
-                found.append(F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), value.alias("corr")))
-    return df.agg(F.array(*found).alias("c")).select(F.inline("c"))
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[: i + (0 if lower_only else 1)]]
+    found = pair_correlations(df, pairs)
+    both = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    sides = F.slice(both, 1, 1) if lower_only else F.array_distinct(both)
+    return found.select(F.inline(sides), "corr")
 
 
 def top_correlated(df: DataFrame, columns: Sequence[str], target: str, n: int = 10) -> DataFrame:
     """The ``n`` columns with the largest absolute correlation with ``target``."""
-    y = F.col(target).cast("double")
-    others = [c for c in columns if c != target]
-    found = df.agg(
-        F.array(
-            *[F.struct(F.lit(c).alias("feature"), F.corr(F.col(c).cast("double"), y).alias("corr")) for c in others]
-        ).alias("c")
-    ).select(F.inline("c"))
-    return found.orderBy(F.abs("corr").desc_nulls_last(), "feature").limit(n)
+    found = pair_correlations(df, [(c, target) for c in columns if c != target])
+    return found.select(F.col("a").alias("feature"), "corr").orderBy(F.abs("corr").desc_nulls_last(), "feature").limit(n)
 
 
 def volatility_summary(
