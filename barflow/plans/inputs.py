@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from barflow.operators.indicators import pct_change, technical_indicators
 from barflow.operators.series import cut_blocks
+from barflow.session import spread
 from barflow.sources.market import resample_ohlcv
 
 PART_RANGE = 1 << 20
@@ -17,6 +18,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table(spark, folder, "documents"), "doc_id")
+
+
 def ticks(spark: SparkSession, folder: str) -> DataFrame:
     e = table(spark, folder, "events")
     return e.select(F.col("event_type").alias("symbol"), "ts", F.col("value").alias("price"), F.col("event_id").alias("id"))
@@ -35,13 +40,14 @@ def trades(spark: SparkSession, folder: str) -> DataFrame:
     within a day."""
     li = table(spark, folder, "lineitem")
     seq = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * PART_RANGE + F.col("l_partkey") % PART_RANGE
-    return li.select(
+    found = li.select(
         F.col("l_suppkey").cast("string").alias("symbol"),
         F.to_date("l_shipdate").alias("ts"),
         (F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100).alias("price"),
         F.col("l_quantity").alias("size"),
         seq.alias("seq"),
     )
+    return spread(found, "symbol", "ts")
 
 
 def bars(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,7 +69,7 @@ def bars_gaps(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def news(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
+    docs = documents(spark, folder)
     labels = table(spark, folder, "labels")
     symbol = F.element_at(F.array(*[F.lit(s) for s in EVENT_SYMBOLS]), (F.col("doc_id") % 5 + 1).cast("int"))
     return docs.join(labels, "doc_id", "left").select(

@@ -71,7 +71,7 @@ def concat_tables(spark, folder):
     "SELECT d.doc_id AS sample_id, d.source, b.text AS context FROM documents d LEFT JOIN benchmark b ON b.item_id = d.doc_id",
 )
 def align_contexts(spark, folder):
-    samples = I.table(spark, folder, "documents").select(F.col("doc_id").alias("sample_id"), "source")
+    samples = I.documents(spark, folder).select(F.col("doc_id").alias("sample_id"), "source")
     contexts = I.table(spark, folder, "benchmark").select(F.col("item_id").alias("sample_id"), F.col("text").alias("context"))
     return retrieval.align_contexts(samples, contexts)
 
@@ -362,7 +362,7 @@ _TOKENS = r"list_filter(regexp_split_to_array(text, '[ \t\n\r\f\v]+'), lambda w:
     ),
 )
 def tokenize(spark, folder):
-    docs = I.table(spark, folder, "documents").select("doc_id", "text")
+    docs = I.documents(spark, folder).select("doc_id", "text")
     out = tokens.tokenize(docs, "doc_id", "text", tokens.vocabulary(docs, "text", 1000), 64)
     return out.select(
         "doc_id",

@@ -66,7 +66,7 @@ def describe_by_selection(spark, folder):
     ).replace("FROM d", "FROM (SELECT source, lang, quality FROM documents LEFT JOIN labels USING (doc_id))"),
 )
 def column_counts(spark, folder):
-    docs = I.table(spark, folder, "documents").join(I.table(spark, folder, "labels"), "doc_id", "left")
+    docs = I.documents(spark, folder).join(I.table(spark, folder, "labels"), "doc_id", "left")
     return explore.column_counts(docs, ["source", "lang", "quality"])
 
 
@@ -86,7 +86,7 @@ def value_counts(spark, folder):
     "FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS NOT NULL GROUP BY 1",
 )
 def percentage_breakdown(spark, folder):
-    docs = I.table(spark, folder, "documents").join(I.table(spark, folder, "labels"), "doc_id", "left")
+    docs = I.documents(spark, folder).join(I.table(spark, folder, "labels"), "doc_id", "left")
     return explore.value_counts(docs, "quality").withColumn("percent", F.round("percent", 6))
 
 

@@ -100,7 +100,7 @@ def training_prompt(spark, folder):
     "THEN 'down' END) IN ('UP', '1', 'TRUE') THEN 1 ELSE 0 END AS from_text FROM documents LEFT JOIN labels USING (doc_id)",
 )
 def target_label(spark, folder):
-    d = I.table(spark, folder, "documents").join(I.table(spark, folder, "labels"), "doc_id", "left")
+    d = I.documents(spark, folder).join(I.table(spark, folder, "labels"), "doc_id", "left")
     d = d.withColumn("word", F.when(F.col("quality") == 1, "up").when(F.col("quality") == 0, "down"))
     return d.select(
         "doc_id",

@@ -83,7 +83,7 @@ def _hashed(source: str, key: str, text: str) -> dict[str, str]:
     sql("SELECT id AS doc_id, bucket, round(x, 4) AS x FROM documents_vec", extra=_hashed("documents", "doc_id", "text")),
 )
 def embed_text(spark, folder):
-    docs = I.table(spark, folder, "documents")
+    docs = I.documents(spark, folder)
     vec = docs.select("doc_id", F.posexplode(hash_embedding("text", DIM)).alias("bucket", "x")).where("x > 0")
     return vec.select("doc_id", F.col("bucket").cast("bigint").alias("bucket"), F.round(F.col("x").cast("double"), 4).alias("x"))
 
@@ -93,7 +93,7 @@ def embed_text(spark, folder):
     sql("SELECT id AS doc_id, bucket, tf FROM documents_tf", extra=_hashed("documents", "doc_id", "text")),
 )
 def bucket_counts(spark, folder):
-    docs = I.table(spark, folder, "documents")
+    docs = I.documents(spark, folder)
     words = docs.select("doc_id", F.explode(word_buckets("text", DIM)).alias("bucket"))
     return words.groupBy("doc_id", F.col("bucket").cast("bigint").alias("bucket")).agg(F.count(F.lit(1)).alias("tf"))
 
@@ -259,7 +259,7 @@ def similarity_threshold(spark, folder):
     "unnest(range(0, greatest(length(text) - 50, 1), 462)) AS pos FROM documents)",
 )
 def chunk_text(spark, folder):
-    return R.chunk_text(I.table(spark, folder, "documents"))
+    return R.chunk_text(I.documents(spark, folder))
 
 
 _EDGE = {
@@ -274,7 +274,7 @@ _SPLIT = {"sp": "SELECT doc_id, source, text, string_split(text, chr(10)) AS ls
 
 @query("h15_boilerplate_lines", sql("SELECT source, line, n FROM found", extra={**_SPLIT, **_EDGE}))
 def boilerplate_lines(spark, folder):
-    return R.boilerplate_lines(I.table(spark, folder, "documents"), 0.02)
+    return R.boilerplate_lines(I.documents(spark, folder), 0.02)
 
 
 @query(
@@ -287,7 +287,7 @@ def boilerplate_lines(spark, folder):
     ),
 )
 def clean_documents(spark, folder):
-    return R.clean_documents(I.table(spark, folder, "documents").select("doc_id", "source", "text"), 0.02).select("doc_id", "text")
+    return R.clean_documents(I.documents(spark, folder).select("doc_id", "source", "text"), 0.02).select("doc_id", "text")
 
 
 @query(

@@ -125,7 +125,7 @@ def prompt_model(spark, folder):
 )
 def batch_predict(spark, folder):
     """Contexts are matched to samples by id; a sample without one is scored without."""
-    docs = I.table(spark, folder, "documents").join(I.table(spark, folder, "labels"), "doc_id", "left")
+    docs = I.documents(spark, folder).join(I.table(spark, folder, "labels"), "doc_id", "left")
     samples = docs.select(F.col("doc_id").alias("sample_id"), "quality")
     contexts = I.table(spark, folder, "benchmark").select(F.col("item_id").alias("sample_id"), F.col("text").alias("context"))
     scorer = S.linear_scorer({"quality": 1.0}, -0.5, {"data": 1.0})
@@ -155,7 +155,7 @@ _CONTEXT_SCORER = {"bias": -0.5, "context_weights": {"the": 1.0}}
 
 
 def _context_samples(spark, folder):
-    d = I.table(spark, folder, "documents").join(I.table(spark, folder, "labels"), "doc_id", "left")
+    d = I.documents(spark, folder).join(I.table(spark, folder, "labels"), "doc_id", "left")
     return d.select(F.col("doc_id").alias("sample_id"), "quality", F.col("text").alias("context"))
 
 

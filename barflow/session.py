@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_MASTER_PREFIX = "local"
+_private_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def local_session(app: str = "barflow", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -36,9 +37,19 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith(LOCAL_MASTER_PREFIX):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="barflow-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    app = spark.sparkContext.applicationId
+    if app not in _private_dirs:
+        _private_dirs[app] = tempfile.TemporaryDirectory(prefix="barflow-", ignore_cleanup_errors=True)
+    return _private_dirs[app].name
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan of fewer splits than cores over all cores before costly work on its rows.
+
+    A large input has many more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def materialize(df: DataFrame) -> DataFrame:
