@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from barflow.session import materialize
 
 # Largest group whose value counts one aggregation buffer may hold.
-ONE_PASS_GROUP_ROWS = 2_000_000
+ONE_PASS_GROUP_ROWS = 200_000
 SKETCH_ACCURACY = 10_000
 
 

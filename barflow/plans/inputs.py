@@ -258,7 +258,7 @@ SQL = {
             / nullif(sum(CASE WHEN year(l_shipdate) = 1996 THEN l_extendedprice END), 0) - 1 AS growth
             FROM lineitem GROUP BY 1) g ON s_suppkey = l_suppkey""",
     "vectors": "SELECT vec_id AS doc_id, CAST(embedding AS DOUBLE[]) AS vec, label FROM embeddings",
-    "vector_queries": """SELECT label AS query_id, list(CAST(CAST(x AS FLOAT) AS DOUBLE) ORDER BY i) AS vec FROM (
+    "vector_queries": """SELECT CAST(label AS BIGINT) AS query_id, list(CAST(CAST(x AS FLOAT) AS DOUBLE) ORDER BY i) AS vec FROM (
         SELECT label, i, avg(vec[i]) AS x FROM vectors, unnest(range(1, len(vec) + 1)) AS u(i) GROUP BY 1, 2)
         GROUP BY 1""",
     "labels_conf": """SELECT CAST(l_suppkey AS VARCHAR) AS symbol, CAST(l_returnflag = 'R' AS INT) AS y_true,
