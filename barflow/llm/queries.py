@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 from barflow.llm.byte_bpe import Vocabulary, decode, encode
 from barflow.llm.exact_dedup import exact_dedup, scratch_index
+from barflow.llm.html_extract import extract
+from barflow.llm.minhash import near_duplicates
 from barflow.llm.mixing import mix_sources
+from barflow.llm.pseudonyms import pseudonymise
 from barflow.llm.registry import LLM_ORACLES, LLM_QUERIES, query, table
+from barflow.llm.toxicity import grade, train
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: Key of the registered query alone; real runs bring their own.
+SHOWN_KEY = b"registered query"
 
 
 def digest_ids(encoded, ids="ids", decoded="decoded"):
@@ -25,6 +31,17 @@ def digest_ids(encoded, ids="ids", decoded="decoded"):
     )
 
 
+@query("op1_pseudonyms")
+def op1(spark, folder):
+    return pseudonymise(table(spark, folder, "documents").select("doc_id", "text"), SHOWN_KEY)
+
+
+@query("op2_html_extract")
+def op2(spark, folder):
+    texts = extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return texts.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 @query("op3_byte_bpe")
 def op3(spark, folder):
     vocabulary = Vocabulary.from_ranks(RANKS, public_tokenizers.PATTERN)
@@ -86,3 +103,46 @@ def op4(spark, folder):
 def op5(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op6_toxicity")
+def op6(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return grade(docs, train(docs, table(spark, folder, "labels")))
+
+
+@query(
+    "op7_minhash_near_dedup",
+    r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), starts AS (
+        SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0
+    ), shingles AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM starts
+    ), sizes AS (
+        SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+    ), common AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+        FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+    ), links AS (
+        SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+        WHERE 100 * shared >= 85 * (p.n + q.n - shared)
+    ), edges AS (
+        SELECT a, b FROM links UNION SELECT b, a FROM links
+    ), reach AS (
+        SELECT doc_id, doc_id AS seen FROM documents
+        UNION
+        SELECT r.doc_id, e.b FROM reach r JOIN edges e ON r.seen = e.a
+    ), smallest AS (
+        SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id
+    )
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+    FROM documents d JOIN smallest USING (doc_id) LEFT JOIN sizes USING (doc_id)
+    """,
+)
+def op7(spark, folder):
+    return near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
