@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from barflow.llm.ann import nearest
 from barflow.llm.byte_bpe import Vocabulary, decode, encode
 from barflow.llm.exact_dedup import exact_dedup, scratch_index
 from barflow.llm.html_extract import extract
 from barflow.llm.minhash import near_duplicates
 from barflow.llm.mixing import mix_sources
 from barflow.llm.pseudonyms import pseudonymise
+from barflow.llm.range_coder import read_ids, write_ids
 from barflow.llm.registry import LLM_ORACLES, LLM_QUERIES, query, table
+from barflow.llm.token_counts import Rollup, count_tokens, signed, tokenizer_version, with_version
 from barflow.llm.toxicity import grade, train
+from barflow.session import materialize, shared_dir
 
 __all__ = ["LLM_ORACLES", "LLM_QUERIES"]
 
@@ -146,3 +152,32 @@ def op6(spark, folder):
 )
 def op7(spark, folder):
     return near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op8_token_counts")
+def op8(spark, folder):
+    """All documents are inserted; those whose labels say low quality are deleted again; the inserts are then sent again."""
+    docs = table(spark, folder, "documents").select("doc_id", "source", "lang", "text")
+    counted = with_version(count_tokens(docs, RANKS, public_tokenizers.PATTERN), tokenizer_version(RANKS))
+    counted = materialize(counted)
+    junk = table(spark, folder, "labels").filter("quality = 0").select("doc_id").distinct()
+    rollup = Rollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
+    rollup.commit("inserts", signed(counted, 1))
+    rollup.commit("junk", signed(counted.join(junk, "doc_id", "left_semi"), -1))
+    rollup.commit("inserts", signed(counted, 1))
+    return rollup.totals()
+
+
+@query("op9_token_ids")
+def op9(spark, folder):
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        tokenizer = f.read()
+    path = f"{shared_dir(spark)}/ids-{uuid.uuid4().hex}"
+    write_ids(table(spark, folder, "documents").select("doc_id", "text"), tokenizer, path)
+    return read_ids(spark, path)
+
+
+@query("op10_multi_index_hashing")
+def op10(spark, folder):
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)

@@ -181,8 +181,8 @@ def train(
     return fit(sample, np.minimum(marks, grades) if graded else severity(sample, (marks > 0).astype(int), grades), grades)
 
 
-def grade(docs: DataFrame, model: OrdinalModel, text: str = "text") -> DataFrame:
-    """Replace the text by ``expected_severity`` (mean grade), ``grade`` (thresholds passed with probability one half or
+def grade(docs: DataFrame, model: OrdinalModel, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """Replace the text by (with ``keep_text``: add) ``expected_severity`` (mean grade), ``grade`` (thresholds passed with probability one half or
     more) and ``toxic`` (grade above 0).
 
     A null text is an empty one; without a known feature the score is 0. Columns called like the new ones are
@@ -216,9 +216,11 @@ def grade(docs: DataFrame, model: OrdinalModel, text: str = "text") -> DataFrame
             above = 1 / (1 + np.exp(-np.clip(scores[:, None] - thresholds[None, :], -40, 40)))
             level = (above >= 0.5).sum(axis=1).astype(np.int32)
             made = [pa.array(above.sum(axis=1)), pa.array(level), pa.array(level > 0)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *made], names=[*keep, *out])
+            stay = b.columns if keep_text else b.columns[:-1]
+            yield pa.RecordBatch.from_arrays([*stay, *made], names=[*names, *out])
 
-    rest = docs.select(*[column(docs, c) for c in keep])
+    names = [*keep, text] if keep_text else keep
+    rest = docs.select(*[column(docs, c) for c in names])
     schema = rest.withColumns({out[0]: F.lit(0.0), out[1]: F.lit(0), out[2]: F.lit(False)}).schema
     for f in schema.fields:
         f.nullable = True

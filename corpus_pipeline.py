@@ -1,8 +1,75 @@
-"""A corpus pipeline: toxicity, exact dedup, near-dedup, mixing, encoding."""
+"""From raw documents to token ids: toxicity, exact dedup, near-dedup, mixing, encoding.
 
-STAGES = []
+A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame. All but the last return the columns of ``documents``; each
+is written as Parquet and read again as the next one's documents. Extra columns of the documents are kept.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from barflow.llm.byte_bpe import Vocabulary, decode, encode
+from barflow.llm.common import only
+from barflow.llm.exact_dedup import exact_dedup, scratch_index
+from barflow.llm.minhash import near_duplicates
+from barflow.llm.mixing import mix_sources, repeat_taken
+from barflow.llm.toxicity import grade, train
+from barflow.session import materialize
+
+#: The last stage is bytes and ids and the first a fitted model: SQL cannot express them.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the severity model, fitted on the labelled ones, puts at grade 0."""
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return only(grade(docs, model, keep_text=True).filter("NOT toxic"), *docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with the same text, the one with the largest id."""
+    return only(exact_dedup(docs, scratch_index(spark), batch="documents").filter("kept"), *docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by near-equal shingle sets, the one with the smallest id. Rows without an id stay."""
+    kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return only(repeat_taken(mix_sources(docs)), *docs.columns)
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, their number, and digests of the ids and of the text they decode to."""
+    vocabulary = Vocabulary.from_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    both = decode(encode(only(docs, "doc_id", "source", "text"), vocabulary), vocabulary)
+    return both.select(
+        "doc_id",
+        "source",
+        "ids",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("mixing", mix),
+    ("byte_bpe", tokenise),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other over all documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
