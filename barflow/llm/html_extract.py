@@ -208,6 +208,10 @@ LABELLED = np.array(
     ],
     dtype=float,
 )
+#: Every content block of the table stands in it once more as part of a marked element, where it is boilerplate.
+_TWINS = LABELLED[LABELLED[:, -1] == 1].copy()
+_TWINS[:, FEATURES.index("marked")], _TWINS[:, -1] = 1, 0
+LABELLED = np.concatenate([LABELLED, _TWINS])
 
 
 def grow(table: np.ndarray, depth: int = 7, least: int = 1) -> tuple:

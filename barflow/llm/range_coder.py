@@ -1,10 +1,11 @@
 """Token ids in compressed binary blocks.
 
-A block holds a directory of documents, or pieces of long ones, and their ids, coded by a binary range coder whose model starts
-anew in every block and ends with a checksum, so any block can be read alone. An id is first compared with the one that
-followed the last two ids before (order 2), or the last one (order 1): how often such a guess held, by its own record,
-the other guess's record and the last outcomes, are three predictions that a small logistic network mixes into one
-probability and learns from. An id that no guess names goes bit by bit down an adaptive binary tree (order 0).
+A block holds a directory of documents, or pieces of long ones, and their ids, coded by a range coder whose model starts
+anew in every block, and ends with a checksum, so any block can be read alone. Three guesses are kept for an id: what
+last followed the two ids before it (order 2), the one before it (order 1), and the block's commonest (order 0), each with
+a count of how well it did. What such counts have meant so far are three predictions, which a small logistic network mixes
+into the chance that the first guess holds and learns from. If it fails, the other guesses are asked, and an id that none
+names is coded by a fixed prior over all ids.
 
 The coder works on many blocks at once, one id of each in a step, so that a step costs a few vector operations.
 """
@@ -28,13 +29,15 @@ from barflow.llm.common import only
 from barflow.session import shared_dir
 
 #: Ids in a block at most, and blocks that are coded at once; they bound the model's memory.
-BLOCK_IDS, LANES = 2048, 2048
-#: Entries of the guess tables and of the tree's probabilities, per block.
-GUESSES, NODES = 2048, 8192
+BLOCK_IDS, LANES = 2048, 4096
+#: Distinct words whose ids a Python worker remembers before it starts anew.
+REMEMBERED = 800_000
+#: Entries of a guess table, per block.
+GUESSES = 2048
 #: Bits of an id.
 ID_BITS = 17
-MAGIC = b"TID1"
-_HEAD = struct.Struct("<4sIII")
+MAGIC = b"TID2"
+_HEAD = "<4sIII"
 _ENTRY = np.dtype([("doc", "<i8"), ("number", "<i8"), ("start", "<i8"), ("piece", "<i4"), ("n", "<i4"), ("flags", "<i4")])
 #: Flags of a directory entry.
 _LAST, _NULL = 1, 2
@@ -42,117 +45,144 @@ _LAST, _NULL = 1, 2
 _STRETCH = np.array([round(256 * math.log((p + 0.5) / (4095.5 - p))) for p in range(4096)], np.int64).clip(-2047, 2047)
 _SQUASH = np.array([round(4096 / (1 + math.exp(-x / 256))) for x in range(-2048, 2048)], np.int64).clip(1, 4095)
 
+#: State of a coder: 48 bits, kept at least 24 wide. Parts of a whole that an id's interval is measured in.
+_STATE, _TOP, _LEAST, _WHOLE = (1 << 48) - 1, 1 << 40, 1 << 24, 20
+
+
+def _prior() -> np.ndarray:
+    """Where each id's interval starts: one part for every id, the rest in proportion to 1 / (id + 64)."""
+    size = 1 << ID_BITS
+    share = np.cumsum(1 / (np.arange(size) + 64.0))
+    rest = np.floor(share / share[-1] * ((1 << _WHOLE) - size)).astype(np.int64)
+    return np.concatenate([[0], rest + np.arange(1, size + 1)])
+
 
 class _Coder:
-    """Range coders side by side. Encodes the bits it is given, or decodes them from ``data``."""
+    """Range coders side by side. Encodes what it is given, or decodes it from ``data``."""
 
     def __init__(self, lanes: int, data: list[bytes] | None):
-        self.low, self.high = np.zeros(lanes, np.int64), np.full(lanes, 0xFFFFFFFF, np.int64)
-        self.at = np.zeros(lanes, np.int64)
+        self.low, self.high = np.zeros(lanes, np.int64), np.full(lanes, _STATE, np.int64)
+        self.at, self.starts = np.zeros(lanes, np.int64), _prior()
         self.reads = data is not None
         if self.reads:
-            self.bytes = np.zeros((lanes, max(map(len, data), default=0) + 8), np.uint8)
+            self.bytes = np.zeros((lanes, max(map(len, data), default=0) + 16), np.uint8)
             for i, d in enumerate(data):
                 self.bytes[i, : len(d)] = np.frombuffer(d, np.uint8)
-            self.value = self.bytes[:, :4].astype(np.int64) @ np.array([1 << 24, 1 << 16, 1 << 8, 1])
-            self.at += 4
+            self.value = self.bytes[:, :6].astype(np.int64) @ (1 << np.arange(40, -1, -8, dtype=np.int64))
+            self.at += 6
         else:
             self.bytes = np.zeros((lanes, 4096), np.uint8)
 
-    def code(self, at: np.ndarray, p: np.ndarray, bits: np.ndarray | None) -> np.ndarray:
-        """One bit in each lane of ``at``; ``p`` of 65536 is the chance of a one."""
+    def bit(self, at, p: np.ndarray, bits: np.ndarray | None) -> np.ndarray:
+        """One bit in each lane of ``at``, an index or a slice; ``p`` of 65536 is the chance of a one."""
         low, high = self.low[at], self.high[at]
-        span = high - low
-        mid = low + (span >> 16) * p + (((span & 0xFFFF) * p) >> 16)
+        mid = low + ((high - low) >> 16) * p
         if self.reads:
             bits = self.value[at] <= mid
-        low, high = np.where(bits, low, mid + 1), np.where(bits, mid, high)
-        while True:
-            done = np.flatnonzero((low ^ high) < 1 << 24)
-            if not len(done):
-                break
-            lane = at[done]
+        self._narrow(at, np.where(bits, low, mid + 1), np.where(bits, mid, high))
+        return bits
+
+    def id(self, at: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
+        """One id in each lane of ``at`` by the fixed prior."""
+        low, part = self.low[at], (self.high[at] - self.low[at]) >> _WHOLE
+        if self.reads:
+            part_of = np.minimum((self.value[at] - low) // part, (1 << _WHOLE) - 1)
+            ids = np.searchsorted(self.starts, part_of, side="right") - 1
+        self._narrow(at, low + part * self.starts[ids], low + part * self.starts[ids + 1] - 1)
+        return ids
+
+    def _narrow(self, at, low: np.ndarray, high: np.ndarray) -> None:
+        """Take the new interval, moving out the bytes that are settled."""
+        due = np.flatnonzero(((low ^ high) < _TOP) | (high - low < _LEAST))
+        lanes = np.arange(len(self.low))[at] if len(due) else at
+        while len(due):
+            a, b, lane = low[due], high[due], lanes[due]
+            b = np.where((a ^ b) < _TOP, b, a | (_LEAST - 1))
             if self.reads:
-                self.value[lane] = (self.value[lane] << 8 & 0xFFFFFFFF) | self.bytes[lane, self.at[lane]]
+                self.value[lane] = (self.value[lane] << 8 & _STATE) | self.bytes[lane, self.at[lane]]
             else:
-                if self.at[lane].max() >= self.bytes.shape[1] - 8:
+                if self.at[lane].max() >= self.bytes.shape[1] - 16:
                     self.bytes = np.concatenate([self.bytes, np.zeros_like(self.bytes)], axis=1)
-                self.bytes[lane, self.at[lane]] = high[done] >> 24
+                self.bytes[lane, self.at[lane]] = a >> 40
             self.at[lane] += 1
-            low[done] = low[done] << 8 & 0xFFFFFFFF
-            high[done] = high[done] << 8 & 0xFFFFFFFF | 0xFF
+            a, b = a << 8 & _STATE, b << 8 & _STATE | 0xFF
+            low[due], high[due] = a, b
+            due = due[((a ^ b) < _TOP) | (b - a < _LEAST)]
         self.low[at], self.high[at] = low, high
-        return bits
 
     def finish(self) -> list[bytes]:
-        ends = ((self.low >> 24) + 1).astype(np.uint8)
-        return [self.bytes[i, : self.at[i]].tobytes() + bytes([ends[i], 0, 0, 0]) for i in range(len(self.at))]
+        """The bytes written, and enough of the last interval to tell it."""
+        ends = [int(x).to_bytes(6, "big") for x in self.high]
+        return [self.bytes[i, : self.at[i]].tobytes() + ends[i] for i in range(len(self.at))]
 
 
 def _run(lengths: np.ndarray, blocks: list[np.ndarray] | None, data: list[bytes] | None) -> _Coder | np.ndarray:
     """Code the blocks, longest first, or read them from ``data``."""
     lanes, steps = len(lengths), int(lengths.max())
     coder = _Coder(lanes, data)
-    ids = np.zeros((steps, lanes), np.int64)
+    ids = np.zeros((steps, lanes), np.int32)
     if blocks is not None:
         for i, b in enumerate(blocks):
             ids[: len(b), i] = b
-    guess = [np.zeros((lanes, GUESSES), np.int32) for _ in range(2)]
-    trust = [np.zeros((lanes, GUESSES), np.int8) for _ in range(2)]
-    records = [np.full((lanes, n), 1 << 15, np.int64) for n in (16, 32, 16)]
-    second = np.full((lanes, 16), 1 << 15, np.int64)
-    weights = np.full((3, lanes), 22_000, np.int64)
-    tree = np.full((lanes, NODES), 1 << 15, np.uint16)
-    last, before, history = (np.zeros(lanes, np.int64) for _ in range(3))
+    # One word per guess: the id above, four bits of trust below. Order 0 keeps one guess for a block.
+    guess = [np.zeros(lanes * GUESSES, np.int32) for _ in range(2)]
+    common = np.zeros(lanes, np.int32)
+    records = [np.full(lanes * 16, 1 << 15, np.int32) for _ in range(3)]
+    later = [np.full(lanes * 16, 1 << 15, np.int32) for _ in range(2)]
+    weights = np.full((3, lanes), 22_000, np.int32)
+    last, before = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+    every, base = np.arange(lanes) * GUESSES, np.arange(lanes) * 16
     active = np.searchsorted(-lengths, -np.arange(steps), side="left")
     for t in range(steps):
         n = int(active[t])
-        r, want = np.arange(n), ids[t, :n] if blocks is not None else None
-        a, b = last[:n], before[:n]
-        places = ((b * 0x2F0B4C47 + a * 0x9E3779B1) >> 11) & (GUESSES - 1), ((a * 0x9E3779B1) >> 13) & (GUESSES - 1)
-        (g2, g1), (f2, f1) = zip(*[(guess[k][r, places[k]], trust[k][r, places[k]]) for k in (0, 1)], strict=True)
-        first = np.where(f2 > 0, g2, g1)
-
-        seen = f2, f1 * 2 + (g1 == g2), history[:n]
-        chances = [rec[r, s] for rec, s in zip(records, seen, strict=True)]
+        here, want = slice(0, n), ids[t, :n] if blocks is not None else None
+        a, b = last[here].astype(np.int64), before[here]
+        places = (
+            every[here] + (((b * 0x2F0B4C47 + a * 0x9E3779B1) >> 11) & (GUESSES - 1)),
+            every[here] + ((a * 0x9E3779B1 >> 13) & (GUESSES - 1)),
+        )
+        held = guess[0][places[0]], guess[1][places[1]], common[here]
+        (g2, g1, g0), (f2, f1, f0) = [h >> 4 for h in held], [h & 15 for h in held]
+        first = np.where(f2 > 0, g2, np.where(f1 > 0, g1, g0))
+
+        seen = [base[here] + f for f in (f2, f1, f0)]
+        chances = [r[s] for r, s in zip(records, seen, strict=True)]
         said = [_STRETCH[c >> 4] for c in chances]
-        dot = sum(w[:n] * s for w, s in zip(weights, said, strict=True)) >> 16
+        w = weights[:, here]
+        dot = (w[0] * said[0] + w[1] * said[1] + w[2] * said[2]) >> 16
         p = _SQUASH[dot.clip(-2048, 2047) + 2048]
-        hit = coder.code(r, p << 4, None if want is None else want == first)
-        error = ((hit.astype(np.int64) << 12) - p) * 7
-        for w, s, rec, at, c in zip(weights, said, records, seen, chances, strict=True):
-            w[:n] += (s * error + 0x8000) >> 16
-            rec[r, at] = (c + (((hit.astype(np.int64) << 16) - c) >> 5)).clip(64, 65_472)
-        found = np.where(hit, first, 0).astype(np.int64)
+        hit = coder.bit(here, p << 4, None if want is None else want == first)
+        goal = hit.astype(np.int32) << 16
+        error = ((goal >> 4) - p) * 7
+        for k in range(3):
+            w[k] += ((said[k] * error + 0x8000) >> 16).astype(np.int32)
+            records[k][seen[k]] = (chances[k] + ((goal - chances[k]) >> 5)).clip(64, 65_472)
+        found = np.where(hit, first, 0)
 
         rest = np.flatnonzero(~hit)
-        ask = rest[(f1[rest] > 0) & (g1[rest] != first[rest])]
-        if len(ask):
-            c = second[ask, f1[ask]]
-            yes = coder.code(ask, c, None if want is None else want[ask] == g1[ask])
-            second[ask, f1[ask]] = (c + (((yes.astype(np.int64) << 16) - c) >> 5)).clip(64, 65_472)
-            found[ask[yes]] = g1[ask[yes]]
-            gone = np.zeros(n, bool)
-            gone[ask[yes]] = True
-            rest = rest[~gone[rest]]
+        for g, f, record in ((g1, f1, later[0]), (g0, f0, later[1])):
+            ask = rest[(f[rest] > 0) & (g[rest] != first[rest])]
+            if len(ask):
+                at = base[ask] + f[ask]
+                c = record[at]
+                yes = coder.bit(ask, c.astype(np.int64), None if want is None else want[ask] == g[ask])
+                record[at] = (c + (((yes.astype(np.int32) << 16) - c) >> 5)).clip(64, 65_472)
+                found[ask[yes]] = g[ask[yes]]
+                gone = np.zeros(n, bool)
+                gone[ask[yes]] = True
+                rest = rest[~gone[rest]]
         if len(rest):
-            node = np.ones(len(rest), np.int64)
-            for bit in range(ID_BITS - 1, -1, -1):
-                at = np.where(node < NODES, node, (node * 0x9E3779B1 >> 15) & (NODES - 1))
-                c = tree[rest, at].astype(np.int64)
-                one = coder.code(rest, c, None if want is None else (want[rest] >> bit & 1) == 1)
-                tree[rest, at] = (c + (((one.astype(np.int64) << 16) - c) >> 4)).clip(64, 65_472)
-                node = node * 2 + one
-            found[rest] = node - (1 << ID_BITS)
-
-        for k in (0, 1):
-            g, f = (g2, g1)[k], (f2, f1)[k]
+            found[rest] = coder.id(rest, None if want is None else want[rest])
+
+        for k, (g, f) in enumerate(((g2, f2), (g1, f1), (g0, f0))):
             same = g == found
-            f = np.where(same, np.minimum(f + 1, 15), f >> 1)
-            guess[k][r, places[k]] = np.where(f > 0, g, found)
-            trust[k][r, places[k]] = np.maximum(f, 1)
-        history[:n] = (history[:n] << 1 | hit) & 15
-        before[:n], last[:n] = a.copy(), found
+            kept = np.where(same, np.minimum(f + 1, 15), f >> 1 if k < 2 else f - 1)
+            new = np.where(kept > 0, g << 4 | kept, found << 4 | 1)
+            if k < 2:
+                guess[k][places[k]] = new
+            else:
+                common[here] = new
+        before[here], last[here] = last[here].copy(), found
         if blocks is None:
             ids[t, :n] = found
     return coder if blocks is not None else ids
@@ -182,19 +212,19 @@ def decode_blocks(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
 
 def seal(entries: np.ndarray, coded: bytes, n: int) -> bytes:
     """A block's bytes: head, directory, ids, checksum of all that."""
-    body = _HEAD.pack(MAGIC, n, len(entries), len(coded)) + entries.tobytes() + coded
+    body = struct.pack(_HEAD, MAGIC, n, len(entries), len(coded)) + entries.tobytes() + coded
     return body + struct.pack("<I", zlib.crc32(body))
 
 
 def unseal(block: bytes) -> tuple[np.ndarray, bytes, int]:
     """Directory, coded ids and their number; an error if the block isn't whole."""
-    if len(block) < _HEAD.size + 4 or zlib.crc32(block[:-4]) != struct.unpack("<I", block[-4:])[0]:
+    if len(block) < struct.calcsize(_HEAD) + 4 or zlib.crc32(block[:-4]) != struct.unpack("<I", block[-4:])[0]:
         raise ValueError("a block's checksum is wrong")
-    magic, n, entries, size = _HEAD.unpack_from(block)
-    end = _HEAD.size + entries * _ENTRY.itemsize
+    magic, n, entries, size = struct.unpack_from(_HEAD, block)
+    end = struct.calcsize(_HEAD) + entries * _ENTRY.itemsize
     if magic != MAGIC or len(block) != end + size + 4:
         raise ValueError("not a block of token ids")
-    return np.frombuffer(block, _ENTRY, entries, _HEAD.size), block[end : end + size], n
+    return np.frombuffer(block, _ENTRY, entries, struct.calcsize(_HEAD)), block[end : end + size], n
 
 
 def _times(a: int, b: int) -> int:
@@ -217,15 +247,62 @@ def join_crc(first: int, second: int, length: int) -> int:
     return _times(shift, first) ^ second
 
 
-def _pack(tokenizer: str, end: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class _Words(dict):
+    """Ids by word, each word encoded once by the tokenizers library, with the blank before it.
+
+    A byte-level pre-tokenizer cuts before a blank unless white space stands in front of it; a text where that occurs
+    is encoded as a whole, and so is what comes before the first blank of a text.
+    """
+
+    def __init__(self, tokenizer: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        own = Tokenizer.from_str(tokenizer.value)
-        own.encode_special_tokens = True
+        super().__init__()
+        self.tokenizer = Tokenizer.from_str(tokenizer)
+        self.tokenizer.encode_special_tokens = True
+        self.closing: set[str] = set()
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode new words, many in one text; a token belongs to the word in which it starts."""
+        lots = [words[k : k + 1000] for k in range(0, len(words), 1000)]
+        for lot, e in zip(lots, self.tokenizer.encode_batch(["".join(f" {w}" for w in lot) for lot in lots], add_special_tokens=False), strict=True):
+            ends = np.cumsum([len(w) + 1 for w in lot])
+            starts = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.offsets))
+            upto = np.searchsorted(starts, ends, side="left")
+            ids = np.array(e.ids, np.int32)
+            for w, lo, hi in zip(lot, [0, *upto[:-1]], upto, strict=True):
+                self[w] = ids[lo:hi].tobytes()
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        if len(self) > REMEMBERED:
+            self.clear()
+            self.closing.clear()
+        cut = [t.split(" ") for t in texts]
+        new = set().union(*[c[1:] for c in cut]).difference(self)
+        closing = [w for w in new if not w or w[-1].isspace()]
+        self.closing.update(closing)
+        self.update(dict.fromkeys(closing, b""))
+        self._learn(list(new.difference(closing)))
+        whole = [bool(c[0][-1:].isspace()) or not self.closing.isdisjoint(c[1:]) for c in cut]
+        heads = self._encode([t if w else c[0] for t, w, c in zip(texts, whole, cut, strict=True)])
+        out = []
+        for head, w, c in zip(heads, whole, cut, strict=True):
+            rest = b"" if w else b"".join(map(self.__getitem__, c[1:]))
+            out.append(np.concatenate([np.array(head, np.int32), np.frombuffer(rest, np.int32)]))
+        return out
+
+
+def _pack(tokenizer, end: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = tokenizer.value.setdefault("words", None) or _Words(tokenizer.value["json"])
+        tokenizer.value["words"] = memory
         shard, number, start, made = TaskContext.get().partitionId(), 0, 0, 0
         entries, ids, blocks = [], [], []
 
@@ -251,9 +328,9 @@ def _pack(tokenizer: str, end: int):
             docs = b.column(0)
             for lo in range(0, b.num_rows, 256):
                 texts = [t or "" for t in b.column(1).slice(lo, 256).to_pylist()]
-                for k, e in enumerate(own.encode_batch_fast(texts, add_special_tokens=False)):
+                for k, own in enumerate(memory.ids(texts)):
                     doc = docs[lo + k].as_py()
-                    whole = np.array([*e.ids, end], np.int64)
+                    whole = np.append(own, end)
                     piece = at = 0
                     while at < len(whole):
                         part = whole[at : at + room]
@@ -304,7 +381,8 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end: int = 0, id: str
     ``block``, ``payload``) of Parquet files under ``path``. Null ids stand first; rows of equal id in any order. Blocks are
     written and committed by Spark, so a lost executor's blocks are made again.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
+    # A Python worker keeps the broadcast dictionary, and the words put in it, for all its tasks.
+    shared = docs.sparkSession.sparkContext.broadcast({"json": tokenizer})
     rows = only(docs, id, text).toDF("id", "text").withColumn("id", F.col("id").cast("bigint"))
     order = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first())
     order.mapInArrow(_pack(shared, end), "shard int, block bigint, payload binary").write.mode("overwrite").parquet(path)
