@@ -226,7 +226,7 @@ def feature_table(
     Return targets are called ``next_price_change_<h>d`` here.
     """
     base = clean_price_data(bars, block_rows=block_rows) if clean else bars
-    blocks = cut_blocks(base, ["symbol"], "date", lookback_for(indicators), max(horizons), block_rows)
+    blocks = cut_blocks(base, ["symbol"], "date", lookback_for(indicators), max(horizons), block_rows, counted="Close")
     blocks = add_targets(add_indicators(blocks, indicators), horizons, change=CHANGE_BESIDE_INDICATORS)
     table = blocks.result()
     return news_features(news, table) if news is not None else table

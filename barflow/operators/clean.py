@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barflow.operators.quantiles import ONE_PASS_GROUP_ROWS, exact_quantiles
+from barflow.operators.quantiles import exact_quantiles
 from barflow.operators.series import BLOCK_ROWS, cut_blocks
 from barflow.session import materialize
 
@@ -48,10 +48,9 @@ def iqr_bounds(
     columns: Sequence[str],
     by: Sequence[str] = ("symbol",),
     factor: float = 1.5,
-    one_pass_rows: int = ONE_PASS_GROUP_ROWS,
 ) -> DataFrame:
     """Per group ``<column>_lo`` / ``<column>_hi``: quartiles -/+ ``factor`` times their distance."""
-    quartiles = exact_quantiles(df, columns, (0.25, 0.75), by, one_pass_rows)
+    quartiles = exact_quantiles(df, columns, (0.25, 0.75), by)
     picks = []
     for c in columns:
         q1, q3 = F.col(f"{c}_p25"), F.col(f"{c}_p75")
@@ -75,7 +74,6 @@ def clean_price_data(
     by: Sequence[str] = ("symbol",),
     order: str = "date",
     block_rows: int = BLOCK_ROWS,
-    one_pass_rows: int = ONE_PASS_GROUP_ROWS,
 ) -> DataFrame:
     """Forward fill, drop rows that are still empty, cap outliers at the IQR bounds.
 
@@ -83,7 +81,7 @@ def clean_price_data(
     """
     present = [c for c in columns if c in df.columns]
     filled = materialize(drop_empty_rows(forward_fill(df, present, by, order, block_rows), present))
-    return cap_outliers(filled, iqr_bounds(filled, present, by, one_pass_rows=one_pass_rows), present, by)
+    return cap_outliers(filled, iqr_bounds(filled, present, by), present, by)
 
 
 def drop_missing_targets(df: DataFrame, target: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.operators.correlation import pair_correlations
-from barflow.operators.quantiles import ONE_PASS_GROUP_ROWS, exact_quantiles
+from barflow.operators.quantiles import exact_quantiles
 
 
 def rows_per_symbol(df: DataFrame) -> DataFrame:
@@ -28,9 +28,7 @@ def head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def describe(
-    df: DataFrame, columns: Sequence[str], one_pass_rows: int = ONE_PASS_GROUP_ROWS
-) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: count, mean, sample std, min, exact quartiles, max."""
     stats = []
     for c in columns:
@@ -46,7 +44,7 @@ def describe(
             )
         )
     moments = df.agg(F.array(*stats).alias("s")).select(F.inline("s"))
-    quart = exact_quantiles(df, columns, (0.25, 0.5, 0.75), (), one_pass_rows)
+    quart = exact_quantiles(df, columns, (0.25, 0.5, 0.75), ())
     rows = [
         F.struct(
             F.lit(c).alias("column"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barflow.operators.series import (
     BLOCK_ROWS,
+    ROW,
     Blocks,
     Recurrence,
     cut_blocks,
@@ -104,7 +105,10 @@ def add_indicators(blocks: Blocks, columns: Sequence[str], close: str = "Close",
         if name in wanted:
             new[name] = pct_change(blocks, close, lag)
     if "RSI" in wanted:
-        need("_delta", F.coalesce(price - F.lag(close, 1).over(blocks.window), F.when(price.isNotNull(), 0.0)))
+        # A halo may leave out rows without a price; the row before is then such a row.
+        beside = F.lag(ROW, 1).over(blocks.window) == F.col(ROW) - 1
+        before = F.when(beside, F.lag(close, 1).over(blocks.window))
+        need("_delta", F.coalesce(price - before, F.when(price.isNotNull(), 0.0)))
     blocks = blocks.with_columns(new)
 
     derived: dict[str, Column] = {}
@@ -169,8 +173,10 @@ def technical_indicators(
     block_rows: int = BLOCK_ROWS,
     bucket: Column | str | None = None,
 ) -> DataFrame:
-    """Append technical indicators. ``Close`` must have no gaps after its first value (clean first)."""
-    blocks = cut_blocks(df, by, order, lookback_for(columns), 0, block_rows, bucket)
+    """Append technical indicators. Exponential averages skip rows without a price, however many; other indicators are
+    null where their frame has one."""
+    counted = close if set(columns) & _RECURSIVE else None
+    blocks = cut_blocks(df, by, order, lookback_for(columns), 0, block_rows, bucket, counted=counted)
     out = add_indicators(blocks, columns, close, volume).result()
     return out.select(*df.columns, *columns)
 
@@ -185,9 +191,9 @@ def ema(
     block_rows: int = BLOCK_ROWS,
     bucket: Column | str | None = None,
 ) -> DataFrame:
-    """Exponential moving average of any span."""
+    """Exponential moving average of any span over the non-null rows."""
     alpha = span_alpha(span)
-    blocks = cut_blocks(df, by, order, recurrence_lookback([alpha]), 0, block_rows, bucket)
+    blocks = cut_blocks(df, by, order, recurrence_lookback([alpha]), 0, block_rows, bucket, counted=column)
     blocks = mark_segments(blocks, column, [alpha])
     blocks = recur(blocks, [Recurrence(out, F.col(column), alpha, span)])
     return blocks.result().select(*df.columns, out)

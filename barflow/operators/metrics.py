@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barflow.operators.quantiles import ONE_PASS_GROUP_ROWS, exact_quantiles
+from barflow.operators.quantiles import exact_quantiles
 from barflow.operators.series import ALL_KEY, BLOCK, BLOCK_ROWS, ROW, cut_blocks
 
 TRADING_DAYS = 252
@@ -123,10 +123,9 @@ def volatility_levels(
     df: DataFrame,
     columns: Sequence[str],
     by: Sequence[str] = (),
-    one_pass_rows: int = ONE_PASS_GROUP_ROWS,
 ) -> DataFrame:
     """``<column>_level``: 2 above the 67th percentile, 1 above the 33rd, else 0, per column."""
-    cuts = exact_quantiles(df, columns, (0.33, 0.67), by, one_pass_rows)
+    cuts = exact_quantiles(df, columns, (0.33, 0.67), by)
     joined = _combine(df, cuts, by)
     levels = {
         f"{c}_level": F.when(F.col(c) > F.col(f"{c}_p67"), 2).when(F.col(c) > F.col(f"{c}_p33"), 1).otherwise(0)
@@ -140,9 +139,8 @@ def volatility_metrics(
     truth: str = "y_true",
     pred: str = "y_pred",
     by: Sequence[str] = (),
-    one_pass_rows: int = ONE_PASS_GROUP_ROWS,
 ) -> DataFrame:
-    leveled = volatility_levels(df, (truth, pred), by, one_pass_rows)
+    leveled = volatility_levels(df, (truth, pred), by)
     agree = (F.col(f"{truth}_level") == F.col(f"{pred}_level")).cast("double")
     return leveled.groupBy(*by).agg(*_errors(truth, pred), F.avg(agree).alias("volatility_direction_accuracy"))
 

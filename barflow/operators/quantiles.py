@@ -1,4 +1,4 @@
-"""Exact linear-interpolated quantiles that also hold for a group too large for one task."""
+"""Exact linear-interpolated quantiles by selection, one way for every group size."""
 
 from __future__ import annotations
 
@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from barflow.session import materialize
 
-# Largest group whose value counts one aggregation buffer may hold.
-ONE_PASS_GROUP_ROWS = 200_000
 SKETCH_ACCURACY = 10_000
 
 
@@ -23,106 +21,80 @@ def quantile_names(column: str, probs: Sequence[float]) -> list[str]:
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    one_pass_rows: int = ONE_PASS_GROUP_ROWS,
-) -> DataFrame:
-    """One row per group with ``<column>_p<percent>`` columns; nulls are ignored.
-
-    The largest group is measured first. If its values fit one aggregation buffer, a single
-    aggregation does it; otherwise :func:`select_quantiles` narrows down on the wanted ranks.
-    """
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest > one_pass_rows:
-        return select_quantiles(df, columns, probs, by)
-    found = df.groupBy(*by).agg(
-        *[F.percentile(c, F.array(*[F.lit(float(p)) for p in probs])).alias(f"_q_{c}") for c in columns]
-    )
-    picks = [F.col(f"_q_{c}")[i].alias(_name(c, p)) for c in columns for i, p in enumerate(probs)]
-    return found.select(*by, *picks)
-
-
-def select_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact quantiles by selection; no step gathers a group.
+    """One row per group with ``<column>_p<percent>`` columns; nulls are ignored, a group of nulls has null quantiles.
 
-    A sketch proposes cut points around each quantile, exact counts between the cuts tell which
-    interval holds each wanted rank, and only the distinct values of those intervals are ranked.
-    A poor sketch makes an interval wider but never changes the result.
+    Three aggregations over the named columns, none of which gathers a group: a sketch proposes cut points around
+    each quantile, exact counts up to the cuts tell which interval holds each wanted rank, and only the distinct
+    values of those intervals are ranked. A poor sketch makes an interval wider but never changes the result.
     """
+    by = list(by)
     slack = 2.0 / SKETCH_ACCURACY
     marks = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)})
-    key = [*by, "_col"]
-    values = df.select(
-        *by,
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v")) for c in columns])
-        ).alias("_e"),
+    rows = materialize(df.select(*by, *[F.col(c).cast("double").alias(f"_v_{c}") for c in columns]))
+
+    sketch = [F.percentile_approx(f"_v_{c}", F.array(*map(F.lit, marks)), SKETCH_ACCURACY).alias(f"_cuts_{c}") for c in columns]
+    cuts = materialize(rows.groupBy(*by).agg(*sketch, *[F.count(f"_v_{c}").alias(f"_n_{c}") for c in columns]))
+
+    upto = [
+        F.count_if(F.col(f"_v_{c}") <= F.col(f"_cuts_{c}")[i]).alias(f"_{i}_{c}")
+        for c in columns
+        for i in range(len(marks))
+    ]
+    counted = _beside(rows, cuts, by, [f"_cuts_{c}" for c in columns]).groupBy(*by).agg(*upto)
+    counted = _beside(cuts, counted, by, [f"_{i}_{c}" for c in columns for i in range(len(marks))])
+    wanted = {(c, i, s): f"_w_{k}_{i}_{s}" for k, c in enumerate(columns) for i in range(len(probs)) for s in ("lo", "hi")}
+    spans = materialize(
+        counted.select(*by, *[_span(c, probs[i], s, len(marks)).alias(name) for (c, i, s), name in wanted.items()])
     )
-    values = materialize(values.select(*by, "_e._col", "_e._v").where(F.col("_v").isNotNull()))
-    cuts = values.groupBy(*key).agg(
-        F.percentile_approx("_v", F.array(*map(F.lit, marks)), SKETCH_ACCURACY).alias("_cuts"),
-        F.count("_v").alias("_n"),
-    )
-    cuts = materialize(cuts)
-
-    def same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-        cond = F.lit(True)
-        for n in names:
-            cond = cond & left[n].eqNullSafe(right[f"_r{n}"])
-        return cond
-
-    renamed = cuts.select(*[F.col(k).alias(f"_r{k}") for k in key], "_cuts")
-    interval = F.lit(0)
-    for i in range(len(marks)):
-        interval = interval + F.when(F.col("_v") > F.col("_cuts")[i], 1).otherwise(0)
-    placed = values.join(renamed, same(values, renamed, key)).select(*key, "_v", interval.alias("_iv"))
-
-    in_order = Window.partitionBy(*key).orderBy("_iv").rowsBetween(Window.unboundedPreceding, -1)
-    filled = placed.groupBy(*key, "_iv").agg(F.count(F.lit(1)).alias("_m"))
-    filled = filled.withColumn("_before", F.coalesce(F.sum("_m").over(in_order), F.lit(0)))
-
-    ranks = []
-    for i, p in enumerate(probs):
-        exact = (F.col("_n") - 1) * F.lit(float(p))
-        low = F.floor(exact)
-        high = F.least(low + 1, F.col("_n") - 1)
-        for side, rank in (("lo", low), ("hi", high)):
-            ranks.append(
-                F.struct(
-                    F.lit(i).alias("_p"), F.lit(side).alias("_side"), rank.alias("_rank"), (exact - low).alias("_frac")
-                )
-            )
-    wanted = cuts.select(*key, F.explode(F.array(*ranks)).alias("_w")).select(*key, "_w.*")
-    spans = filled.select(*[F.col(k).alias(f"_r{k}") for k in key], "_iv", "_m", "_before")
-    target = wanted.join(spans, same(wanted, spans, key)).where(
-        (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_m"))
-    )
-    target = materialize(target.select(*key, "_iv", "_p", "_side", "_rank", "_frac", "_before"))
-
-    inside = target.select(*[F.col(k).alias(f"_r{k}") for k in (*key, "_iv")]).distinct()
-    candidates = placed.join(inside, same(placed, inside, [*key, "_iv"]), "left_semi")
-    distinct = candidates.groupBy(*key, "_iv", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    upto = Window.partitionBy(*key, "_iv").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    distinct = distinct.withColumn("_skip", F.coalesce(F.sum("_c").over(upto), F.lit(0)))
-    ranked = distinct.select(*[F.col(k).alias(f"_r{k}") for k in (*key, "_iv")], "_v", "_c", "_skip")
-    offset = F.col("_rank") - F.col("_before")
-    found = target.join(ranked, same(target, ranked, [*key, "_iv"])).where(
-        (offset >= F.col("_skip")) & (offset < F.col("_skip") + F.col("_c"))
-    )
-
-    def value(c: str, i: int) -> Column:
-        def at(side):
-            hit = (F.col("_col") == c) & (F.col("_p") == i) & (F.col("_side") == side)
-            return F.max(F.when(hit, F.col("_v")))
-
-        frac = F.max(F.when((F.col("_col") == c) & (F.col("_p") == i), F.col("_frac")))
-        return at("lo") + (at("hi") - at("lo")) * frac
 
-    return found.groupBy(*by).agg(
-        *[value(c, i).alias(_name(c, p)) for c in columns for i, p in enumerate(probs)]
+    hits = []
+    for (c, _, _), name in wanted.items():
+        v, span = F.col(f"_v_{c}"), F.col(name)
+        inside = (span["above"].isNull() | (v > span["above"])) & (span["below"].isNull() | (v <= span["below"]))
+        hits.append(F.when(inside, F.struct(F.lit(name).alias("_w"), v.alias("_x"), span["skip"].alias("_skip"))))
+    near = _beside(rows, spans, by, list(wanted.values()))
+    near = near.select(*by, F.explode(F.filter(F.array(*hits), lambda h: h["_x"].isNotNull())).alias("_h"))
+    near = near.groupBy(*by, "_h._w", "_h._skip", "_h._x").agg(F.count(F.lit(1)).alias("_m"))
+    before = Window.partitionBy(*by, "_w").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    near = near.withColumn("_before", F.coalesce(F.sum("_m").over(before), F.lit(0)))
+    near = near.where((F.col("_before") <= F.col("_skip")) & (F.col("_skip") < F.col("_before") + F.col("_m")))
+    found = near.groupBy(*by).agg(*[F.max(F.when(F.col("_w") == n, F.col("_x"))).alias(f"{n}_x") for n in wanted.values()])
+
+    both = _beside(spans, found, by, [f"{n}_x" for n in wanted.values()])
+    picks = []
+    for c in columns:
+        for i, p in enumerate(probs):
+            lo, hi = (F.col(wanted[c, i, s] + "_x") for s in ("lo", "hi"))
+            picks.append((lo + (hi - lo) * F.col(wanted[c, i, "lo"])["frac"]).alias(_name(c, p)))
+    return both.select(*by, *picks)
+
+
+def _span(c: str, prob: float, side: str, marks: int) -> Column:
+    """Interval (above, below] that holds a wanted rank, the rank's place in it, and the weight of the upper rank."""
+    exact = (F.col(f"_n_{c}") - 1) * F.lit(float(prob))
+    low = F.floor(exact)
+    rank = low if side == "lo" else F.least(low + 1, F.col(f"_n_{c}") - 1)
+    ends = [(F.col(f"_cuts_{c}")[i], F.col(f"_{i}_{c}")) for i in range(marks)]
+    above = F.array(*[F.when(n <= rank, cut) for cut, n in ends])
+    below = F.array(*[F.when(n > rank, cut) for cut, n in ends])
+    skipped = F.array(F.lit(0).cast("bigint"), *[F.when(n <= rank, n) for _, n in ends])
+    span = F.struct(
+        F.array_max(above).alias("above"),
+        F.array_min(below).alias("below"),
+        (rank - F.array_max(skipped)).alias("skip"),
+        (exact - low).alias("frac"),
     )
+    return F.when(F.col(f"_n_{c}") > 0, span)
+
+
+def _beside(left: DataFrame, right: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Columns of the right table, one row per group, beside the rows of the left one. A whole table is one group."""
+    if not by:
+        return left.withColumns({n: right.select(n).scalar() for n in names})
+    renamed = right.select(*[F.col(b).alias(f"_r_{b}") for b in by], *names)
+    same = F.lit(True)
+    for b in by:
+        same = same & left[b].eqNullSafe(renamed[f"_r_{b}"])
+    return left.join(renamed, same, "left").drop(*[f"_r_{b}" for b in by])

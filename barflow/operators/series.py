@@ -95,9 +95,13 @@ def cut_blocks(
     block_rows: int = BLOCK_ROWS,
     bucket: Column | str | None = None,
     carries: dict[str, Carry] | None = None,
+    counted: str | None = None,
 ) -> Blocks:
     """Cut every series of ``df`` into blocks with ``lookback``/``lookahead`` halo rows.
 
+    With ``counted`` a block also gets the ``lookback`` rows before it in which that column is not null, however far
+    back they are; rows of buckets without any are left out between them, which the row numbers tell.
+
     ``order`` must be unique within a key. ``bucket`` (a column or SQL expression) is monotone in the
     order key and coarse enough to count by, fine enough to hold few rows. ``carries`` maps a name to a bucket aggregate and a
     function giving its prefix over the buckets before; each row gets the prefix of its bucket.
@@ -111,7 +115,9 @@ def cut_blocks(
     rows = rows.withColumn("_bucket", F.expr(bucket) if isinstance(bucket, str) else bucket)
 
     counts = rows.groupBy(*keys, "_bucket").agg(
-        F.count(F.lit(1)).alias("_n"), *[agg.alias(name) for name, (agg, _) in carries.items()]
+        F.count(F.lit(1)).alias("_n"),
+        F.count(F.col(counted) if counted else F.lit(1)).alias("_m"),
+        *[agg.alias(name) for name, (agg, _) in carries.items()],
     )
     per_key = Window.partitionBy(*keys)
     long_series = counts.withColumns(
@@ -125,20 +131,30 @@ def cut_blocks(
         *keys,
         "_bucket",
         "_n",
+        "_m",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
+        F.sum("_m").over(before.rowsBetween(Window.unboundedPreceding, 0)).alias("_seen"),
         "_total",
         "_size",
         *[prefix(F.col(name), before).alias(name) for name, (_, prefix) in carries.items()],
     )
     first = F.expr(f"greatest(_start - {lookahead}, 0) div _size")
     last = F.expr(f"least(_total - 1, _start + _n - 1 + {lookback}) div _size")
+    if counted and lookback:
+        # The blocks that start in a bucket with fewer than ``lookback`` counted rows between it and this one.
+        in_order = per_key.orderBy("_bucket")
+        spans = spans.withColumn("_end", F.expr("(_start + _n - 1) div _size"))
+        spans = spans.withColumn("_next", F.coalesce(F.lead("_end").over(in_order), F.col("_end")))
+        far = F.max("_next").over(per_key.orderBy("_seen").rangeBetween(0, lookback - 1))
+        spans = spans.withColumn("_far", F.when(F.col("_m") > 0, far))
+        last = F.greatest(last, "_far")
     routed = spans.withColumn("_to", F.explode(F.sequence(first, last)))
     routed = routed.select(
         *[F.col(k).alias(f"_to_{k}") for k in keys],
         F.col("_bucket").alias("_to_bucket"),
         "_to",
         F.col("_size").alias("_to_size"),
-        F.min("_start").over(Window.partitionBy(*keys, "_to")).alias("_base"),
+        (F.col("_start") if counted else F.min("_start").over(Window.partitionBy(*keys, "_to"))).alias("_base"),
         *carries,
     )
     match = F.col("_bucket").eqNullSafe(F.col("_to_bucket"))
@@ -153,14 +169,17 @@ def cut_blocks(
     )
     joined = joined.drop("_bucket", "_to_bucket", "_to", "_to_size", *[f"_to_{k}" for k in keys])
 
+    run = [*keys, BLOCK, *(["_base"] if counted else [])]
     numbered = joined.withColumn(
-        ROW, F.col("_base") + F.row_number().over(Window.partitionBy(*keys, BLOCK).orderBy(*order)) - 1
+        ROW, F.col("_base") + F.row_number().over(Window.partitionBy(*run).orderBy(*order)) - 1
     )
     low = F.col(BLOCK) * F.col("_size")
     end = low + F.col("_size")
     numbered = numbered.withColumn(CORE, (F.col(ROW) >= low) & (F.col(ROW) < end))
     if not carries:  # a carried value is right only behind the whole bucket
-        numbered = numbered.where((F.col(ROW) >= low - lookback) & (F.col(ROW) < end + lookahead))
+        near = F.col(ROW) >= low - lookback
+        near = near | F.col(counted).isNotNull() if counted else near
+        numbered = numbered.where(near & (F.col(ROW) < end + lookahead))
     numbered = numbered.drop("_size", "_base")
     helpers = (BLOCK, ROW, CORE, *carries) + (() if by else (ALL_KEY,))
     return Blocks(numbered, keys, order, helpers)

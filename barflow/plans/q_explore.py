@@ -56,7 +56,7 @@ def describe(spark, folder):
 
 @query("k04_describe_by_selection", sql(_describe(("Close", "Volume")), "bars"))
 def describe_by_selection(spark, folder):
-    return _round_stats(explore.describe(I.bars(spark, folder), ("Close", "Volume"), one_pass_rows=0))
+    return _round_stats(explore.describe(I.bars(spark, folder), ("Close", "Volume")))
 
 
 @query(

@@ -97,6 +97,26 @@ def test_leading_nulls_start_the_recurrence_late(spark):
     np.testing.assert_allclose(got, want, rtol=1e-12)
 
 
+@pytest.mark.parametrize("block_rows", [100_000, 256, 64])
+def test_a_gap_longer_than_the_halo_changes_nothing(spark, block_rows):
+    """1,200 rows without a price inside 3,000; the recurrence goes on from the last price before them."""
+    rng = np.random.default_rng(11)
+    x = pd.Series(np.abs(rng.normal(size=3000).cumsum()) + 5)
+    x[700:1900] = np.nan
+    x[2500:2520] = np.nan
+    rows = [("a", i, None if np.isnan(v) else float(v)) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "symbol string, id int, Close double").withColumn("Volume", F.lit(1))
+    got = ema(df, "Close", 12, "e", order="id", block_rows=block_rows, bucket=BUCKET).orderBy("id").toPandas()["e"]
+    want = x.dropna().ewm(span=12, adjust=False, min_periods=12).mean().reindex(x.index)
+    np.testing.assert_allclose(got.astype(float).to_numpy(), want.to_numpy(), rtol=1e-12)
+    names = ["EMA_26", "MACD_signal", "RSI", "SMA_20"]
+    whole = technical_indicators(df, names, order="id", bucket=BUCKET).orderBy("id").toPandas()
+    cut = technical_indicators(df, names, order="id", block_rows=block_rows, bucket=BUCKET).orderBy("id").toPandas()
+    for c in names:
+        np.testing.assert_allclose(cut[c].astype(float), whole[c].astype(float), rtol=1e-9, err_msg=c)
+        assert cut[c].notna().sum() > 500
+
+
 def test_too_different_smoothing_factors_are_refused(tick_series):
     blocks = series.cut_blocks(tick_series, ["symbol"], "id", 10)
     with pytest.raises(ValueError):
