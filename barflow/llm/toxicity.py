@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 
 from barflow.llm.common import column, only
 
-#: Hashed features, and how many of them the model keeps: those that tell toxic from clean rows best.
+#: Hashed features, and how many of them the model keeps: those that mark toxic rows best.
 FEATURES, SELECTED = 1 << 22, 4096
 #: Rows fitted at most: so many toxic and so many clean ones, those of least hash. A bound on the labelled sample alone.
 FIT_ROWS = 3000
-#: A feature is used if so many fitted texts have it.
-LEAST_TEXTS = 3
+#: A feature is used if so many fitted toxic texts, and such a share of them, have it: so many times its share among clean ones.
+LEAST_TEXTS, LEAST_SHARE, LIFT = 3, 0.01, 20.0
 #: Distinct words whose score a task remembers.
 REMEMBERED = 500_000
 #: Severity above the clean grade 0: 1 up to as many grades.
@@ -66,7 +66,10 @@ def _logistic(x: np.ndarray) -> np.ndarray:
 
 
 def _select(docs: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
-    """The features whose presence differs most between toxic and clean texts, by likelihood ratio."""
+    """Features by which toxic texts stand out: in at least ``LIFT`` times the share of them, best likelihood ratio first.
+
+    What is commoner in clean texts is left out, or else enough harmless words could outweigh any abuse.
+    """
     ids, at = np.unique(np.concatenate(docs), return_inverse=True)
     of_toxic = np.repeat(toxic, [len(d) for d in docs])
     a, b = (np.bincount(at, weights=w, minlength=len(ids)) for w in (of_toxic, 1.0 - of_toxic))
@@ -79,8 +82,9 @@ def _select(docs: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
 
     share = (a + b) / (na + nb)
     gain = part(a, na, share) + part(b, nb, share)
+    telling = (a >= np.maximum(LEAST_TEXTS, LEAST_SHARE * na)) & (a / na >= LIFT * (b + 0.5) / nb)
     best = np.lexsort((ids, -gain))
-    return np.sort(ids[best[(a + b)[best] >= LEAST_TEXTS][:SELECTED]])
+    return np.sort(ids[best[telling[best]][:SELECTED]])
 
 
 def severity(docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, grades: int = GRADES) -> np.ndarray:

@@ -42,7 +42,7 @@ def test_nothing_to_tell_apart(labels):
 
 
 def test_nulls_empty_texts_and_clashing_columns(spark, docs_of):
-    docs = docs_of([(i, f"nasty word{i}" if i % 2 else f"kind word{i}") for i in range(60)] + [(60, None), (61, ""), (None, "nasty"), (62, "kind " * 40_000 + "nasty")])
+    docs = docs_of([(i, f"nasty word{i}" if i % 2 else f"kind word{i}") for i in range(60)] + [(60, None), (61, ""), (None, "nasty"), (62, "filler " * 40_000 + "nasty")])
     docs = docs.selectExpr("*", "true AS Toxic", "1 AS label")
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(None, 1), (5, None), (999, 1), (60, 0)], "doc_id bigint, toxic int")
     found = grade(docs, train(docs, labels)).collect()
@@ -63,14 +63,14 @@ def test_given_grades_are_learned(spark):
 
 
 def test_held_out_accuracy(spark):
-    """Fit on half of the labelled rows, judge the other half."""
+    """Fit on half of the labelled rows, judge the other half. One toxic label in twenty stands on a text without a toxic word."""
     folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     model = train(docs, labels.filter("xxhash64(doc_id) % 2 = 0"))
     judged = grade(docs, model).join(labels.filter("xxhash64(doc_id) % 2 <> 0").withColumnRenamed("toxic", "truth"), "doc_id")
     table = {(r[0], r[1]): r[2] for r in judged.groupBy("toxic", "truth").count().collect()}
     hit, miss, false = (table.get(k, 0) for k in ((True, 1), (False, 1), (True, 0)))
-    assert hit >= 50 and hit / (hit + miss) > 0.95 and false <= 0.01 * table[False, 0]
+    assert hit >= 50 and hit / (hit + miss) > 0.88 and false <= 0.005 * table[False, 0]
 
 
 def test_query(spark, small):
