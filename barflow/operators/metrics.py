@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from barflow.operators.quantiles import exact_quantiles
 from barflow.operators.series import ALL_KEY, BLOCK, BLOCK_ROWS, ROW, cut_blocks
+from barflow.session import materialize
 
 TRADING_DAYS = 252
 IGNORED_LABEL = -100
@@ -194,6 +195,7 @@ def cumulative_returns(
     no series has to fit in one task.
     """
     rows, keys = _compounded(df, order, returns, by, block_rows)
+    rows = materialize(rows)
     states = _block_states(rows, keys, returns).select(*keys, BLOCK, "_factor", "_high")
     joined = rows.join(states, [*keys, BLOCK])
     joined = joined.withColumn("cumulative", F.col("_factor") * F.col("_grow"))
@@ -231,6 +233,7 @@ def max_drawdown(
     block summaries; for the recovery only the rows of at most two blocks per series are looked at.
     """
     rows, keys = _compounded(df, order, returns, by, block_rows)
+    rows = materialize(rows.select(*keys, BLOCK, ROW, returns, "_grow", "_top"))
     states = _block_states(rows, keys, returns)
     series = Window.partitionBy(*keys)
     states = states.withColumn("_deep", _deepest(states))
@@ -263,7 +266,8 @@ def calmar_ratio(
     """Annual mean return over the depth of the deepest drawdown, from block summaries alone."""
     rows, keys = _compounded(df, order, returns, by, block_rows)
     states = _block_states(rows, keys, returns)
-    found = states.withColumn("_deep", _deepest(states)).groupBy(*keys).agg(
+    # Without ``by`` there is one series, and a row even if it is empty.
+    found = states.withColumn("_deep", _deepest(states)).groupBy(*by).agg(
         F.try_divide(F.sum("_sum"), F.sum("_n")).alias("m"), (F.min("_deep.q") - 1).alias("d")
     )
     annual = F.col("m") * TRADING_DAYS

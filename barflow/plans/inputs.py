@@ -10,7 +10,7 @@ from barflow.operators.series import cut_blocks
 from barflow.session import spread
 from barflow.sources.market import resample_ohlcv
 
-PART_RANGE = 1 << 20
+TRADE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
 EVENT_SYMBOLS = ("click", "error", "purchase", "signup", "view")
 
 
@@ -39,20 +39,19 @@ def trades(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as trades: one symbol per supplier, a unit price in whole cents and a total order
     within a day."""
     li = table(spark, folder, "lineitem")
-    seq = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * PART_RANGE + F.col("l_partkey") % PART_RANGE
     found = li.select(
         F.col("l_suppkey").cast("string").alias("symbol"),
         F.to_date("l_shipdate").alias("ts"),
         (F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100).alias("price"),
         F.col("l_quantity").alias("size"),
-        seq.alias("seq"),
+        *TRADE_ORDER,
     )
     return spread(found, "symbol", "ts")
 
 
 def bars(spark: SparkSession, folder: str) -> DataFrame:
     """Daily bars of all suppliers; grows with the data."""
-    return resample_ohlcv(trades(spark, folder), "1d", volume="size", order=["seq"])
+    return resample_ohlcv(trades(spark, folder), "1d", volume="size", order=TRADE_ORDER)
 
 
 def bars_gaps(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,8 +74,8 @@ def news(spark: SparkSession, folder: str) -> DataFrame:
     return docs.join(labels, "doc_id", "left").select(
         "doc_id",
         symbol.alias("symbol"),
-        F.date_add(F.lit("2024-01-01").cast("date"), F.expr("cast((doc_id div 5) % 30 as int)")).alias("date"),
-        F.substring("text", 1, 80).alias("title"),
+        F.date_add(F.lit("2024-01-01").cast("date"), F.expr("cast(2 * ((doc_id div 5) % 15) as int)")).alias("date"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.col("text").alias("content"),
         "source",
         (F.col("quality") - F.col("toxic")).cast("double").alias("sentiment"),
@@ -193,12 +192,11 @@ def runs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Status events: signups start a run, purchases complete it."""
+    """Every event as a status: purchases complete a run, errors fail it, all others say that it goes on."""
     e = table(spark, folder, "events")
-    status = F.when(F.col("event_type") == "signup", "running").when(F.col("event_type") == "purchase", "completed")
-    return e.select(F.col("user_id").cast("string").alias("experiment"), "ts", status.alias("status")).where(
-        F.col("status").isNotNull()
-    )
+    kind = F.col("event_type")
+    status = F.when(kind == "purchase", "completed").when(kind == "error", "failed").otherwise("running")
+    return e.select(F.col("user_id").cast("string").alias("experiment"), "ts", status.alias("status"))
 
 
 def features(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,7 +207,7 @@ def features(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- the same as SQL -----------------------------------------------------------------------------
 
-_SEQ = f"((l_orderkey * 8 + l_linenumber) * {PART_RANGE} + l_partkey % {PART_RANGE})"
+_SEQ = f"row({', '.join(TRADE_ORDER)})"
 
 
 def _resampled(source: str, bucket: str, price: str, order: str, volume: str, symbol: str) -> str:
@@ -246,7 +244,7 @@ SQL = {
     )
     + " FROM bars_gaps WINDOW w AS (PARTITION BY symbol ORDER BY date ROWS UNBOUNDED PRECEDING)",
     "news": """SELECT d.doc_id, (['click','error','purchase','signup','view'])[d.doc_id % 5 + 1] AS symbol,
-        DATE '2024-01-01' + CAST((d.doc_id // 5) % 30 AS INT) AS date, substr(text, 1, 80) AS title,
+        DATE '2024-01-01' + CAST(2 * ((d.doc_id // 5) % 15) AS INT) AS date, split_part(text, chr(10), 1) AS title,
         text AS content, source, CAST(quality - toxic AS DOUBLE) AS sentiment
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "fundamentals": """SELECT CAST(s_suppkey AS VARCHAR) AS symbol, r_name AS sector, n_name AS industry,
@@ -278,8 +276,8 @@ SQL = {
     "runs": """SELECT CAST(user_id AS VARCHAR) AS experiment, event_id AS seq,
         CASE WHEN event_id % 17 <> 0 THEN event_id // 100 END AS step, ts, event_type AS name, value FROM events""",
     "run_events": """SELECT CAST(user_id AS VARCHAR) AS experiment, ts,
-        CASE event_type WHEN 'signup' THEN 'running' ELSE 'completed' END AS status
-        FROM events WHERE event_type IN ('signup', 'purchase')""",
+        CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed' ELSE 'running' END AS status
+        FROM events""",
     "features": """SELECT *,
         CASE WHEN count(Close) OVER w20 = 20 THEN avg(Close) OVER w20 END AS SMA_20,
         CASE WHEN count(Close) OVER w50 = 50 THEN avg(Close) OVER w50 END AS SMA_50,

@@ -10,12 +10,12 @@ from barflow.operators.indicators import technical_indicators
 from barflow.operators.targets import target_variables
 from barflow.plans import inputs as I
 from barflow.plans.inputs import sql
-from barflow.plans.q_clean import _AGG as _PARTIAL_AGG
+from barflow.plans.q_clean import _AGG
 from barflow.plans.q_clean import _ANY, _BOUNDS, _stats
 from barflow.plans.registry import query
 
 _W = "OVER (PARTITION BY symbol ORDER BY date)"
-_ALL_NEWS = _PARTIAL_AGG.replace("WHERE source <> 'src1' ", "")
+_ALL_NEWS = _AGG
 _AGG_COLUMNS = (
     "date, symbol, news_count, round(sentiment_mean, 6) AS sentiment_mean, "
     "round(sentiment_std, 6) AS sentiment_std, sentiment_count"
@@ -30,10 +30,10 @@ def news_aggregate(spark, folder):
 @query(
     "e02_left_join_news",
     sql("SELECT symbol, date, Close, news_count, sentiment_count FROM bars_1d LEFT JOIN agg USING (date, symbol)",
-        "bars_1d", "news", extra={"agg": _PARTIAL_AGG}),
+        "bars_1d", "news", extra={"agg": _AGG}),
 )
 def left_join_news(spark, folder):
-    daily = news.aggregate_news(I.news(spark, folder).where(F.col("source") != "src1"))
+    daily = news.aggregate_news(I.news(spark, folder))
     joined = news.join_news(I.bars_1d(spark, folder), daily)
     return joined.select("symbol", "date", "Close", "news_count", "sentiment_count")
 

@@ -103,7 +103,7 @@ def drop_missing_targets(spark, folder):
 
 _AGG = """SELECT date, symbol, count(title) AS news_count, avg(sentiment) AS sentiment_mean,
     stddev_samp(sentiment) AS sentiment_std, count(sentiment) AS sentiment_count
-    FROM news WHERE source <> 'src1' GROUP BY 1, 2"""
+    FROM news GROUP BY 1, 2"""
 _FILLED = """SELECT b.symbol, b.date, coalesce(news_count, 0) AS news_count,
     round(coalesce(sentiment_mean, 0), 6) AS sentiment_mean, round(coalesce(sentiment_std, 0), 6) AS sentiment_std,
     sentiment_count FROM {bars} b LEFT JOIN agg USING (symbol, date)"""
@@ -119,14 +119,14 @@ def _stats(df):
 
 @query("b07_fill_news_zeros", sql(_FILLED.format(bars="bars_1d"), "bars_1d", "news", extra={"agg": _AGG}))
 def fill_news_zeros(spark, folder):
-    daily = news.aggregate_news(I.news(spark, folder).where(F.col("source") != "src1"))
+    daily = news.aggregate_news(I.news(spark, folder))
     return _stats(clean.fill_news_zeros(news.join_news(I.bars_1d(spark, folder), daily)))
 
 
 @query("b08_no_news_defaults", sql(_FILLED.format(bars="bars"), "bars", "news", extra={"agg": _AGG}))
 def no_news_defaults(spark, folder):
     """None of these symbols has news, so all get the defaults."""
-    daily = news.aggregate_news(I.news(spark, folder).where(F.col("source") != "src1"))
+    daily = news.aggregate_news(I.news(spark, folder))
     return _stats(clean.fill_news_zeros(news.join_news(I.bars(spark, folder), daily)))
 
 

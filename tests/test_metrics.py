@@ -154,3 +154,9 @@ def test_unknown_task_raises(spark):
         M.comprehensive_metrics(_labels(spark, [(1, 1)]), "sentiment")
     with pytest.raises(ValueError):
         M.comprehensive_metrics(_labels(spark, [(1, 1)]), "price")
+
+
+def test_ratio_of_an_empty_series(spark):
+    empty = spark.createDataFrame([], "symbol string, i int, ret double")
+    assert [r["calmar_ratio"] for r in M.calmar_ratio(empty, "i").collect()] == [0.0]
+    assert M.calmar_ratio(empty, "i", by=["symbol"]).count() == 0

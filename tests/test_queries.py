@@ -94,7 +94,7 @@ def test_all_indicators_share_one_shuffle_by_block(spark, tick_series):
     assert "Python" not in plan and "Arrow" not in plan
 
 
-@pytest.mark.parametrize("name", ["b01_forward_fill", "c08_rsi", "d03_targets", "f03_create_sequences", "i09_max_drawdown"])
+@pytest.mark.parametrize("name", ["b01_forward_fill", "c08_rsi", "d03_targets", "f03_create_sequences", "i10_calmar_ratio"])
 def test_no_series_is_gathered_in_one_task(spark, small, name):
     """Windows ordered by date are partitioned by block, never by symbol alone."""
     plan = _plan(QUERIES[name](spark, small))
