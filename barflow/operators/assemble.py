@@ -12,7 +12,7 @@ from barflow.operators.clean import clean_price_data, drop_missing_targets
 from barflow.operators.correlation import pair_correlations
 from barflow.operators.indicators import INDICATORS, add_indicators, lookback_for
 from barflow.operators.news import news_features
-from barflow.operators.series import BLOCK_ROWS, ROW, cut_blocks
+from barflow.operators.series import BLOCK_ROWS, ROW, cut_blocks, default_bucket
 from barflow.operators.targets import CHANGE_BESIDE_INDICATORS, HORIZONS, add_targets
 
 SPLIT = "split"
@@ -35,6 +35,31 @@ def _label(position: Column, n: Column, fractions: Sequence[float], names: Seque
     return label
 
 
+def _cut_dates(df: DataFrame, fractions: Sequence[float], order: str) -> list[Column]:
+    """First date of every part but the first, as scalar subqueries; null for a part that has none.
+
+    Only counts by date are shuffled. Running sums go over coarse buckets of dates and then inside each bucket.
+    """
+    try:
+        bucket = default_bucket(df, order)
+    except ValueError:  # a kind of key without buckets, such as text
+        bucket = F.lit(0)
+    days = df.where(F.col(order).isNotNull()).groupBy(order).agg(F.count(F.lit(1)).alias("_m"))
+    days = days.withColumn("_bucket", bucket)
+    so_far = (Window.unboundedPreceding, -1)
+    buckets = days.groupBy("_bucket").agg(F.sum("_m").alias("_n"))
+    buckets = buckets.select(
+        "_bucket",
+        F.coalesce(F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(*so_far)), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy()).alias("_all"),
+    )
+    inside = F.sum("_m").over(Window.partitionBy("_bucket").orderBy(order).rowsBetween(*so_far))
+    days = days.join(buckets, "_bucket").withColumn("_at", F.col("_before") + F.coalesce(inside, F.lit(0)))
+    points = _cut_points(F.col("_all"), fractions)
+    cuts = days.agg(*[F.min(F.when(F.col("_at") >= p, F.col(order))).alias(f"_{i}") for i, p in enumerate(points)])
+    return [cuts.select(f"_{i}").scalar() for i in range(len(points))]
+
+
 def split_dataset(
     df: DataFrame,
     fractions: Sequence[float] = (0.8,),
@@ -54,12 +79,10 @@ def split_dataset(
     if len(names) != len(fractions) + 1:
         raise ValueError("one more name than fractions is needed")
     if mode == "global_time":
-        days = df.groupBy(order).agg(F.count(F.lit(1)).alias("_m"))
-        before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        days = days.withColumn("_at", F.coalesce(F.sum("_m").over(before), F.lit(0)))
-        days = days.withColumn("_all", F.sum("_m").over(Window.partitionBy()))
-        label = _label(F.col("_at"), F.col("_all"), fractions, names)
-        return df.join(days.select(order, label.alias(SPLIT)), order, "left").select(*df.columns, SPLIT)
+        label = F.lit(names[-1])
+        for name, start in reversed(list(zip(names, _cut_dates(df, fractions, order)))):
+            label = F.when(start.isNull() | (F.col(order) < start), name).otherwise(label)
+        return df.withColumn(SPLIT, F.when(F.col(order).isNotNull(), label))
     if mode not in ("position", "per_symbol_time"):
         raise ValueError(f"unknown split mode {mode!r}")
     totals = df.groupBy(by).agg(F.count(F.lit(1)).alias("_m"))
@@ -130,18 +153,21 @@ def fit_scaler(df: DataFrame, columns: Sequence[str], kind: str = "standard") ->
     return df.agg(F.array(*stats).alias("p")).select(F.inline("p"))
 
 
-def apply_scaler(df: DataFrame, params: DataFrame) -> DataFrame:
-    """Scale every feature listed in ``params``; the one-row parameter map is a scalar subquery."""
+def apply_scaler(df: DataFrame, params: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Scale the named features; without ``columns``, those listed in ``params``, which are then looked up first.
+
+    The one-row parameter map is a scalar subquery.
+    """
     whole = params.agg(
         F.map_from_entries(F.collect_list(F.struct("feature", F.struct("center", "scale")))).alias("m")
     ).scalar()
-    names = [r[0] for r in params.select("feature").collect()]
+    names = columns if columns is not None else [r[0] for r in params.select("feature").collect()]
     scaled = {c: (F.col(c) - F.col("_p")[c]["center"]) / F.col("_p")[c]["scale"] for c in names}
     return df.withColumn("_p", whole).withColumns(scaled).select(*df.columns)
 
 
 def scale_features(df: DataFrame, columns: Sequence[str], kind: str = "standard") -> DataFrame:
-    return apply_scaler(df, fit_scaler(df, columns, kind))
+    return apply_scaler(df, fit_scaler(df, columns, kind), columns)
 
 
 # --- feature selection -------------------------------------------------------------------------

@@ -1,4 +1,4 @@
-"""Pearson correlation of many column pairs in one small aggregation."""
+"""Pearson correlation of many column pairs in wide aggregations."""
 
 from __future__ import annotations
 
@@ -12,29 +12,27 @@ def _name(names: Sequence[str]) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), F.col("pair").cast("int") + 1)
 
 
+#: Pairs that one aggregation takes; more go into further aggregations.
+PAIRS_AT_ONCE = 64
+
+
 def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """``(pair, a, b, n, corr)`` over the rows where both columns are present.
 
-    Every row gives one (x, y) per pair, combined before the shuffle; an aggregation with one function
-    per pair would be hundreds of functions wide and fall out of code generation. A constant column has
-    no correlation (null).
+    No row is copied: every pair is a count and a correlation of the same aggregation. A constant column has no
+    correlation (null).
     """
-    values = F.array(
-        *[
-            F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    long = df.select(F.explode(values).alias("v")).select("v.*").where("x IS NOT NULL AND y IS NOT NULL")
-    spread = F.sqrt(F.var_pop("x") * F.var_pop("y"))
-    found = long.groupBy("pair").agg(
-        F.count(F.lit(1)).alias("n"), F.try_divide(F.covar_pop("x", "y"), spread).alias("corr")
-    )
-    every = df.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("pair"))
-    return every.join(found, "pair", "left").select(
-        "pair",
-        _name([a for a, _ in pairs]).alias("a"),
-        _name([b for _, b in pairs]).alias("b"),
-        F.coalesce("n", F.lit(0)).alias("n"),
-        "corr",
-    )
+    found = None
+    for first in range(0, len(pairs), PAIRS_AT_ONCE):
+        some = []
+        for i, (a, b) in enumerate(pairs[first : first + PAIRS_AT_ONCE], first):
+            x, y = F.col(a).cast("double"), F.col(b).cast("double")
+            both = x.isNotNull() & y.isNotNull()
+            spread = F.sqrt(F.var_pop(F.when(both, x)) * F.var_pop(F.when(both, y)))
+            corr = F.try_divide(F.covar_pop(x, y), spread)
+            some.append(F.struct(F.lit(i).alias("pair"), F.count_if(both).alias("n"), corr.alias("corr")))
+        part = df.agg(F.array(*some).alias("p")).select(F.inline("p"))
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = df.sparkSession.createDataFrame([], "pair int, n bigint, corr double")
+    return found.select("pair", _name([a for a, _ in pairs] or [""]).alias("a"), _name([b for _, b in pairs] or [""]).alias("b"), "n", "corr")
