@@ -16,7 +16,7 @@ from barflow.operators.series import BLOCK_ROWS, ROW, cut_blocks, default_bucket
 from barflow.operators.targets import CHANGE_BESIDE_INDICATORS, HORIZONS, add_targets
 
 SPLIT = "split"
-SHUFFLE_BUCKET_BITS = 16
+SHUFFLE_BUCKET_DIGITS = 4
 
 
 def _cut_points(n: Column, fractions: Sequence[float]) -> list[Column]:
@@ -218,8 +218,8 @@ def mini_batches(df: DataFrame, key: str, size: int = 4, seed: int | None = None
     """
     if seed is None:
         return _batch(cut_blocks(df, [], key).result(keep=[ROW]), F.col(ROW), size, df.columns)
-    hashed = df.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key)))
-    hashed = hashed.withColumn("_b", F.shiftright("_h", 64 - SHUFFLE_BUCKET_BITS))
+    hashed = df.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}/"), F.col(key).cast("string"))))
+    hashed = hashed.withColumn("_b", F.substring("_h", 1, SHUFFLE_BUCKET_DIGITS))
     counts = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_m"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_b", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_at"))

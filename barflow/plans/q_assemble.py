@@ -260,11 +260,11 @@ def mini_batches_in_order(spark, folder):
 
 @query(
     "f10_mini_batches_shuffled",
-    "SELECT (row_number() OVER () - 1) // 4 AS batch_id, CAST((row_number() OVER () - 1) % 4 AS INT) AS batch_pos FROM events",
+    "SELECT event_id, at // 4 AS batch_id, CAST(at % 4 AS INT) AS batch_pos FROM (SELECT event_id, "
+    "row_number() OVER (ORDER BY md5('42/' || CAST(event_id AS VARCHAR)), event_id) - 1 AS at FROM events)",
 )
 def mini_batches_shuffled(spark, folder):
-    out = assemble.mini_batches(I.table(spark, folder, "events").select("event_id"), "event_id", seed=42)
-    return out.select("batch_id", "batch_pos")
+    return assemble.mini_batches(I.table(spark, folder, "events").select("event_id"), "event_id", seed=42)
 
 
 @query(

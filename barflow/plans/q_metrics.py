@@ -282,6 +282,16 @@ def comprehensive_price(spark, folder):
     return _rounded(out, [*_REGRESSION, "price_direction_accuracy"], BY)
 
 
+@query(
+    "i14_comprehensive_volatility",
+    sql(f"SELECT symbol, {_pick(_BASIC)}, round(avg(CAST(y_true_level = y_pred_level AS INT)), 6) "
+        "AS volatility_direction_accuracy FROM lv GROUP BY symbol", "price_pairs", extra=_levels("symbol")),
+)
+def comprehensive_volatility(spark, folder):
+    out = metrics.comprehensive_metrics(I.price_pairs(spark, folder), "volatility", by=BY)
+    return _rounded(out, [*_BASIC, "volatility_direction_accuracy"], BY)
+
+
 _MASKED = """SELECT {key} round(correct / total, 6) AS accuracy, correct AS correct_predictions, total AS total_predictions
     FROM (SELECT {key} count(*) FILTER (WHERE CAST(s1 > s0 AS INT) = label) AS correct, count(*) AS total
     FROM class_scores WHERE label <> -100 {group})"""

@@ -44,10 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan of fewer splits than cores over all cores before costly work on its rows.
+    """Spread a scan of fewer splits than cores over all cores of a local session before costly work on its rows.
 
-    A large input has many more splits than cores and is left as it is.
+    On a cluster the scan is left as it is: size its splits instead, with ``spark.sql.files.maxPartitionBytes``.
     """
+    if not df.sparkSession.sparkContext.master.startswith(LOCAL_MASTER_PREFIX + "["):
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
