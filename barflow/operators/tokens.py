@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 PAD_ID, UNKNOWN_ID = 0, 1
 FIRST_WORD_ID = 2
 MAX_LENGTH = 512
-# A vocabulary up to this many words is sent to every executor; a larger one is joined by shuffle.
-BROADCAST_WORDS = 200_000
+# A vocabulary has a fixed size, chosen by whoever builds it; this is the most that is sent to every executor.
+MOST_WORDS = 1_000_000
 
 
 def vocabulary(df: DataFrame, text: str, size: int) -> DataFrame:
@@ -23,21 +27,26 @@ def vocabulary(df: DataFrame, text: str, size: int) -> DataFrame:
 def tokenize(df: DataFrame, key: str, text: str, vocab: DataFrame, max_length: int = MAX_LENGTH) -> DataFrame:
     """Add ``input_ids`` and ``attention_mask``, truncated and padded to ``max_length``.
 
-    Distinct words are few, so ids come from a join of the token rows with the vocabulary; a row
-    contributes at most ``max_length`` of them, which bounds the regrouping.
+    The vocabulary goes to every executor as a dictionary, so no text and no token is shuffled. One of more than
+    ``MOST_WORDS`` words is refused. ``key`` is not needed for that; it stays for callers that name it.
     """
-    words = F.slice(F.filter(F.split(text, r"\s+"), lambda w: w != ""), 1, max_length)
-    tokens = df.select(key, F.posexplode(words).alias("_pos", "token"))
-    small = vocab.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS
-    ids = tokens.join(F.broadcast(vocab) if small else vocab, "token", "left")
-    pair = F.struct("_pos", F.coalesce("token_id", F.lit(UNKNOWN_ID)).alias("id"))
-    grouped = ids.groupBy(key).agg(F.array_sort(F.collect_list(pair)).alias("_ids"))
-    found = F.coalesce(F.transform("_ids", lambda p: p["id"]), F.array().cast("array<int>"))
-    used = F.size(found)
-    pads = F.lit(max_length) - used
+    words = vocab.limit(MOST_WORDS + 1).toPandas()
+    if len(words) > MOST_WORDS:
+        raise ValueError(f"a vocabulary has at most {MOST_WORDS} words")
+    shared = df.sparkSession.sparkContext.broadcast(dict(zip(words["token"], words["token_id"].tolist(), strict=True)))
+    space = r"[ \t\n\x0b\f\r]+"
+
+    @F.pandas_udf("array<int>")
+    def ids_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        ids, split = shared.value, re.compile(space).split
+        for batch in texts:
+            yield batch.map(lambda t: [ids.get(w, UNKNOWN_ID) for w in split(t or "") if w][:max_length])
+
+    found = F.col("_ids")
+    pads = F.lit(max_length) - F.size(found)
     return (
-        df.join(grouped, key, "left")
+        df.withColumn("_ids", ids_of(text))
         .withColumn("input_ids", F.concat(found, F.array_repeat(F.lit(PAD_ID), pads)))
-        .withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), used), F.array_repeat(F.lit(0), pads)))
+        .withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), F.size(found)), F.array_repeat(F.lit(0), pads)))
         .drop("_ids")
     )

@@ -82,6 +82,15 @@ def news(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def bar_news(spark: SparkSession, folder: str) -> DataFrame:
+    """The same news for the symbols and days of ``bars``."""
+    suppliers = table(spark, folder, "supplier").agg(F.count(F.lit(1))).scalar()
+    day = F.date_add(F.lit("1995-01-02").cast("date"), F.expr("cast((doc_id * 7) % 2400 as int)"))
+    return news(spark, folder).withColumns(
+        {"symbol": (F.col("doc_id") % suppliers + 1).cast("string"), "date": day}
+    )
+
+
 def fundamentals(spark: SparkSession, folder: str) -> DataFrame:
     s, n, r = (table(spark, folder, t) for t in ("supplier", "nation", "region"))
     li = table(spark, folder, "lineitem")
@@ -247,6 +256,8 @@ SQL = {
         DATE '2024-01-01' + CAST(2 * ((d.doc_id // 5) % 15) AS INT) AS date, split_part(text, chr(10), 1) AS title,
         text AS content, source, CAST(quality - toxic AS DOUBLE) AS sentiment
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+    "bar_news": """SELECT doc_id, CAST(doc_id % (SELECT count(*) FROM supplier) + 1 AS VARCHAR) AS symbol,
+        DATE '1995-01-02' + CAST((doc_id * 7) % 2400 AS INT) AS date, title, content, source, sentiment FROM news""",
     "fundamentals": """SELECT CAST(s_suppkey AS VARCHAR) AS symbol, r_name AS sector, n_name AS industry,
         s_acctbal AS market_cap, CASE WHEN s_suppkey % 10 <> 0 THEN round(s_acctbal / 100, 2) END AS pe_ratio,
         round(growth, 4) AS revenue_growth
@@ -291,6 +302,7 @@ SQL = {
 _NEEDS = {
     "bars_gaps": ["bars"],
     "filled": ["bars_gaps"],
+    "bar_news": ["news"],
     "vector_queries": ["vectors"],
     "price_pairs": ["bars"],
     "returns": ["bars"],

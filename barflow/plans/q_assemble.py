@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barflow.functions import prompts
-from barflow.operators import assemble, metrics, news, retrieval, tokens
+from barflow.operators import assemble, datasets, metrics, news, retrieval, tokens
 from barflow.operators.indicators import technical_indicators
 from barflow.operators.targets import target_variables
 from barflow.plans import inputs as I
 from barflow.plans.inputs import sql
-from barflow.plans.q_clean import _AGG
-from barflow.plans.q_clean import _ANY, _BOUNDS, _stats
+from barflow.plans.q_clean import _AGG, _ANY, _BOUNDS, _stats
 from barflow.plans.registry import query
 
 _W = "OVER (PARTITION BY symbol ORDER BY date)"
@@ -260,8 +259,8 @@ def mini_batches_in_order(spark, folder):
 
 @query(
     "f10_mini_batches_shuffled",
-    "SELECT event_id, at // 4 AS batch_id, CAST(at % 4 AS INT) AS batch_pos FROM (SELECT event_id, "
-    "row_number() OVER (ORDER BY md5('42/' || CAST(event_id AS VARCHAR)), event_id) - 1 AS at FROM events)",
+    "SELECT event_id, pos // 4 AS batch_id, CAST(pos % 4 AS INT) AS batch_pos FROM (SELECT event_id, "
+    "row_number() OVER (ORDER BY md5('42/' || CAST(event_id AS VARCHAR)), event_id) - 1 AS pos FROM events)",
 )
 def mini_batches_shuffled(spark, folder):
     return assemble.mini_batches(I.table(spark, folder, "events").select("event_id"), "event_id", seed=42)
@@ -286,58 +285,82 @@ _PROMPT = (
 
 @query(
     "f12_prepare_datasets",
-    sql(f"SELECT symbol, date, {_PROMPT} AS prompt, CAST(coalesce(lead(Close) {_W} > Close, false) AS INT) AS label, "
-        "CASE WHEN pos < a THEN 'train' WHEN pos < a + b THEN 'val' ELSE 'test' END AS split FROM (SELECT *, "
-        "row_number() OVER (ORDER BY symbol, date) - 1 AS pos, CAST(floor(count(*) OVER () * 0.7::DOUBLE) AS BIGINT) AS a, "
-        "CAST(floor(count(*) OVER () * 0.15::DOUBLE) AS BIGINT) AS b FROM bars)", "bars"),
+    sql("SELECT symbol, date, prompt, label, split, known, CAST(sum_ids AS BIGINT) AS sum_ids FROM s JOIN t USING (symbol, date)",
+        "bars",
+        extra={
+            "s": f"SELECT symbol, date, {_PROMPT} AS prompt, CAST(coalesce(lead(Close) {_W} > Close, false) AS INT) AS label, "
+            "CASE WHEN pos < a THEN 'train' WHEN pos < a + b THEN 'val' ELSE 'test' END AS split FROM (SELECT *, "
+            "row_number() OVER (ORDER BY symbol, date) - 1 AS pos, CAST(floor(count(*) OVER () * 0.7::DOUBLE) AS BIGINT) AS a, "
+            "CAST(floor(count(*) OVER () * 0.15::DOUBLE) AS BIGINT) AS b FROM bars)",
+            "w": r"SELECT symbol, date, unnest(list_filter(regexp_split_to_array(prompt, '[ \t\n\r\f\v]+'), lambda w: w <> '')) AS token FROM s",
+            "v": "SELECT token, row_number() OVER (ORDER BY n DESC, token) + 1 AS token_id FROM (SELECT token, count(*) AS n "
+            "FROM w GROUP BY token ORDER BY n DESC, token LIMIT 500)",
+            "t": "SELECT symbol, date, count(token_id) AS known, sum(coalesce(token_id, 1)) AS sum_ids "
+            "FROM w LEFT JOIN v USING (token) GROUP BY ALL",
+        }),
 )
 def prepare_datasets(spark, folder):
     t = target_variables(I.bars(spark, folder).select("symbol", "date", "Close", "Volume"), [1])
     parts = assemble.three_way_split(t, mode="position")
-    text = prompts.training_prompt(prompts.feature_text(["Close", "Volume"]))
-    label = prompts.target_label("price_direction_1d", parts.schema["price_direction_1d"].dataType)
-    return parts.select("symbol", "date", text.alias("prompt"), label.alias("label"), "split")
+    shown = ["Close", "Volume"]
+    vocab = tokens.vocabulary(datasets.prepare_datasets(parts, features=shown), "prompt", 500)
+    out = datasets.prepare_datasets(parts, features=shown, vocab=vocab, key="symbol")
+    known = F.size(F.filter("input_ids", lambda i: i > tokens.UNKNOWN_ID)).cast("bigint")
+    return out.select(
+        "symbol", "date", "prompt", "label", "split", known.alias("known"),
+        F.aggregate("input_ids", F.lit(0).cast("bigint"), lambda s, i: s + i).alias("sum_ids"),
+    )
 
 
 _CLEAN_EXPR = ", ".join(
     f"CASE WHEN {c} < {c}_lo THEN {c}_lo WHEN {c} > {c}_hi THEN {c}_hi ELSE CAST({c} AS DOUBLE) END AS {c}" for c in _SCALED
 )
 _SMA = "(PARTITION BY symbol ORDER BY date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"
+_SMA_50 = _SMA.replace("19 PRECEDING", "49 PRECEDING")
 
 
 @query(
     "f13_prepare_data",
     sql(
-        "SELECT symbol, split, count(*) AS samples, CAST(sum(price_direction_1d) AS BIGINT) AS ups, "
-        "count(SMA_20) AS with_sma, round(avg(SMA_20), 4) AS mean_sma_20, round(avg(Price_change), 6) AS mean_change, "
+        "SELECT symbol, split, count(*) AS samples, CAST(sum(up1) AS BIGINT) AS ups, CAST(sum(up5) AS BIGINT) AS ups_5d, "
+        "CAST(sum(up20) AS BIGINT) AS ups_20d, count(SMA_20) AS with_sma, round(avg(SMA_20), 4) AS mean_sma_20, "
+        "round(avg(SMA_50), 4) AS mean_sma_50, round(avg(BB_upper), 4) AS mean_bb_upper, round(avg(Volatility), 4) AS mean_volatility, "
+        "round(avg(Price_change), 6) AS mean_change, round(avg(Price_change_20d), 6) AS mean_change_20d, "
         "CAST(sum(news_count) AS BIGINT) AS news, round(avg(sentiment_mean), 6) AS sentiment FROM ("
         "SELECT t.*, CASE WHEN pos < CAST(floor(n * (1 - 0.2::DOUBLE)) AS BIGINT) THEN 'train' ELSE 'test' END AS split, "
         "coalesce(news_count, 0) AS news_count, coalesce(sentiment_mean, 0) AS sentiment_mean "
         "FROM t JOIN d USING (date) LEFT JOIN agg USING (symbol, date)) GROUP BY symbol, split",
-        "filled", "news",
+        "filled", "bar_news",
         extra={
-            "agg": _ALL_NEWS,
+            "agg": _ALL_NEWS.replace("FROM news", "FROM bar_news"),
             "kept": f"SELECT * FROM filled WHERE {_ANY}",
             "bounds": f"{_BOUNDS} FROM filled GROUP BY symbol",
             "c": f"SELECT symbol, date, {_CLEAN_EXPR} FROM kept LEFT JOIN bounds USING (symbol)",
             "t": f"SELECT symbol, date, CASE WHEN count(Close) OVER {_SMA} = 20 THEN avg(Close) OVER {_SMA} END AS SMA_20, "
-            f"Close / lag(Close) {_W} - 1 AS Price_change, CAST(coalesce(lead(Close) {_W} > Close, false) AS INT) "
-            "AS price_direction_1d FROM c",
+            f"CASE WHEN count(Close) OVER {_SMA_50} = 50 THEN avg(Close) OVER {_SMA_50} END AS SMA_50, "
+            f"CASE WHEN count(Close) OVER {_SMA} = 20 THEN avg(Close) OVER {_SMA} + 2 * stddev_pop(Close) OVER {_SMA} END AS BB_upper, "
+            f"CASE WHEN count(Close) OVER {_SMA} = 20 THEN stddev_samp(Close) OVER {_SMA} END AS Volatility, "
+            f"Close / lag(Close) {_W} - 1 AS Price_change, Close / lag(Close, 20) {_W} - 1 AS Price_change_20d, "
+            + ", ".join(f"CAST(coalesce(lead(Close, {h}) {_W} > Close, false) AS INT) AS up{h}" for h in (1, 5, 20)) + " FROM c",
             "d": "SELECT date, sum(count(*)) OVER (ORDER BY date) - count(*) AS pos, sum(count(*)) OVER () AS n FROM t GROUP BY date",
         },
     ),
 )
 def prepare_data(spark, folder):
-    """The whole preparation over bars with gaps, summed up per symbol and split."""
-    table = assemble.prepare_data(
-        I.bars_gaps(spark, folder), I.news(spark, folder), indicators=["SMA_20", "Price_change"], horizons=[1]
-    )
+    """The whole preparation over bars with gaps and news of their symbols, summed up per symbol and split."""
+    table = assemble.prepare_data(I.bars_gaps(spark, folder), I.bar_news(spark, folder))
     return table.groupBy("symbol", "split").agg(
         F.count(F.lit(1)).alias("samples"),
         F.sum("price_direction_1d").alias("ups"),
+        F.sum("price_direction_5d").alias("ups_5d"),
+        F.sum("price_direction_20d").alias("ups_20d"),
         F.count("SMA_20").alias("with_sma"),
         F.round(F.avg("SMA_20"), 4).alias("mean_sma_20"),
+        F.round(F.avg("SMA_50"), 4).alias("mean_sma_50"),
+        F.round(F.avg("BB_upper"), 4).alias("mean_bb_upper"),
+        F.round(F.avg("Volatility"), 4).alias("mean_volatility"),
         F.round(F.avg("Price_change"), 6).alias("mean_change"),
+        F.round(F.avg("Price_change_20d"), 6).alias("mean_change_20d"),
         F.sum("news_count").alias("news"),
         F.round(F.avg("sentiment_mean"), 6).alias("sentiment"),
     )
