@@ -186,3 +186,23 @@ def test_feature_table_has_indicators_and_targets_side_by_side(spark):
     assert np.isclose(row["Price_change_5d"], 10 / 5 - 1) and np.isclose(row["next_price_change_5d"], 15 / 10 - 1)
     with pytest.raises(ValueError):
         target_variables(table.select("symbol", "date", "Close", "Price_change_5d"), [5])
+
+
+def test_samples_with_contexts_and_ids(spark):
+    from barflow.functions.vectors import DEFAULT_DIM, hash_embedding
+    from barflow.operators.datasets import prepare_datasets
+    from barflow.operators.tokens import vocabulary
+
+    rows = [(1, "a", "2024-01-01", 1.5, 1, "train"), (2, "b", "2024-01-02", 2.5, 0, "val"), (3, "b", "2024-01-03", None, None, "test")]
+    samples = spark.createDataFrame(rows, "sample_id int, symbol string, date string, Close double, price_direction_1d int, split string")
+    docs = spark.createDataFrame([(10, "a 2024-01-01 gains", {}), (11, "b 2024-01-02 losses", {})], "doc_id int, text string, metadata map<string,string>")
+    docs = docs.withColumn("vec", hash_embedding("text", DEFAULT_DIM))
+    plain = prepare_datasets(samples, features=["Close"])
+    vocab = vocabulary(plain, "prompt", 5)
+    made = prepare_datasets(samples, features=["Close"], docs=docs, context_length=1, vocab=vocab, max_length=6)
+    got = {r["sample_id"]: r for r in made.collect()}
+    assert [got[i]["label"] for i in (1, 2, 3)] == [1, 0, 0] and [got[i]["split"] for i in (1, 2, 3)] == ["train", "val", "test"]
+    assert "Close: 1.50" in got[1]["prompt"] and "Context: a 2024-01-01 gains" in got[1]["prompt"]
+    assert "Context: b 2024-01-02 losses" in got[2]["prompt"] and "Features" not in got[3]["prompt"]
+    assert all(len(r["input_ids"]) == len(r["attention_mask"]) == 6 for r in got.values())
+    assert "context" not in prepare_datasets(samples, features=["Close"], docs=docs, include_context=False).columns
