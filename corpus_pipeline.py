@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow.llm.byte_bpe import Vocabulary, decode, encode
-from barflow.llm.common import only
+from barflow.llm.common import column, only
 from barflow.llm.exact_dedup import exact_dedup, scratch_index
 from barflow.llm.minhash import near_duplicates
 from barflow.llm.mixing import mix_sources, repeat_taken
@@ -22,26 +22,41 @@ from barflow.session import materialize
 ORACLE_SQL = None
 
 
+def _same_columns(stage):
+    """Give a stage the columns it reads and the others under names that clash with nothing; undo that in its result."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = {c: c if c in ("doc_id", "text", "source") else f"kept_{i}" for i, c in enumerate(docs.columns)}
+        found = stage(spark, docs.select(*[column(docs, c).alias(n) for c, n in names.items()]), sf_dir)
+        return found.select(*[column(found, n).alias(c) for c, n in names.items()])
+
+    return run
+
+
+@_same_columns
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the severity model, fitted on the labelled ones, puts at grade 0."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return only(grade(docs, model, keep_text=True).filter("NOT toxic"), *docs.columns)
+    return grade(docs, model, keep_text=True).filter("NOT toxic")
 
 
+@_same_columns
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with the same text, the one with the largest id."""
-    return only(exact_dedup(docs, scratch_index(spark), batch="documents").filter("kept"), *docs.columns)
+    return exact_dedup(docs, scratch_index(spark), batch="documents").filter("kept")
 
 
+@_same_columns
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by near-equal shingle sets, the one with the smallest id. Rows without an id stay."""
     kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL"))
 
 
+@_same_columns
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
-    return only(repeat_taken(mix_sources(docs)), *docs.columns)
+    return repeat_taken(mix_sources(docs))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,6 +64,7 @@ def test_pipeline_keeps_rows_without_id_and_extra_columns(spark, docs_of):
     for _, stage in corpus_pipeline.STAGES[1:4]:
         docs = stage(spark, docs, "")
         assert {"node", "rank", "size"} <= set(docs.columns)
+        assert {r["size"] for r in docs.collect()} <= {6} and {r["keep_id"] for r in docs.collect()} <= {3}
     assert {r["doc_id"] for r in docs.collect()} <= {1, None}
 
 
