@@ -24,7 +24,7 @@ FEATURES, SELECTED = 1 << 22, 4096
 #: Rows fitted at most: so many toxic and so many clean ones, those of least hash. A bound on the labelled sample alone.
 FIT_ROWS = 3000
 #: A feature is used if so many fitted toxic texts, and such a share of them, have it: so many times its share among clean ones.
-LEAST_TEXTS, LEAST_SHARE, LIFT = 3, 0.01, 20.0
+LEAST_TEXTS, LEAST_SHARE, LIFT = 3, 0.005, 20.0
 #: Distinct words whose score a task remembers.
 REMEMBERED = 500_000
 #: Severity above the clean grade 0: 1 up to as many grades.
@@ -101,7 +101,7 @@ def severity(docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, grade
     return np.where(toxic == 1, 1 + np.searchsorted(cuts, mass, side="left"), 0)
 
 
-def fit(docs: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, levels: int, l2: float = 1e-3, steps: int = 400) -> OrdinalModel:
+def fit(docs: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, levels: int, l2: float = 3e-4, steps: int = 400) -> OrdinalModel:
     """Least penalised negative log likelihood by adaptive gradient steps over all given rows.
 
     Without rows above grade 0, or without rows of grade 0, there is nothing to tell apart: all scores are 0, and every
