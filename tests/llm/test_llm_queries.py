@@ -1,6 +1,8 @@
 """Registered queries of the subpackage against their SQL, and the pipeline."""
 
+import hashlib
 import math
+from collections import Counter
 
 import duckdb
 import pytest
@@ -8,6 +10,7 @@ import pytest
 import __spark_entry__ as entry_points
 import corpus_pipeline
 from barflow.llm.queries import LLM_ORACLES, LLM_QUERIES
+from test_minhash import _brute
 
 TABLES = ("documents", "labels", "pages", "embeddings")
 
@@ -53,8 +56,17 @@ def test_pipeline_stage_by_stage(spark, small):
                 last[r["text"] or ""] = max(r["doc_id"], last.get(r["text"] or "", r["doc_id"]))
             assert sorted(r["doc_id"] for r in docs.collect()) == sorted(last.values())
         if name == "near_dedup":
-            texts = {r["doc_id"]: tuple((r["text"] or "").lower().split()) for r in before.collect()}
-            assert {r["doc_id"] for r in docs.collect()} <= texts.keys() and kept[name] < kept["exact_dedup"]
+            expected = [i for i, _, _, stays in _brute([(r["doc_id"], r["text"]) for r in before.collect()]) if stays]
+            assert sorted(r["doc_id"] for r in docs.collect()) == expected
+        if name == "mixing":
+            source = {r["doc_id"]: r for r in before.collect()}
+            times = Counter(r["doc_id"] for r in docs.collect())
+            assert times.keys() <= source.keys() and max(times.values()) <= 2
+        if name == "byte_bpe":
+            texts = {r["doc_id"]: r["text"] for r in before.collect()}
+            for r in docs.collect():
+                assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+                assert r["n_tokens"] == len(r["ids"])
     assert kept["toxicity"] >= 0.8 * spark.read.parquet(f"{small}/documents.parquet").count()
     assert kept["byte_bpe"] == kept["mixing"]
 
