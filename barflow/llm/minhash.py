@@ -4,10 +4,13 @@
 2. Two sets of Jaccard 0.85 agree in at least ``MATCHES`` of 32 coordinates, but for a chance below 1e-6. Of two
    signatures that do, any ``COORDINATES - MATCHES + 1`` coordinates of the one, taken rarest value first, hold one that
    they share: a class is posted under these coordinate-value pairs only (prefix). Frequent values stand last, so that
-   their long lists are not merged at all (skip); collisions over the whole signature are counted per candidate pair.
-3. Each list is first compared with one pivot. What turns out linked joins the pivot's component, so a large group of
+   their long lists are not merged at all (skip), and a class whose pairs are its own for the most part isn't posted; collisions over the whole signature are counted per candidate pair.
+3. Of the classes left on some list, the shingles that no other of them has are counted: none of these can be in
+   common. Classes that have too many cannot be linked at all, and pairs are held against the rest of their sets. A
+   finer sketch of one-bit coordinates tells most other pairs that are too far apart.
+4. Each list is first compared with one pivot. What turns out linked joins the pivot's component, so a large group of
    near copies costs a comparison each, not one per pair.
-4. Lists that still hold several components are joined across components: the largest one of the list against the others,
+5. Lists that still hold several components are joined across components: the largest one of the list against the others,
    and the others among themselves. Pairs inside a component can add nothing.
 """
 
@@ -21,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from barflow.llm.common import only
 from barflow.llm.components import components
@@ -30,15 +34,16 @@ from barflow.session import materialize
 WORDS = 5
 #: Coordinates of a signature, and how many two of them must share.
 COORDINATES, MATCHES = 32, 16
-PREFIX = COORDINATES - MATCHES + 1
-#: Buckets in which the frequency of coordinate-value pairs is counted; they bound what is sent to the executors.
-ORDER_BUCKETS = 1 << 18
+#: One-bit coordinates of the finer sketch that candidates get, and how many of them may differ between linked sets: at
+#: Jaccard 0.85 they differ in 307 of 4,096 on average, in more than 393 with a chance below 1e-6.
+BITS, FAR = 4096, 393
 #: Distinct words whose hashes a task remembers.
 REMEMBERED = 500_000
 #: Shingles hashed in one vectorised step.
 STEP = 1 << 20
 
 _MULTIPLIERS = np.random.default_rng(20240501).integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BIT_MULTIPLIERS = np.random.default_rng(20240502).integers(1, 1 << 63, BITS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ROLL = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -84,6 +89,17 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int32)
 
 
+def _bits(sets: list[np.ndarray]) -> np.ndarray:
+    """A bit of the least multiple of the shingles, per set and coordinate, packed into 64-bit numbers."""
+    starts = np.cumsum([0, *map(len, sets[:-1])])
+    x = np.concatenate(sets)
+    out = np.empty((len(sets), BITS), np.uint8)
+    with np.errstate(over="ignore"):
+        for k, m in enumerate(_BIT_MULTIPLIERS):
+            out[:, k] = mixed(np.minimum.reduceat(x * m, starts)) & np.uint64(1)
+    return np.packbits(out, axis=1).view(np.int64)
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = _WordHashes()
     for b in batches:
@@ -112,10 +128,15 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = _WordHashes()
     for b in batches:
         sets = [shingles(t.as_py(), hashes) for t in b.column(1)]
-        nodes = pa.array([blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary())
+        names = [blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+        own = [k for k, (name, node) in enumerate(zip(names, b.column(2).to_pylist(), strict=True)) if name == node]
+        sets, nodes = [sets[k] for k in own], pa.array([names[k] for k in own], pa.binary())  # an id may have other texts
         flat = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
-        offsets = pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32))
-        yield pa.RecordBatch.from_arrays([nodes, pa.ListArray.from_arrays(offsets, pa.array(flat))], names=["node", "shingles"])
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32)), pa.array(flat))
+        parts = [_bits(sets[k : k + 200]).ravel() for k in range(0, len(sets), 200)]
+        ends = pa.array(np.arange(len(sets) + 1, dtype=np.int32) * (BITS // 64))
+        bits = pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, np.int64), *parts])))
+        yield pa.RecordBatch.from_arrays([nodes, lists, bits], names=["node", "shingles", "bits"])
 
 
 def _tokens(b: pa.RecordBatch) -> np.ndarray:
@@ -124,27 +145,35 @@ def _tokens(b: pa.RecordBatch) -> np.ndarray:
     return mixed(sig + (np.arange(1, COORDINATES + 1, dtype=np.uint64) << np.uint64(33)))
 
 
-def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(ORDER_BUCKETS, np.int64)
+def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        total += np.bincount((_tokens(b) % np.uint64(ORDER_BUCKETS)).astype(np.int64).ravel(), minlength=ORDER_BUCKETS)
-    found = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(total[found])], names=["bucket", "n"])
+        rows = np.repeat(np.arange(b.num_rows), COORDINATES)
+        tokens = pa.array(_tokens(b).ravel().view(np.int64))
+        yield pa.RecordBatch.from_arrays([tokens, b.column("key").take(pa.array(rows))], names=["token", "key"])
+
+
+def _candidates(classes: DataFrame) -> DataFrame:
+    """Posted coordinate-value pairs (``key``, ``token``) of the classes that may share enough of them with another.
 
+    A pair that one class alone has cannot match. A class with fewer than ``MATCHES`` others is dropped, which may leave
+    further pairs alone, so it is done twice. What is left is posted, rarest first: of the signature's first
+    ``COORDINATES - MATCHES + 1`` pairs in that order, those that are not alone.
+    """
+    posted = classes.select(_key().alias("key"), "sig").mapInArrow(_post, "token bigint, key bigint")
+    for _ in range(2):
+        often = materialize(posted.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"))
+        mine = posted.join(often, "token")
+        enough = mine.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter(F.col("many") >= MATCHES)
+        posted = materialize(mine.join(enough, "key"))
+        mine, posted = posted, posted.select("token", "key")
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("rows", "token"))
+    prefix = mine.withColumn("rank", rank).filter(F.col("rank") <= F.col("many") - (MATCHES - 1))
+    return materialize(prefix.select("token", "key"))
 
-def _post(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        often = shared.value
-        for b in batches:
-            tokens = _tokens(b)
-            rank = often[(tokens % np.uint64(ORDER_BUCKETS)).astype(np.int64)]
-            order = np.lexsort((tokens, rank), axis=1)[:, :PREFIX]
-            prefix = np.take_along_axis(tokens, order, axis=1).ravel().view(np.int64)
-            rows = pa.array(np.repeat(np.arange(b.num_rows), PREFIX))
-            kept = [b.column(c).take(rows) for c in ("node", "low", "n")]
-            yield pa.RecordBatch.from_arrays([pa.array(prefix), *kept], names=["token", "node", "low", "n"])
 
-    return run
+def _key() -> Column:
+    """Short name of a class, for counting. Should two classes share one, they only become candidates together."""
+    return F.conv(F.hex(F.substring("node", 1, 7)), 16, 10).cast("bigint")
 
 
 def _close(a: Column, b: Column, percent: int) -> Column:
@@ -152,28 +181,40 @@ def _close(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-class _Confirm:
-    """Candidate pairs of classes to links: collisions first, then the whole sets."""
+def _collide(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Of distinct pairs (a, b) of classes, those that sizes, shared shingles and collisions allow to be links."""
+    for x in ("a", "b"):
+        of = classes.select(F.col("node").alias(x), *[F.col(k).alias(f"{k}_{x}") for k in ("n", "shared", "sig")])
+        pairs = pairs.join(of, x)
+    n, shared = F.col("n_a") + F.col("n_b"), F.least("shared_a", "shared_b")
+    same = F.aggregate(F.zip_with("sig_a", "sig_b", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
+    close = _close(F.col("n_a"), F.col("n_b"), percent) & _enough(shared, n, percent)
+    return materialize(pairs.filter(close & (same >= MATCHES)).select("a", "b"))
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose whole sets are as similar as asked."""
+    whole = sets.select("node", "shingles")
+    two = pairs.join(whole.toDF("a", "set_a"), "a").join(whole.toDF("b", "set_b"), "b")
+    both = F.size(F.array_intersect("set_a", "set_b"))
+    return two.filter(_enough(both, F.size("set_a") + F.size("set_b"), percent)).select("a", "b")
+
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, percent: int):
-        self.docs, self.classes, self.percent = docs, classes, percent
+def _enough(both: Column, n: Column, percent: int) -> Column:
+    """Whether two sets of n elements together that share ``both`` are as similar as asked."""
+    return both * 100 >= (n - both) * percent
 
-    def __call__(self, pairs: DataFrame) -> DataFrame:
-        """``pairs`` (a, b), distinct; ``b`` may be a hub of very many."""
-        c = self.classes
-        for x in ("a", "b"):
-            pairs = pairs.join(c.select(F.col("node").alias(x), *[F.col(k).alias(f"{k}_{x}") for k in ("n", "sig", "low")]), x)
-        same = F.aggregate(F.zip_with("sig_a", "sig_b", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
-        close = pairs.filter(_close(F.col("n_a"), F.col("n_b"), self.percent) & (same >= MATCHES))
-        close = materialize(close.select("a", "b", "n_a", "n_b", "low_a", "low_b"))
-        ids = close.select(F.col("low_a").alias("id")).union(close.select("low_b")).distinct()
-        texts = self.docs.join(ids, "id", "left_semi").select("id", "text")
-        sets = texts.mapInArrow(_sets, "node binary, shingles array<bigint>")
-        sets = materialize(sets.join(close.select(F.col("a").alias("node")).union(close.select("b")).distinct(), "node", "left_semi").dropDuplicates(["node"]))
-        one = close.select("a", "b", "n_a", "n_b").join(sets.toDF("a", "set_a"), "a")
-        two = one.join(sets.toDF("b", "set_b"), "b")
-        both = F.size(F.array_intersect("set_a", "set_b"))
-        return two.filter(both * 100 >= (F.col("n_a") + F.col("n_b") - both) * self.percent).select("a", "b")
+
+def _shared(sets: DataFrame) -> DataFrame:
+    """Per class (``node``, with its ``bits``): how many of its shingles another class of ``sets`` has too.
+
+    No class can share more than that with any other. Counted by shingle, with a short name for the class.
+    """
+    each = sets.select(_key().alias("key"), F.explode("shingles").alias("x"))
+    alone = each.groupBy("x").agg(F.count(F.lit(1)).alias("rows"), F.min("key").alias("key")).filter("rows = 1")
+    alone = alone.groupBy("key").agg(F.count(F.lit(1)).alias("alone"))
+    found = sets.select("node", _key().alias("key"), F.size("shingles").alias("n"), "bits").join(alone, "key", "left")
+    return found.select("key", "node", "bits", (F.col("n") - F.coalesce("alone", F.lit(0))).cast("bigint").alias("shared"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -187,7 +228,6 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id: str = "doc_id", text
     """
     if percent < 85:
         raise ValueError("the signature is laid out for 85 percent or more")
-    spark = docs.sparkSession
     docs = only(docs, id, text).toDF("id", "text")
     kind = docs.schema["id"].dataType.simpleString()
     sketch = materialize(docs.mapInArrow(_sketch, f"id {kind}, n bigint, node binary, sig array<int>"))
@@ -196,37 +236,46 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id: str = "doc_id", text
     )
     named = classes.filter("low IS NOT NULL")
 
-    counts = named.mapInArrow(_bucket_counts, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    often = np.zeros(ORDER_BUCKETS, np.int64)
-    often[counts["bucket"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
-    shared = spark.sparkContext.broadcast(often)
-    postings = materialize(named.mapInArrow(_post(shared), f"token bigint, node binary, low {kind}, n bigint"))
+    posted = _candidates(named)
+    some = posted.select("key").distinct().join(named.withColumn("key", _key()), "key").select("node", "low")
+    some = materialize(some)
+    texts = docs.join(some.withColumnRenamed("low", "id").hint("merge"), "id").select("id", "text", "node")
+    sets = materialize(texts.mapInArrow(_sets, "node binary, shingles array<bigint>, bits array<bigint>"))
+    able = classes.select("node", "low", "n", "sig").join(_shared(sets), "node")
+    able = materialize(able.filter(F.col("shared") * 100 >= F.col("n") * percent))
+    postings = materialize(posted.join(able.select("key", "node", "low", "n", "shared"), "key").drop("key"))
     lists = postings.groupBy("token").agg(F.count("*").alias("rows"), F.min(F.struct("low", "node")).alias("pivot"))
     lists = materialize(lists.filter("rows > 1").select("token", F.col("pivot.node").alias("pivot")))
     postings = materialize(postings.join(lists, "token"))
 
-    confirm = _Confirm(docs, classes, percent)
     stars = materialize(postings.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
-    links = materialize(confirm(stars))
+    links = materialize(_confirm(_collide(stars, able, percent), sets, percent))
 
     first = components(links)
     rows = materialize(
-        postings.join(first, "node", "left").select("token", "node", "n", F.coalesce("comp", "node").alias("comp"))
+        postings.join(first, "node", "left").select("token", "node", "n", "shared", F.coalesce("comp", "node").alias("comp"))
     )
     sizes = rows.groupBy("token", "comp").agg(F.count("*").alias("rows"))
     several = sizes.groupBy("token").agg(F.count("*").alias("comps"), F.max(F.struct("rows", "comp")).alias("most"))
     several = materialize(several.filter("comps > 1").select("token", F.col("most.comp").alias("giant")))
     rows = materialize(rows.join(several, "token"))
+    lists = rows.groupBy("node").agg(F.collect_set("token").alias("tokens"))  # as many as were posted, at most
+    rows = materialize(rows.join(lists, "node").join(able.select("node", "bits"), "node"))
+    apart = sum(F.bit_count(F.col("r.bits")[i].bitwiseXOR(F.col("p.bits")[i])) for i in range(BITS // 64))
     r = rows.filter("comp <> giant").alias("r")
     across = r.join(
         rows.alias("p"),
         (F.col("r.token") == F.col("p.token"))
         & ((F.col("p.comp") == F.col("p.giant")) | (F.col("r.comp") < F.col("p.comp")))
-        & _close(F.col("r.n"), F.col("p.n"), percent),
+        & _close(F.col("r.n"), F.col("p.n"), percent)
+        & _enough(F.least("r.shared", "p.shared"), F.col("r.n") + F.col("p.n"), percent)
+        & (apart <= FAR)
+        & (F.array_min(F.array_intersect("r.tokens", "p.tokens")) == F.col("r.token")),  # each pair on one list only
     )
     across = across.select(F.col("r.node").alias("a"), F.col("p.node").alias("b")).distinct()
     tried = stars.union(stars.select("b", "a"))
-    more = materialize(confirm(materialize(across.join(tried, ["a", "b"], "left_anti"))))
+    across = materialize(across.join(tried, ["a", "b"], "left_anti"))
+    more = materialize(_confirm(across, sets, percent))
 
     final = components(links.unionByName(more))
     lowest = classes.join(final, "node").groupBy("comp").agg(F.min("low").alias("component"))
