@@ -1,9 +1,9 @@
 """Near-duplicates: an inverted join over MinHash signature coordinates, every link confirmed on whole shingle sets.
 
 1. Documents of equal shingle set form a class. A class has a signature of ``COORDINATES`` minima.
-2. Two sets of Jaccard 0.85 agree in at least ``MATCHES`` of 32 coordinates, but for a chance below 1e-6. Of two
-   signatures that do, any ``COORDINATES - MATCHES + 1`` coordinates of the one, taken rarest value first, hold one that
-   they share: a class is posted under these coordinate-value pairs only (prefix). Frequent values stand last, so that
+2. Two sets of just the Jaccard asked for agree in at least ``matches`` of 32 coordinates, but for a chance below
+   ``MISSED``: 16 at 0.85, fewer at a lower one. Of two signatures that do, any ``COORDINATES - matches + 1`` coordinates
+   of the one, taken rarest value first, hold one that they share: a class is posted under these coordinate-value pairs only (prefix). Frequent values stand last, so that
    their long lists are not merged at all (skip), and a class whose pairs are its own for the most part isn't posted; collisions over the whole signature are counted per candidate pair.
 3. Of the classes left on some list, the shingles that no other of them has are counted: none of these can be in
    common. Classes that have too many cannot be linked at all, and pairs are held against the rest of their sets. A
@@ -16,6 +16,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -32,11 +33,10 @@ from barflow.session import materialize
 
 #: Words in a shingle.
 WORDS = 5
-#: Coordinates of a signature, and how many two of them must share.
-COORDINATES, MATCHES = 32, 16
-#: One-bit coordinates of the finer sketch that candidates get, and how many of them may differ between linked sets: at
-#: Jaccard 0.85 they differ in 307 of 4,096 on average, in more than 393 with a chance below 1e-6.
-BITS, FAR = 4096, 393
+#: Coordinates of a signature, and one-bit coordinates of the finer sketch that candidates get.
+COORDINATES, BITS = 32, 4096
+#: Chances that signature and finer sketch miss a pair of just the similarity asked for; and the lowest one, in a hundred.
+MISSED, MISSED_BITS, LEAST = 1e-6, 5e-7, 80
 #: Distinct words whose hashes a task remembers.
 REMEMBERED = 500_000
 #: Shingles hashed in one vectorised step.
@@ -47,6 +47,25 @@ _BIT_MULTIPLIERS = np.random.default_rng(20240502).integers(1, 1 << 63, BITS, dt
 _ROLL = np.uint64(0x9E3779B97F4A7C15)
 
 
+def bounds(percent: int) -> tuple[int, int]:
+    """How many coordinates linked sets must share, and in how many one-bit coordinates they may differ.
+
+    Coordinates are equal with the chance of the similarity, bits differ with half of the rest: at 85 percent in 307 of
+    4,096 on average.
+    """
+    alike = min(percent, 100) / 100
+    matches, below = 0, (1 - alike) ** COORDINATES
+    while matches < COORDINATES and below < MISSED:
+        matches += 1
+        below += math.comb(COORDINATES, matches) * alike**matches * (1 - alike) ** (COORDINATES - matches)
+    differ = (1 - alike) / 2
+    upto = np.array([math.lgamma(BITS + 1) - math.lgamma(k + 1) - math.lgamma(BITS - k + 1) for k in range(BITS + 1)])
+    k = np.arange(BITS + 1)
+    chance = np.exp(upto + k * math.log(differ) + (BITS - k) * math.log1p(-differ)) if differ else (k == 0).astype(float)
+    above = np.append(np.cumsum(chance[::-1])[::-1][1:], 0.0)
+    return matches, int(np.argmax(above < MISSED_BITS))
+
+
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) > REMEMBERED:
@@ -152,22 +171,22 @@ def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([tokens, b.column("key").take(pa.array(rows))], names=["token", "key"])
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
+def _candidates(classes: DataFrame, matches: int) -> DataFrame:
     """Posted coordinate-value pairs (``key``, ``token``) of the classes that may share enough of them with another.
 
-    A pair that one class alone has cannot match. A class with fewer than ``MATCHES`` others is dropped, which may leave
+    A pair that one class alone has cannot match. A class with fewer than ``matches`` others is dropped, which may leave
     further pairs alone, so it is done twice. What is left is posted, rarest first: of the signature's first
-    ``COORDINATES - MATCHES + 1`` pairs in that order, those that are not alone.
+    ``COORDINATES - matches + 1`` pairs in that order, those that are not alone.
     """
     posted = classes.select(_key().alias("key"), "sig").mapInArrow(_post, "token bigint, key bigint")
     for _ in range(2):
         often = materialize(posted.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"))
         mine = posted.join(often, "token")
-        enough = mine.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter(F.col("many") >= MATCHES)
+        enough = mine.groupBy("key").agg(F.count(F.lit(1)).alias("many")).filter(F.col("many") >= matches)
         posted = materialize(mine.join(enough, "key"))
         mine, posted = posted, posted.select("token", "key")
     rank = F.row_number().over(Window.partitionBy("key").orderBy("rows", "token"))
-    prefix = mine.withColumn("rank", rank).filter(F.col("rank") <= F.col("many") - (MATCHES - 1))
+    prefix = mine.withColumn("rank", rank).filter(F.col("rank") <= F.col("many") - (matches - 1))
     return materialize(prefix.select("token", "key"))
 
 
@@ -181,7 +200,7 @@ def _close(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _collide(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _collide(pairs: DataFrame, classes: DataFrame, percent: int, matches: int) -> DataFrame:
     """Of distinct pairs (a, b) of classes, those that sizes, shared shingles and collisions allow to be links."""
     for x in ("a", "b"):
         of = classes.select(F.col("node").alias(x), *[F.col(k).alias(f"{k}_{x}") for k in ("n", "shared", "sig")])
@@ -189,7 +208,7 @@ def _collide(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     n, shared = F.col("n_a") + F.col("n_b"), F.least("shared_a", "shared_b")
     same = F.aggregate(F.zip_with("sig_a", "sig_b", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
     close = _close(F.col("n_a"), F.col("n_b"), percent) & _enough(shared, n, percent)
-    return materialize(pairs.filter(close & (same >= MATCHES)).select("a", "b"))
+    return materialize(pairs.filter(close & (same >= matches)).select("a", "b"))
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -220,14 +239,15 @@ def _shared(sets: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, percent: int = 85, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: its id, ``n_shingles``, ``component_id`` and ``kept``, under the name of the id column.
 
-    Linked are documents whose sets of distinct shingles, intersection over union, reach ``percent`` in a hundred (85 or
+    Linked are documents whose sets of distinct shingles, intersection over union, reach ``percent`` in a hundred (80 or
     more). A text shorter than a shingle is one shingle; one without words, or null, has none and is linked with nothing.
     ``component_id`` is the smallest id reachable over links; ``kept`` tells that it is the row's own. Rows of equal text
     are one class, whatever their number. A null id cannot name a component: such a row gets the component of the rows that
     have its very set, or null, and is not kept. Repeated ids get a row each. No rows give no rows.
     """
-    if percent < 85:
-        raise ValueError("the signature is laid out for 85 percent or more")
+    if percent < LEAST:
+        raise ValueError(f"the signature is laid out for {LEAST} percent or more")
+    matches, far = bounds(percent)
     docs = only(docs, id, text).toDF("id", "text")
     kind = docs.schema["id"].dataType.simpleString()
     sketch = materialize(docs.mapInArrow(_sketch, f"id {kind}, n bigint, node binary, sig array<int>"))
@@ -236,7 +256,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id: str = "doc_id", text
     )
     named = classes.filter("low IS NOT NULL")
 
-    posted = _candidates(named)
+    posted = _candidates(named, matches)
     some = posted.select("key").distinct().join(named.withColumn("key", _key()), "key").select("node", "low")
     some = materialize(some)
     texts = docs.join(some.withColumnRenamed("low", "id").hint("merge"), "id").select("id", "text", "node")
@@ -249,7 +269,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id: str = "doc_id", text
     postings = materialize(postings.join(lists, "token"))
 
     stars = materialize(postings.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
-    links = materialize(_confirm(_collide(stars, able, percent), sets, percent))
+    links = materialize(_confirm(_collide(stars, able, percent, matches), sets, percent))
 
     first = components(links)
     rows = materialize(
@@ -269,7 +289,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id: str = "doc_id", text
         & ((F.col("p.comp") == F.col("p.giant")) | (F.col("r.comp") < F.col("p.comp")))
         & _close(F.col("r.n"), F.col("p.n"), percent)
         & _enough(F.least("r.shared", "p.shared"), F.col("r.n") + F.col("p.n"), percent)
-        & (apart <= FAR)
+        & (apart <= far)
         & (F.array_min(F.array_intersect("r.tokens", "p.tokens")) == F.col("r.token")),  # each pair on one list only
     )
     across = across.select(F.col("r.node").alias("a"), F.col("p.node").alias("b")).distinct()

@@ -48,8 +48,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_same_columns
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by near-equal shingle sets, the one with the smallest id. Rows without an id stay."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
+    """Of documents linked by shingle sets of similarity 0.8 or more, the one with the smallest id. Rows without an id stay."""
+    kept = near_duplicates(docs, percent=80).filter("kept").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL"))
 
 

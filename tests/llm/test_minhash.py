@@ -1,10 +1,12 @@
 import random
 import re
+from math import comb
 
 import pytest
 
+import corpus_pipeline
 from barflow.llm.components import components
-from barflow.llm.minhash import near_duplicates
+from barflow.llm.minhash import bounds, near_duplicates
 
 
 def _shingles(text):
@@ -101,3 +103,29 @@ def test_components(spark):
 def test_lower_thresholds_are_refused(docs_of):
     with pytest.raises(ValueError):
         near_duplicates(docs_of([]), percent=50)
+
+
+def test_pairs_from_80_to_85_percent(spark, docs_of):
+    """Pairs of 200 shingles each that share 178 to 183 of them, 0.802 to 0.843 alike, and 177, which is 0.794."""
+    rows, expected = [], []
+    for k in range(60):
+        own = 177 + k % 7
+        base = [f"p{k}x{i}" for i in range(204)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join([*base[: own + 4], *[f"q{k}x{i}" for i in range(200 - own)]]))]
+        linked = 100 * own >= 80 * (400 - own)
+        assert linked == (own > 177) and 100 * own < 85 * (400 - own)
+        expected += [(2 * k, 200, 2 * k, True), (2 * k + 1, 200, 2 * k + (not linked), not linked)]
+    assert sorted(map(tuple, near_duplicates(docs_of(rows), percent=80).collect())) == expected
+    assert all(r["kept"] for r in near_duplicates(docs_of(rows)).collect())
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    assert sorted(r["doc_id"] for r in stage(spark, docs_of(rows), "").collect()) == [r[0] for r in expected if r[3]]
+
+
+def test_bounds_miss_one_pair_in_a_million():
+    assert bounds(85) == (16, 393)
+    for percent in (80, 85, 90):
+        matches, far = bounds(percent)
+        p, q = percent / 100, (100 - percent) / 200
+        below = [sum(comb(32, i) * p**i * (1 - p) ** (32 - i) for i in range(m)) for m in (matches, matches + 1)]
+        assert below[0] < 1e-6 <= below[1]
+        assert 4096 * q + 4.5 * (4096 * q * (1 - q)) ** 0.5 < far < 4096 * q + 5.2 * (4096 * q * (1 - q)) ** 0.5
