@@ -37,7 +37,8 @@ _PERSONAL = re.compile(
     |(?P<day>(?<![\w/.-])[0-9]{2}(?P<mark>[/.])[0-9]{2}(?P=mark)[0-9]{4}(?![\w/-]|\.[0-9]))
     |(?P<ssn>(?<![\w.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]|\.[0-9]))
     |(?P<ip>(?<![\w.-])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w-]|\.[0-9]))
-    |(?P<phone>(?<![\w.+-])(?:\+1[ .-]?\(?[2-9][0-9]{2}\)?|\([2-9][0-9]{2}\)|[2-9][0-9]{2}(?=[.-]))[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}(?!\w|[.-][0-9]))
+    |(?P<phone>(?<![\w.+-])(?:(?:(?:\+1[ .-]?|1-)\(?[0-9]{3}\)?|\([0-9]{3}\))[ .-]?[0-9]{3}[ .-]?
+        |(?:1[ .])?[2-9][0-9]{2}(?:[.-][2-9][0-9]{2}[ .-]?|[ ][2-9][0-9]{2}[ .-]))[0-9]{4}(?!\w|[.-][0-9]))
     |(?P<abroad>(?<![\w.+-])\+[2-9][0-9](?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?!\w|[.-][0-9]))
     |(?P<card>(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?!\w|[.-][0-9]))""",
     re.X,
@@ -191,10 +192,15 @@ class Pseudonyms:
                 return ".".join(str(p) for p in x.to_bytes(4, "big"))
 
     def phone(self, text: str) -> str | None:
-        """North American number: area and exchange from 200 up."""
+        """North American number. Those with area and exchange from 200 up stay such, in every way of writing; so do the others."""
         digits = re.sub(r"[^0-9]", "", text)
         country, own = digits[:-10], digits[-10:]
         area, exchange, line = int(own[:3]) - 200, int(own[3:6]) - 200, int(own[6:])
+        if min(area, exchange) < 0:
+            while True:
+                own = self._digits("phone/any", own)
+                if min(own[0], own[3]) < "2":
+                    return _fill(text, country + own)
         x = self._move("phone", (area * 800 + exchange) * 10_000 + line, 800 * 800 * 10_000)
         x, line = divmod(x, 10_000)
         area, exchange = divmod(x, 800)

@@ -77,3 +77,29 @@ def test_query(spark, small):
         if not r["spans"]:
             assert r["text"] == docs[r["doc_id"]]
         assert not re.findall(r"\w+\.[0-9]+@mail[0-9]\.example\.com", docs[r["doc_id"]]) or r["text"] != docs[r["doc_id"]]
+
+
+@pytest.mark.parametrize(
+    "number",
+    ["+1 (017) 555-7713", "+1 (100) 055-0000", "(017) 555-7713", "+1-017-555-7713", "+10175557713", "1-212-555-0100", "212 555 0100",
+     "1 212 555 0100", "1-017-555-7713", "212 555-0100", "+1 212 555 0100"],
+)
+def test_phone_numbers_in_every_form(number):
+    new, spans = Pseudonyms(b"k").text(f"call {number}, or {number}.")
+    assert [k for k, _, _ in spans] == ["phone", "phone"] and number not in new
+    assert re.sub("[0-9]", "0", new) == re.sub("[0-9]", "0", f"call {number}, or {number}.")
+    assert Pseudonyms(b"k", back=True).text(new)[0] == f"call {number}, or {number}."
+
+
+def test_a_phone_number_is_one_value_however_written():
+    found = {Pseudonyms(b"k").text(t)[0][-8:] for t in ("+1 (212) 555-0100", "212-555-0100", "1-212-555-0100")}
+    assert len(found) == 1
+    assert Pseudonyms(b"k").text("(017) 555-7713")[0] in Pseudonyms(b"k").text("+1 (017) 555-7713")[0]
+
+
+def test_no_phone_number_of_the_documents_stays(spark, small):
+    wide = re.compile(r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}")
+    texts = [r["text"] or "" for r in spark.read.parquet(small.replace("sf0.001", "sf0.1") + "/documents.parquet").select("text").collect()]
+    numbers = [(t, n) for t in texts for n in wide.findall(t)]
+    assert any(n[4] in "01" for _, n in numbers)
+    assert not [n for t, n in numbers if n in Pseudonyms(b"k").text(t)[0]]
