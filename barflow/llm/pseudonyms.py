@@ -33,7 +33,7 @@ IBAN_LENGTHS = {
 _PERSONAL = re.compile(
     r"""(?P<email>(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}(?![\w-]))
     |(?P<iban>(?<!\w)[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?!\w))
-    |(?P<iso>(?<![\w/.-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![\w/-]|\.[0-9]))
+    |(?P<iso>(?<![\w/.-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?!(?!T[0-9]{2})[\w/-]|\.[0-9]))
     |(?P<day>(?<![\w/.-])[0-9]{2}(?P<mark>[/.])[0-9]{2}(?P=mark)[0-9]{4}(?![\w/-]|\.[0-9]))
     |(?P<ssn>(?<![\w.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-]|\.[0-9]))
     |(?P<ip>(?<![\w.-])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w-]|\.[0-9]))
@@ -220,25 +220,56 @@ class Pseudonyms:
         shape = re.sub(r"[A-Za-z0-9]", "x", name)
         return f"{_fill(name, self._letters(f'email/{domain.lower()}/{shape}', plain))}@{domain}"
 
+    @staticmethod
+    def _readings(kind: str, found: str) -> Iterator[str]:
+        """What a match may stand for, longest first: a card may end at any of its groups, an account at its country's length."""
+        if kind == "iban":
+            ends = [k + 1 for k, c in enumerate(found) if c != " "]
+            length = IBAN_LENGTHS.get(found[:2], len(ends) + 1)
+            if length <= len(ends) and found[ends[length - 1] :][:1] in ("", " "):
+                yield found[: ends[length - 1]]
+            return
+        yield found
+        if kind == "card":
+            for k in range(len(found) - 1, CARD_LENGTHS[0] - 1, -1):
+                if found[k] in " -":
+                    yield found[:k]
+
+    @staticmethod
+    def _behind(kind: str, found: str) -> int:
+        """Where to go on in a match that no reading confirms: a card's next group, behind what an account would take up."""
+        if kind == "card":
+            return 1
+        if kind == "iban":
+            ends = [k + 1 for k, c in enumerate(found) if c != " "]
+            length = IBAN_LENGTHS.get(found[:2], len(ends) + 1)
+            return ends[length - 1] if length <= len(ends) else 4
+        return len(found)
+
+    def _replaced(self, kind: str, value: str) -> str | None:
+        key = kind, value
+        if key not in self.memory:
+            if len(self.memory) > 100_000:
+                self.memory.clear()
+            self.memory[key] = getattr(self, kind)(value)
+        return self.memory[key]
+
     def text(self, text: str) -> tuple[str, list[tuple[str, int, int]]]:
         """The text with pseudonyms, and (kind, start, length) of each in the new text, counted in code points."""
         if not _SOME.search(text):
             return text, []
-        out, spans, at, grown = [], [], 0, 0
-        for m in _PERSONAL.finditer(text):
+        out, spans, at, grown, next_at = [], [], 0, 0, 0
+        while m := _PERSONAL.search(text, next_at):
             kind = m.lastgroup if m.lastgroup != "mark" else "day"
-            key = kind, m[0]
-            if key not in self.memory:
-                if len(self.memory) > 100_000:
-                    self.memory.clear()
-                self.memory[key] = getattr(self, kind)(m[0])
-            new = self.memory[key]
+            made = ((v, new) for v in self._readings(kind, m[0]) if (new := self._replaced(kind, v)) is not None)
+            value, new = next(made, ("", None))
             if new is None:
+                next_at = m.start() + self._behind(kind, m[0])
                 continue
             out += [text[at : m.start()], new]
             spans.append((kind, m.start() + grown, len(new)))
-            grown += len(new) - (m.end() - m.start())
-            at = m.end()
+            grown += len(new) - len(value)
+            at = next_at = m.start() + len(value)
         return "".join([*out, text[at:]]), spans
 
 

@@ -103,3 +103,22 @@ def test_no_phone_number_of_the_documents_stays(spark, small):
     numbers = [(t, n) for t in texts for n in wide.findall(t)]
     assert any(n[4] in "01" for _, n in numbers)
     assert not [n for t, n in numbers if n in Pseudonyms(b"k").text(t)[0]]
+
+
+@pytest.mark.parametrize(
+    "text, value, kind",
+    [("4111 1111 1111 1111 12/27", "4111 1111 1111 1111", "card"), ("4111111111111111 123", "4111111111111111", "card"),
+     ("4111-1111-1111-1111 12/27 123", "4111-1111-1111-1111", "card"), ("no 7 4111 1111 1111 1111", "4111 1111 1111 1111", "card"),
+     ("AB12 4111 1111 1111 1111", "4111 1111 1111 1111", "card"), ("BE68 5390 0754 7034 BANK", "BE68 5390 0754 7034", "iban"),
+     ("BE68539007547034 PAID IN", "BE68539007547034", "iban"), ("2023-02-28T10:15:00Z", "2023-02-28", "iso")],
+)
+def test_values_with_more_behind_or_before_them(text, value, kind):
+    new, spans = Pseudonyms(b"k").text(text)
+    before, after = text.split(value)
+    assert [(k, s, n) for k, s, n in spans] == [(kind, len(before), len(value))]
+    assert value not in new and new.startswith(before) and new.endswith(after) and len(new) == len(text)
+
+
+@pytest.mark.parametrize("text", ["4111 1111 1111 1112 12/27", "BE68 5390 0754 7035 BANK", "2023-02-30T10:15:00Z", "2023-02-28Tx", "2023-02-28abc"])
+def test_unconfirmed_with_more_behind_stays(text):
+    assert Pseudonyms(b"k").text(text) == (text, [])
