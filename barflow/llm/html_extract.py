@@ -39,6 +39,8 @@ NAMES = set(
 )
 #: Names that say so only outside the article.
 OUTER_NAMES = set("header head top bottom".split())
+#: First parts of a class or id that only say whose part it is ("site-footer"); others may speak of the page ("has-sidebar").
+OWNERS = set("site page main global post entry article".split())
 
 _MARKUP = re.compile(
     r"""<!--(?:.*?-->|.*)|<!\[CDATA\[(?P<data>.*?)\]\]>|<[!?][^>]*(?:>|$)
@@ -46,10 +48,14 @@ _MARKUP = re.compile(
     |<(?P<end2>/)?(?P<name2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*+)(?:>|$)""",
     re.S | re.X,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=[\s/]|$)""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s"'>]++))?""")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+#: What an element's marks are worth: none, one that an article in it outweighs, one that nothing does.
+_PLAIN, _SOFT, _HARD = 0, 1, 2
+
+
 @dataclass
 class Block:
     """A run of text between block-level marks."""
@@ -66,27 +72,107 @@ class Block:
         return self.linked / self.words
 
 
-def _named(attrs: str, inside: bool) -> bool:
-    """Whether an element's attributes call it a part other than the article."""
-    found = {}
+@dataclass
+class _Element:
+    """An open element that may hold text, the place of the one it stands in, and what is known of it."""
+
+    name: str
+    parent: int
+    mark: int
+    content: bool
+    within: bool
+    form: bool
+
+
+def _attributes(attrs: str) -> dict[str, str]:
+    found: dict[str, str] = {}
     for m in _ATTRIBUTE.finditer(attrs):
         found.setdefault(m[1].lower(), unescape((m[2] or "").strip("\"'")))
-    if found.get("role", "").lower() in ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true":
-        return True
+    return found
+
+
+def _named(found: dict[str, str], inside: bool) -> int:
+    """Whether an element's attributes call it a part other than the article: a mark."""
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
+        return _HARD
     if re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
-        return True
-    for word in _PART.findall(f"{found.get('class', '')} {found.get('id', '')}"):
-        word = word.lower()
-        if word in NAMES or word.startswith("comment") or (not inside and word in OUTER_NAMES):
-            return True
-    return False
+        return _HARD
+    mark = _SOFT if found.get("role", "").lower() in ROLES else _PLAIN
+    for token in f"{found.get('class', '')} {found.get('id', '')}".split():
+        parts = [p.lower() for p in _PART.findall(token)]
+        if len(parts) == 2 and parts[0] in OWNERS:
+            parts = parts[1:]
+        if not parts:
+            continue
+        if parts[0].startswith("comment"):
+            return _HARD
+        if parts[0] in NAMES or (not inside and parts[0] in OUTER_NAMES):
+            mark = _SOFT
+    return mark
+
+
+def _settle(elements: list[_Element], homes: list[int], found: list[Block]) -> None:
+    """Tell the blocks whether they stand in marked elements and in the article, once the whole page is known.
+
+    A form that wraps half of the page's unmarked words or more is not marked as a form. Where all articles stand in
+    marked elements, or are marked themselves, and the least marked of them hold as many words as all unmarked blocks, their
+    marks are void, other than those of hidden elements and comments.
+    """
+    total = [0] * (len(elements) + 1)  # words under an element that no mark but a form's covers; the last is the page
+
+    def marks(void: set[int], forms: bool = True) -> list[int]:
+        out: list[int] = []
+        for k, e in enumerate(elements):
+            own = e.mark != _PLAIN or (forms and e.form)
+            out.append((out[e.parent] if e.parent >= 0 else 0) + (own and k not in void))
+        return out
+
+    void: set[int] = set()
+    if any(e.form for e in elements):
+        bare = marks(void, forms=False)
+        for b, home in zip(found, homes, strict=True):
+            if home < 0 or not bare[home]:
+                total[home] += b.words  # home -1: the page
+        for k in range(len(elements) - 1, -1, -1):
+            total[elements[k].parent] += total[k]
+        void = {k for k, e in enumerate(elements) if e.form and e.mark == _PLAIN and 2 * total[k] >= total[-1] > 0}
+
+    deep = marks(void)
+    holds = [-1] * len(elements)  # the least marked article, or none, that an element stands in
+    for k, e in enumerate(elements):
+        up = holds[e.parent] if e.parent >= 0 else -1
+        holds[k] = up if up >= 0 or not e.content else k
+    open_words = sum(b.words for b, home in zip(found, homes, strict=True) if home < 0 or not deep[home])
+    words: dict[int, int] = {}
+    for b, home in zip(found, homes, strict=True):
+        if home >= 0 and holds[home] >= 0:
+            words[holds[home]] = words.get(holds[home], 0) + b.words
+    if words and all(deep[k] for k in words):
+        least = min(deep[k] for k in words)
+        nearest = [k for k in words if deep[k] == least]
+        above = set()
+        for k in nearest:
+            while k >= 0 and k not in above:
+                above.add(k)
+                k = elements[k].parent
+        if sum(words[k] for k in nearest) >= open_words and all(elements[k].mark != _HARD for k in above):
+            void |= above
+            deep = marks(void)
+
+    inside: list[bool] = []
+    for k, e in enumerate(elements):
+        inside.append((e.parent >= 0 and inside[e.parent]) or (e.content and not deep[k]))
+    for b, home in zip(found, homes, strict=True):
+        b.marked, b.inside = home >= 0 and deep[home] > 0, home >= 0 and inside[home]
 
 
 def blocks(html: str | None) -> list[Block]:
     """Flat text blocks of a page in order. Character references are decoded once; hidden elements have no text."""
     html = html or ""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, boilerplate, content; each with what it stands in
+    elements: list[_Element] = []
+    stack: list[int] = []  # places of open elements
+    homes: list[int] = []  # of each block
     text: list[str] = []
     linked: list[str] = []
     links, heading, at = 0, 0, 0
@@ -94,10 +180,10 @@ def blocks(html: str | None) -> list[Block]:
     def end_block():
         whole = " ".join(unescape("".join(text)).split())
         if whole:
-            _, marked, inside = stack[-1] if stack else ("", False, False)
             anchors = len(unescape(" ".join(linked)).split())
             words = len(whole.split(" "))
-            out.append(Block(whole, words, min(anchors, words), marked, inside, heading > 0))
+            out.append(Block(whole, words, min(anchors, words), False, False, heading > 0))
+            homes.append(stack[-1] if stack else -1)
         text.clear()
         linked.clear()
 
@@ -138,25 +224,30 @@ def blocks(html: str | None) -> list[Block]:
             continue
         if closing:
             for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    if name in INLINE and stack[k][1] != (stack[k - 1][1] if k else False):
+                if elements[stack[k]].name == name:
+                    if name in INLINE:
                         end_block()
                     del stack[k:]
                     break
             continue
-        if name not in INLINE and stack and stack[-1][0] in CLOSED_BY_BLOCK:
+        if name not in INLINE and stack and elements[stack[-1]].name in CLOSED_BY_BLOCK:
             stack.pop()
-        _, marked, inside = stack[-1] if stack else ("", False, False)
-        named = name not in ("html", "body", "main") and bool(attrs) and _named(attrs, inside)
-        boilerplate = named or name in BOILERPLATE or (name == "header" and not inside)
+        parent = stack[-1] if stack else -1
+        within = parent >= 0 and elements[parent].within
+        has = _attributes(attrs) if attrs and name not in ("html", "body") else {}
+        named = _named(has, within) if has and name != "main" else _PLAIN
         if name in INLINE:
             if not named:
                 continue
             end_block()
-        content = name in CONTENT or (name != "a" and bool(re.search(r"""role\s*=\s*["']?(main|article)\b""", attrs)))
-        marked = marked or boilerplate
-        stack.append((name, marked, inside or (content and not marked)))
+        form = name == "form"
+        if not named and not form and (name in BOILERPLATE or (name == "header" and not within)):
+            named = _SOFT
+        content = name in CONTENT or (name != "a" and has.get("role", "").lower() in CONTENT)
+        stack.append(len(elements))
+        elements.append(_Element(name, parent, named, content, within or content, form))
     end_block()
+    _settle(elements, homes, out)
     return out
 
 

@@ -73,3 +73,32 @@ def test_query_against_the_pages_own_articles(spark, small):
         lines = re.split(r"\n", re.sub(r"</?b>", "", re.sub(r"<br>|</?p>|</?h1>", "\n", inner)))
         assert r["text"] == "\n".join(x for x in (" ".join(unescape(t).split()) for t in lines) if x)
         assert r["n_chars"] == len(r["text"])
+
+
+@pytest.mark.parametrize(
+    "page",
+    ['<article class="post category-social">{}</article>', '<div class="layout-with-sidebar"><article>{}</article></div>',
+     "<form action=/x><div><article>{}</article></div></form>", '<article data-hidden="false">{}</article>', '<article title="not hidden here">{}</article>',
+     '<div class="sidebar-left"><main>{}</main></div>', '<article class="social">{}</article>'],
+)
+def test_names_that_do_not_make_the_article_boilerplate(page):
+    paragraphs = "".join(f"<p>{LONG}</p>" for _ in range(3))
+    assert main_text(f"<html><body>{page.format(paragraphs)}</body></html>", TREE) == "\n".join([LONG.strip()] * 3)
+
+
+@pytest.mark.parametrize(
+    "part",
+    ['<div class="site-footer">{}</div>', '<div class="share-bar">{}</div>', '<form class="x">{}</form>', "<aside><article>{}</article></aside>",
+     '<section id="comments"><article>{}</article></section>', '<div hidden><article>{}</article></div>', '<article class="comment">{}</article>'],
+)
+def test_parts_that_stay_boilerplate(part):
+    paragraphs = "".join(f"<p>{LONG}</p>" for _ in range(3))
+    for main in (f"<article>{paragraphs}</article>", f"<div>{paragraphs}</div>"):
+        assert main_text(f"<html><body>{main}{part.format(f'<p>{LONG}</p>')}</body></html>", TREE) == "\n".join([LONG.strip()] * 3)
+
+
+@pytest.mark.parametrize("page", ['<form id="aspnetForm"><div>{}</div></form>', '<div data-grid="top">{}</div>'])
+def test_pages_without_article_are_left_to_the_tree(page):
+    paragraphs = "".join(f"<p>{LONG * n}</p>" for n in (3, 2, 4))
+    text = main_text(f"<body>{page.format(paragraphs)}</body>", TREE)
+    assert text and text == main_text(f"<body><div>{paragraphs}</div></body>", TREE)
