@@ -251,7 +251,8 @@ class _Words(dict):
     """Ids by word, each word encoded once by the tokenizers library, with the blank before it.
 
     A byte-level pre-tokenizer cuts before a blank unless white space stands in front of it; a text where that occurs
-    is encoded as a whole, and so is what comes before the first blank of a text.
+    is encoded as a whole, and so are one that holds the literal of an added token, such as the end of a text, and what
+    comes before the first blank of a text.
     """
 
     def __init__(self, tokenizer: str):
@@ -262,7 +263,7 @@ class _Words(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.tokenizer.encode_special_tokens = True
+        self.literals = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.closing: set[str] = set()
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
@@ -290,7 +291,10 @@ class _Words(dict):
         self.closing.update(closing)
         self.update(dict.fromkeys(closing, b""))
         self._learn(list(new.difference(closing)))
-        whole = [bool(c[0][-1:].isspace()) or not self.closing.isdisjoint(c[1:]) for c in cut]
+        whole = [
+            bool(c[0][-1:].isspace()) or not self.closing.isdisjoint(c[1:]) or any(x in t for x in self.literals)
+            for t, c in zip(texts, cut, strict=True)
+        ]
         heads = self._encode([t if w else c[0] for t, w, c in zip(texts, whole, cut, strict=True)])
         out = []
         for head, w, c in zip(heads, whole, cut, strict=True):

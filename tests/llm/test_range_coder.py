@@ -93,3 +93,25 @@ def test_query(spark, small):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
     found = LLM_QUERIES["op9_token_ids"](spark, small).select("doc_id", "start", "n_tokens", "ids_crc32")
     assert sorted(map(tuple, found.collect())) == sorted(_expected(rows))
+
+
+END = "<|endoftext|>"
+HELD = [END, f"hello {END} you", f"a{END}b", f" {END}", f"{END} ", f"a\n{END}\nb", f"a  {END}  b", f"{END}{END} x", f"x {END[:-1]} y", f"{END} ! {END}"]
+
+
+def test_literals_of_added_tokens_equal_the_untouched_library():
+    whole = Tokenizer.from_file(JSON)
+    with open(JSON, encoding="utf-8") as f:
+        words = _Words(f.read())
+    expected = [whole.encode(t, add_special_tokens=False).ids for t in HELD]
+    assert expected[1] == [31373, 220, 50256, 345]
+    assert [x.tolist() for x in words.ids(HELD)] == expected
+    plain = ["x ! y", "hello you a b"]  # after words of texts with literals are remembered
+    assert [x.tolist() for x in words.ids(plain)] == [whole.encode(t, add_special_tokens=False).ids for t in plain]
+
+
+def test_files_with_literals_of_added_tokens(spark, docs_of, tmp_path):
+    rows = list(enumerate([*HELD, "plain text behind them"]))
+    with open(JSON, encoding="utf-8") as f:
+        write_ids(docs_of(rows), f.read(), str(tmp_path / "x"))
+    assert sorted(map(tuple, read_ids(spark, str(tmp_path / "x")).collect())) == sorted(_expected(rows))
