@@ -41,3 +41,23 @@ def put(df: DataFrame, **columns: Column) -> DataFrame:
         *[column(df, c) for c in df.columns if c.lower() not in gone],
         *[c.alias(n) for n, c in columns.items()],
     )
+
+
+#: A key is hot when it holds more than one part in this many of the rows; there are fewer such keys than that.
+HOT_SHARE = 10_000
+
+
+def lookup(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """``left`` with the columns of ``right``, which has at most one row for a key, however unevenly the keys of ``left`` lie.
+
+    Keys that hold more than one part in ``HOT_SHARE`` of the left rows, fewer than ``HOT_SHARE`` of them, meet their right
+    rows by broadcast, the others by a shuffle. ``left`` is read three times, so it should be a stored table. Null keys match nothing.
+    """
+    keyed = left.filter(F.col(on).isNotNull())
+    counts = keyed.groupBy(on).agg(F.count(F.lit(1)).alias("_rows"))
+    total = keyed.agg(F.count(F.lit(1)).alias("_all"))
+    hot = counts.filter(F.col("_rows") * HOT_SHARE > total.scalar()).select(on)
+    here = F.broadcast(right.join(F.broadcast(hot), on, "left_semi"))
+    often = left.join(F.broadcast(hot), on, "left_semi").join(here, on, how)
+    rest = left.join(F.broadcast(hot), on, "left_anti").join(right, on, how)
+    return often.unionByName(rest)

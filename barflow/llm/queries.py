@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from barflow.llm.ann import nearest
 from barflow.llm.byte_bpe import Vocabulary, decode, encode
+from barflow.llm.chunk_bpe import encode_chunks
+from barflow.llm.collocations import collocations
 from barflow.llm.exact_dedup import exact_dedup, scratch_index
 from barflow.llm.html_extract import extract
 from barflow.llm.minhash import near_duplicates
 from barflow.llm.mixing import mix_sources
+from barflow.llm.prefix_trie import number_turns, prefix_trie, rebuild
 from barflow.llm.pseudonyms import pseudonymise
 from barflow.llm.range_coder import read_ids, write_ids
 from barflow.llm.registry import LLM_ORACLES, LLM_QUERIES, query, table
@@ -181,3 +184,64 @@ def op9(spark, folder):
 def op10(spark, folder):
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
+def json_tokenizer():
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
+@query("op11_chunk_bpe")
+def op11(spark, folder):
+    docs = encode_chunks(table(spark, folder, "documents").select("doc_id", "text"), json_tokenizer())
+    return docs.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query(
+    "op12_collocations",
+    r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ), starts AS (
+        SELECT lang, w, unnest(range(1, len(w) + 1)) AS i
+        FROM (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces)
+    ), phrases AS (
+        SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS phrase, count(*) AS f
+        FROM starts, (SELECT unnest([1, 2, 3]) AS m) WHERE i + m - 1 <= len(w) GROUP BY ALL
+    ), totals AS (
+        SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM phrases WHERE m = 1 GROUP BY lang
+    ), cuts AS (
+        SELECT lang, m, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[1 : k], ' ') AS p,
+               array_to_string(string_split(phrase, ' ')[k + 1 : m], ' ') AS q
+        FROM phrases, (SELECT unnest([1, 2]) AS k) WHERE m > 1 AND k < m AND f >= 10
+    ), scored AS (
+        SELECT c.lang, c.m, c.phrase, a, k, x.f AS l, y.f AS r,
+               CAST(1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+        FROM cuts c JOIN phrases x ON x.lang = c.lang AND x.phrase = p AND x.m = k
+        JOIN phrases y ON y.lang = c.lang AND y.phrase = q AND y.m = c.m - k
+    ), best AS (
+        SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    ), longer AS (
+        SELECT lang, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) AS phrase, a
+        FROM (SELECT lang, string_split(phrase, ' ') AS w, a FROM best WHERE m = 3)
+    ), kept AS (
+        SELECT * FROM best b WHERE NOT EXISTS (
+            SELECT 1 FROM longer g WHERE b.m = 2 AND g.lang = b.lang AND g.phrase = b.phrase AND 100 * g.a >= 50 * b.a)
+    )
+    SELECT lang, row_number() OVER best_first AS rank, phrase, a, l, r, n, score FROM kept JOIN totals USING (lang)
+    WINDOW best_first AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+    QUALIFY rank <= 2000
+    """,
+)
+def op12(spark, folder):
+    return collocations(table(spark, folder, "documents").select("text", "lang"))
+
+
+@query("op13_prefix_trie")
+def op13(spark, folder):
+    turns = materialize(number_turns(table(spark, folder, "conversations")))
+    rebuilt, every = rebuild(turns, F.expr("conv_id - conv_id % 100"), F.expr("crc32(CAST(CAST(conv_id AS string) AS binary)) % 6"))
+    return prefix_trie(rebuilt, every)
