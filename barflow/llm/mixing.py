@@ -133,6 +133,6 @@ def mix_sources(
 
 
 def repeat_taken(mixed: DataFrame) -> DataFrame:
-    """Each row as often as the mix takes it; rows without words, which the mix has no use for, go."""
-    copies = F.expr("CAST(taken DIV size AS INT)")
-    return put(mixed.filter("size > 0 AND taken > 0"), mx_copy=F.explode(F.sequence(F.lit(1), copies))).drop("mx_copy")
+    """Each row as often as the mix takes it. Rows without words, null texts among them, add nothing to any share and stay once."""
+    copies = F.expr("CAST(if(size = 0, 1, taken DIV size) AS INT)")
+    return put(mixed.filter("size = 0 OR taken > 0"), mx_copy=F.explode(F.sequence(F.lit(1), copies))).drop("mx_copy")

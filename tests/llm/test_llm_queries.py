@@ -10,9 +10,12 @@ import pytest
 import __spark_entry__ as entry_points
 import corpus_pipeline
 from barflow.llm.queries import LLM_ORACLES, LLM_QUERIES
+from barflow.llm.toxicity import train
 from test_minhash import _brute
+from test_mixing import WORD, _fill
+from test_toxicity import severity_by_hand
 
-TABLES = ("documents", "labels", "pages", "embeddings")
+TABLES = ("documents", "labels", "pages", "embeddings", "conversations")
 
 
 def _plain(v):
@@ -34,7 +37,7 @@ def test_query_equals_its_sql(spark, small, name):
 
 
 def test_one_query_per_operator():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([q for q in LLM_QUERIES if q.startswith(f"op{n}_")]) == 1
     assert LLM_QUERIES.keys() <= entry_points.queries().keys() and "pipeline" in entry_points.queries()
 
@@ -50,18 +53,33 @@ def test_pipeline_stage_by_stage(spark, small):
         kept[name] = docs.count()
         if name != "byte_bpe":
             assert docs.columns == columns
+        if name == "toxicity":
+            model = train(before, spark.read.parquet(f"{small}/labels.parquet"))
+            clean = [r["doc_id"] for r in before.collect() if severity_by_hand(model, r["text"])[1] == 0]
+            assert sorted(r["doc_id"] for r in docs.collect()) == sorted(clean)
         if name == "exact_dedup":
             last = {}
             for r in before.collect():
                 last[r["text"] or ""] = max(r["doc_id"], last.get(r["text"] or "", r["doc_id"]))
             assert sorted(r["doc_id"] for r in docs.collect()) == sorted(last.values())
         if name == "near_dedup":
-            expected = [i for i, _, _, stays in _brute([(r["doc_id"], r["text"]) for r in before.collect()]) if stays]
+            expected = [i for i, _, _, stays in _brute([(r["doc_id"], r["text"]) for r in before.collect()], 80) if stays]
             assert sorted(r["doc_id"] for r in docs.collect()) == expected
         if name == "mixing":
-            source = {r["doc_id"]: r for r in before.collect()}
-            times = Counter(r["doc_id"] for r in docs.collect())
-            assert times.keys() <= source.keys() and max(times.values()) <= 2
+            rows = [(r["doc_id"], r["source"], len(WORD.findall(r["text"] or ""))) for r in before.collect()]
+            sizes = Counter()
+            for _, source, size in rows:
+                sizes[source] += size
+            aims = _fill(sizes)
+            expected = Counter()
+            for source, aim in aims.items():
+                mark = int(hashlib.md5(("mix/" + ("null" if source is None else f"={source}")).encode()).hexdigest()[:8], 16) / 4294967296
+                rate = aim / sizes[source] if sizes[source] else 0.0
+                own = sorted((size, i) for i, s, size in rows if s == source)
+                for place, (size, i) in enumerate(own, 1):
+                    copies = math.floor(mark + place * rate) - math.floor(mark + (place - 1) * rate)
+                    expected[i] += copies if size else 1
+            assert Counter(r["doc_id"] for r in docs.collect()) == +expected
         if name == "byte_bpe":
             texts = {r["doc_id"]: r["text"] for r in before.collect()}
             for r in docs.collect():

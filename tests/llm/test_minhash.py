@@ -16,7 +16,7 @@ def _shingles(text):
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
 
 
-def _brute(rows):
+def _brute(rows, percent=85):
     sets = [(i, _shingles(t)) for i, t in rows]
     parent = list(range(len(rows)))
 
@@ -28,7 +28,7 @@ def _brute(rows):
     for a in range(len(sets)):
         for b in range(a):
             both = len(sets[a][1] & sets[b][1])
-            if both and 100 * both >= 85 * (len(sets[a][1]) + len(sets[b][1]) - both):
+            if both and 100 * both >= percent * (len(sets[a][1]) + len(sets[b][1]) - both):
                 parent[find(a)] = find(b)
     least = {}
     for k, (i, _) in enumerate(sets):

@@ -1,8 +1,12 @@
+import math
+import re
+
 import numpy as np
 import pytest
+import xxhash
 
 from barflow.llm.queries import LLM_QUERIES
-from barflow.llm.toxicity import OrdinalModel, counts, features, fit, grade, severity, train
+from barflow.llm.toxicity import FEATURES, OrdinalModel, counts, features, fit, grade, severity, train
 
 
 def _made(rng, n):
@@ -73,6 +77,26 @@ def test_held_out_accuracy(spark):
     assert hit >= 50 and hit / (hit + miss) > 0.85 and false <= 0.01 * table[False, 0]
 
 
-def test_query(spark, small):
-    found = LLM_QUERIES["op6_toxicity"](spark, small)
-    assert found.count() == spark.read.parquet(f"{small}/documents.parquet").count()
+def severity_by_hand(model, text):
+    """(expected severity, grade) of one text from the fitted weights, feature by feature."""
+    weight = dict(zip(model.features.tolist(), model.weights.tolist(), strict=True))
+    times = {}
+    for word in re.findall(r"\w+", (text or "").lower()):
+        for part in {word} | {f"^{word[:k]}" for k in (3, 4, 5) if len(word) > k}:
+            f = xxhash.xxh3_64_intdigest(part) % FEATURES
+            times.setdefault(f, {}).setdefault(word, 0)
+            times[f][word] += 1
+    score = sum(weight[f] * math.log1p(sum(n.values())) for f, n in times.items() if f in weight)
+    above = [1 / (1 + math.exp(-max(-40.0, min(40.0, score - t)))) for t in model.thresholds]
+    return sum(above), sum(a >= 0.5 for a in above)
+
+
+def test_query_against_scores_by_hand(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    model = train(docs, spark.read.parquet(f"{small}/labels.parquet"))
+    found = {r["doc_id"]: r for r in LLM_QUERIES["op6_toxicity"](spark, small).collect()}
+    assert len(model.weights) and len(found) == docs.count()
+    for r in docs.collect():
+        expected, level = severity_by_hand(model, r["text"])
+        got = found[r["doc_id"]]
+        assert abs(got["expected_severity"] - expected) < 1e-6 and got["grade"] == level and got["toxic"] == (level > 0)
