@@ -14,6 +14,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame
@@ -22,66 +23,82 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 from barflow.llm.common import column
 
 _MASK = (1 << 64) - 1
-_SPREAD = 0x9E3779B97F4A7C15
-_TRIES = 256
-#: Distinct words and pre-tokens a Python worker remembers before it starts anew; bounds its memory.
-REMEMBERED = 1_000_000
-#: Words resolved in one vectorised step.
-STEP = 1 << 20
+_SPREAD, _STRIDE = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
+#: Displacements tried at once, and at most, for one bucket; seeds tried for a whole table.
+_TRIES, _MOST_TRIES, _SEEDS = 256, 1 << 16, 64
+#: Bytes of words, pre-tokens and ids, with what Python adds to each, that a worker remembers before it starts anew.
+REMEMBERED_BYTES, _ENTRY_BYTES = 96 << 20, 240
+#: Words resolved in one vectorised step, and bytes of text handed on in one batch.
+STEP, BATCH_BYTES = 1 << 20, 4 << 20
 
 
 class PerfectHash:
-    """Minimal perfect hash by displacement: n keys on n slots, one number for each bucket of about four keys."""
+    """Minimal perfect hash by displacement: n keys on n slots, one number for each bucket of about four keys.
+
+    A displacement is mixed with the hash, so each sends the keys of a bucket to other, unrelated slots. Buckets are placed largest
+    first; should one find no place, the table is made anew with another seed.
+    """
 
     def __init__(self, keys: list[bytes]):
         n = len(keys)
+        if len(set(keys)) < n:
+            raise ValueError("two keys are equal")
         self.n, self.buckets = n, max(1, n // 4)
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(k) for k in keys), np.uint64, n)
-        if len(np.unique(hashes)) < n:
-            raise ValueError("two keys are equal, or their hashes are")
-        by_bucket = np.argsort(hashes % np.uint64(self.buckets), kind="stable")
-        counts = np.bincount((hashes % np.uint64(self.buckets)).astype(np.int64), minlength=self.buckets)
+        for self.seed in range(_SEEDS):
+            hashes = np.fromiter((xxhash.xxh3_64_intdigest(k, seed=self.seed) for k in keys), np.uint64, n)
+            if len(np.unique(hashes)) == n and self._build(hashes):
+                return
+        raise ValueError("no perfect hash found")
+
+    def _build(self, hashes: np.ndarray) -> bool:
+        bucket = (hashes % np.uint64(self.buckets)).astype(np.int64)
+        by_bucket = np.argsort(bucket, kind="stable")
+        counts = np.bincount(bucket, minlength=self.buckets)
         ends = np.cumsum(counts)
         shift = np.zeros(self.buckets, np.int64)
-        owner = np.full(n, -1, np.int64)
+        owner = np.full(self.n, -1, np.int64)
         for b in np.argsort(-counts, kind="stable"):
-            mine = by_bucket[ends[b] - counts[b] : ends[b]]
-            if len(mine) == 0:
+            if counts[b] <= 1:
                 break
-            if len(mine) > 1:
-                shift[b], slots = self._place(hashes[mine], owner)
-                owner[slots] = mine
+            mine = by_bucket[ends[b] - counts[b] : ends[b]]
+            placed = self._place(hashes[mine], owner)
+            if placed is None:
+                return False
+            shift[b], slots = placed
+            owner[slots] = mine
         lone = np.flatnonzero(counts == 1)
         free = np.flatnonzero(owner < 0)
         shift[lone] = -1 - free
         owner[free] = by_bucket[ends[lone] - 1]
         self.shift, self.owner = shift, owner
+        return True
 
-    def _place(self, hashes: np.ndarray, owner: np.ndarray) -> tuple[int, np.ndarray]:
-        """The first displacement that puts these hashes on distinct free slots."""
-        start = 0
-        while True:
+    def _place(self, hashes: np.ndarray, owner: np.ndarray) -> tuple[int, np.ndarray] | None:
+        """The first displacement that puts these hashes on distinct free slots; None if there is none."""
+        for start in range(0, _MOST_TRIES, _TRIES):
             tried = np.arange(start, start + _TRIES, dtype=np.uint64)
             slots = self._slots(hashes[None, :], tried[:, None])
             fits = (owner[slots] < 0).all(axis=1)
             for t in np.flatnonzero(fits):
                 if len(np.unique(slots[t])) == len(hashes):
                     return start + int(t), slots[t]
-            start += _TRIES
+        return None
 
     def _slots(self, hashes: np.ndarray, shift: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            mixed = (hashes + shift * np.uint64(0xD1B54A32D192ED03)) * np.uint64(_SPREAD)
+            mixed = hashes ^ (shift * np.uint64(_STRIDE))
+            mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(_SPREAD)
         return ((mixed >> np.uint64(32)) % np.uint64(self.n)).astype(np.int64)
 
 
-def slot_owner(key: bytes, shift: list[int], owner: list[int]) -> int:
-    """The key that owns the slot of ``key`` in a perfect hash given as two lists; the caller compares."""
-    h = xxhash.xxh3_64_intdigest(key)
+def slot_owner(key: bytes, shift: list[int], owner: list[int], seed: int = 0) -> int:
+    """The key that owns the slot of ``key`` in a perfect hash given as two lists and a seed; the caller compares."""
+    h = xxhash.xxh3_64_intdigest(key, seed=seed)
     d = shift[h % len(shift)]
     if d < 0:
         return owner[-1 - d]
-    return owner[((((h + d * 0xD1B54A32D192ED03) * _SPREAD) & _MASK) >> 32) % len(owner)]
+    mixed = h ^ (d * _STRIDE & _MASK)
+    return owner[(((mixed ^ mixed >> 32) * _SPREAD & _MASK) >> 32) % len(owner)]
 
 
 class Vocabulary:
@@ -103,14 +120,14 @@ class Vocabulary:
     def plain(self) -> dict:
         """Tokens, pattern and hash as plain lists: some megabytes for any public vocabulary."""
         shift, owner = self.hash.shift.tolist(), self.hash.owner.tolist()
-        return {"tokens": self.tokens, "pattern": self.pattern, "shift": shift, "owner": owner}
+        return {"tokens": self.tokens, "pattern": self.pattern, "shift": shift, "owner": owner, "seed": self.hash.seed}
 
 
 class Encoder:
     """Pre-tokens to ids."""
 
-    def __init__(self, tokens: list[bytes], pattern: str, shift: list[int], owner: list[int]):
-        self.tokens, self.shift, self.owner = tokens, shift, owner
+    def __init__(self, tokens: list[bytes], pattern: str, shift: list[int], owner: list[int], seed: int = 0):
+        self.tokens, self.shift, self.owner, self.seed = tokens, shift, owner, seed
         self.ranks = {t: r for r, t in enumerate(tokens)}
         self.split = regex.compile(pattern).findall
         self.single = [self.ranks.get(bytes([b])) for b in range(256)]
@@ -118,7 +135,7 @@ class Encoder:
 
     def piece(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
-        found = slot_owner(piece, self.shift, self.owner)
+        found = slot_owner(piece, self.shift, self.owner, self.seed)
         return [found] if self.tokens[found] == piece else self.merge(piece)
 
     def merge(self, piece: bytes) -> list[int]:
@@ -170,11 +187,13 @@ class _Memory(dict):
         self.encoder, self.pieces, self.closing = encoder, {}, set()
         self.pool, self.start, self.length, self.piece_ids = array("i"), array("q"), array("i"), array("i")
         self.space = regex.compile(r"\s").match
+        self.bytes = 0
 
     def __missing__(self, word: str) -> int:
         if not word or self.space(word[-1]):
             self.closing.add(word)
         self[word] = code = self.add(" " + word)
+        self.bytes += 4 * len(word) + _ENTRY_BYTES
         return code
 
     def add(self, text: str) -> int:
@@ -187,8 +206,10 @@ class _Memory(dict):
                 ids = self.encoder.piece(piece.encode())
                 self.piece_ids.append(len(ids))
                 self.piece_ids.extend(ids)
+                self.bytes += 4 * len(piece) + 4 * len(ids) + _ENTRY_BYTES
             self.pool.extend(self.piece_ids[at + 1 : at + 1 + self.piece_ids[at]])
         self.length.append(len(self.pool) - self.start[-1])
+        self.bytes += 4 * self.length[-1] + 16
         return len(self.start) - 1
 
     def codes(self, text: str) -> np.ndarray:
@@ -205,7 +226,7 @@ class _Memory(dict):
 
     @property
     def full(self) -> bool:
-        return len(self) + len(self.pieces) > REMEMBERED or len(self.pool) > 8 * REMEMBERED
+        return self.bytes > REMEMBERED_BYTES
 
 
 def gather(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -220,7 +241,7 @@ def encode_batches(texts: Iterator[pa.Array], vocabulary: dict) -> Iterator[pa.A
     The words met so far are kept in that dictionary, which a Python worker keeps for all its tasks.
     """
     if "memory" not in vocabulary:
-        vocabulary["memory"] = _Memory(Encoder(*(vocabulary[k] for k in ("tokens", "pattern", "shift", "owner"))))
+        vocabulary["memory"] = _Memory(Encoder(*(vocabulary[k] for k in ("tokens", "pattern", "shift", "owner", "seed"))))
     memory = vocabulary["memory"]
     for batch in texts:
         found, counts, codes, per_text = [], [], [], []
@@ -271,26 +292,36 @@ def _rest(docs: DataFrame, *gone: str) -> list[str]:
     return [c for c in docs.columns if c.lower() not in {g.lower() for g in gone}]
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids") -> DataFrame:
+def _lots(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``BATCH_BYTES`` of text, one row at least."""
+    sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    lot = np.cumsum(sizes) // BATCH_BYTES
+    starts = [0, *(np.flatnonzero(np.diff(lot)) + 1).tolist(), len(sizes)] if len(sizes) else [0]
+    for a, b in zip(starts, starts[1:], strict=False):
+        yield batch.slice(a, b - a)
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """Replace the text by its ids, ``array<int>``, as the vocabulary's own library would without special tokens.
 
-    A null or empty text has no ids. A column that is called like ``ids`` is replaced; all others stay.
+    With ``decoded`` the bytes that the ids stand for are added under that name, in the same step. A null or empty text has no ids
+    and decodes to no bytes; equal rows give equal results, an empty table an empty one. A text is encoded whole by one task, however
+    long; several texts only as long as they are together ``BATCH_BYTES``. A column that is called like ``ids`` or ``decoded`` is
+    replaced; all others stay.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary.plain())
-    keep = _rest(docs, text, ids)
+    outs = [ids] if decoded is None else [ids, decoded]
+    keep = _rest(docs, text, *outs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = []
-
-        def texts():
-            for b in batches:
-                kept.append([b.column(i) for i in range(len(keep))])
-                yield b.column(len(keep))
-
-        for found in encode_batches(texts(), shared.value):
-            yield pa.RecordBatch.from_arrays([*kept.pop(), found], names=[*keep, ids])
+        for b in batches:
+            for lot in _lots(b, len(keep)):
+                (found,) = encode_batches(iter([lot.column(len(keep))]), shared.value)
+                made = [found] if decoded is None else [found, *decode_batches(iter([found]), shared.value["tokens"])]
+                yield pa.RecordBatch.from_arrays([*lot.columns[: len(keep)], *made], names=[*keep, *outs])
 
-    schema = StructType([*[docs.schema[c] for c in keep], StructField(ids, ArrayType(IntegerType(), False))])
+    fields = [StructField(ids, ArrayType(IntegerType(), False)), *[StructField(d, BinaryType()) for d in outs[1:]]]
+    schema = StructType([*[docs.schema[c] for c in keep], *fields])
     return docs.select(*[column(docs, c) for c in keep], column(docs, text)).mapInArrow(run, schema)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from barflow.llm.ann import nearest
-from barflow.llm.byte_bpe import Vocabulary, decode, encode
+from barflow.llm.byte_bpe import Vocabulary, encode
 from barflow.llm.chunk_bpe import encode_chunks
 from barflow.llm.collocations import collocations
 from barflow.llm.exact_dedup import exact_dedup, scratch_index
@@ -55,7 +55,7 @@ def op2(spark, folder):
 def op3(spark, folder):
     vocabulary = Vocabulary.from_ranks(RANKS, public_tokenizers.PATTERN)
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return digest_ids(decode(encode(docs, vocabulary), vocabulary))
+    return digest_ids(encode(docs, vocabulary, decoded="decoded"))
 
 
 @query(

@@ -26,13 +26,13 @@ def peer():
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-@pytest.mark.parametrize("n", [1, 2, 5, 1000])
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 8, 64, 1000, 20_000])
 def test_perfect_hash_is_minimal(n):
     keys = [f"k{i}".encode() for i in range(n)]
     h = PerfectHash(keys)
     shift, owner = h.shift.tolist(), h.owner.tolist()
     assert sorted(owner) == list(range(n))
-    assert [slot_owner(k, shift, owner) for k in keys] == list(range(n))
+    assert [slot_owner(k, shift, owner, h.seed) for k in keys] == list(range(n))
 
 
 def test_perfect_hash_refuses_equal_keys():
@@ -73,13 +73,24 @@ def test_memory_bound_changes_nothing(vocabulary, peer, monkeypatch):
 
     from barflow.llm import byte_bpe
 
-    monkeypatch.setattr(byte_bpe, "REMEMBERED", 3)
+    monkeypatch.setattr(byte_bpe, "REMEMBERED_BYTES", 900)
     monkeypatch.setattr(byte_bpe, "STEP", 4)
     texts = [f"word{i} other{i * 7} the end" for i in range(40)]
     (found,) = byte_bpe.encode_batches(iter([pa.array(texts)]), vocabulary.plain())
     assert found.to_pylist() == [peer.encode_ordinary(t) for t in texts]
 
 
+def test_one_step_in_small_lots_equals_two(spark, vocabulary, monkeypatch):
+    from barflow.llm import byte_bpe
+
+    monkeypatch.setattr(byte_bpe, "BATCH_BYTES", 20)
+    df = spark.createDataFrame([(i, t, 7) for i, t in enumerate([*TEXTS, None, *TEXTS])], "doc_id bigint, text string, decoded int")
+    one = {r["doc_id"]: r for r in encode(df, vocabulary, decoded="decoded").collect()}
+    two = {r["doc_id"]: r for r in decode(encode(df, vocabulary), vocabulary).collect()}
+    assert one == two and len(one) == df.count()
+    assert encode(df.limit(0), vocabulary, decoded="decoded").count() == 0
+
+
 def test_bad_input(spark, vocabulary):
     with pytest.raises(Exception, match="not in the vocabulary"):
         decode(spark.createDataFrame([([60_000],)], "ids array<int>"), vocabulary).collect()
