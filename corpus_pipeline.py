@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm.byte_bpe import Vocabulary, decode, encode
+from barflow.llm.byte_bpe import Vocabulary, encode
 from barflow.llm.common import column, only
 from barflow.llm.exact_dedup import exact_dedup, scratch_index
 from barflow.llm.minhash import near_duplicates
@@ -62,7 +62,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, their number, and digests of the ids and of the text they decode to."""
     vocabulary = Vocabulary.from_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    both = decode(encode(only(docs, "doc_id", "source", "text"), vocabulary), vocabulary)
+    both = encode(only(docs, "doc_id", "source", "text"), vocabulary, decoded="decoded")
     return both.select(
         "doc_id",
         "source",
