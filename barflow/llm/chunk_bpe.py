@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barflow.llm.byte_bpe import gather
 from barflow.llm.common import column, lookup, whole
 from barflow.session import materialize
 
@@ -156,6 +157,19 @@ def _ids(tokenizer, texts: list[bytes]) -> list[np.ndarray]:
     return [np.array(e.ids, "<u4") for e in encoded]
 
 
+def _token_bytes(tokenizer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all tokens in one array, with start and length of each: how byte-level tokens are spelt is undone.
+
+    A printable Latin-1 byte is spelt as itself, the others in order as the characters from U+0100 on.
+    """
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    spelt = {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(sorted(set(range(256)) - set(plain)))}
+    added = {i: t.content.encode() for i, t in tokenizer.get_added_tokens_decoder().items()}
+    tokens = [added.get(i) or bytes(spelt[c] for c in tokenizer.id_to_token(i) or "") for i in range(max(tokenizer.get_vocab_size(), *added, 0) + 1)]
+    lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(lengths) - lengths, lengths
+
+
 def _packing(vocabulary: int) -> str:
     """How ids of shared chunks travel: two bytes each where all fit."""
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
@@ -185,6 +199,7 @@ def _join_up(tokenizer, kept: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _load(tokenizer.value)
         kind = _packing(own.get_vocab_size())
+        pool, starts, lengths = _token_bytes(own)
         for b in batches:
             pieces = b.column(kept + 1)
             for lo, texts in _steps(b.column(kept)):
@@ -206,13 +221,15 @@ def _join_up(tokenizer, kept: int, names: list[str]):
                     np.concatenate([coded[p] if isinstance(p, int) else p.astype("<u4") for p in plan]) if plan else np.empty(0, "<u4")
                     for plan in plans
                 ]
-                back = own.decode_batch([i.tolist() for i in ids], skip_special_tokens=False)
-                for k, (text, out) in enumerate(zip(texts, back, strict=True)):
-                    if out.encode() != text:
-                        (ids[k],) = _ids(own, [text])
-                        back[k] = own.decode(ids[k].tolist(), skip_special_tokens=False)
+                back = []
+                for k, text in enumerate(texts):
+                    if gather(pool, starts[ids[k]], lengths[ids[k]]).tobytes() == text:
+                        back.append(text)
+                        continue
+                    (ids[k],) = _ids(own, [text])
+                    back.append(own.decode(ids[k].tolist(), skip_special_tokens=False).encode())
                 arrays = [b.column(i).slice(lo, len(texts)) for i in range(kept)]
-                arrays += [pa.array([i.tobytes() for i in ids], pa.binary()), pa.array([len(i) for i in ids], pa.int64()), pa.array(back, pa.string())]
+                arrays += [pa.array([i.tobytes() for i in ids], pa.binary()), pa.array([len(i) for i in ids], pa.int64()), pa.array(back, pa.binary()).cast(pa.string())]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return run

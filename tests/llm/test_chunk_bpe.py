@@ -71,12 +71,15 @@ def test_a_wrong_chunk_is_found_out(spark, docs_of, monkeypatch):
     _check(encode_chunks(docs_of(list(texts.items())), json_tokenizer()), texts)
 
 
+_real_cut = module._cut
+
+
 def _one_hash(tokenizer):
+    real = _real_cut(tokenizer)
+
     def run(batches):
-        for b in batches:
-            n = b.num_rows
-            values = [np.zeros(n), b.column(0).to_numpy(), np.full(n, 3), np.full(n, 40)]
-            yield pa.RecordBatch.from_arrays([pa.array(v.astype(np.int64)) for v in values], names=["chunk", "doc", "lo", "hi"])
+        for b in real(batches):
+            yield b.set_column(0, "chunk", pa.array(np.zeros(b.num_rows, np.int64)))
 
     return run
 
