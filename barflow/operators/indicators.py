@@ -7,16 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barflow.operators.series import (
-    BLOCK_ROWS,
-    ROW,
-    Blocks,
-    Recurrence,
-    cut_blocks,
-    mark_segments,
-    recur,
-    recurrence_lookback,
-)
+from barflow.operators.scan import Average, Difference, averages
+from barflow.operators.series import BLOCK_ROWS, Blocks, cut_blocks
 
 SMA_WINDOWS = (20, 50)
 FAST, SLOW, SIGNAL = 12, 26, 9
@@ -53,24 +45,7 @@ def lookback_for(columns: Iterable[str]) -> int:
     if wanted & {"Volatility", "Volume_SMA", "Volume_ratio"} or any(c.startswith("BB_") for c in wanted):
         rows = max(rows, BAND_WINDOW - 1)
     rows = max([rows, *[n for c, n in CHANGE_LAGS.items() if c in wanted]])
-    alphas = _alphas(wanted)
-    if alphas:
-        levels = 2 if wanted & {"MACD_signal", "MACD_histogram"} else 1
-        rows = max(rows, levels * recurrence_lookback(alphas) + 1)
-    return rows
-
-
-def _alphas(wanted: set[str]) -> list[float]:
-    out = []
-    if wanted & ({"EMA_12"} | _MACD):
-        out.append(span_alpha(FAST))
-    if wanted & ({"EMA_26"} | _MACD):
-        out.append(span_alpha(SLOW))
-    if wanted & {"MACD_signal", "MACD_histogram"}:
-        out.append(span_alpha(SIGNAL))
-    if "RSI" in wanted:
-        out.append(1.0 / RSI_WINDOW)
-    return out
+    return max(rows, 1 if "RSI" in wanted else 0)
 
 
 def add_indicators(blocks: Blocks, columns: Sequence[str], close: str = "Close", volume: str = "Volume") -> Blocks:
@@ -105,10 +80,7 @@ def add_indicators(blocks: Blocks, columns: Sequence[str], close: str = "Close",
         if name in wanted:
             new[name] = pct_change(blocks, close, lag)
     if "RSI" in wanted:
-        # A halo may leave out rows without a price; the row before is then such a row.
-        beside = F.lag(ROW, 1).over(blocks.window) == F.col(ROW) - 1
-        before = F.when(beside, F.lag(close, 1).over(blocks.window))
-        need("_delta", F.coalesce(price - before, F.when(price.isNotNull(), 0.0)))
+        need("_delta", F.coalesce(price - F.lag(close, 1).over(blocks.window), F.when(price.isNotNull(), 0.0)))
     blocks = blocks.with_columns(new)
 
     derived: dict[str, Column] = {}
@@ -130,37 +102,31 @@ def add_indicators(blocks: Blocks, columns: Sequence[str], close: str = "Close",
 
 def _add_recursive(blocks: Blocks, wanted: set[str], close: str) -> Blocks:
     price = F.col(close)
-    blocks = mark_segments(blocks, close, _alphas(wanted))
-    helpers = []
-    first = []
+    fast = Average("EMA_12", price, span_alpha(FAST), FAST)
+    slow = Average("EMA_26", price, span_alpha(SLOW), SLOW)
+    parts: list[Average] = []
     if wanted & ({"EMA_12"} | _MACD):
-        first.append(Recurrence("EMA_12", price, span_alpha(FAST), FAST))
+        parts.append(fast)
     if wanted & ({"EMA_26"} | _MACD):
-        first.append(Recurrence("EMA_26", price, span_alpha(SLOW), SLOW))
+        parts.append(slow)
     if "RSI" in wanted:
         for name, move in (("_gain", F.col("_delta")), ("_loss", -F.col("_delta"))):
             up_only = F.when(move > 0, move).otherwise(F.when(move.isNotNull(), 0.0))
-            first.append(Recurrence(name, up_only, 1.0 / RSI_WINDOW, RSI_WINDOW))
-            helpers.append(name)
-    blocks = recur(blocks, first)
-    helpers += [r.out for r in first if r.out in ("EMA_12", "EMA_26") and r.out not in wanted]
+            parts.append(Average(name, up_only, 1.0 / RSI_WINDOW, RSI_WINDOW, from_zero=True))
+    signal = Difference("MACD_signal", fast, slow, span_alpha(SIGNAL), SIGNAL) if wanted & {"MACD_signal", "MACD_histogram"} else None
+    blocks = averages(blocks, close, parts, signal)
+    new: dict[str, Column] = {}
     if "RSI" in wanted:
         strength = F.try_divide(F.col("_gain"), F.col("_loss"))
         rsi = F.when(F.col("_loss") == 0, 100.0).otherwise(100.0 - 100.0 / (1.0 + strength))
-        blocks = blocks.with_columns({"RSI": F.when(F.col("_loss").isNotNull(), rsi)})
-    if wanted & _MACD:
-        blocks = blocks.with_columns({"MACD": F.col("EMA_12") - F.col("EMA_26")})
-        if "MACD" not in wanted:
-            helpers.append("MACD")
-        if wanted & {"MACD_signal", "MACD_histogram"}:
-            blocks = recur(
-                blocks, [Recurrence("MACD_signal", F.col("MACD"), span_alpha(SIGNAL), SIGNAL, skip=SLOW - 1)]
-            )
-            if "MACD_signal" not in wanted:
-                helpers.append("MACD_signal")
-            if "MACD_histogram" in wanted:
-                blocks = blocks.with_columns({"MACD_histogram": F.col("MACD") - F.col("MACD_signal")})
-    return blocks.temporaries(*helpers)
+        new["RSI"] = F.when(F.col("_loss").isNotNull(), rsi)
+    macd = F.col("EMA_12") - F.col("EMA_26")
+    if "MACD" in wanted:
+        new["MACD"] = macd
+    if "MACD_histogram" in wanted:
+        new["MACD_histogram"] = macd - F.col("MACD_signal")
+    made = [a.out for a in parts] + ([signal.out] if signal else [])
+    return blocks.with_columns(new).temporaries(*[c for c in made if c not in wanted])
 
 
 def technical_indicators(
@@ -175,8 +141,7 @@ def technical_indicators(
 ) -> DataFrame:
     """Append technical indicators. Exponential averages skip rows without a price, however many; other indicators are
     null where their frame has one."""
-    counted = close if set(columns) & _RECURSIVE else None
-    blocks = cut_blocks(df, by, order, lookback_for(columns), 0, block_rows, bucket, counted=counted)
+    blocks = cut_blocks(df, by, order, lookback_for(columns), 0, block_rows, bucket)
     out = add_indicators(blocks, columns, close, volume).result()
     return out.select(*df.columns, *columns)
 
@@ -192,10 +157,8 @@ def ema(
     bucket: Column | str | None = None,
 ) -> DataFrame:
     """Exponential moving average of any span over the non-null rows."""
-    alpha = span_alpha(span)
-    blocks = cut_blocks(df, by, order, recurrence_lookback([alpha]), 0, block_rows, bucket, counted=column)
-    blocks = mark_segments(blocks, column, [alpha])
-    blocks = recur(blocks, [Recurrence(out, F.col(column), alpha, span)])
+    blocks = cut_blocks(df, by, order, 0, 0, block_rows, bucket)
+    blocks = averages(blocks, column, [Average(out, F.col(column), span_alpha(span), span)])
     return blocks.result().select(*df.columns, out)
 
 

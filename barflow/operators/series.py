@@ -2,8 +2,8 @@
 
 A window partitioned by ``symbol`` alone puts the whole history of one symbol into one task. Here a
 series is cut into blocks of about ``block_rows`` consecutive rows, and a block also receives copies
-of the rows just before and after it (its halo), so that framed windows, leads and recurrences give
-on every block the values they give on the whole series. The cut needs exact row numbers; they come
+of the rows just before and after it (its halo), so that framed windows and leads give
+on every block the values they give on the whole series; recurrences hand on a state instead (``scan``). The cut needs exact row numbers; they come
 from row counts per time bucket, a table far smaller than the data:
 
 1. count rows per ``(key, bucket)`` (map-side combined),
@@ -17,7 +17,6 @@ which replaces an unbounded look-back.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
@@ -26,15 +25,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
+from barflow.session import materialize
+
 BLOCK_ROWS = 65_536
 INTEGER_BUCKET_ROWS = 32_768
 UNROUTED_ROWS = 1 << 60
-# Terms of a recurrence weighted below 2**-80 are lost in double rounding anyway.
-NEGLIGIBLE_BITS = 80
-MAX_SCALE_EXPONENT = 600.0
-
 ALL_KEY = "_series"
-BLOCK, ROW, CORE = "_blk", "_rn", "_core"
+RUN, BLOCK, ROW, CORE = "_run", "_blk", "_rn", "_core"
 
 Carry = tuple[Column, Callable[[Column, WindowSpec], Column]]
 
@@ -63,6 +60,7 @@ class Blocks:
     keys: tuple[str, ...]
     order: tuple[str, ...]
     added: tuple[str, ...]
+    is_cut: bool = True
 
     @property
     def window(self) -> WindowSpec:
@@ -86,6 +84,12 @@ class Blocks:
         return self.df.where(CORE).drop(*[c for c in self.added if c not in keep])
 
 
+def _run(keys: Sequence[str]) -> Column:
+    """The key of a series as one text that is never null, so that joins on it need no null-safe comparison."""
+    parts = [F.coalesce(F.concat(F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string")), F.lit("-")) for k in keys]
+    return F.concat(*parts) if parts else F.lit("")
+
+
 def cut_blocks(
     df: DataFrame,
     by: Sequence[str],
@@ -95,31 +99,24 @@ def cut_blocks(
     block_rows: int = BLOCK_ROWS,
     bucket: Column | str | None = None,
     carries: dict[str, Carry] | None = None,
-    counted: str | None = None,
 ) -> Blocks:
     """Cut every series of ``df`` into blocks with ``lookback``/``lookahead`` halo rows.
 
-    With ``counted`` a block also gets the ``lookback`` rows before it in which that column is not null, however far
-    back they are; rows of buckets without any are left out between them, which the row numbers tell.
-
     ``order`` must be unique within a key. ``bucket`` (a column or SQL expression) is monotone in the
     order key and coarse enough to count by, fine enough to hold few rows. ``carries`` maps a name to a bucket aggregate and a
     function giving its prefix over the buckets before; each row gets the prefix of its bucket.
+
+    The counts are made and stored at once; where no series is longer than a block there is nothing to route.
     """
     order = (order,) if isinstance(order, str) else tuple(order)
-    keys = tuple(by) or (ALL_KEY,)
     carries = carries or {}
-    rows = df if by else df.withColumn(ALL_KEY, F.lit(0))
+    rows = (df if by else df.withColumn(ALL_KEY, F.lit(0))).withColumn(RUN, _run(by))
     if bucket is None:
         bucket = default_bucket(df, order[0])
     rows = rows.withColumn("_bucket", F.expr(bucket) if isinstance(bucket, str) else bucket)
 
-    counts = rows.groupBy(*keys, "_bucket").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.count(F.col(counted) if counted else F.lit(1)).alias("_m"),
-        *[agg.alias(name) for name, (agg, _) in carries.items()],
-    )
-    per_key = Window.partitionBy(*keys)
+    counts = rows.groupBy(RUN, "_bucket").agg(F.count(F.lit(1)).alias("_n"), *[agg.alias(name) for name, (agg, _) in carries.items()])
+    per_key = Window.partitionBy(RUN)
     long_series = counts.withColumns(
         {
             "_total": F.sum("_n").over(per_key),
@@ -128,38 +125,37 @@ def cut_blocks(
     ).where(F.col("_total") > F.col("_size"))
     before = per_key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     spans = long_series.select(
-        *keys,
+        RUN,
         "_bucket",
         "_n",
-        "_m",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"),
-        F.sum("_m").over(before.rowsBetween(Window.unboundedPreceding, 0)).alias("_seen"),
         "_total",
         "_size",
         *[prefix(F.col(name), before).alias(name) for name, (_, prefix) in carries.items()],
     )
     first = F.expr(f"greatest(_start - {lookahead}, 0) div _size")
     last = F.expr(f"least(_total - 1, _start + _n - 1 + {lookback}) div _size")
-    if counted and lookback:
-        # The blocks that start in a bucket with fewer than ``lookback`` counted rows between it and this one.
-        in_order = per_key.orderBy("_bucket")
-        spans = spans.withColumn("_end", F.expr("(_start + _n - 1) div _size"))
-        spans = spans.withColumn("_next", F.coalesce(F.lead("_end").over(in_order), F.col("_end")))
-        far = F.max("_next").over(per_key.orderBy("_seen").rangeBetween(0, lookback - 1))
-        spans = spans.withColumn("_far", F.when(F.col("_m") > 0, far))
-        last = F.greatest(last, "_far")
     routed = spans.withColumn("_to", F.explode(F.sequence(first, last)))
-    routed = routed.select(
-        *[F.col(k).alias(f"_to_{k}") for k in keys],
-        F.col("_bucket").alias("_to_bucket"),
-        "_to",
-        F.col("_size").alias("_to_size"),
-        (F.col("_start") if counted else F.min("_start").over(Window.partitionBy(*keys, "_to"))).alias("_base"),
-        *carries,
+    routed = materialize(
+        routed.select(
+            F.col(RUN).alias("_to_run"),
+            F.col("_bucket").alias("_to_bucket"),
+            "_to",
+            F.col("_size").alias("_to_size"),
+            F.min("_start").over(Window.partitionBy(RUN, "_to")).alias("_base"),
+            *carries,
+        )
     )
-    match = F.col("_bucket").eqNullSafe(F.col("_to_bucket"))
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_to_{k}"))
+    helpers = (RUN, BLOCK, ROW, CORE, *carries) + (() if by else (ALL_KEY,))
+    is_cut = not routed.isEmpty()
+    if not is_cut:
+        alone = Window.partitionBy(RUN, BLOCK).orderBy(*order)
+        whole = rows.drop("_bucket").withColumn(BLOCK, F.lit(0).cast("bigint"))
+        nothing = {name: F.lit(None).cast(routed.schema[name].dataType) for name in carries}
+        whole = whole.withColumns({ROW: F.row_number().over(alone).cast("bigint") - 1, CORE: F.lit(True), **nothing})
+        return Blocks(whole, (RUN,), order, helpers, is_cut)
+
+    match = (F.col(RUN) == F.col("_to_run")) & F.col("_bucket").eqNullSafe(F.col("_to_bucket"))
     joined = rows.join(routed, match, "left").withColumns(
         {
             BLOCK: F.coalesce("_to", F.lit(0)),
@@ -167,97 +163,13 @@ def cut_blocks(
             "_base": F.coalesce("_base", F.lit(0)),
         }
     )
-    joined = joined.drop("_bucket", "_to_bucket", "_to", "_to_size", *[f"_to_{k}" for k in keys])
-
-    run = [*keys, BLOCK, *(["_base"] if counted else [])]
+    joined = joined.drop("_bucket", "_to_bucket", "_to", "_to_size", "_to_run")
     numbered = joined.withColumn(
-        ROW, F.col("_base") + F.row_number().over(Window.partitionBy(*run).orderBy(*order)) - 1
+        ROW, F.col("_base") + F.row_number().over(Window.partitionBy(RUN, BLOCK).orderBy(*order)) - 1
     )
     low = F.col(BLOCK) * F.col("_size")
     end = low + F.col("_size")
     numbered = numbered.withColumn(CORE, (F.col(ROW) >= low) & (F.col(ROW) < end))
     if not carries:  # a carried value is right only behind the whole bucket
-        near = F.col(ROW) >= low - lookback
-        near = near | F.col(counted).isNotNull() if counted else near
-        numbered = numbered.where(near & (F.col(ROW) < end + lookahead))
-    numbered = numbered.drop("_size", "_base")
-    helpers = (BLOCK, ROW, CORE, *carries) + (() if by else (ALL_KEY,))
-    return Blocks(numbered, keys, order, helpers)
-
-
-def negligible_after(alpha: float) -> int:
-    """Rows after which a term of an exponential average weighs less than 2**-80."""
-    return max(1, math.ceil(NEGLIGIBLE_BITS * math.log(2) / -math.log1p(-alpha)))
-
-
-@dataclass(frozen=True)
-class Recurrence:
-    """y[0] = x[first], y[t] = (1 - alpha) * y[t-1] + alpha * x[t] over the non-null rows of ``source``.
-
-    ``skip`` rows at the start of the series are left out; the value is null until ``min_rows``
-    rows have been seen after them.
-    """
-
-    out: str
-    source: Column
-    alpha: float
-    min_rows: int
-    skip: int = 0
-
-
-def recurrence_lookback(alphas: Sequence[float]) -> int:
-    return max(negligible_after(a) for a in alphas)
-
-
-def mark_segments(blocks: Blocks, counted: str, alphas: Sequence[float]) -> Blocks:
-    """Number the non-null rows of ``counted`` and cut them into segments for :func:`recur`.
-
-    Inside a segment of m rows the weights (1 - alpha)**-p stay representable, and a segment is so
-    long that only the one just before it still matters.
-    """
-    length = recurrence_lookback(alphas)
-    if length * -math.log1p(-max(alphas)) > MAX_SCALE_EXPONENT:
-        raise ValueError("smoothing factors too far apart for one pass; compute them separately")
-    blocks = blocks.with_columns({"_pos": F.count(counted).over(blocks.so_far)})
-    blocks = blocks.with_columns(
-        {
-            "_seg": F.expr(f"greatest(_pos - 1, 0) div {length}"),
-            "_off": F.expr(f"greatest(_pos - 1, 0) % {length}"),
-            "_end": (F.expr(f"_pos % {length}") == 0) & F.col(counted).isNotNull(),
-        }
-    )
-    return blocks.temporaries("_pos", "_seg", "_off", "_end")
-
-
-def recur(blocks: Blocks, specs: Sequence[Recurrence]) -> Blocks:
-    """Evaluate linear recurrences with running sums only (no per-row state in Python).
-
-    y = g**p * sum(w * x * g**-p) within the segment, plus g**(p+1) times the previous segment's
-    value, where g = 1 - alpha and w is 1 for the first row of the series and alpha after it.
-    """
-    inner = (
-        Window.partitionBy(*blocks.keys, BLOCK, "_seg")
-        .orderBy(*blocks.order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    earlier = (
-        Window.partitionBy(*blocks.keys, BLOCK)
-        .orderBy("_seg", *blocks.order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    terms, locals_, carried, outs = {}, {}, {}, {}
-    for s in specs:
-        g = 1.0 - s.alpha
-        weight = F.when(F.col("_pos") == s.skip + 1, 1.0).when(F.col("_pos") > s.skip + 1, s.alpha)
-        terms[f"_t_{s.out}"] = weight * s.source * F.pow(F.lit(g), -F.col("_off"))
-        locals_[f"_l_{s.out}"] = F.sum(f"_t_{s.out}").over(inner) * F.pow(F.lit(g), F.col("_off"))
-        carried[f"_c_{s.out}"] = F.last(F.when(F.col("_end"), F.col(f"_l_{s.out}")), True).over(earlier)
-        value = F.col(f"_l_{s.out}") + F.coalesce(
-            F.pow(F.lit(g), F.col("_off") + 1) * F.col(f"_c_{s.out}"), F.lit(0.0)
-        )
-        outs[s.out] = F.when(
-            (F.col("_pos") >= s.skip + s.min_rows) & F.col(f"_t_{s.out}").isNotNull(), value
-        )
-    for step in (terms, locals_, carried, outs):
-        blocks = blocks.with_columns(step)
-    return blocks.temporaries(*terms, *locals_, *carried)
+        numbered = numbered.where((F.col(ROW) >= low - lookback) & (F.col(ROW) < end + lookahead))
+    return Blocks(numbered.drop("_size", "_base"), (RUN,), order, helpers, is_cut)

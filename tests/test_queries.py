@@ -85,19 +85,27 @@ def test_price_filters_reach_the_scan(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(symbol" in plan or "PartitionFilters: [symbol" in plan
 
 
-def test_all_indicators_share_one_shuffle_by_block(spark, tick_series):
-    plan = _plan(technical_indicators(tick_series, order="id")).split("Initial Plan")[-1]
-    by_block = [x for x in plan.splitlines() if "Exchange hashpartitioning(symbol" in x and "_blk" in x]
-    assert len(by_block) == 1
-    assert "Exchange SinglePartition" not in plan
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert "Python" not in plan and "Arrow" not in plan
+def _ran(df):
+    df.collect()
+    return _plan(df).split("Initial Plan")[0]
 
 
-@pytest.mark.parametrize("name", ["b01_forward_fill", "c08_rsi", "d03_targets", "f03_create_sequences", "i10_calmar_ratio"])
+def test_all_indicators_share_one_shuffle_by_block(spark, tick_series):
+    """Short series are shuffled once, by key. Long ones once by block, and their prices alone once more for the blocks' maps."""
+    whole = _ran(technical_indicators(tick_series, order="id"))
+    cut = _ran(technical_indicators(tick_series, order="id", block_rows=200, bucket="id div 40"))
+    assert whole.count("Exchange hashpartitioning(") == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(_run#\d+, _blk", cut)) == 2
+    for plan in (whole, cut):
+        assert "Exchange SinglePartition" not in plan
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+        assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("name", ["b01_forward_fill_small_blocks", "c03_recursive_hourly_small_blocks", "d03_targets_small_blocks"])
 def test_no_series_is_gathered_in_one_task(spark, small, name):
     """Windows ordered by date are partitioned by block, never by symbol alone."""
     plan = _plan(QUERIES[name](spark, small))
     specs = re.findall(r"windowspecdefinition\(([^()]*)", plan)
-    ordered = [x for x in specs if "date#" in x]
+    ordered = [x for x in specs if re.search(r"\b(date|ts)#", x)]
     assert ordered and all("_blk#" in x for x in ordered)

@@ -5,9 +5,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from barflow.operators import series
+from barflow.operators import scan, series
 from barflow.operators.clean import forward_fill
-from barflow.operators.indicators import INDICATORS, ema, technical_indicators
+from barflow.operators.indicators import INDICATORS, ema, lookback_for, technical_indicators
 from barflow.operators.targets import target_variables
 
 BUCKET = "id div 40"
@@ -120,7 +120,49 @@ def test_a_gap_longer_than_the_halo_changes_nothing(spark, block_rows):
 def test_too_different_smoothing_factors_are_refused(tick_series):
     blocks = series.cut_blocks(tick_series, ["symbol"], "id", 10)
     with pytest.raises(ValueError):
-        series.mark_segments(blocks, "Close", [0.9, 0.001])
+        scan.averages(blocks, "Close", [scan.Average("a", F.col("Close"), 0.9, 1), scan.Average("b", F.col("Close"), 0.001, 1)])
+
+
+@pytest.mark.parametrize("block_rows", [7, 10, 40])
+def test_blocks_shorter_than_the_signal_waits(spark, block_rows):
+    """Blocks of fewer rows than an average needs, some without any price; two series, one with a null key."""
+    rng = np.random.default_rng(5)
+    x = pd.Series(np.abs(rng.normal(size=400).cumsum()) + 5)
+    x[rng.random(400) < 0.3] = np.nan
+    x[100:160] = np.nan
+    rows = [(k, i, None if np.isnan(v) else float(v) * m, 1) for k, m in ((None, 1.0), ("", 3.0)) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "symbol string, id int, Close double, Volume int")
+    got = technical_indicators(df, ["MACD_signal", "RSI", "EMA_26"], order="id", block_rows=block_rows, bucket="id div 5").toPandas()
+    p = x.dropna()
+    e12, e26 = p.ewm(span=12, adjust=False).mean(), p.ewm(span=26, adjust=False).mean()
+    signal = (e12 - e26).iloc[25:].ewm(span=9, adjust=False, min_periods=9).mean().reindex(x.index)
+    for key, part in got.groupby("symbol", dropna=False):
+        part = part.sort_values("id")
+        m = 3.0 if key == "" else 1.0
+        assert part["MACD_signal"].notna().sum() == signal.notna().sum() > 100
+        np.testing.assert_allclose(part["MACD_signal"].astype(float), signal * m, rtol=1e-9, atol=1e-12)
+        np.testing.assert_allclose(part["EMA_26"].astype(float), (e26.where(np.arange(len(p)) >= 25) * m).reindex(x.index), rtol=1e-12)
+
+
+def test_recurrences_need_no_neighbour_rows(tick_series):
+    assert lookback_for(["EMA_12", "EMA_26", "MACD", "MACD_signal", "MACD_histogram"]) == 0
+    assert lookback_for(["RSI"]) == 1 and lookback_for(INDICATORS) == 49
+
+
+def test_equal_factors_in_a_signal(spark):
+    """Fast average and signal with one factor: the coefficient's limit."""
+    df = spark.createDataFrame([("a", i, float(i % 11) + 1) for i in range(300)], "symbol string, id int, Close double")
+    fast, slow = scan.Average("f", F.col("Close"), 0.2, 1), scan.Average("s", F.col("Close"), 0.1, 5)
+    found = []
+    for rows in (1000, 20):
+        blocks = series.cut_blocks(df, ["symbol"], "id", 0, 0, rows, "id div 10")
+        blocks = scan.averages(blocks, "Close", [fast, slow], scan.Difference("z", fast, slow, 0.2, 3))
+        found.append(blocks.result(keep=["z"]).orderBy("id").toPandas()["z"].astype(float))
+    p = pd.Series([float(i % 11) + 1 for i in range(300)])
+    gap = p.ewm(alpha=0.2, adjust=False).mean() - p.ewm(alpha=0.1, adjust=False).mean()
+    want = gap.iloc[4:].ewm(alpha=0.2, adjust=False, min_periods=3).mean().reindex(p.index)
+    for f in found:
+        np.testing.assert_allclose(f, want, rtol=1e-9, atol=1e-12)
 
 
 @pytest.mark.parametrize("block_rows", [100_000, 50])
