@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_DIM = 384
+#: Texts counted in one vector step.
+ROWS_AT_ONCE = 1024
 WORD = r"([\p{L}\p{N}]+)"
 
 
@@ -28,19 +30,49 @@ def word_buckets(text: str | Column, dim: int = DEFAULT_DIM) -> Column:
     )
 
 
-def hash_embedding(text: str | Column, dim: int = DEFAULT_DIM) -> Column:
-    """L2-normalised word-count vector over hash buckets, ``array<float>``."""
+def hash_embedding(text: str | Column, dim: int = DEFAULT_DIM, weights: Sequence[float] | None = None) -> Column:
+    """L2-normalised word-count vector over hash buckets, ``array<float>``; zero without words.
+
+    ``weights``, one per bucket, multiply the counts first, such as the ``idf`` of ``fit_idf``.
+    """
+    scale = np.ones(dim) if weights is None else np.asarray(weights, dtype=np.float64)
+    if len(scale) != dim:
+        raise ValueError(f"{len(scale)} weights for {dim} buckets")
 
     @F.pandas_udf("array<float>")
     def count_buckets(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            rows = [np.bincount(np.asarray(b, dtype=np.int64), minlength=dim) if len(b) else np.zeros(dim) for b in part]
-            norms = [np.sqrt((r * r).sum()) or 1.0 for r in rows]
-            yield pd.Series([(r / n).astype(np.float32) for r, n in zip(rows, norms)])
+            found = [np.empty(0)] * len(part)
+            for lo in range(0, len(part), ROWS_AT_ONCE):
+                some = part.iloc[lo : lo + ROWS_AT_ONCE]
+                rows = np.repeat(np.arange(len(some)), some.map(len))
+                flat = np.concatenate([np.empty(0, np.int64), *some]).astype(np.int64)
+                counts = np.bincount(rows * dim + flat, minlength=len(some) * dim).reshape(len(some), dim) * scale
+                norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+                found[lo : lo + len(some)] = list((counts / np.where(norms == 0, 1.0, norms)).astype(np.float32))
+            yield pd.Series(found)
 
     return count_buckets(F.coalesce(word_buckets(text, dim), F.array().cast("array<int>")))
 
 
+def fit_idf(docs: DataFrame, text: str = "text", dim: int = DEFAULT_DIM) -> DataFrame:
+    """``bucket, texts, idf`` of all ``dim`` buckets: in how many texts a bucket occurs, and ln((n + 1) / (texts + 1)).
+
+    ``n`` counts all texts, null and empty ones too. One pass: a text gives each of its buckets once, counted before the shuffle.
+    """
+    distinct = docs.select(F.explode_outer(F.array_distinct(word_buckets(text, dim))).alias("bucket"))
+    texts = distinct.where(F.col("bucket").isNotNull()).groupBy("bucket").agg(F.count(F.lit(1)).alias("texts"))
+    frame = docs.sparkSession.range(dim).select(F.col("id").cast("int").alias("bucket"))
+    total = docs.agg(F.count(F.lit(1)))
+    found = frame.join(texts, "bucket", "left").withColumn("texts", F.coalesce("texts", F.lit(0)))
+    return found.withColumn("idf", F.log((total.scalar() + 1) / (F.col("texts") + 1)))
+
+
+def idf_weights(idf: DataFrame) -> list[float]:
+    """The weights in order of the buckets; as many numbers as a vector has, read by the driver."""
+    return [r["idf"] for r in idf.select("bucket", "idf").orderBy("bucket").collect()]
+
+
 def custom_embedding(text: str | Column, encode: Callable[[list[str]], np.ndarray]) -> Column:
     """Plug in any encoder: ``encode`` gets a batch of texts and returns one vector per text."""
 

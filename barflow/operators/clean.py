@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barflow.operators.groups import beside_groups
 from barflow.operators.quantiles import exact_quantiles
 from barflow.operators.series import BLOCK_ROWS, cut_blocks
 from barflow.session import materialize
@@ -48,9 +49,10 @@ def iqr_bounds(
     columns: Sequence[str],
     by: Sequence[str] = ("symbol",),
     factor: float = 1.5,
+    stored: bool = False,
 ) -> DataFrame:
     """Per group ``<column>_lo`` / ``<column>_hi``: quartiles -/+ ``factor`` times their distance."""
-    quartiles = exact_quantiles(df, columns, (0.25, 0.75), by)
+    quartiles = exact_quantiles(df, columns, (0.25, 0.75), by, stored)
     picks = []
     for c in columns:
         q1, q3 = F.col(f"{c}_p25"), F.col(f"{c}_p75")
@@ -60,7 +62,7 @@ def iqr_bounds(
 
 def cap_outliers(df: DataFrame, bounds: DataFrame, columns: Sequence[str], by: Sequence[str] = ("symbol",)) -> DataFrame:
     """Clamp to the group's bounds; nulls stay null. Columns become double."""
-    joined = df.join(bounds, list(by), "left")
+    joined = beside_groups(df, bounds, by)
     capped = {}
     for c in columns:
         value, lo, hi = F.col(c).cast("double"), F.col(f"{c}_lo"), F.col(f"{c}_hi")
@@ -81,7 +83,7 @@ def clean_price_data(
     """
     present = [c for c in columns if c in df.columns]
     filled = materialize(drop_empty_rows(forward_fill(df, present, by, order, block_rows), present))
-    return cap_outliers(filled, iqr_bounds(filled, present, by), present, by)
+    return cap_outliers(filled, iqr_bounds(filled, present, by, stored=True), present, by)
 
 
 def drop_missing_targets(df: DataFrame, target: str) -> DataFrame:

@@ -11,9 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barflow.operators.groups import beside_groups
 from barflow.operators.quantiles import exact_quantiles
-from barflow.operators.series import ALL_KEY, BLOCK, BLOCK_ROWS, ROW, cut_blocks
-from barflow.session import materialize
+from barflow.operators.series import BLOCK, BLOCK_ROWS, ROW, Blocks, cut_blocks
 
 TRADING_DAYS = 252
 IGNORED_LABEL = -100
@@ -127,7 +127,7 @@ def volatility_levels(
 ) -> DataFrame:
     """``<column>_level``: 2 above the 67th percentile, 1 above the 33rd, else 0, per column."""
     cuts = exact_quantiles(df, columns, (0.33, 0.67), by)
-    joined = _combine(df, cuts, by)
+    joined = beside_groups(df, cuts, by) if by else _combine(df, cuts, by)
     levels = {
         f"{c}_level": F.when(F.col(c) > F.col(f"{c}_p67"), 2).when(F.col(c) > F.col(f"{c}_p33"), 1).otherwise(0)
         for c in columns
@@ -157,23 +157,25 @@ def sharpe_ratio(df: DataFrame, returns: str = "ret", risk_free: float = 0.02, b
     )
 
 
-def _compounded(df: DataFrame, order: str, returns: str, by: Sequence[str], block_rows: int) -> tuple[DataFrame, list[str]]:
+def _compounded(df: DataFrame, order: str, returns: str, by: Sequence[str], block_rows: int) -> Blocks:
     """Rows with the product of 1 + return since the start of their block and its running maximum."""
     blocks = cut_blocks(df.select(*by, order, returns), by, order, 0, 0, block_rows)
     blocks = blocks.with_columns({"_grow": F.product(1 + F.col(returns)).over(blocks.so_far)})
-    blocks = blocks.with_columns({"_top": F.max("_grow").over(blocks.so_far)})
-    return blocks.df, list(by) or [ALL_KEY]
+    return blocks.with_columns({"_top": F.max("_grow").over(blocks.so_far)})
 
 
-def _block_states(rows: DataFrame, keys: list[str], returns: str) -> DataFrame:
-    """One row per block: what it adds to a drawdown, the product ``_factor`` of all blocks before it
+def _block_states(blocks: Blocks, by: Sequence[str], returns: str) -> DataFrame:
+    """One row per block: the state of its drawdown, and with it the product ``_factor`` of all blocks before it
     and the highest cumulative value ``_high`` reached before it.
 
-    A row's value over its peak is the smaller of its ratio to ``_high`` and its ratio to the peak inside
-    the block, so the lowest value and the lowest inner ratio of a block say all about it.
+    The state merges: of two blocks one after the other, the product is that of both products, the highest value the larger of the
+    first's and the second's times the first's product, and the deepest point the lowest of the first's own, the second's own, and
+    the second's lowest value over the first's highest. A row's value over its peak is the smaller of its ratio to ``_high`` and
+    its ratio to the peak inside the block, so the lowest value and the lowest inner ratio of a block say all about it.
     """
     inner = F.try_divide(F.col("_grow"), F.col("_top"))
-    states = rows.groupBy(*keys, BLOCK).agg(
+    states = blocks.df.groupBy(*blocks.keys, BLOCK).agg(
+        *[F.first(b).alias(b) for b in by],
         F.max_by("_grow", ROW).alias("_end"),
         F.max("_grow").alias("_max"),
         F.min(F.struct(F.col("_grow"), F.col(ROW))).alias("_low"),
@@ -181,7 +183,7 @@ def _block_states(rows: DataFrame, keys: list[str], returns: str) -> DataFrame:
         F.sum(returns).alias("_sum"),
         F.count(returns).alias("_n"),
     )
-    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*blocks.keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     states = states.withColumn("_factor", F.coalesce(F.product("_end").over(before), F.lit(1.0)))
     return states.withColumn("_high", F.max(F.col("_factor") * F.col("_max")).over(before))
 
@@ -192,18 +194,18 @@ def cumulative_returns(
     """Per row ``idx``, ``cumulative`` product of 1 + return, its running maximum ``peak`` and ``drawdown``.
 
     Both scans are running windows inside a block plus one value carried over from the blocks before, so
-    no series has to fit in one task.
+    no series has to fit in one task. A series in one block needs no carrying.
     """
-    rows, keys = _compounded(df, order, returns, by, block_rows)
-    rows = materialize(rows)
-    states = _block_states(rows, keys, returns).select(*keys, BLOCK, "_factor", "_high")
-    joined = rows.join(states, [*keys, BLOCK])
-    joined = joined.withColumn("cumulative", F.col("_factor") * F.col("_grow"))
-    joined = joined.withColumn("peak", F.greatest(F.col("_factor") * F.col("_top"), "_high"))
+    blocks = _compounded(df, order, returns, by, block_rows)
+    if blocks.is_cut:
+        states = _block_states(blocks, (), returns).select(*blocks.keys, BLOCK, "_factor", "_high")
+        rows = blocks.df.join(states, [*blocks.keys, BLOCK])
+        rows = rows.withColumn("cumulative", F.col("_factor") * F.col("_grow"))
+        rows = rows.withColumn("peak", F.greatest(F.col("_factor") * F.col("_top"), "_high"))
+    else:
+        rows = blocks.df.withColumns({"cumulative": F.col("_grow"), "peak": F.col("_top")})
     drawdown = F.try_divide(F.col("cumulative") - F.col("peak"), F.col("peak"))
-    return joined.select(
-        *by, order, F.col(returns), F.col(ROW).alias("idx"), "cumulative", "peak", drawdown.alias("drawdown")
-    )
+    return rows.select(*by, order, F.col(returns), F.col(ROW).alias("idx"), "cumulative", "peak", drawdown.alias("drawdown"))
 
 
 def _deepest(states: DataFrame) -> Column:
@@ -229,47 +231,67 @@ def max_drawdown(
 ) -> DataFrame:
     """Deepest drawdown, its first index, the first index that regains the peak, and the duration.
 
-    The duration is null without recovery, and also when the recovery index is 0. The depth comes from
-    block summaries; for the recovery only the rows of at most two blocks per series are looked at.
+    The duration is null without recovery, and also when the recovery index is 0. A series in one block takes one
+    aggregation: every row knows the next one at its peak. For a cut one the depth comes from the merged states of its
+    blocks, and for the recovery only the rows of at most two blocks are looked at, as where a block first regains a
+    given peak has no state of fixed size.
     """
-    rows, keys = _compounded(df, order, returns, by, block_rows)
-    rows = materialize(rows.select(*keys, BLOCK, ROW, returns, "_grow", "_top"))
-    states = _block_states(rows, keys, returns)
+    blocks = _compounded(df, order, returns, by, block_rows)
+    found = _recovery_of_cut(blocks, by, returns) if blocks.is_cut else _recovery_of_whole(blocks, by)
+    duration = F.when(F.col("recovery_idx") > 0, F.col("recovery_idx") - F.col("max_drawdown_idx"))
+    return found.select(
+        *by, "max_drawdown", "max_drawdown_idx", "recovery_idx", duration.alias("drawdown_duration")
+    )
+
+
+def _recovery_of_whole(blocks: Blocks, by: Sequence[str]) -> DataFrame:
+    ahead = blocks.window.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    rows = blocks.with_columns({"_back": F.min(F.when(F.col("_grow") >= F.col("_top"), F.col(ROW))).over(ahead)}).df
+    q = F.try_divide(F.col("_grow"), F.col("_top"))
+    worst = F.min(F.struct(q.alias("q"), F.col(ROW).alias("row"), F.col("_back").alias("back")))
+    found = rows.groupBy(*blocks.keys).agg(*[F.first(b).alias(b) for b in by], worst.alias("_w"))
+    return found.select(
+        *by, (F.col("_w.q") - 1).alias("max_drawdown"), F.col("_w.row").alias("max_drawdown_idx"), F.col("_w.back").alias("recovery_idx")
+    )
+
+
+def _recovery_of_cut(blocks: Blocks, by: Sequence[str], returns: str) -> DataFrame:
+    keys = blocks.keys
+    states = _block_states(blocks, by, returns)
     series = Window.partitionBy(*keys)
     states = states.withColumn("_deep", _deepest(states))
     states = states.withColumn("_w", F.min(F.struct("_deep", BLOCK)).over(series))
     states = states.select(
-        *keys, BLOCK, "_factor", "_max", "_w._deep.q", "_w._deep.row", "_w._deep.peak", F.col(f"_w.{BLOCK}").alias("_at")
+        *keys, BLOCK, *by, "_factor", "_max", "_w._deep.q", "_w._deep.row", "_w._deep.peak", F.col(f"_w.{BLOCK}").alias("_at")
     )
     later = F.col(BLOCK) > F.col("_at")
     regains = later & (F.col("_factor") * F.col("_max") >= F.col("peak"))
     visits = states.withColumn("_next", F.min(F.when(regains, F.col(BLOCK))).over(series))
     visits = visits.where((F.col(BLOCK) == F.col("_at")) | (F.col(BLOCK) == F.col("_next")))
-    seen = rows.select(*keys, BLOCK, ROW, "_grow").join(
-        visits.select(*keys, BLOCK, "_factor", "q", "row", "peak"), [*keys, BLOCK]
+    seen = blocks.df.select(*keys, BLOCK, ROW, "_grow").join(
+        visits.select(*keys, BLOCK, *by, "_factor", "q", "row", "peak"), [*keys, BLOCK]
     )
     back = (F.col(ROW) >= F.col("row")) & (F.col("_factor") * F.col("_grow") >= F.col("peak"))
-    found = seen.groupBy(*keys).agg(
+    return seen.groupBy(*keys).agg(
+        *[F.first(b).alias(b) for b in by],
         (F.first("q") - 1).alias("max_drawdown"),
         F.first("row").alias("max_drawdown_idx"),
         F.min(F.when(back, F.col(ROW))).alias("recovery_idx"),
     )
-    duration = F.when(F.col("recovery_idx") > 0, F.col("recovery_idx") - F.col("max_drawdown_idx"))
-    return found.select(
-        *by, "max_drawdown", "max_drawdown_idx", "recovery_idx", duration.alias("drawdown_duration")
-    )
 
 
 def calmar_ratio(
     df: DataFrame, order: str, returns: str = "ret", by: Sequence[str] = (), block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Annual mean return over the depth of the deepest drawdown, from block summaries alone."""
-    rows, keys = _compounded(df, order, returns, by, block_rows)
-    states = _block_states(rows, keys, returns)
+    """Annual mean return over the depth of the deepest drawdown, from block states alone."""
+    blocks = _compounded(df, order, returns, by, block_rows)
+    states = _block_states(blocks, by, returns)
     # Without ``by`` there is one series, and a row even if it is empty.
-    found = states.withColumn("_deep", _deepest(states)).groupBy(*by).agg(
-        F.try_divide(F.sum("_sum"), F.sum("_n")).alias("m"), (F.min("_deep.q") - 1).alias("d")
-    )
+    keys = blocks.keys if by else ()
+    found = states.withColumn("_deep", _deepest(states)).groupBy(*keys).agg(
+        *[F.first(b).alias(b) for b in by],
+        F.try_divide(F.sum("_sum"), F.sum("_n")).alias("m"), (F.min("_deep.q") - 1).alias("d"),
+    )
     annual = F.col("m") * TRADING_DAYS
     value = (
         F.when(F.col("d").isNull(), 0.0)

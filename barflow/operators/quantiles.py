@@ -1,4 +1,10 @@
-"""Exact linear-interpolated quantiles by selection, one way for every group size."""
+"""Exact linear-interpolated quantiles by radix selection, one way for every group size.
+
+A double is mapped to a 64-bit integer of the same order. A histogram over the integers' first digits, per group and column,
+tells in which digit each wanted rank lies; only the values there are looked at again, by their next digits, until the
+whole integer is known. Histograms are counted before they are shuffled, and no group is gathered: what is kept of it
+gets smaller with every digit.
+"""
 
 from __future__ import annotations
 
@@ -7,9 +13,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barflow.operators.series import key_text
 from barflow.session import materialize
 
-SKETCH_ACCURACY = 10_000
+#: Bits below the digits looked at so far, level by level: digits of 16, 24 and 24 bits.
+SHIFTS = (48, 24, 0)
+_GROUP = "_run"
 
 
 def _name(column: str, prob: float) -> str:
@@ -20,81 +29,85 @@ def quantile_names(column: str, probs: Sequence[float]) -> list[str]:
     return [_name(column, p) for p in probs]
 
 
+def sortable(x: Column) -> Column:
+    """A 64-bit integer in the order of the doubles: exponent and fraction of the magnitude, negated below zero; NaN is largest.
+
+    Powers of two and quotients by them are exact, so different doubles get different integers, and both zeros get 0.
+    """
+    size = F.abs(x)
+    guess = F.floor(F.log2(size))
+    power = guess + F.when(F.pow(F.lit(2.0), guess) > size, -1).when(F.pow(F.lit(2.0), guess + 1) <= size, 1).otherwise(0)
+    power = F.greatest(F.least(power, F.lit(1023)), F.lit(-1022))
+    # Halves of the power keep every factor a normal number.
+    scaled = size / F.pow(F.lit(2.0), F.floor(power / 2)) / F.pow(F.lit(2.0), power - F.floor(power / 2)) * F.lit(2.0**52)
+    normal = (power + 1022) * F.lit(1 << 52) + scaled.cast("bigint")
+    tiny = (size * F.lit(2.0**537) * F.lit(2.0**537)).cast("bigint")
+    magnitude = F.when(size == 0, F.lit(0)).when(size < F.lit(2.0**-1022), tiny).when(size == F.lit(float("inf")), F.lit(2047 << 52)).otherwise(normal)
+    return F.when(F.isnan(x), F.lit((1 << 63) - 1)).when(x < 0, -magnitude).otherwise(magnitude).cast("bigint")
+
+
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), stored: bool = False
 ) -> DataFrame:
     """One row per group with ``<column>_p<percent>`` columns; nulls are ignored, a group of nulls has null quantiles.
 
-    Three aggregations over the named columns, none of which gathers a group: a sketch proposes cut points around
-    each quantile, exact counts up to the cuts tell which interval holds each wanted rank, and only the distinct
-    values of those intervals are ranked. A poor sketch makes an interval wider but never changes the result.
+    Without ``by`` there is one row, also for an empty table. ``stored`` says that ``df`` is a stored table, which is read
+    twice; another one is stored first.
     """
-    by = list(by)
-    slack = 2.0 / SKETCH_ACCURACY
-    marks = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)})
-    rows = materialize(df.select(*by, *[F.col(c).cast("double").alias(f"_v_{c}") for c in columns]))
-
-    sketch = [F.percentile_approx(f"_v_{c}", F.array(*map(F.lit, marks)), SKETCH_ACCURACY).alias(f"_cuts_{c}") for c in columns]
-    cuts = materialize(rows.groupBy(*by).agg(*sketch, *[F.count(f"_v_{c}").alias(f"_n_{c}") for c in columns]))
-
-    upto = [
-        F.count_if(F.col(f"_v_{c}") <= F.col(f"_cuts_{c}")[i]).alias(f"_{i}_{c}")
-        for c in columns
-        for i in range(len(marks))
-    ]
-    counted = _beside(rows, cuts, by, [f"_cuts_{c}" for c in columns]).groupBy(*by).agg(*upto)
-    counted = _beside(cuts, counted, by, [f"_{i}_{c}" for c in columns for i in range(len(marks))])
-    wanted = {(c, i, s): f"_w_{k}_{i}_{s}" for k, c in enumerate(columns) for i in range(len(probs)) for s in ("lo", "hi")}
-    spans = materialize(
-        counted.select(*by, *[_span(c, probs[i], s, len(marks)).alias(name) for (c, i, s), name in wanted.items()])
-    )
-
-    hits = []
-    for (c, _, _), name in wanted.items():
-        v, span = F.col(f"_v_{c}"), F.col(name)
-        inside = (span["above"].isNull() | (v > span["above"])) & (span["below"].isNull() | (v <= span["below"]))
-        hits.append(F.when(inside, F.struct(F.lit(name).alias("_w"), v.alias("_x"), span["skip"].alias("_skip"))))
-    near = _beside(rows, spans, by, list(wanted.values()))
-    near = near.select(*by, F.explode(F.filter(F.array(*hits), lambda h: h["_x"].isNotNull())).alias("_h"))
-    near = near.groupBy(*by, "_h._w", "_h._skip", "_h._x").agg(F.count(F.lit(1)).alias("_m"))
-    before = Window.partitionBy(*by, "_w").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
-    near = near.withColumn("_before", F.coalesce(F.sum("_m").over(before), F.lit(0)))
-    near = near.where((F.col("_before") <= F.col("_skip")) & (F.col("_skip") < F.col("_before") + F.col("_m")))
-    found = near.groupBy(*by).agg(*[F.max(F.when(F.col("_w") == n, F.col("_x"))).alias(f"{n}_x") for n in wanted.values()])
-
-    both = _beside(spans, found, by, [f"{n}_x" for n in wanted.values()])
+    by, names = list(by), [f"_v{i}" for i in range(len(columns))]
+    values = [F.col(c).cast("double").alias(n) for c, n in zip(columns, names, strict=True)]
+    rows = df.select(*by, *values) if stored else materialize(df.select(*by, *values))
+    rows = rows.withColumn(_GROUP, key_text(by))
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(n).alias("x")) for i, n in enumerate(names)]))
+
+    first = rows.select(*by, _GROUP, each.alias("v")).select(*by, _GROUP, "v.c", "v.x")
+    digits = F.when(F.col("x").isNotNull(), F.shiftright(sortable(F.col("x")), SHIFTS[0]))
+    held = [F.first(b).alias(b) for b in by]
+    level = materialize(first.withColumn("digit", digits).groupBy(_GROUP, "c", "digit").agg(*held, F.count(F.lit(1)).alias("n")))
+    groups = level.groupBy(_GROUP).agg(F.count(F.lit(1)).alias("_all"), *held)
+    wanted = level.filter("digit IS NOT NULL").groupBy(_GROUP, "c").agg(F.sum("n").alias("total"))
+    wanted = wanted.select(_GROUP, "c", F.explode(F.array(*[_ranks(k, p) for k, p in enumerate(probs)])).alias("r"))
+    sides = [F.struct("r.k", F.lit(s).alias("side"), F.col(f"r.{s}").alias("rank"), "r.frac") for s in ("lo", "hi")]
+    wanted = wanted.select(_GROUP, "c", F.explode(F.array(*sides)).alias("r")).select(_GROUP, "c", "r.*")
+
+    found = _narrow(level.filter("digit IS NOT NULL"), wanted, [_GROUP, "c"])
+    spots = found.select(_GROUP, "c", "digit").distinct()
+    near = first.filter("x IS NOT NULL").select(_GROUP, "c", "x", sortable(F.col("x")).alias("key"))
+    near = near.withColumn("digit", F.shiftright("key", SHIFTS[0])).join(spots, [_GROUP, "c", "digit"])
+    near = materialize(near.groupBy(_GROUP, "c", "key").agg(F.first("x").alias("x"), F.count(F.lit(1)).alias("n")))
+    for above, below in zip(SHIFTS, SHIFTS[1:], strict=False):
+        level = near.withColumns({"upper": F.shiftright("key", above), "digit": F.shiftright("key", below)})
+        level = level.groupBy(_GROUP, "c", "upper", "digit").agg(F.sum("n").alias("n"), F.min("x").alias("x"))
+        found = _narrow(level, found.withColumnRenamed("digit", "upper").drop("x"), [_GROUP, "c", "upper"])
+
+    at = {(i, k, s): F.max(F.when((F.col("c") == i) & (F.col("k") == k) & (F.col("side") == s), F.col("x"))).alias(f"_{i}_{k}_{s}")
+          for i in range(len(columns)) for k in range(len(probs)) for s in ("lo", "hi")}
+    part = {(i, k): F.max(F.when((F.col("c") == i) & (F.col("k") == k), F.col("frac"))).alias(f"_{i}_{k}") for i, k, _ in at}
+    wide = found.groupBy(_GROUP).agg(*at.values(), *part.values())
+    if not by:
+        groups = df.sparkSession.range(1).select(key_text([]).alias(_GROUP))
     picks = []
-    for c in columns:
-        for i, p in enumerate(probs):
-            lo, hi = (F.col(wanted[c, i, s] + "_x") for s in ("lo", "hi"))
-            picks.append((lo + (hi - lo) * F.col(wanted[c, i, "lo"])["frac"]).alias(_name(c, p)))
-    return both.select(*by, *picks)
+    for i, c in enumerate(columns):
+        for k, p in enumerate(probs):
+            lo, hi = F.col(f"_{i}_{k}_lo"), F.col(f"_{i}_{k}_hi")
+            picks.append((lo + F.when(hi == lo, F.lit(0.0)).otherwise((hi - lo) * F.col(f"_{i}_{k}"))).alias(_name(c, p)))
+    return groups.join(wide, _GROUP, "left").select(*by, *picks)
 
 
-def _span(c: str, prob: float, side: str, marks: int) -> Column:
-    """Interval (above, below] that holds a wanted rank, the rank's place in it, and the weight of the upper rank."""
-    exact = (F.col(f"_n_{c}") - 1) * F.lit(float(prob))
+def _ranks(k: int, prob: float) -> Column:
+    """Places, from 0, of the two values a quantile lies between, and how far it lies from the lower one."""
+    exact = (F.col("total") - 1) * F.lit(float(prob))
     low = F.floor(exact)
-    rank = low if side == "lo" else F.least(low + 1, F.col(f"_n_{c}") - 1)
-    ends = [(F.col(f"_cuts_{c}")[i], F.col(f"_{i}_{c}")) for i in range(marks)]
-    above = F.array(*[F.when(n <= rank, cut) for cut, n in ends])
-    below = F.array(*[F.when(n > rank, cut) for cut, n in ends])
-    skipped = F.array(F.lit(0).cast("bigint"), *[F.when(n <= rank, n) for _, n in ends])
-    span = F.struct(
-        F.array_max(above).alias("above"),
-        F.array_min(below).alias("below"),
-        (rank - F.array_max(skipped)).alias("skip"),
-        (exact - low).alias("frac"),
+    return F.struct(
+        F.lit(k).alias("k"), low.alias("lo"), F.least(low + 1, F.col("total") - 1).alias("hi"), (exact - low).alias("frac")
     )
-    return F.when(F.col(f"_n_{c}") > 0, span)
 
 
-def _beside(left: DataFrame, right: DataFrame, by: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Columns of the right table, one row per group, beside the rows of the left one. A whole table is one group."""
-    if not by:
-        return left.withColumns({n: right.select(n).scalar() for n in names})
-    renamed = right.select(*[F.col(b).alias(f"_r_{b}") for b in by], *names)
-    same = F.lit(True)
-    for b in by:
-        same = same & left[b].eqNullSafe(renamed[f"_r_{b}"])
-    return left.join(renamed, same, "left").drop(*[f"_r_{b}" for b in by])
+def _narrow(level: DataFrame, wanted: DataFrame, within: list[str]) -> DataFrame:
+    """The digits that hold the wanted ranks, and the ranks inside them: a running sum over a histogram of one digit."""
+    order = Window.partitionBy(*within).orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)
+    before = level.withColumn("_before", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    inside = (F.col("rank") >= F.col("_before")) & (F.col("rank") < F.col("_before") + F.col("n"))
+    kept = [c for c in ("x",) if c in level.columns]
+    held = before.join(wanted, within).filter(inside).withColumn("rank", F.col("rank") - F.col("_before"))
+    return held.select(*[c for c in within if c != "upper"], "digit", "k", "side", "rank", "frac", *kept)

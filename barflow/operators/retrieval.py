@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,6 +12,7 @@ from pyspark.sql import functions as F
 
 from barflow.functions.prompts import retrieval_query
 from barflow.functions.vectors import DEFAULT_DIM, hash_embedding
+from barflow.operators.cells import CELLS, FIT_ROWS, Cells, checked, cut_cells, nearest_centre, search_exact, search_probed, unit
 from barflow.session import materialize
 from barflow.sources.store import path_exists
 
@@ -22,16 +21,8 @@ SIMILARITY_THRESHOLD = 0.7
 CONTEXT_BUDGET = 2048
 CHUNK_SIZE, CHUNK_OVERLAP = 512, 50
 LISTS = 100
-METRICS = ("cosine", "l2")
 METHODS = ("flat", "ivf")
 
-# Queries up to this size go to every executor; larger sets are searched block against block.
-BROADCAST_BYTES = 64 * 1024 * 1024
-DOC_BLOCK_ROWS = 16_384
-QUERY_BLOCK_ROWS = 4_096
-# Scores are compared at this many decimals, so that equal vectors tie in any summation order.
-SCORE_DECIMALS = 10
-
 # --- documents -----------------------------------------------------------------------------------
 
 
@@ -114,148 +105,43 @@ def index_stats(docs: DataFrame, store: str = "flat", model: str = "hash") -> Da
 # --- top-k search --------------------------------------------------------------------------------
 
 
-def _unit(m: np.ndarray) -> np.ndarray:
-    norms = np.sqrt((m * m).sum(axis=1, keepdims=True))
-    return m / np.where(norms == 0, 1.0, norms)
-
-
-def _scores(queries: np.ndarray, docs: np.ndarray, metric: str) -> np.ndarray:
-    """Score matrix in double precision on unit vectors; larger is better (distances are negated)."""
-    inner = _unit(queries) @ _unit(docs).T
-    if metric == "cosine":
-        return np.round(inner, SCORE_DECIMALS)
-    q2 = (_unit(queries) ** 2).sum(axis=1)[:, None]
-    d2 = (_unit(docs) ** 2).sum(axis=1)[None, :]
-    return -np.round(np.maximum(q2 + d2 - 2 * inner, 0.0), SCORE_DECIMALS)
-
-
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best of one query, by score and then by smaller id."""
-    if len(scores) > k:
-        kth = np.partition(scores, len(scores) - k)[len(scores) - k]
-        near = np.flatnonzero(scores >= kth)
-    else:
-        near = np.arange(len(scores))
-    return near[np.lexsort((ids[near], -scores[near]))[:k]]
-
-
-def _hits(query_ids: np.ndarray, scores: np.ndarray, doc_ids: np.ndarray, k: int) -> pd.DataFrame:
-    picks = [_best(row, doc_ids, k) for row in scores]
-    return pd.DataFrame(
-        {
-            "query_id": np.repeat(query_ids, [len(p) for p in picks]),
-            "doc_id": np.concatenate([doc_ids[p] for p in picks]) if picks else doc_ids[:0],
-            "_s": np.concatenate([row[p] for row, p in zip(scores, picks)]) if picks else np.zeros(0),
-        }
-    )
-
-
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float64)
-
-
-_HIT_SCHEMA = "query_id bigint, doc_id bigint, _s double"
-
-
-def _search_broadcast(docs: DataFrame, queries: pd.DataFrame, k: int, metric: str) -> DataFrame:
-    """Stream every document partition past all queries; a partition returns k rows per query."""
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (queries["query_id"].to_numpy(), _matrix(queries["vec"]) if len(queries) else np.zeros((0, 1)))
-    )
-
-    def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, matrix = shared.value
-        best = None
-        for part in parts:
-            if not len(part) or not len(ids):
-                continue
-            found = _hits(ids, _scores(matrix, _matrix(part["vec"]), metric), part["doc_id"].to_numpy(), k)
-            best = found if best is None else pd.concat([best, found])
-            best = best.sort_values(["query_id", "_s", "doc_id"], ascending=[True, False, True])
-            best = best.groupby("query_id", sort=False).head(k)
-        if best is not None:
-            yield best
-
-    return docs.select("doc_id", "vec").where(F.col("vec").isNotNull()).mapInPandas(scan, _HIT_SCHEMA)
-
-
-def _search_cells(docs: DataFrame, queries: DataFrame, k: int, metric: str, query_blocks: int) -> DataFrame:
-    """Search documents and queries that meet in a cell, a bounded block of each at a time.
-
-    ``docs``: (cell, doc_id, vec), ``queries``: (cell, query_id, vec). A cell of any size is split into
-    document blocks by its exact count, and its queries visit every block. Only k rows per query and
-    block leave a task.
-    """
-    counts = docs.groupBy("cell").agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.select("cell", F.ceil(F.col("_n") / DOC_BLOCK_ROWS).cast("int").alias("_blocks"))
-    left = (
-        docs.join(counts, "cell")
-        .withColumn("_db", F.pmod(F.xxhash64("doc_id"), F.col("_blocks")).cast("int"))
-        .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-        .select("cell", "_db", "_qb", "doc_id", "vec")
-    )
-    right = (
-        queries.join(counts, "cell")
-        .withColumn("_db", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        .withColumn("_qb", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))
-        .select("cell", "_db", "_qb", "query_id", "vec")
-    )
-
-    def meet(d: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        if not len(d) or not len(q):
-            return pd.DataFrame({"query_id": [], "doc_id": [], "_s": []}).astype(
-                {"query_id": "int64", "doc_id": "int64", "_s": "float64"}
-            )
-        scores = _scores(_matrix(q["vec"]), _matrix(d["vec"]), metric)
-        return _hits(q["query_id"].to_numpy(), scores, d["doc_id"].to_numpy(), k)
-
-    key = ["cell", "_db", "_qb"]
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(meet, _HIT_SCHEMA)
-
-
-def _rank(partial: DataFrame, k: int, metric: str) -> DataFrame:
-    best = Window.partitionBy("query_id").orderBy(F.desc("_s"), "doc_id")
-    ranked = partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    score = F.col("_s") if metric == "cosine" else F.abs("_s")
-    return ranked.select("query_id", "rank", "doc_id", score.alias("score"))
-
-
-def _checked(metric: str) -> None:
-    if metric not in METRICS:
-        raise ValueError(f"unsupported metric {metric!r}")
-
-
 def search_flat(
     docs: DataFrame,
     queries: DataFrame,
     k: int = TOP_K,
     metric: str = "cosine",
-    broadcast_bytes: int = BROADCAST_BYTES,
+    cells: int = CELLS,
 ) -> DataFrame:
     """Exact top-k: ``(query_id, rank, doc_id, score)``, fewer rows when there are fewer documents.
 
     ``cosine`` scores are similarities (descending), ``l2`` squared distances of unit vectors
-    (ascending). ``docs``: (doc_id, vec), ``queries``: (query_id, vec).
+    (ascending). ``docs``: (doc_id, vec), ``queries``: (query_id, vec). One way for every size: ``search_exact`` over
+    the cells of sampled centres.
     """
-    _checked(metric)
-    queries = queries.select("query_id", "vec").where(F.col("vec").isNotNull())
-    n, dim = queries.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
-    if n * (dim or 0) * 8 <= broadcast_bytes:
-        return _rank(_search_broadcast(docs, queries.toPandas(), k, metric), k, metric)
-    zero = F.lit(0).alias("cell")
-    left = docs.where(F.col("vec").isNotNull()).select(zero, "doc_id", "vec")
-    blocks = max(1, math.ceil(n / QUERY_BLOCK_ROWS))
-    return _rank(_search_cells(left, queries.select(zero, "query_id", "vec"), k, metric, blocks), k, metric)
+    checked(metric)
+    return search_exact(cut_cells(docs.select("doc_id", "vec"), cells), queries, k, metric)
 
 
 def train_cells(docs: DataFrame, lists: int = LISTS, seed: int = 42, iterations: int = 10) -> tuple[DataFrame, DataFrame]:
-    """Cluster the vectors: ``docs`` with a ``cell`` column, and the centroids ``(cell, vec)``."""
-    unit = materialize(docs.where(F.col("vec").isNotNull()))
-    featured = unit.withColumn("_f", array_to_vector(F.transform("vec", lambda x: x.cast("double"))))
+    """Cluster the vectors: ``docs`` with a ``cell`` column, and the centroids ``(cell, vec)``.
+
+    The clusters are fitted on at most ``FIT_ROWS`` vectors, those of least hash; every vector gets a cell.
+    """
+    some = docs.where(F.col("vec").isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS).select("vec")
+    featured = materialize(some.select(array_to_vector(F.transform("vec", lambda x: x.cast("double"))).alias("_f")))
     model = KMeans(k=lists, seed=seed, maxIter=iterations, featuresCol="_f", predictionCol="cell").fit(featured)
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     centroids = docs.sparkSession.createDataFrame(centers, "cell int, vec array<float>")
-    return model.transform(featured).drop("_f"), centroids
+    return assign_cells(docs, centroids), centroids
+
+
+def _centre_matrix(centroids: DataFrame) -> np.ndarray:
+    return unit(np.array([r["vec"] for r in centroids.orderBy("cell").collect()], np.float64))
+
+
+def assign_cells(docs: DataFrame, centroids: DataFrame) -> DataFrame:
+    """``docs`` with a vector, each with the ``cell`` whose centroid is nearest at unit length. Cells are numbered from 0."""
+    return materialize(nearest_centre(docs, _centre_matrix(centroids)).drop("_far"))
 
 
 def search_ivf(
@@ -267,13 +153,9 @@ def search_ivf(
     metric: str = "l2",
 ) -> DataFrame:
     """Top-k among the documents of the ``probes`` cells whose centroids are nearest to the query."""
-    _checked(metric)
-    queries = queries.select("query_id", "vec").where(F.col("vec").isNotNull())
-    nearest = search_flat(centroids.select(F.col("cell").cast("bigint").alias("doc_id"), "vec"), queries, probes, "l2")
-    visits = nearest.select("query_id", F.col("doc_id").cast("int").alias("cell")).join(queries, "query_id")
-    blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK_ROWS))
-    found = _search_cells(cells.select("cell", "doc_id", "vec"), visits, k, metric, blocks)
-    return _rank(found, k, metric)
+    centres = _centre_matrix(centroids)
+    nothing = np.zeros(len(centres))
+    return search_probed(Cells(cells.select("cell", "doc_id", "vec"), centres, nothing, nothing), queries, k, probes, metric)
 
 
 def search(

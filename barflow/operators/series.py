@@ -84,7 +84,7 @@ class Blocks:
         return self.df.where(CORE).drop(*[c for c in self.added if c not in keep])
 
 
-def _run(keys: Sequence[str]) -> Column:
+def key_text(keys: Sequence[str]) -> Column:
     """The key of a series as one text that is never null, so that joins on it need no null-safe comparison."""
     parts = [F.coalesce(F.concat(F.length(F.col(k).cast("string")).cast("string"), F.lit(":"), F.col(k).cast("string")), F.lit("-")) for k in keys]
     return F.concat(*parts) if parts else F.lit("")
@@ -110,7 +110,7 @@ def cut_blocks(
     """
     order = (order,) if isinstance(order, str) else tuple(order)
     carries = carries or {}
-    rows = (df if by else df.withColumn(ALL_KEY, F.lit(0))).withColumn(RUN, _run(by))
+    rows = (df if by else df.withColumn(ALL_KEY, F.lit(0))).withColumn(RUN, key_text(by))
     if bucket is None:
         bucket = default_bucket(df, order[0])
     rows = rows.withColumn("_bucket", F.expr(bucket) if isinstance(bucket, str) else bucket)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barflow.operators.indicators import pct_change, technical_indicators
 from barflow.operators.series import cut_blocks
-from barflow.session import spread
+from barflow.session import materialize, spread
 from barflow.sources.market import resample_ohlcv
 
 TRADE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
@@ -50,8 +50,8 @@ def trades(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bars(spark: SparkSession, folder: str) -> DataFrame:
-    """Daily bars of all suppliers; grows with the data."""
-    return resample_ohlcv(trades(spark, folder), "1d", volume="size", order=TRADE_ORDER)
+    """Daily bars of all suppliers, stored, as the operators read them more than once; grows with the data."""
+    return materialize(resample_ohlcv(trades(spark, folder), "1d", volume="size", order=TRADE_ORDER))
 
 
 def bars_gaps(spark: SparkSession, folder: str) -> DataFrame:

@@ -314,7 +314,7 @@ _SHOTS = (
     "|| 'Output: UP' || chr(10) || chr(10) || 'Example 2:' || chr(10) || 'Input: flat volume' || chr(10) || 'Output: DOWN' || chr(10) || chr(10)"
 )
 query("g22_few_shot", _TEXTS.format(expr=_SHOTS))(_vary("few_shot", examples=_examples))
-query("g23_chain_of_thought", _TEXTS.format(expr=f"text || {_q(P.STEP_BY_STEP)}"))(_vary("chain_of_thought"))
+query("g23_chain_of_thought", _TEXTS.format(expr=f"text || {_q(P.SHOW_REASONING)}"))(_vary("chain_of_thought"))
 _ROLE = "'Take the part of a seasoned {role} and judge from the data below.' || chr(10) || chr(10) || text"
 query("g24_role_play", _TEXTS.format(expr=_ROLE.format(role="financial analyst")))(_vary("role_playing"))
 query("g21_optimize_prompt_role", _TEXTS.format(expr=_ROLE.format(role="risk manager")))(

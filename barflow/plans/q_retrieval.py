@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from barflow.functions.vectors import hash_embedding, l2_norm, l2_normalize, word_buckets
+from barflow.functions.vectors import custom_embedding, fit_idf, hash_embedding, idf_weights, l2_norm, l2_normalize, word_buckets
+from barflow.operators import cells as C
 from barflow.operators import retrieval as R
 from barflow.plans import inputs as I
 from barflow.plans.inputs import sql
 from barflow.plans.registry import query
-from barflow.session import shared_dir
+from barflow.session import materialize, shared_dir
 
 DIM = 64
 # Scores of hashed texts are compared at this many digits.
@@ -88,6 +91,47 @@ def embed_text(spark, folder):
     return vec.select("doc_id", F.col("bucket").cast("bigint").alias("bucket"), F.round(F.col("x").cast("double"), 4).alias("x"))
 
 
+_IDF = {
+    **_hashed("documents", "doc_id", "text"),
+    "df": "SELECT bucket, count(*) AS texts FROM documents_tf GROUP BY bucket",
+    "idf": f"SELECT CAST(b AS INT) AS bucket, coalesce(texts, 0) AS texts, ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (coalesce(texts, 0) + 1)) "
+    f"AS idf FROM (SELECT unnest(range({DIM})) AS b) LEFT JOIN df ON b = bucket",
+    "weighted": "SELECT id, t.bucket, tf * idf AS w FROM documents_tf t JOIN idf USING (bucket)",
+}
+
+
+@query("h04_fit_idf", sql("SELECT bucket, texts, round(idf, 9) AS idf FROM idf", extra=_IDF))
+def fit_weights(spark, folder):
+    return fit_idf(I.documents(spark, folder), dim=DIM).withColumn("idf", F.round("idf", 9))
+
+
+@query(
+    "h04_idf_embedding",
+    sql("SELECT id AS doc_id, bucket, round(w / sqrt(sum(w * w) OVER (PARTITION BY id)), 4) AS x FROM weighted", extra=_IDF),
+)
+def embed_weighted(spark, folder):
+    docs = I.documents(spark, folder)
+    weights = idf_weights(fit_idf(docs, dim=DIM))
+    vec = docs.select("doc_id", F.posexplode(hash_embedding("text", DIM, weights)).alias("bucket", "x"), word_buckets("text", DIM).alias("own"))
+    vec = vec.where(F.array_contains("own", F.col("bucket")))
+    return vec.select("doc_id", F.col("bucket").cast("bigint").alias("bucket"), F.round(F.col("x").cast("double"), 4).alias("x"))
+
+
+def _letters(texts):
+    """An encoder of one's own: code points, blanks and digits of a text."""
+    return np.array([[len(t), t.count(" "), sum(c in "0123456789" for c in t)] for t in texts], dtype=np.float64)
+
+
+@query(
+    "h04_custom_embedding",
+    "SELECT doc_id, length(coalesce(text, '')) AS chars, len(regexp_extract_all(coalesce(text, ''), ' ')) AS blanks, "
+    "len(regexp_extract_all(coalesce(text, ''), '[0-9]')) AS digits FROM documents",
+)
+def embed_custom(spark, folder):
+    vec = I.documents(spark, folder).select("doc_id", custom_embedding("text", _letters).alias("v"))
+    return vec.select("doc_id", *[F.col("v")[i].cast("bigint").alias(c) for i, c in enumerate(("chars", "blanks", "digits"))])
+
+
 @query(
     "h04_word_buckets",
     sql("SELECT id AS doc_id, bucket, tf FROM documents_tf", extra=_hashed("documents", "doc_id", "text")),
@@ -134,8 +178,8 @@ def search_cosine(spark, folder):
 
 @query("h06_search_cosine_blocks", _topk("cosine"))
 def search_cosine_blocks(spark, folder):
-    """The same search with queries taken as too many to send everywhere."""
-    return _rounded(R.search_flat(I.vectors(spark, folder), I.vector_queries(spark, folder), broadcast_bytes=0))
+    """The same search over a few large cells."""
+    return _rounded(R.search_flat(I.vectors(spark, folder), I.vector_queries(spark, folder), cells=3))
 
 
 @query("h07_search_l2", _topk("l2"))
@@ -143,10 +187,32 @@ def search_l2(spark, folder):
     return _rounded(R.search_flat(I.vectors(spark, folder), I.vector_queries(spark, folder), metric="l2"))
 
 
-@query("h08_search_ivf")
+_APART = "greatest(2 - 2 * list_dot_product(a.vec, b.vec) / sqrt(list_dot_product(a.vec, a.vec) * list_dot_product(b.vec, b.vec)), 0)"
+_CELLED = {
+    "centres": "SELECT CAST(row_number() OVER (ORDER BY query_id) - 1 AS INT) AS cell, vec FROM vector_queries",
+    "in_cell": f"SELECT a.doc_id, a.vec, min(struct_pack(far := round(sqrt({_APART}), 8), cell := b.cell)).cell AS cell FROM vectors a, centres b GROUP BY ALL",
+    "probed": f"SELECT query_id, b.cell, row_number() OVER (PARTITION BY query_id ORDER BY round(sqrt({_APART}), 8), b.cell) AS turn "
+    "FROM vector_queries a, centres b",
+    "hits": f"SELECT query_id, doc_id, round(greatest(2 - 2 * {_UNIT}, 0), 10) AS score FROM in_cell d JOIN probed USING (cell) "
+    "JOIN vector_queries q USING (query_id) WHERE turn <= 4",
+}
+
+
+@query(
+    "h08_search_ivf",
+    sql(
+        "SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, doc_id) AS INT) AS rank, doc_id, round(score, 6) AS score "
+        "FROM hits QUALIFY rank <= 5",
+        "vector_queries", extra=_CELLED,
+    ),
+)
 def search_ivf(spark, folder):
-    cells, centroids = R.train_cells(I.vectors(spark, folder), 10)
-    return R.search_ivf(cells, centroids, I.vector_queries(spark, folder), probes=4)
+    """Four of the cells around the label means, which are the queries too."""
+    queries = I.vector_queries(spark, folder)
+    cell = F.row_number().over(Window.orderBy("query_id")) - 1
+    centroids = materialize(queries.select(cell.cast("int").alias("cell"), "vec"))
+    cells = R.assign_cells(I.vectors(spark, folder), centroids)
+    return _rounded(R.search_ivf(cells, centroids, queries, probes=4))
 
 
 @query("h08_ivf_all_cells_is_exact", _topk("l2"))
@@ -164,6 +230,17 @@ def persistent_store(spark, folder):
     return _rounded(R.search(stored, I.vector_queries(spark, folder), metric="l2"))
 
 
+@query("a10_append_and_search", _topk("cosine"))
+def append_and_search(spark, folder):
+    """An index that is created, gets two batches, one of them twice, and is searched exactly after loading."""
+    path = f"{shared_dir(spark)}/grown-{uuid.uuid4().hex}"
+    vectors = I.vectors(spark, folder)
+    C.create_index(spark, path, C.sample_centres(vectors, 12), {"metric": "cosine"})
+    for batch, part in (("even", "label % 2 = 0"), ("odd", "label % 2 <> 0 OR label IS NULL"), ("even", "label % 2 = 0")):
+        C.append_documents(spark, path, vectors.where(part), batch)
+    return _rounded(C.search_exact(C.open_index(spark, path), I.vector_queries(spark, folder), 5))
+
+
 @query("h10_search_dispatch", _topk("cosine", 3))
 def search_dispatch(spark, folder):
     return _rounded(R.search(I.vectors(spark, folder), I.vector_queries(spark, folder), 3, "flat", "cosine"))

@@ -56,3 +56,42 @@ def test_empty_tables_and_null_groups(spark):
     assert got == {None: 2.0, "a": None}
     assert exact_quantiles(df.limit(0), ["x"], (0.5,), ["symbol"]).count() == 0
     assert exact_quantiles(df.limit(0), ["x"], (0.5,)).first()["x_p50"] is None
+
+
+def test_sortable_integers_keep_the_order_of_doubles(spark):
+    import struct
+
+    from barflow.operators.quantiles import sortable
+
+    rng = np.random.default_rng(3)
+    bits = rng.integers(0, 1 << 63, 4000, np.uint64) | (rng.integers(0, 2, 4000).astype(np.uint64) << np.uint64(63))
+    xs = [struct.unpack("<d", struct.pack("<Q", int(b)))[0] for b in bits]
+    xs = [x for x in xs if x == x] + [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.7976931348623157e308, float("inf"), -float("inf")]
+    xs += [s * 2.0**e * f for e in range(-1020, 1023, 7) for s in (1, -1) for f in (1.0, np.nextafter(1, 0), np.nextafter(1, 2))]
+    got = spark.createDataFrame([(float(x),) for x in xs], "x double").select("x", sortable(F.col("x")).alias("k")).collect()
+    got.sort(key=lambda r: r["x"])
+    for a, b in zip(got, got[1:]):
+        assert (a["k"] < b["k"]) == (a["x"] < b["x"]) and (a["k"] == b["k"]) == (a["x"] == b["x"]), (a, b)
+    nan = spark.createDataFrame([(float("nan"),)], "x double").select(sortable(F.col("x"))).first()[0]
+    assert nan > max(r["k"] for r in got)
+
+
+def test_near_equal_values_are_told_apart(spark):
+    """Values that share their first forty bits, and many ties."""
+    x = np.concatenate([1.0 + np.arange(500) * 2.0**-50, np.full(300, 1.0 + 250 * 2.0**-50), -1.0 - np.arange(200) * 2.0**-52])
+    df = spark.createDataFrame(pd.DataFrame({"x": np.random.default_rng(1).permutation(x)}))
+    row = exact_quantiles(df, ["x"], PROBS).first()
+    want = pd.Series(x).quantile(list(PROBS)).to_numpy()
+    np.testing.assert_array_equal([row[f"x_p{p * 100:g}"] for p in PROBS], want)
+
+
+def test_bounds_are_broadcast_or_joined(spark, monkeypatch):
+    from barflow.operators import groups
+
+    rows = [(k, i, float(i * i % 37)) for k in ("a", None, "") for i in range(30)]
+    df = spark.createDataFrame(rows, "symbol string, date int, Close double")
+    bounds = iqr_bounds(df, ["Close"], factor=0.2)
+    found = [sorted(map(tuple, cap_outliers(df, bounds, ["Close"]).collect()), key=str)]
+    monkeypatch.setattr(groups, "BROADCAST_GROUPS", 0)
+    found.append(sorted(map(tuple, cap_outliers(df, bounds, ["Close"]).collect()), key=str))
+    assert found[0] == found[1] and len(found[0]) == 90 and max(r[2] for r in found[0]) < 36

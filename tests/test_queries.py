@@ -61,7 +61,7 @@ def test_query_equals_its_sql(spark, small, duck, name):
 def test_registry():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {
-        "h08_search_ivf", "h11_contexts_of_samples", "j01_train_direction", "j10_train_and_evaluate",
+        "h11_contexts_of_samples", "j01_train_direction", "j10_train_and_evaluate",
     }
     for letter in "abcdefghijkl":
         assert any(n.startswith(letter) for n in QUERIES)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barflow.functions import vectors as V
+from barflow.operators import cells as C
 from barflow.operators import retrieval as R
 from barflow.operators import tokens
 
@@ -35,12 +36,13 @@ def data(spark):
 
 
 @pytest.mark.parametrize("metric", ["cosine", "l2"])
-@pytest.mark.parametrize("limit", [10**9, 0])
-def test_search_equals_brute_force(data, metric, limit, monkeypatch):
-    monkeypatch.setattr(R, "DOC_BLOCK_ROWS", 40)
-    monkeypatch.setattr(R, "QUERY_BLOCK_ROWS", 3)
+@pytest.mark.parametrize("cells", [1, 5, 64])
+def test_search_equals_brute_force(data, metric, cells, monkeypatch):
+    monkeypatch.setattr(C, "TILE_DOCS", 40)
+    monkeypatch.setattr(C, "TILE_QUERIES", 3)
+    monkeypatch.setattr(C, "SCORED_AT_ONCE", 2)
     docs, queries, d, q = data
-    got = R.search_flat(d, q, 6, metric, broadcast_bytes=limit).toPandas().sort_values(["query_id", "rank"])
+    got = R.search_flat(d, q, 6, metric, cells=cells).toPandas().sort_values(["query_id", "rank"])
     for i, want in _brute(docs.astype(float), queries.astype(float), 6, metric).items():
         part = got[got.query_id == i]
         assert part.doc_id.tolist() == [j for j, _ in want]
@@ -56,7 +58,7 @@ def test_fewer_documents_than_k_and_no_queries(data, spark):
 
 
 def test_probing_all_cells_is_exact_and_few_cells_recall_most(data, monkeypatch):
-    monkeypatch.setattr(R, "DOC_BLOCK_ROWS", 40)
+    monkeypatch.setattr(C, "TILE_DOCS", 40)
     _, _, d, q = data
     cells, centroids = R.train_cells(d, 6, iterations=5)
     exact = R.search_flat(d, q, 5, "l2").toPandas()
@@ -166,3 +168,78 @@ def test_tokens_are_truncated_padded_and_unknown_words_marked(spark):
     assert got[1] == ([2, 3, 2, 0], [1, 1, 1, 0])
     assert got[2] == ([1, 2, 3, 3], [1, 1, 1, 1])
     assert got[3] == got[4] == ([0, 0, 0, 0], [0, 0, 0, 0])
+
+
+def test_bounds_prune_cells_and_lose_nothing(spark):
+    """Clustered vectors: most cells are out of reach after the first round, and the result is that of brute force."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(20, 6))
+    docs = (centres[rng.integers(0, 20, 2000)] + rng.normal(size=(2000, 6)) * 0.02).astype(np.float32)
+    queries = docs[::100] + np.float32(0.001)
+    queries[3] = 0
+    d, q = _vectors(spark, docs, "doc_id"), _vectors(spark, queries, "query_id")
+    cells = C.cut_cells(d, 40)
+    met = []
+    real = C.meet
+    C.meet = lambda docs, visits, k, metric: met.append(visits.count()) or real(docs, visits, k, metric)
+    try:
+        for metric in ("cosine", "l2"):
+            got = C.search_exact(cells, q, 5, metric).toPandas().sort_values(["query_id", "rank"])
+            unit = np.where(np.linalg.norm(queries, axis=1, keepdims=True) == 0, 1, np.linalg.norm(queries, axis=1, keepdims=True))
+            for i, want in _brute(docs.astype(float), queries.astype(float) / unit + (0 if metric else 0), 5, metric).items():
+                if i == 3:  # a zero query is as near to all
+                    continue
+                assert got[got.query_id == i].doc_id.tolist() == [j for j, _ in want]
+    finally:
+        C.meet = real
+    assert sum(met) < 0.5 * 2 * len(queries) * len(cells.centres)
+    plan = C.search_exact(cells, q, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_an_index_grows_is_idempotent_and_prunes(data, spark, tmp_path):
+    _, _, d, q = data
+    path = str(tmp_path / "grown")
+    C.create_index(spark, path, C.sample_centres(d, 10), {"metric": "cosine"}, V.fit_idf(spark.createDataFrame([("a b",)], "text string"), dim=8))
+    with pytest.raises(ValueError):
+        C.open_index(spark, path)
+    assert C.append_documents(spark, path, d.where("doc_id < 90"), "one")
+    assert C.open_index(spark, path).counts.sum() == 90
+    # Files of an attempt that was never committed are not seen, and are replaced when it is made again.
+    left_over = C.nearest_centre(d.where("doc_id >= 90 AND doc_id < 120"), C.open_index(spark, path).centres)
+    left_over.write.partitionBy("cell").parquet(f"{path}/docs/batch=two")
+    assert C.index_documents(spark, path).count() == 90
+    assert C.append_documents(spark, path, d.where("doc_id >= 90"), "two")
+    assert not C.append_documents(spark, path, d, "two")
+    index = C.open_index(spark, path)
+    assert index.counts.sum() == 300 == C.index_documents(spark, path).count()
+    key = ["query_id", "rank"]
+    want = R.search_flat(d, q, 5).toPandas().sort_values(key).reset_index(drop=True)
+    pd.testing.assert_frame_equal(C.search_exact(index, q, 5).toPandas().sort_values(key).reset_index(drop=True), want)
+    full = C.search_probed(index, q, 5, len(index.centres), "cosine").toPandas().sort_values(key).reset_index(drop=True)
+    pd.testing.assert_frame_equal(full, want)
+    plan = index.docs.where(F.col("cell").isin(1, 2))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "cell#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert C.index_idf(spark, path).count() == 8
+
+
+def test_recall_of_four_of_ten_cells(spark):
+    e = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").selectExpr("vec_id AS doc_id", "embedding AS vec").cache()
+    q = e.where("doc_id % 10 = 0").selectExpr("doc_id AS query_id", "vec")
+    cells, centroids = R.train_cells(e, 10)
+    exact = {(r[0], r[2]) for r in R.search_flat(e, q, 5, "l2").collect()}
+    some = {(r[0], r[2]) for r in R.search_ivf(cells, centroids, q, 5, probes=4).collect()}
+    assert len(exact & some) >= 0.6 * len(exact), len(exact & some) / len(exact)
+
+
+def test_idf_and_weights(spark):
+    df = spark.createDataFrame([("a b a",), ("a",), (None,), ("",)], "text string")
+    idf = {r["bucket"]: (r["texts"], r["idf"]) for r in V.fit_idf(df, dim=16).collect()}
+    assert len(idf) == 16 and sorted(t for t, _ in idf.values())[-2:] == [1, 2]
+    weights = V.idf_weights(V.fit_idf(df, dim=16))
+    assert np.isclose(max(weights), np.log(5)) and np.isclose(min(weights), np.log(5 / 3))
+    rows = [np.array(r[0]) for r in df.select(V.hash_embedding("text", 16, weights)).collect()]
+    assert np.isclose(np.linalg.norm(rows[0]), 1) and not rows[2].any()
+    assert np.isclose(sorted(rows[0])[-1], 2 * np.log(5 / 3) / np.hypot(2 * np.log(5 / 3), np.log(5 / 2)), atol=1e-6)
+    with pytest.raises(ValueError):
+        V.hash_embedding("text", 16, [1.0])
