@@ -26,8 +26,8 @@ _MASK = (1 << 64) - 1
 _SPREAD, _STRIDE = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 #: Displacements tried at once, and at most, for one bucket; seeds tried for a whole table.
 _TRIES, _MOST_TRIES, _SEEDS = 256, 1 << 16, 64
-#: Bytes of words, pre-tokens and ids, with what Python adds to each, that a worker remembers before it starts anew.
-REMEMBERED_BYTES, _ENTRY_BYTES = 96 << 20, 240
+#: Bytes of words, pre-tokens and ids, with what Python adds to each, that a worker remembers, in two generations.
+REMEMBERED_BYTES, _ENTRY_BYTES = 320 << 20, 240
 #: Words resolved in one vectorised step, and bytes of text handed on in one batch.
 STEP, BATCH_BYTES = 1 << 20, 4 << 20
 
@@ -180,11 +180,15 @@ class _Memory(dict):
 
     Cutting a text before each blank, and the parts by the pattern, gives the pre-tokens of the whole text unless white
     space stands before a blank, where a run may go on; such texts are cut by the pattern as a whole.
+
+    A full memory becomes the ``older`` one of a new memory, which takes over from it what it meets again.
     """
 
-    def __init__(self, encoder: Encoder):
+    def __init__(self, encoder: Encoder, older: _Memory | None = None):
         super().__init__()
-        self.encoder, self.pieces, self.closing = encoder, {}, set()
+        self.encoder, self.pieces, self.closing, self.older = encoder, {}, set(), older
+        if older is not None:
+            older.older = None
         self.pool, self.start, self.length, self.piece_ids = array("i"), array("q"), array("i"), array("i")
         self.space = regex.compile(r"\s").match
         self.bytes = 0
@@ -192,7 +196,15 @@ class _Memory(dict):
     def __missing__(self, word: str) -> int:
         if not word or self.space(word[-1]):
             self.closing.add(word)
-        self[word] = code = self.add(" " + word)
+        if self.older is not None and word in self.older:
+            old, at = self.older, self.older[word]
+            self.start.append(len(self.pool))
+            self.pool.extend(old.pool[old.start[at] : old.start[at] + old.length[at]])
+            self.length.append(old.length[at])
+            code = len(self.start) - 1
+        else:
+            code = self.add(" " + word)
+        self[word] = code
         self.bytes += 4 * len(word) + _ENTRY_BYTES
         return code
 
@@ -203,7 +215,11 @@ class _Memory(dict):
             at = self.pieces.get(piece)
             if at is None:
                 at = self.pieces[piece] = len(self.piece_ids)
-                ids = self.encoder.piece(piece.encode())
+                old = self.older.pieces.get(piece) if self.older is not None else None
+                if old is None:
+                    ids = self.encoder.piece(piece.encode())
+                else:
+                    ids = self.older.piece_ids[old + 1 : old + 1 + self.older.piece_ids[old]]
                 self.piece_ids.append(len(ids))
                 self.piece_ids.extend(ids)
                 self.bytes += 4 * len(piece) + 4 * len(ids) + _ENTRY_BYTES
@@ -226,7 +242,7 @@ class _Memory(dict):
 
     @property
     def full(self) -> bool:
-        return self.bytes > REMEMBERED_BYTES
+        return self.bytes > REMEMBERED_BYTES // 2
 
 
 def gather(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -263,7 +279,7 @@ def encode_batches(texts: Iterator[pa.Array], vocabulary: dict) -> Iterator[pa.A
                 flush()
                 waiting = 0
                 if memory.full:
-                    memory = vocabulary["memory"] = _Memory(memory.encoder)
+                    memory = vocabulary["memory"] = _Memory(memory.encoder, memory)
         flush()
         offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
         yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))
