@@ -31,16 +31,25 @@ BOILERPLATE = set("nav footer aside form menu dialog fieldset".split())
 CONTENT = set("article main".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 NAMES = set(
-    """ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments
+    """ad ads advert adverts advertisement advertisements advertising adsense banner breadcrumb breadcrumbs byline comment comments
     commentlist consent cookie cookies copyright disclaimer disqus footer gdpr login masthead menu modal nav navbar
-    navigation newsletter notice notices notification pager pagination paywall popup promo promoted promotion recommended
+    navigation newsletter notice notices notification notifications pager pagination paywall popup promo promos promotion recommended
     related respond search share sharing sidebar signup skip social sponsor sponsored sponsors subscribe tagcloud toolbar
-    warning widget""".split()
+    widget widgets""".split()
+)
+#: Names of several parts that say so together.
+PHRASES = set(
+    """related-posts related-articles related-stories related-links related-content recent-posts popular-posts latest-posts
+    share-buttons share-links share-icons social-links social-icons social-buttons social-media read-more more-stories
+    skip-link skip-to-content sign-up log-in ad-label""".split()
 )
 #: Names that say so only outside the article.
-OUTER_NAMES = set("header head top bottom".split())
-#: First parts of a class or id that only say whose part it is ("site-footer"); others may speak of the page ("has-sidebar").
-OWNERS = set("site page main global post entry article".split())
+OUTER_NAMES = set("header".split())
+#: Last parts of a name that only say what kind of box it is ("comments-list").
+BOXES = set(
+    """area bar block body box button buttons column container content form group heading holder icon inner item left list
+    outer panel popup region right row section slot title top bottom unit widget wrap wrapper""".split()
+)
 
 _MARKUP = re.compile(
     r"""<!--(?:.*?-->|.*)|<!\[CDATA\[(?P<data>.*?)\]\]>|<[!?][^>]*(?:>|$)
@@ -82,6 +91,7 @@ class _Element:
     content: bool
     within: bool
     form: bool
+    named: bool
 
 
 def _attributes(attrs: str) -> dict[str, str]:
@@ -92,7 +102,10 @@ def _attributes(attrs: str) -> dict[str, str]:
 
 
 def _named(found: dict[str, str], inside: bool) -> int:
-    """Whether an element's attributes call it a part other than the article: a mark."""
+    """Whether an element's attributes call it a part other than the article: a mark.
+
+    A name's last part says what the element is ("user-comments", but "share-price" is a price), box words behind it aside.
+    """
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
         return _HARD
     if re.search(r"display\s*:\s*none", found.get("style", ""), re.I):
@@ -100,13 +113,14 @@ def _named(found: dict[str, str], inside: bool) -> int:
     mark = _SOFT if found.get("role", "").lower() in ROLES else _PLAIN
     for token in f"{found.get('class', '')} {found.get('id', '')}".split():
         parts = [p.lower() for p in _PART.findall(token)]
-        if len(parts) == 2 and parts[0] in OWNERS:
-            parts = parts[1:]
+        while len(parts) > 1 and parts[-1] in BOXES and "-".join(parts[-2:]) not in PHRASES:
+            parts.pop()
         if not parts:
             continue
-        if parts[0].startswith("comment"):
+        last = parts[-1]
+        if last in ("comment", "comments", "commentlist", "disqus"):
             return _HARD
-        if parts[0] in NAMES or (not inside and parts[0] in OUTER_NAMES):
+        if last in NAMES or "-".join(parts[-2:]) in PHRASES or (not inside and last in OUTER_NAMES):
             mark = _SOFT
     return mark
 
@@ -114,7 +128,8 @@ def _named(found: dict[str, str], inside: bool) -> int:
 def _settle(elements: list[_Element], homes: list[int], found: list[Block]) -> None:
     """Tell the blocks whether they stand in marked elements and in the article, once the whole page is known.
 
-    A form that wraps half of the page's unmarked words or more is not marked as a form. Where all articles stand in
+    A form that wraps half of the page's unmarked words or more is not marked as a form, and a name that would mark two thirds
+    of the page's words speaks of the page ("has-sidebar"). Where all articles stand in
     marked elements, or are marked themselves, and the least marked of them hold as many words as all unmarked blocks, their
     marks are void, other than those of hidden elements and comments.
     """
@@ -137,6 +152,13 @@ def _settle(elements: list[_Element], homes: list[int], found: list[Block]) -> N
             total[elements[k].parent] += total[k]
         void = {k for k, e in enumerate(elements) if e.form and e.mark == _PLAIN and 2 * total[k] >= total[-1] > 0}
 
+    words_of = [0] * (len(elements) + 1)
+    for b, home in zip(found, homes, strict=True):
+        words_of[home] += b.words
+    for k in range(len(elements) - 1, -1, -1):
+        words_of[elements[k].parent] += words_of[k]
+    void |= {k for k, e in enumerate(elements) if e.named and e.mark == _SOFT and 3 * words_of[k] >= 2 * words_of[-1] > 0}
+
     deep = marks(void)
     holds = [-1] * len(elements)  # the least marked article, or none, that an element stands in
     for k, e in enumerate(elements):
@@ -240,12 +262,14 @@ def blocks(html: str | None) -> list[Block]:
             if not named:
                 continue
             end_block()
-        form = name == "form"
+        form, by_name = name == "form", named == _SOFT
+        if name in BOILERPLATE and not form:
+            by_name = False
         if not named and not form and (name in BOILERPLATE or (name == "header" and not within)):
             named = _SOFT
         content = name in CONTENT or (name != "a" and has.get("role", "").lower() in CONTENT)
         stack.append(len(elements))
-        elements.append(_Element(name, parent, named, content, within or content, form))
+        elements.append(_Element(name, parent, named, content, within or content, form, by_name))
     end_block()
     _settle(elements, homes, out)
     return out
@@ -270,8 +294,17 @@ LABELLED = np.array(
         (1, 0, 0, 70, 0.0, 4, 0.0, 0, 0.0, 1), (1, 0, 0, 900, 0.0, 40, 0.0, 2, 0.0, 1), (1, 0, 0, 80, 0.0, 12, 0.0, 3, 0.0, 1),
         (1, 0, 0, 5, 1.0, 3, 0.0, 9, 0.0, 1), (1, 0, 0, 3, 0.9, 6, 0.2, 4, 1.0, 1), (1, 0, 1, 4, 1.0, 2, 0.0, 3, 0.0, 1),
         (1, 0, 0, 20, 0.6, 5, 0.5, 20, 0.0, 1), (1, 0, 0, 60, 0.0, 2, 0.0, 1, 1.0, 1), (1, 0, 0, 45, 0.0, 9, 0.3, 0, 0.0, 1),
-        # in it: link lists, adverts, share bars, forms, comments
-        (1, 0, 0, 5, 1.0, 4, 1.0, 6, 1.0, 0), (1, 0, 0, 70, 0.0, 5, 1.0, 4, 1.0, 0), (1, 0, 0, 4, 1.0, 7, 1.0, 3, 0.0, 0),
+        # its lists of sources, paragraphs that are links
+        (1, 0, 0, 8, 1.0, 9, 1.0, 7, 1.0, 1), (1, 0, 0, 60, 0.0, 12, 1.0, 50, 0.0, 1), (1, 0, 0, 2, 0.0, 5, 1.0, 6, 1.0, 1),
+        (1, 0, 0, 6, 1.0, 5, 1.0, 70, 0.0, 1), (1, 0, 0, 30, 0.0, 4, 1.0, 40, 0.0, 1), (1, 0, 0, 70, 0.0, 5, 1.0, 4, 1.0, 1),
+        (1, 0, 0, 4, 1.0, 7, 1.0, 3, 0.0, 1), (1, 0, 0, 5, 1.0, 5, 1.0, 5, 1.0, 1), (1, 0, 0, 6, 1.0, 40, 1.0, 6, 1.0, 1),
+        (1, 0, 0, 40, 0.0, 2, 1.0, 35, 0.0, 1), (1, 0, 0, 20, 0.0, 3, 1.0, 0, 0.0, 1), (1, 0, 1, 5, 0.0, 2, 1.0, 30, 0.0, 1),
+        (1, 0, 0, 14, 1.0, 30, 0.0, 1, 0.0, 1), (1, 0, 0, 12, 1.0, 18, 0.0, 8, 1.0, 1), (1, 0, 1, 40, 0.0, 1, 0.0, 6, 1.0, 1),
+        (1, 0, 0, 1, 0.0, 6, 1.0, 6, 1.0, 1), (1, 0, 0, 6, 1.0, 6, 1.0, 0, 0.0, 1), (1, 0, 0, 6, 1.0, 6, 1.0, 9, 0.0, 1),
+        (1, 0, 0, 20, 0.2, 4, 0.0, 9, 1.0, 1), (1, 0, 1, 20, 0.0, 4, 0.0, 30, 1.0, 1), (1, 0, 0, 20, 0.0, 3, 0.1, 9, 1.0, 1),
+        (1, 0, 0, 5, 0.0, 2, 0.0, 5, 1.0, 1), (1, 0, 0, 60, 0.0, 4, 0.1, 20, 1.0, 1),
+        # in it: tags, adverts, share bars, forms, comments
+        (1, 0, 0, 2, 1.0, 2, 1.0, 3, 1.0, 0), (1, 0, 0, 1, 1.0, 1, 1.0, 2, 1.0, 0), (1, 0, 0, 3, 1.0, 3, 1.0, 2, 1.0, 0),
         (1, 1, 0, 50, 0.0, 12, 0.0, 60, 0.0, 0), (1, 1, 0, 50, 0.0, 6, 0.8, 0, 0.0, 0), (1, 1, 0, 20, 0.0, 45, 0.0, 38, 0.0, 0),
         (1, 1, 1, 20, 0.0, 2, 0.0, 38, 0.0, 0), (1, 1, 0, 45, 0.0, 120, 0.0, 30, 0.1, 0), (1, 1, 0, 3, 0.0, 1, 0.0, 2, 1.0, 0),
         # around it
@@ -288,10 +321,17 @@ LABELLED = np.array(
         (0, 0, 1, 60, 0.0, 4, 0.0, 55, 0.0, 1), (0, 0, 0, 60, 0.0, 8, 0.0, 50, 0.0, 1), (0, 0, 0, 35, 0.0, 12, 0.1, 28, 0.0, 1),
         (0, 0, 0, 80, 0.0, 3, 0.0, 90, 0.0, 1), (0, 0, 0, 0, 0.0, 120, 0.0, 0, 0.0, 1), (0, 0, 0, 20, 0.1, 19, 0.0, 18, 0.0, 1),
         (0, 0, 0, 0, 0.0, 18, 0.0, 0, 0.0, 1), (0, 0, 0, 50, 0.0, 11, 0.0, 70, 0.1, 1), (0, 0, 1, 2, 0.0, 6, 0.0, 40, 0.0, 1),
+        (0, 0, 1, 0, 0.0, 1, 0.0, 6, 0.0, 1), (0, 0, 0, 1, 0.0, 6, 0.0, 5, 0.0, 1), (0, 0, 0, 6, 0.0, 5, 0.0, 7, 0.0, 1),
+        (0, 0, 0, 5, 0.0, 7, 0.0, 0, 0.0, 1), (0, 0, 0, 2, 0.0, 30, 0.0, 0, 0.0, 1), (0, 0, 0, 60, 0.0, 2, 0.0, 30, 0.0, 1),
+        (0, 0, 0, 45, 0.0, 30, 0.0, 0, 0.0, 1), (0, 0, 1, 3, 1.0, 4, 0.0, 6, 0.0, 1), (0, 0, 0, 3, 1.0, 6, 0.0, 8, 0.0, 1),
+        (0, 0, 0, 8, 0.0, 7, 0.0, 2, 1.0, 1), (0, 0, 0, 9, 0.0, 4, 0.0, 12, 0.0, 1), (0, 0, 0, 4, 0.0, 3, 0.0, 4, 0.0, 1),
+        (0, 0, 0, 2, 0.0, 3, 0.0, 2, 0.0, 1), (0, 0, 0, 12, 0.0, 9, 0.0, 0, 0.0, 1), (0, 0, 1, 0, 0.0, 3, 0.0, 20, 0.0, 1),
+        (0, 0, 0, 4, 0.0, 9, 0.2, 8, 0.0, 1), (0, 0, 1, 1, 1.0, 1, 0.0, 5, 0.0, 1), (0, 0, 0, 2, 1.0, 30, 0.0, 2, 1.0, 1),
+        (0, 0, 0, 5, 0.0, 4, 0.0, 3, 1.0, 1), (0, 0, 0, 30, 0.0, 5, 0.1, 2, 1.0, 1), (0, 0, 1, 7, 0.0, 2, 0.0, 6, 0.0, 1),
         # their menus, teasers, footers, notices
         (0, 0, 0, 2, 1.0, 3, 1.0, 2, 1.0, 0), (0, 0, 0, 0, 0.0, 1, 1.0, 2, 1.0, 0), (0, 0, 0, 3, 1.0, 2, 1.0, 40, 0.0, 0),
         (0, 0, 0, 60, 0.0, 7, 0.9, 8, 0.9, 0), (0, 0, 0, 3, 1.0, 9, 0.5, 4, 1.0, 0), (0, 0, 0, 40, 0.8, 30, 0.7, 35, 0.8, 0),
-        (0, 0, 0, 2, 1.0, 6, 0.0, 3, 1.0, 0), (0, 0, 0, 5, 0.9, 4, 0.0, 0, 0.0, 0), (0, 0, 0, 2, 0.0, 3, 0.0, 2, 0.0, 0),
+        (0, 0, 0, 2, 1.0, 6, 0.0, 3, 1.0, 0), (0, 0, 0, 5, 0.9, 4, 0.0, 0, 0.0, 0), 
         (0, 0, 1, 4, 1.0, 3, 0.0, 5, 1.0, 0), (0, 0, 1, 3, 1.0, 2, 0.5, 4, 1.0, 0), (0, 0, 0, 12, 1.0, 14, 0.8, 11, 1.0, 0),
         (0, 1, 0, 60, 0.0, 45, 0.0, 30, 0.0, 0), (0, 1, 0, 4, 0.0, 14, 0.2, 3, 1.0, 0), (0, 1, 0, 0, 0.0, 3, 1.0, 60, 0.0, 0),
         (0, 1, 1, 60, 0.0, 2, 0.0, 45, 0.0, 0), (0, 1, 0, 80, 0.0, 110, 0.0, 95, 0.0, 0), (0, 1, 0, 50, 0.0, 9, 0.0, 0, 0.0, 0),
@@ -299,8 +339,8 @@ LABELLED = np.array(
     ],
     dtype=float,
 )
-#: Every content block of the table stands in it once more as part of a marked element, where it is boilerplate.
-_TWINS = LABELLED[LABELLED[:, -1] == 1].copy()
+#: Every second content block of the table stands in it once more as part of a marked element, where it is boilerplate.
+_TWINS = LABELLED[LABELLED[:, -1] == 1][::2].copy()
 _TWINS[:, FEATURES.index("marked")], _TWINS[:, -1] = 1, 0
 LABELLED = np.concatenate([LABELLED, _TWINS])
 
@@ -357,7 +397,8 @@ def main_text(html: str | None, tree: tuple) -> str:
 def extract(pages: DataFrame, html: str = "html", out: str = "text", table: np.ndarray = LABELLED) -> DataFrame:
     """Replace the page by its main text: content blocks, white space in a block as one blank, blocks joined by a line feed.
 
-    A null or empty page, or one without content, gives an empty text. Markup that is cut off or never closed ends with
+    A null or empty page, or one without content, gives an empty text; equal rows give equal texts, no rows none. A page is read whole by
+    one task, however long. Markup that is cut off or never closed ends with
     the page. Other columns stay, but for one called like ``out``. ``table`` trains the tree; its columns are
     ``FEATURES`` and the label.
     """

@@ -102,3 +102,49 @@ def test_pages_without_article_are_left_to_the_tree(page):
     paragraphs = "".join(f"<p>{LONG * n}</p>" for n in (3, 2, 4))
     text = main_text(f"<body>{page.format(paragraphs)}</body>", TREE)
     assert text and text == main_text(f"<body><div>{paragraphs}</div></body>", TREE)
+
+
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu".split()
+
+
+def _text(n, start=0):
+    return " ".join(WORDS[(start + i) % 12] for i in range(n))
+
+
+@pytest.mark.parametrize("name", ["share-price", "warning-signs", "related-work", "searchResults", "top-story", "menu-of-the-day", "social-history", "comment-free"])
+@pytest.mark.parametrize("how", ["class", "id"])
+def test_names_that_only_begin_like_boilerplate_stay(name, how):
+    page = f"<article><p>{_text(50)}</p><section {how}='{name}'><p>{_text(45, 3)}</p></section><p>{_text(40, 5)}</p></article>"
+    assert main_text(page, grow(LABELLED)).count("\n") == 2
+    body = f"<body><p>{_text(50)}</p><div {how}='{name}'><p>{_text(45, 3)}</p></div><p>{_text(40, 5)}</p></body>"
+    assert main_text(body, grow(LABELLED)).count("\n") == 2
+
+
+@pytest.mark.parametrize("name", ["user-comments", "reader-comments", "readerComments", "comments-list", "site-cookie-notice", "main-nav", "ad", "ad-slot", "related-posts", "share-buttons"])
+def test_comments_notices_and_the_like_go(name):
+    tree = grow(LABELLED)
+    inside = f"<article><p>{_text(50)}</p><div class='{name}'><p>{_text(12, 3)}</p></div><p>{_text(40, 5)}</p></article>"
+    beside = f"<body><div class='{name}'><p>{_text(12, 3)}</p></div><div><p>{_text(50)}</p><p>{_text(40, 5)}</p></div></body>"
+    for page in (inside, beside):
+        assert main_text(page, tree) == f"{_text(50)}\n{_text(40, 5)}"
+
+
+def test_pages_without_an_article_element():
+    tree = grow(LABELLED)
+    short = "<h1>Title</h1><p>One short line here.</p><p>And one more of them.</p><p>The end of it.</p>"
+    assert main_text(short, tree) == "Title\nOne short line here.\nAnd one more of them.\nThe end of it."
+    divs = f"<div><div>{_text(60)}</div><div>Two words</div><div>{_text(30, 2)}</div></div>"
+    assert main_text(divs, tree) == f"{_text(60)}\nTwo words\n{_text(30, 2)}"
+    menu = "<ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li><li><a href=/a>About us</a></li></ul>"
+    assert main_text(menu + short + menu, tree) == main_text(short, tree)
+
+
+def test_a_name_that_marks_the_whole_page_speaks_of_the_page():
+    page = f"<div class='layout-with-sidebar'><h1>Title</h1><p>{_text(30)}</p><p>{_text(40)}</p><div class='sidebar'><p>{_text(9)}</p></div></div>"
+    assert main_text(page, grow(LABELLED)) == f"Title\n{_text(30)}\n{_text(40)}"
+
+
+def test_linked_lines_of_an_article_stay():
+    sources = "".join(f"<li><a href=/{i}>{_text(6, i)}</a></li>" for i in range(4))
+    page = f"<article><p>{_text(50)}</p><p><a href=/x>{_text(14, 1)}</a></p><p>{_text(30, 2)}</p><h2>Sources</h2><ol>{sources}</ol></article>"
+    assert main_text(page, grow(LABELLED)).split("\n") == [_text(50), _text(14, 1), _text(30, 2), "Sources", *[_text(6, i) for i in range(4)]]
