@@ -8,8 +8,11 @@ prefixes of the counted windows: one ROLLUP.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -23,6 +26,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_LANG = "und"
 #: Scores are ratios in millionths.
 SCALE = 1_000_000
+#: Windows a task counts before it hands them on, and rows of a batch it hands on.
+COMBINED, ARROW_ROWS = 2_000_000, 50_000
 #: Parts that the rows of one key are dealt over when they look a phrase up.
 SALTS = 16
 
@@ -41,24 +46,52 @@ def windows(docs: DataFrame, longest: int) -> DataFrame:
     return each.select("lang", F.concat_ws(" ", *[F.col(f"w.w{k}") for k in range(longest)]).alias("window"))
 
 
+def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Count equal windows of a task before they are shuffled, ``COMBINED`` rows at a time."""
+    held, rows = [], 0
+
+    def flush():
+        counted = pa.Table.from_batches(held).group_by(["lang", "window"], use_threads=False).aggregate([("n", "sum")])
+        return counted.rename_columns(["lang", "window", "n"])
+
+    for b in batches:
+        held.append(b.append_column("n", pa.array(np.ones(b.num_rows, np.int64))))
+        rows += b.num_rows
+        if rows >= COMBINED:
+            yield from flush().to_batches(max_chunksize=ARROW_ROWS)
+            held, rows = [], 0
+    if held:
+        yield from flush().to_batches(max_chunksize=ARROW_ROWS)
+
+
 def phrase_counts(docs: DataFrame, longest: int, least: int) -> DataFrame:
     """``lang, size, phrase, f``: phrases of up to ``longest`` words found at least ``least`` times, and under size 0 all words.
 
-    The windows are counted once. ROLLUP sums those counts over the window's first words, fewer and fewer; a padded window
-    is no phrase of the words it lacks, but counts for its beginnings.
+    Only the windows are counted: within a task first, then shuffled once, by all their words but the last, so that sums over the
+    next shorter prefix stay where they are. ROLLUP sums these over fewer and fewer first words. A padded window is no
+    phrase of the words it lacks, but counts for its beginnings.
     """
-    counted = windows(docs, longest).groupBy("lang", "window").agg(F.count(F.lit(1)).alias("n"))
-    parts = F.split("window", " ")
-    names = [f"w{k}" for k in range(longest - 1)]
-    prefixes = counted.select("lang", "n", *[F.coalesce(F.get(parts, F.lit(k)), F.lit("")).alias(c) for k, c in enumerate(names)])
-    rolled = prefixes.rollup("lang", *names).agg(F.sum("n").alias("f")).filter("lang IS NOT NULL")
-    size = reduce(lambda a, b: a + b, [F.col(c).isNotNull().cast("int") for c in names])
-    padded = reduce(lambda a, b: a | b, [F.coalesce(F.col(c) == "", F.lit(False)) for c in names])
+    combined = windows(docs, longest).mapInArrow(_combine, "lang string, window string, n bigint")
+    head = F.substring_index("window", " ", longest - 1)
+    dealt = combined.withColumn("place", F.hash("lang", head)).repartition("place")
+    counted = dealt.groupBy("place", "lang", "window").agg(F.sum("n").alias("f"))
+    heads = dealt.groupBy("place", "lang", head.alias("head")).agg(F.sum("n").alias("f"))
+
+    def phrases(df, column, size):
+        words = F.size(F.split(column, " "))
+        # One condition on both, or the second would be moved below the count, which is then made twice.
+        wanted = F.when(F.col("f") >= least, words == size)
+        return df.filter(wanted).select("lang", F.lit(size).alias("size"), F.col(column).alias("phrase"), "f")
+
+    names = [f"w{k}" for k in range(longest - 2)]
+    parts = F.split("head", " ")
+    rolled = heads.select("lang", "f", *[F.coalesce(F.get(parts, F.lit(k)), F.lit("")).alias(c) for k, c in enumerate(names)])
+    rolled = rolled.rollup("lang", *names).agg(F.sum("f").alias("f")).filter("lang IS NOT NULL")
+    size = reduce(lambda a, b: a + b, [F.col(c).isNotNull().cast("int") for c in names], F.lit(0))
+    padded = reduce(lambda a, b: a | b, [F.coalesce(F.col(c) == "", F.lit(False)) for c in names], F.lit(False))
     short = rolled.filter(~padded).select("lang", size.alias("size"), F.concat_ws(" ", *names).alias("phrase"), "f")
-    full = counted.filter((F.col("n") >= least) & (F.size(parts) == longest))
-    return short.filter(f"size = 0 OR f >= {int(least)}").unionByName(
-        full.select("lang", F.lit(longest).alias("size"), F.col("window").alias("phrase"), F.col("n").alias("f"))
-    )
+    short = short.filter(f"size = 0 OR f >= {int(least)}")
+    return phrases(counted, "window", longest).unionByName(phrases(heads, "head", longest - 1)).unionByName(short)
 
 
 def _look(left: DataFrame, counts: DataFrame, key: str, out: str) -> DataFrame:

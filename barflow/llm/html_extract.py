@@ -290,8 +290,8 @@ LABELLED = np.array(
         (1, 0, 0, 6, 0.0, 7, 0.3, 8, 0.0, 1), (1, 0, 0, 40, 0.0, 6, 0.5, 50, 0.0, 1), (1, 0, 1, 80, 0.0, 2, 0.0, 90, 0.0, 1),
         (1, 0, 0, 2, 0.0, 3, 0.0, 2, 0.0, 1), (1, 0, 0, 9, 0.0, 200, 0.0, 0, 0.0, 1), (1, 0, 0, 300, 0.0, 5, 0.0, 16, 0.1, 1),
         (1, 0, 0, 0, 0.0, 90, 0.0, 6, 1.0, 1), (1, 0, 0, 4, 0.0, 400, 0.0, 1, 0.0, 1), (1, 0, 0, 1, 1.0, 8, 0.1, 1, 1.0, 1),
-        (1, 0, 0, 0, 0.0, 2, 0.0, 0, 0.0, 1), (1, 0, 0, 500, 0.0, 100, 0.0, 7, 0.1, 1), (1, 0, 0, 14, 0.0, 30, 0.2, 8, 0.0, 1),
-        (1, 0, 0, 70, 0.0, 4, 0.0, 0, 0.0, 1), (1, 0, 0, 900, 0.0, 40, 0.0, 2, 0.0, 1), (1, 0, 0, 80, 0.0, 12, 0.0, 3, 0.0, 1),
+        (1, 0, 0, 0, 0.0, 2, 0.0, 0, 0.0, 1), (1, 0, 0, 14, 0.0, 30, 0.2, 8, 0.0, 1),
+        (1, 0, 0, 70, 0.0, 4, 0.0, 0, 0.0, 1), (1, 0, 0, 80, 0.0, 12, 0.0, 3, 0.0, 1),
         (1, 0, 0, 5, 1.0, 3, 0.0, 9, 0.0, 1), (1, 0, 0, 3, 0.9, 6, 0.2, 4, 1.0, 1), (1, 0, 1, 4, 1.0, 2, 0.0, 3, 0.0, 1),
         (1, 0, 0, 20, 0.6, 5, 0.5, 20, 0.0, 1), (1, 0, 0, 60, 0.0, 2, 0.0, 1, 1.0, 1), (1, 0, 0, 45, 0.0, 9, 0.3, 0, 0.0, 1),
         # its lists of sources, paragraphs that are links
@@ -328,6 +328,9 @@ LABELLED = np.array(
         (0, 0, 0, 2, 0.0, 3, 0.0, 2, 0.0, 1), (0, 0, 0, 12, 0.0, 9, 0.0, 0, 0.0, 1), (0, 0, 1, 0, 0.0, 3, 0.0, 20, 0.0, 1),
         (0, 0, 0, 4, 0.0, 9, 0.2, 8, 0.0, 1), (0, 0, 1, 1, 1.0, 1, 0.0, 5, 0.0, 1), (0, 0, 0, 2, 1.0, 30, 0.0, 2, 1.0, 1),
         (0, 0, 0, 5, 0.0, 4, 0.0, 3, 1.0, 1), (0, 0, 0, 30, 0.0, 5, 0.1, 2, 1.0, 1), (0, 0, 1, 7, 0.0, 2, 0.0, 6, 0.0, 1),
+        (0, 0, 0, 20, 1.0, 10, 0.0, 300, 0.0, 1), (0, 0, 0, 9, 1.0, 20, 0.0, 9, 0.0, 1), (0, 0, 0, 5, 1.0, 60, 0.0, 2, 1.0, 1),
+        (0, 0, 0, 60, 1.0, 200, 0.1, 0, 0.0, 1), (0, 0, 1, 60, 1.0, 10, 0.0, 5, 0.2, 1), (0, 0, 0, 9, 1.0, 25, 0.1, 0, 0.0, 1),
+        (0, 0, 0, 9, 0.0, 5, 0.0, 0, 0.0, 1), (0, 0, 1, 0, 0.0, 4, 0.1, 0, 0.0, 1), (0, 0, 0, 40, 0.1, 6, 0.1, 0, 0.0, 1),
         # their menus, teasers, footers, notices
         (0, 0, 0, 2, 1.0, 3, 1.0, 2, 1.0, 0), (0, 0, 0, 0, 0.0, 1, 1.0, 2, 1.0, 0), (0, 0, 0, 3, 1.0, 2, 1.0, 40, 0.0, 0),
         (0, 0, 0, 60, 0.0, 7, 0.9, 8, 0.9, 0), (0, 0, 0, 3, 1.0, 9, 0.5, 4, 1.0, 0), (0, 0, 0, 40, 0.8, 30, 0.7, 35, 0.8, 0),
