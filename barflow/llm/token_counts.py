@@ -1,8 +1,9 @@
 """Token counts, rolled up by source, language and tokenizer version and maintained by deltas.
 
 A batch carries signed rows: +1 document and its tokens for an insert, the negative of both for a delete, both for a
-revised count. Totals are additive, so a commit adds the batch's sums to the last totals and writes a new version of
-them, with the names of all batches it holds. A batch that is committed again changes nothing.
+revised count. Totals are additive, so a commit adds the batch's sums to the last totals, writes a new version of them, and then
+adds one row, the batch's name and that version, to a table of batches, which is what makes it count. A batch that is
+committed again changes nothing.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from barflow.llm.common import column, only, put
+from barflow.sources.store import path_exists
 
 KEYS = ("source", "lang", "tokenizer")
 MEASURES = ("documents", "tokens")
@@ -30,22 +32,28 @@ def tokenizer_version(path: str) -> str:
         return f"{os.path.basename(path)}@{hashlib.sha256(f.read()).hexdigest()[:12]}"
 
 
+def _encoder(held: dict):
+    """The encoder of a file of ranks; a Python worker keeps the broadcast dictionary, and the encoder in it, for all its tasks."""
+    if "encode" not in held:
+        import tiktoken
+
+        merges = {base64.b64decode(t): int(r) for t, r in map(bytes.split, held["file"].splitlines())}
+        held["encode"] = tiktoken.Encoding("counted", pat_str=held["pattern"], mergeable_ranks=merges, special_tokens={}).encode_ordinary
+    return held["encode"]
+
+
 def count_tokens(docs: DataFrame, ranks: str, pattern: str, text: str = "text", out: str = "tokens") -> DataFrame:
     """Replace the text by its number of tokens, special ones not recognised. A null or empty text has 0.
 
     ``ranks`` is a file of base64 tokens and ranks on the driver; it is sent to the executors. A column called like
-    ``out`` is replaced, all others stay.
+    ``out`` is replaced, all others stay. Equal rows count each for itself; no rows give none. A text is encoded whole, however long.
     """
     with open(ranks, "rb") as f:
-        shared = docs.sparkSession.sparkContext.broadcast((f.read(), pattern))
+        shared = docs.sparkSession.sparkContext.broadcast({"file": f.read(), "pattern": pattern})
     keep = [c for c in docs.columns if c.lower() not in (text.lower(), out.lower())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tiktoken
-
-        file, pattern = shared.value
-        merges = {base64.b64decode(t): int(r) for t, r in map(bytes.split, file.splitlines())}
-        encode = tiktoken.Encoding("counted", pat_str=pattern, mergeable_ranks=merges, special_tokens={}).encode_ordinary
+        encode = _encoder(shared.value)
         for b in batches:
             n = np.fromiter((len(encode(t.as_py() or "")) for t in b.columns[-1]), np.int64, b.num_rows)
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n)], names=[*keep, out])
@@ -71,47 +79,46 @@ class Rollup:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _versions(self) -> list[int]:
-        """Versions whose list of batches, written last, is complete."""
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/batches")
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
-            return []
-        names = [s.getPath() for s in fs.listStatus(folder)]
-        done = [p for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return sorted(int(p.getName()) for p in done)
-
-    def batches(self) -> list[str]:
+    def _held(self) -> DataFrame:
+        """A row (``version, batch``) for every batch held."""
+        kind = "version bigint, batch string"
+        if not path_exists(self.spark, f"{self.path}/batches"):
+            return self.spark.createDataFrame([], kind)
+        return self.spark.read.schema(kind).parquet(f"{self.path}/batches")
+
+    def _version(self) -> int:
+        """The last version that counts; 0 before the first batch."""
+        return self._held().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+
+    def batches(self) -> DataFrame:
         """Names of the batches held, a row each."""
-        found = self._versions()
-        return [r[0] for r in self.spark.read.parquet(f"{self.path}/batches/{found[-1]}").collect()] if found else []
+        return self._held().select("batch")
 
     def commit(self, batch: str, rows: DataFrame) -> bool:
         """Add a batch of signed rows. False, and nothing done, if a batch of that name is held.
 
-        Null keys are groups of their own; null measures count 0. An empty batch is held like any other.
+        Null keys are groups of their own; null measures count 0. An empty batch is held like any other. Totals that a failed
+        commit left behind are overwritten.
         """
-        held, found = self.batches(), self._versions()
-        if batch in held:
+        if not self._held().filter(F.col("batch") == batch).isEmpty():
             return False
-        at = found[-1] + 1 if found else 1
+        last = self._version()
         sums = only(rows, *KEYS, *MEASURES)
-        if found:
-            sums = sums.unionByName(self.spark.read.parquet(f"{self.path}/totals/{found[-1]}"))
+        if last:
+            sums = sums.unionByName(self.spark.read.parquet(f"{self.path}/totals/{last}"))
         sums = sums.groupBy(*KEYS).agg(*[F.coalesce(F.sum(m), F.lit(0)).cast("bigint").alias(m) for m in MEASURES])
-        sums.write.mode("overwrite").parquet(f"{self.path}/totals/{at}")
-        names = self.spark.createDataFrame([(b,) for b in [*held, batch]], "batch string")
-        names.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/batches/{at}")
+        sums.write.mode("overwrite").parquet(f"{self.path}/totals/{last + 1}")
+        held = self.spark.createDataFrame([(last + 1, batch)], "version bigint, batch string")
+        held.coalesce(1).write.mode("append").parquet(f"{self.path}/batches")
         return True
 
     def totals(self) -> DataFrame:
         """``source, lang, tokenizer, documents, tokens``, without groups whose sums are all 0."""
-        found = self._versions()
-        if not found:
+        last = self._version()
+        if not last:
             kinds = ", ".join([*[f"{k} string" for k in KEYS], *[f"{m} bigint" for m in MEASURES]])
             return self.spark.createDataFrame([], kinds)
-        return self.spark.read.parquet(f"{self.path}/totals/{found[-1]}").filter(" OR ".join(f"{m} <> 0" for m in MEASURES))
+        return self.spark.read.parquet(f"{self.path}/totals/{last}").filter(" OR ".join(f"{m} <> 0" for m in MEASURES))
 
 
 def with_version(docs: DataFrame, version: str) -> DataFrame:

@@ -5,7 +5,7 @@ import public_tokenizers
 import tiktoken
 
 from barflow.llm.queries import LLM_QUERIES
-from barflow.llm.token_counts import Rollup, count_tokens, revised, signed
+from barflow.llm.token_counts import Rollup, count_tokens, revised, signed, tokenizer_version
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -20,7 +20,7 @@ def _totals(rollup):
 
 def test_signed_batches_commit_once(spark, tmp_path):
     rollup = Rollup(spark, str(tmp_path / "r"))
-    assert rollup.totals().count() == 0 and rollup.batches() == []
+    assert rollup.totals().count() == 0 and rollup.batches().count() == 0
     rows = _counted(spark, [("a", "en", "v1", 5), ("a", "en", "v1", 7), (None, "de", "v1", 2)])
     assert rollup.commit("one", signed(rows, 1)) and not rollup.commit("one", signed(rows, 1))
     assert _totals(rollup) == {("a", "en", "v1"): (2, 12), (None, "de", "v1"): (1, 2)}
@@ -30,7 +30,7 @@ def test_signed_batches_commit_once(spark, tmp_path):
     assert rollup.commit("empty", signed(_counted(spark, []), 1))
     again = Rollup(spark, str(tmp_path / "r"))
     assert _totals(again) == {("a", "en", "v1"): (1, 7), ("a", "en", "v2"): (1, 4)}
-    assert again.batches() and sorted(again.batches()) == ["deleted", "empty", "one", "revised"]
+    assert sorted(r[0] for r in again.batches().collect()) == ["deleted", "empty", "one", "revised"]
 
 
 def test_a_half_written_version_does_not_count(spark, tmp_path):
@@ -50,17 +50,22 @@ def test_counts_nulls_and_clashes(spark, docs_of):
 
 
 def test_query(spark, small):
-    with open(PATH, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    junk = {r[0] for r in spark.read.parquet(f"{small}/labels.parquet").filter("quality = 0").select("doc_id").collect()}
+    """Every document once, labelled ones by the second vocabulary."""
+    paths = {labelled: public_tokenizers.path(f"byte_bpe_{'multi_' if labelled else ''}50k.tiktoken") for labelled in (False, True)}
+    encode = {}
+    for labelled, path in paths.items():
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        encode[labelled] = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    marked = {r[0] for r in spark.read.parquet(f"{small}/labels.parquet").select("doc_id").collect()}
     expected = Counter()
     for r in spark.read.parquet(f"{small}/documents.parquet").collect():
-        if r["doc_id"] not in junk:
-            expected[r["source"], r["lang"], "documents"] += 1
-            expected[r["source"], r["lang"], "tokens"] += len(encode(r["text"] or ""))
+        labelled = r["doc_id"] in marked
+        key = r["source"], r["lang"], tokenizer_version(paths[labelled])
+        expected[(*key, "documents")] += 1
+        expected[(*key, "tokens")] += len(encode[labelled](r["text"] or ""))
     found = Counter()
     for r in LLM_QUERIES["op8_token_counts"](spark, small).collect():
         for m in ("documents", "tokens"):
-            found[r["source"], r["lang"], m] += r[m]
-    assert found == expected
+            found[r["source"], r["lang"], r["tokenizer"], m] += r[m]
+    assert found == expected and len({k[2] for k in found}) == 2
