@@ -14,6 +14,7 @@ from barflow.operators.indicators import INDICATORS, add_indicators, lookback_fo
 from barflow.operators.news import news_features
 from barflow.operators.series import BLOCK_ROWS, ROW, cut_blocks, default_bucket
 from barflow.operators.targets import CHANGE_BESIDE_INDICATORS, HORIZONS, add_targets
+from barflow.session import materialize
 
 SPLIT = "split"
 SHUFFLE_BUCKET_DIGITS = 4
@@ -195,8 +196,11 @@ def selected_names(scores: DataFrame) -> list[str]:
 
 
 def select_features(df: DataFrame, columns: Sequence[str], target: str, k: int = 20) -> DataFrame:
+    """The other columns and the ``k`` best features. The table is stored, as it is read for the scores and for the result; the
+    scores, one row per column, tell the driver which columns to read."""
     others = [c for c in df.columns if c not in columns]
-    return df.select(*others, *selected_names(feature_scores(df, columns, target, k)))
+    stored = materialize(df)
+    return stored.select(*others, *selected_names(feature_scores(stored, columns, target, k)))
 
 
 # --- rows as dictionaries, batches -------------------------------------------------------------

@@ -148,6 +148,45 @@ def context_contribution(
     return both.select(*key, "without_context", "with_context", changed.alias("context_impact"))
 
 
+def _records(
+    df: DataFrame, features: Sequence[str], scorer: Scorer, context: str | None, key: Sequence[str], explanations: bool
+) -> DataFrame:
+    """One scored table: the record of every row and, with ``explanations``, what setting each feature to 0, or leaving the context
+    out, changes. All scorings follow one another on the same rows, so nothing is joined or shuffled."""
+    source = df if context in (None, CONTEXT) else df.withColumn(CONTEXT, F.col(context))
+    if context is None and CONTEXT in source.columns:
+        source = source.drop(CONTEXT)
+    text = inference_prompt(source.schema, features, F.col(CONTEXT) if context else None)
+    inputs = {f"_i_{c}": F.col(c) for c in features}
+    rows = scorer(source.withColumns({f"_k_{c}": F.col(c) for c in key} | inputs | {"input_text": text}))
+    rows = rows.withColumns(
+        {"_prediction": parse_prediction("response"), "_response": F.col("response"), "_confidence": softmax_max("scores")}
+    ).drop("response", "scores")
+    kept = [*[F.col(f"_k_{c}").alias(c) for c in key], F.col("_prediction").alias("prediction"), F.col("_response").alias("response"),
+            "input_text", F.col("_confidence").alias("confidence"), F.current_timestamp().alias("timestamp"),
+            *[F.col(f"_i_{c}").alias(f"input_{c}") for c in features]]
+    if not explanations:
+        return rows.select(*kept)
+    names = sorted(c for c in features if c not in ID_FEATURES)
+    base = F.col("_prediction")["direction"]
+    for c in names:
+        rows = scorer(rows.withColumn(c, F.lit(0.0)))
+        rows = rows.withColumns({f"_f_{c}": (parse_direction("response") != base).cast("double"), c: F.col(f"_i_{c}")}).drop("response", "scores")
+    importance = F.map_from_arrays(
+        F.array(*[F.lit(c) for c in names]).cast("array<string>"), F.array(*[F.col(f"_f_{c}") for c in names]).cast("array<double>")
+    )
+    parts = [F.col("_prediction").alias("prediction"), F.col("_response").alias("base_explanation"), importance.alias("feature_analysis")]
+    if context is not None:
+        rows = rows.withColumn("_context", F.col(CONTEXT))
+        rows = scorer(rows.drop(CONTEXT)).withColumn("_without", parse_prediction("response")).drop("response", "scores")
+        effect = F.struct(
+            F.col("_without").alias("without_context"), F.col("_prediction").alias("with_context"),
+            (F.col("_without")["direction"] != base).alias("context_impact"),
+        )
+        parts.append(F.when(F.coalesce("_context", F.lit("")) != "", effect).alias("context_analysis"))
+    return rows.select(*kept, F.struct(*parts).alias("explanation"))
+
+
 def explain(
     df: DataFrame,
     features: Sequence[str],
@@ -156,21 +195,7 @@ def explain(
     key: Sequence[str] = ("sample_id",),
 ) -> DataFrame:
     """Per sample: prediction, response, importance map and, where a context is given, its effect."""
-    out = predict(df, features, scorer, context, keep=key).select(
-        *key, "prediction", F.col("response").alias("base_explanation")
-    )
-    importance = feature_importance(df, features, scorer, key)
-    entry = F.struct("feature", "importance")
-    out = out.join(
-        importance.groupBy(*key).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("feature_analysis")),
-        list(key),
-        "left",
-    )
-    if context is None:
-        return out
-    effect = context_contribution(df.where(F.coalesce(F.col(context), F.lit("")) != ""), scorer, context, key)
-    nested = F.struct("without_context", "with_context", "context_impact").alias("context_analysis")
-    return out.join(effect.select(*key, nested), list(key), "left")
+    return _records(df, features, scorer, context, key, True).select(*key, "explanation.*")
 
 
 def run_predictions(
@@ -182,12 +207,7 @@ def run_predictions(
     key: Sequence[str] = ("sample_id",),
 ) -> DataFrame:
     """Prediction records for a whole table, with explanations on request."""
-    out = predict(df, features, scorer, context, keep=key)
-    if not explanations:
-        return out
-    reasons = explain(df, features, scorer, context, key)
-    nested = F.struct(*[c for c in reasons.columns if c not in key]).alias("explanation")
-    return out.join(reasons.select(*key, nested), list(key), "left")
+    return _records(df, features, scorer, context, key, explanations)
 
 
 def evaluate(df: DataFrame, features: Sequence[str], scorer: Scorer, label: str) -> DataFrame:

@@ -12,6 +12,7 @@ from barflow.plans import inputs as I
 from barflow.plans.inputs import sql
 from barflow.plans.q_clean import _AGG, _ANY, _BOUNDS, _stats
 from barflow.plans.registry import query
+from barflow.session import materialize
 
 _W = "OVER (PARTITION BY symbol ORDER BY date)"
 _ALL_NEWS = _AGG
@@ -301,7 +302,7 @@ _PROMPT = (
 )
 def prepare_datasets(spark, folder):
     t = target_variables(I.bars(spark, folder).select("symbol", "date", "Close", "Volume"), [1])
-    parts = assemble.three_way_split(t, mode="position")
+    parts = materialize(assemble.three_way_split(t, mode="position"))
     shown = ["Close", "Volume"]
     vocab = tokens.vocabulary(datasets.prepare_datasets(parts, features=shown), "prompt", 500)
     out = datasets.prepare_datasets(parts, features=shown, vocab=vocab, key="symbol")
