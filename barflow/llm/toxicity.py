@@ -65,14 +65,21 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def _texts_with(docs: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features that occur, ascending, and in how many toxic and clean texts; the memory is that of two tables of all features."""
+    both = np.zeros((2, FEATURES), np.int32)
+    for d, t in zip(docs, toxic, strict=True):
+        both[int(t), d] += 1
+    ids = np.flatnonzero(both.any(axis=0))
+    return ids, both[1, ids].astype(float), both[0, ids].astype(float)
+
+
 def _select(docs: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     """Features by which toxic texts stand out: in at least ``LIFT`` times the share of them, best likelihood ratio first.
 
     What is commoner in clean texts is left out, or else enough harmless words could outweigh any abuse.
     """
-    ids, at = np.unique(np.concatenate(docs), return_inverse=True)
-    of_toxic = np.repeat(toxic, [len(d) for d in docs])
-    a, b = (np.bincount(at, weights=w, minlength=len(ids)) for w in (of_toxic, 1.0 - of_toxic))
+    ids, a, b = _texts_with(docs, toxic)
     na, nb = toxic.sum(), (1 - toxic).sum()
 
     def part(x, n, share):
@@ -92,11 +99,9 @@ def severity(docs: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, grade
 
     They are ordered by how often the features occur that ``LEAST_TEXTS`` toxic and no clean texts have.
     """
-    ids, at = np.unique(np.concatenate([d[0] for d in docs]), return_inverse=True)
-    of_toxic = np.repeat(toxic, [len(d[0]) for d in docs])
-    a, b = (np.bincount(at, weights=w, minlength=len(ids)) for w in (of_toxic, 1.0 - of_toxic))
+    ids, a, b = _texts_with([d[0] for d in docs], toxic)
     marks = ids[(a >= LEAST_TEXTS) & (b == 0)]
-    mass = np.array([n[np.isin(i, marks, assume_unique=True)].sum() for i, n in docs])
+    mass = np.array([n[np.isin(i, marks, assume_unique=True)].sum(dtype=float) for i, n in docs])
     cuts = np.quantile(mass[toxic == 1], [k / grades for k in range(1, grades)]) if toxic.any() else []
     return np.where(toxic == 1, 1 + np.searchsorted(cuts, mass, side="left"), 0)
 
@@ -118,7 +123,7 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, levels: i
         hit = (here < len(chosen)) & (chosen[np.minimum(here, len(chosen) - 1)] == ids) if len(chosen) else np.zeros(len(ids), bool)
         rows.append(np.full(hit.sum(), r))
         cols.append(here[hit])
-        vals.append(np.log1p(n[hit]))
+        vals.append(np.log1p(n[hit].astype(float)))
     row, col, val = np.concatenate(rows), np.concatenate(cols).astype(np.int64), np.concatenate(vals)
     weight = np.where(toxic == 1, 0.5 / toxic.sum(), 0.5 / (1 - toxic).sum())
     w, first, gaps = np.zeros(len(chosen)), 0.5, np.zeros(levels - 1)
@@ -179,7 +184,7 @@ def train(
     found = _sample(docs, labels, rows, id, text, label).sort_by("id")
     marks = found.column("label").to_numpy().astype(np.int64)
     pairs = zip(found.column("features"), found.column("times"), strict=True)
-    sample = [(f.values.to_numpy().astype(np.int64), t.values.to_numpy().astype(float)) for f, t in pairs]
+    sample = [(f.values.to_numpy(), t.values.to_numpy()) for f, t in pairs]
     if not len(marks):
         return fit([], marks, grades)
     return fit(sample, np.minimum(marks, grades) if graded else severity(sample, (marks > 0).astype(int), grades), grades)
