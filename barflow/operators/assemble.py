@@ -10,8 +10,10 @@ from pyspark.sql import types as T
 
 from barflow.operators.clean import clean_price_data, drop_missing_targets
 from barflow.operators.correlation import pair_correlations
+from barflow.operators.groups import beside_groups
 from barflow.operators.indicators import INDICATORS, add_indicators, lookback_for
 from barflow.operators.news import news_features
+from barflow.operators.numbering import number_rows
 from barflow.operators.series import BLOCK_ROWS, ROW, cut_blocks, default_bucket
 from barflow.operators.targets import CHANGE_BESIDE_INDICATORS, HORIZONS, add_targets
 from barflow.session import materialize
@@ -84,21 +86,17 @@ def split_dataset(
         for name, start in reversed(list(zip(names, _cut_dates(df, fractions, order)))):
             label = F.when(start.isNull() | (F.col(order) < start), name).otherwise(label)
         return df.withColumn(SPLIT, F.when(F.col(order).isNotNull(), label))
-    if mode not in ("position", "per_symbol_time"):
-        raise ValueError(f"unknown split mode {mode!r}")
-    totals = df.groupBy(by).agg(F.count(F.lit(1)).alias("_m"))
     if mode == "position":
-        ahead = Window.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
-        totals = totals.select(
-            by,
-            F.coalesce(F.sum("_m").over(ahead), F.lit(0)).alias("_at"),
-            F.sum("_m").over(Window.partitionBy()).alias("_all"),
-        )
-    else:
-        totals = totals.select(by, F.lit(0).alias("_at"), F.col("_m").alias("_all"))
+        # The total is a scalar, the numbers those of the rows in order of symbol and time.
+        numbered = number_rows(df, [by, order], ROW)
+        whole = numbered.withColumn("_all", df.agg(F.count(F.lit(1))).scalar())
+        return whole.withColumn(SPLIT, _label(F.col(ROW), F.col("_all"), fractions, names)).select(*df.columns, SPLIT)
+    if mode != "per_symbol_time":
+        raise ValueError(f"unknown split mode {mode!r}")
+    totals = df.groupBy(by).agg(F.count(F.lit(1)).alias("_all"))
     numbered = cut_blocks(df, [by], order, block_rows=block_rows).result(keep=[ROW])
-    joined = numbered.join(totals, by)
-    label = _label(F.col("_at") + F.col(ROW), F.col("_all"), fractions, names)
+    joined = beside_groups(numbered, totals, [by])
+    label = _label(F.col(ROW), F.col("_all"), fractions, names)
     return joined.withColumn(SPLIT, label).select(*df.columns, SPLIT)
 
 
@@ -217,11 +215,11 @@ def feature_map(columns: Sequence[str]) -> Column:
 def mini_batches(df: DataFrame, key: str, size: int = 4, seed: int | None = None) -> DataFrame:
     """Add ``batch_id`` and ``batch_pos``: seeded random order, or key order without a seed.
 
-    Positions come from counts per bucket plus the place within a bucket. In random order a bucket
-    is a hash range, so all are about equal.
+    In key order rows are numbered by ranges of the key. In random order positions come from counts per bucket, a
+    range of hashes, plus the place within a bucket, so all are about equal.
     """
     if seed is None:
-        return _batch(cut_blocks(df, [], key).result(keep=[ROW]), F.col(ROW), size, df.columns)
+        return _batch(number_rows(df, [key], ROW), F.col(ROW), size, df.columns)
     hashed = df.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}/"), F.col(key).cast("string"))))
     hashed = hashed.withColumn("_b", F.substring("_h", 1, SHUFFLE_BUCKET_DIGITS))
     counts = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_m"))

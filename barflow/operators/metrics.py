@@ -33,9 +33,10 @@ def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def direction_accuracy(df: DataFrame, truth: str = "y_true", pred: str = "y_pred", by: Sequence[str] = ()) -> DataFrame:
+def _direction_counts(truth: str, pred: str) -> list[Column]:
+    """Additive states of the direction metrics."""
     y, p = F.col(truth), F.col(pred)
-    counts = df.groupBy(*by).agg(
+    return [
         F.count(F.lit(1)).alias("n"),
         F.count_if(y == p).alias("ok"),
         F.count_if((y == 1) & (p == 1)).alias("tp"),
@@ -43,7 +44,29 @@ def direction_accuracy(df: DataFrame, truth: str = "y_true", pred: str = "y_pred
         F.count_if(p == 1).alias("up"),
         F.count_if(p == 0).alias("down"),
         F.count_if(y == 1).alias("pos"),
-    )
+    ]
+
+
+def direction_accuracy(df: DataFrame, truth: str = "y_true", pred: str = "y_pred", by: Sequence[str] = ()) -> DataFrame:
+    return _direction_ratios(df.groupBy(*by).agg(*_direction_counts(truth, pred)), by)
+
+
+def direction_rollup(df: DataFrame, by: Sequence[str], truth: str = "y_true", pred: str = "y_pred") -> DataFrame:
+    """The direction metrics for all of ``by``, for all but its last column, and so on to the whole table, in one pass.
+
+    The counts are made once per group of all columns; GROUPING SETS add them up, and ratios are formed last. ``level`` says how many
+    of the columns a row is for; the others are null in it.
+    """
+    states = _direction_counts(truth, pred)
+    fine = df.groupBy(*by).agg(*states)
+    names = [c for c in fine.columns if c not in by]
+    sets = [[F.col(c) for c in by[:k]] for k in range(len(by), -1, -1)]
+    level = F.lit(len(by)) - F.bit_count(F.grouping_id())
+    sums = fine.groupingSets(sets, *by).agg(level.cast("int").alias("level"), *[F.sum(c).alias(c) for c in names])
+    return _direction_ratios(sums, [*by, "level"])
+
+
+def _direction_ratios(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     c = F.col
     precision, recall = ratio(c("tp"), c("up")), ratio(c("tp"), c("pos"))
     return counts.select(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from barflow.functions.prompts import retrieval_query
 from barflow.functions.vectors import DEFAULT_DIM, hash_embedding
 from barflow.operators.cells import CELLS, FIT_ROWS, Cells, checked, cut_cells, nearest_centre, search_exact, search_probed, unit
+from barflow.operators.numbering import number_rows
 from barflow.session import materialize
 from barflow.sources.store import path_exists
 
@@ -65,9 +66,13 @@ def fundamental_documents(fundamentals: DataFrame) -> DataFrame:
 
 
 def number_documents(docs: DataFrame, start: int = 0) -> DataFrame:
-    """Add a unique ``doc_id`` from ``start`` up. Unique but with gaps: numbering needs no shuffle,
-    whatever the number of equal documents."""
-    return docs.withColumn("doc_id", F.monotonically_increasing_id() + F.lit(start))
+    """Add a ``doc_id`` from ``start`` up, without gaps, in the order of a digest of the text and the metadata: the same
+    documents get the same ids however they are dealt to tasks."""
+    said = [F.coalesce(F.col("text"), F.lit(""))]
+    if "metadata" in docs.columns:
+        said.append(F.to_json(F.map_from_entries(F.array_sort(F.map_entries("metadata")))))
+    digest = F.sha2(F.concat_ws("\n", *said), 256)
+    return number_rows(docs, [digest], "doc_id", start)
 
 
 def add_documents(
@@ -75,7 +80,7 @@ def add_documents(
 ) -> int:
     """Embed documents and append them to the stored collection; returns the first new id.
 
-    Ids continue after the stored maximum, so batches never collide. Empty input changes nothing.
+    Ids continue after the stored maximum, so batches never collide; one writer at a time. Empty input changes nothing.
     """
     start = 0
     if path_exists(spark, path):

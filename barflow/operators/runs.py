@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barflow.sources.batches import append_batch, read_batches
+
 METRIC_SCHEMA = "experiment string, seq bigint, step bigint, ts timestamp_ntz, name string, value double"
 EVENT_SCHEMA = "experiment string, ts timestamp_ntz, status string"
 STATUSES = ("running", "completed", "failed")
@@ -26,12 +28,18 @@ def metric_rows(metrics: DataFrame, experiment: str, seq: int, step: int | None,
     )
 
 
-def log_metrics(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").parquet(path)
+def log_metrics(rows: DataFrame, path: str, batch: str) -> bool:
+    """Append a named batch of metric rows; the same batch again changes nothing. Read them with ``metric_history``."""
+    return append_batch(rows, path, batch)
+
+
+def metric_history(spark: SparkSession, path: str) -> DataFrame:
+    return read_batches(spark, path).drop("batch")
 
 
-def log_status(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def log_status(df: DataFrame, path: str, batch: str) -> bool:
+    """Append a named batch of status events, once."""
+    return append_batch(df, path, batch)
 
 
 def metrics_summary(history: DataFrame, names: Sequence[str], keys: Sequence[str] = ("step", "ts")) -> DataFrame:

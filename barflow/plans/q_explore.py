@@ -165,11 +165,12 @@ _NAMES = I.EVENT_SYMBOLS
 
 @query("l01_log_metrics", sql("SELECT name, count(*) AS entries, round(sum(value), 2) AS total FROM runs GROUP BY name", "runs"))
 def log_metrics(spark, folder):
+    """Two batches, one of them sent twice."""
     path = f"{shared_dir(spark)}/metrics-{uuid.uuid4().hex}"
     log = I.runs(spark, folder)
-    runs.log_metrics(log.where(F.col("step").isNull()), path)
-    runs.log_metrics(log.where(F.col("step").isNotNull()), path)
-    back = spark.read.parquet(path)
+    for batch, part in (("free", "step IS NULL"), ("stepped", "step IS NOT NULL"), ("free", "step IS NULL")):
+        runs.log_metrics(log.where(part), path, batch)
+    back = runs.metric_history(spark, path)
     return back.groupBy("name").agg(F.count(F.lit(1)).alias("entries"), F.round(F.sum("value"), 2).alias("total"))
 
 

@@ -41,6 +41,21 @@ def direction_accuracy_by_symbol(spark, folder):
     return _r(metrics.direction_accuracy(I.labels_conf(spark, folder), by=BY), 6)
 
 
+_ROLLED = "(SELECT *, confidence >= 0.5 AS sure FROM labels_conf)"
+
+
+@query(
+    "i20_metrics_rollup",
+    sql(_DIRECTION.format(key="symbol, sure, 2 - bit_count(g) AS level,", src=_ROLLED, group="").replace(
+        "FROM (SELECT symbol, sure, 2 - bit_count(g) AS level,", "FROM (SELECT symbol, sure, grouping(symbol, sure) AS g,"
+    )[:-1] + " GROUP BY GROUPING SETS ((symbol, sure), (symbol), ()))", "labels_conf"),
+)
+def metrics_rollup(spark, folder):
+    """Direction metrics by symbol and sureness, by symbol, and in all."""
+    sure = I.labels_conf(spark, folder).withColumn("sure", F.col("confidence") >= 0.5)
+    return _r(metrics.direction_rollup(sure, ["symbol", "sure"]), 6)
+
+
 _E = "(y_true - y_pred)"
 _R2 = f"1 - sum({_E} * {_E}) / (var_pop(y_true) * count(*))"
 _REGRESSION = {

@@ -50,11 +50,12 @@ def fundamental_documents(spark, folder):
 
 @query(
     "h03_add_documents",
-    sql("SELECT 'news' AS type, count(*) AS docs, count(*) AS ids, 2::BIGINT AS batches FROM news UNION ALL "
-        "SELECT 'fundamental', count(*), count(*), 2 FROM fundamentals", "news", "fundamentals"),
+    sql("SELECT 'news' AS type, count(*) AS docs, count(*) AS ids, 0::BIGINT AS first_id, count(*) - 1 AS last_id, 2::BIGINT AS batches FROM news "
+        "UNION ALL SELECT 'fundamental', count(*), count(*), (SELECT count(*) FROM news), (SELECT count(*) FROM news) + count(*) - 1, 2 "
+        "FROM fundamentals", "news", "fundamentals"),
 )
 def add_documents(spark, folder):
-    """Two batches into one collection; ids must not collide between them."""
+    """Two batches into one collection; ids have no gaps and go on from one batch to the next."""
     path = f"{shared_dir(spark)}/collection-{uuid.uuid4().hex}"
     first = R.add_documents(spark, path, R.news_documents(I.news(spark, folder)), lambda c: hash_embedding(c, DIM))
     second = R.add_documents(
@@ -63,8 +64,9 @@ def add_documents(spark, folder):
     table = spark.read.parquet(path)
     batch = F.when(F.col("doc_id") < second, first).otherwise(second)
     groups = table.groupBy(F.col("metadata")["type"].alias("type")).agg(
-        F.count(F.lit(1)).alias("docs"), F.countDistinct("doc_id").alias("ids")
-    )
+        F.count(F.lit(1)).alias("docs"), F.countDistinct("doc_id").alias("ids"),
+        F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"),
+    )
     return groups.withColumn("batches", table.agg(F.countDistinct(batch)).scalar())
 
 

@@ -140,8 +140,9 @@ def test_metric_log_appends(spark, tmp_path):
     path = str(tmp_path / "log")
     for step in (1, 2):
         m = spark.createDataFrame([(0.5 * step, step)], "acc double, n int")
-        runs.log_metrics(runs.metric_rows(m, "e", step, step, "2024-01-01 00:00:00"), path)
-    wide = runs.metrics_summary(spark.read.parquet(path), ["acc", "n"]).orderBy("step").collect()
+        rows = runs.metric_rows(m, "e", step, step, "2024-01-01 00:00:00")
+        assert runs.log_metrics(rows, path, f"step {step}") and not runs.log_metrics(rows, path, f"step {step}")
+    wide = runs.metrics_summary(runs.metric_history(spark, path), ["acc", "n"]).orderBy("step").collect()
     assert [(r["step"], r["acc"], r["n"]) for r in wide] == [(1, 0.5, 1.0), (2, 1.0, 2.0)]
 
 
