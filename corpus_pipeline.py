@@ -1,7 +1,11 @@
 """From raw documents to token ids: toxicity, exact dedup, near-dedup, mixing, encoding.
 
 A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame. All but the last return the columns of ``documents``; each
-is written as Parquet and read again as the next one's documents. Extra columns of the documents are kept.
+is written as Parquet and read again as the next one's documents. Extra columns of the documents are kept, whatever their
+names, up to the last stage, which returns ids and digests only.
+
+Null texts count as empty; no stage drops a document for being empty. An empty table gives an empty one. Texts are read
+whole, however long.
 """
 
 from __future__ import annotations
@@ -35,32 +39,34 @@ def _same_columns(stage):
 
 @_same_columns
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the severity model, fitted on the labelled ones, puts at grade 0."""
+    """Documents that the severity model, fitted on the labelled ones, puts at grade 0. Empty texts are at grade 0, equal texts at the same;
+    without labels of both kinds nothing is dropped."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return grade(docs, model, keep_text=True).filter("NOT toxic")
 
 
 @_same_columns
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with the same text, the one with the largest id."""
+    """Of documents with the same text, the one with the largest id; of null and empty texts one in all, of rows that tie in id one."""
     return exact_dedup(docs, scratch_index(spark), batch="documents").filter("kept")
 
 
 @_same_columns
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by shingle sets of similarity 0.8 or more, the one with the smallest id. Rows without an id stay."""
+    """Of documents linked by shingle sets of similarity 0.8 or more, the one with the smallest id. Texts without words are
+    linked with nothing and stay, and so do rows without an id. Rows that share an id stay or go together."""
     kept = near_duplicates(docs, percent=80).filter("kept").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL"))
 
 
 @_same_columns
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them, at most twice; those without words, which add nothing to any share, once."""
     return repeat_taken(mix_sources(docs))
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, their number, and digests of the ids and of the text they decode to."""
+    """Token ids of every document, their number, and digests of the ids and of the text they decode to. An empty text has no ids."""
     vocabulary = Vocabulary.from_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     both = encode(only(docs, "doc_id", "source", "text"), vocabulary, decoded="decoded")
     return both.select(
