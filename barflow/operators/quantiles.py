@@ -8,6 +8,7 @@ gets smaller with every digit.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,21 +30,27 @@ def quantile_names(column: str, probs: Sequence[float]) -> list[str]:
     return [_name(column, p) for p in probs]
 
 
-def sortable(x: Column) -> Column:
-    """A 64-bit integer in the order of the doubles: exponent and fraction of the magnitude, negated below zero; NaN is largest.
+def add_sortable(df: DataFrame, x: str = "x", out: str = "key") -> DataFrame:
+    """Add a 64-bit integer in the order of the doubles of ``x``: exponent and fraction of the magnitude, negated below zero; NaN is
+    largest, null stays null.
 
-    Powers of two and quotients by them are exact, so different doubles get different integers, and both zeros get 0.
+    Powers of two and quotients by them are exact, so different doubles get different integers, and both zeros get 0. Each step is a
+    column of its own, so that it is computed once.
     """
-    size = F.abs(x)
-    guess = F.floor(F.log2(size))
-    power = guess + F.when(F.pow(F.lit(2.0), guess) > size, -1).when(F.pow(F.lit(2.0), guess + 1) <= size, 1).otherwise(0)
-    power = F.greatest(F.least(power, F.lit(1023)), F.lit(-1022))
+    two, c = F.lit(2.0), F.col
+    steps = df.withColumn("_size", F.abs(c(x)))
+    steps = steps.withColumn("_guess", F.floor(F.log2(F.least(F.greatest("_size", F.lit(2.0**-1022)), F.lit(sys.float_info.max)))))
+    power = c("_guess") + F.when(F.pow(two, c("_guess")) > c("_size"), -1).when(F.pow(two, c("_guess") + 1) <= c("_size"), 1).otherwise(0)
+    steps = steps.withColumn("_power", F.greatest(F.least(power, F.lit(1023)), F.lit(-1022)))
     # Halves of the power keep every factor a normal number.
-    scaled = size / F.pow(F.lit(2.0), F.floor(power / 2)) / F.pow(F.lit(2.0), power - F.floor(power / 2)) * F.lit(2.0**52)
-    normal = (power + 1022) * F.lit(1 << 52) + scaled.cast("bigint")
-    tiny = (size * F.lit(2.0**537) * F.lit(2.0**537)).cast("bigint")
-    magnitude = F.when(size == 0, F.lit(0)).when(size < F.lit(2.0**-1022), tiny).when(size == F.lit(float("inf")), F.lit(2047 << 52)).otherwise(normal)
-    return F.when(F.isnan(x), F.lit((1 << 63) - 1)).when(x < 0, -magnitude).otherwise(magnitude).cast("bigint")
+    steps = steps.withColumn("_half", F.floor(c("_power") / 2))
+    scaled = c("_size") / F.pow(two, c("_half")) / F.pow(two, c("_power") - c("_half")) * F.lit(2.0**52)
+    normal = (c("_power") + 1022) * F.lit(1 << 52) + scaled.cast("bigint")
+    tiny = (c("_size") * F.lit(2.0**537) * F.lit(2.0**537)).cast("bigint")
+    magnitude = F.when(c("_size") < F.lit(2.0**-1022), tiny).when(c("_size") == F.lit(float("inf")), F.lit(2047 << 52)).otherwise(normal)
+    steps = steps.withColumn("_magnitude", F.when(F.isnan(c(x)), F.lit((1 << 63) - 1)).otherwise(magnitude).cast("bigint"))
+    signed = F.when(c(x).isNotNull(), F.when(c(x) < 0, -c("_magnitude")).otherwise(c("_magnitude")))
+    return steps.withColumn(out, signed).drop("_size", "_guess", "_power", "_half", "_magnitude")
 
 
 def exact_quantiles(
@@ -61,9 +68,9 @@ def exact_quantiles(
     each = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(n).alias("x")) for i, n in enumerate(names)]))
 
     first = rows.select(*by, _GROUP, each.alias("v")).select(*by, _GROUP, "v.c", "v.x")
-    digits = F.when(F.col("x").isNotNull(), F.shiftright(sortable(F.col("x")), SHIFTS[0]))
     held = [F.first(b).alias(b) for b in by]
-    level = materialize(first.withColumn("digit", digits).groupBy(_GROUP, "c", "digit").agg(*held, F.count(F.lit(1)).alias("n")))
+    level = add_sortable(first).withColumn("digit", F.shiftright("key", SHIFTS[0]))
+    level = materialize(level.groupBy(_GROUP, "c", "digit").agg(*held, F.count(F.lit(1)).alias("n")))
     groups = level.groupBy(_GROUP).agg(F.count(F.lit(1)).alias("_all"), *held)
     wanted = level.filter("digit IS NOT NULL").groupBy(_GROUP, "c").agg(F.sum("n").alias("total"))
     wanted = wanted.select(_GROUP, "c", F.explode(F.array(*[_ranks(k, p) for k, p in enumerate(probs)])).alias("r"))
@@ -72,7 +79,7 @@ def exact_quantiles(
 
     found = _narrow(level.filter("digit IS NOT NULL"), wanted, [_GROUP, "c"])
     spots = found.select(_GROUP, "c", "digit").distinct()
-    near = first.filter("x IS NOT NULL").select(_GROUP, "c", "x", sortable(F.col("x")).alias("key"))
+    near = add_sortable(first.filter("x IS NOT NULL").select(_GROUP, "c", "x"))
     near = near.withColumn("digit", F.shiftright("key", SHIFTS[0])).join(spots, [_GROUP, "c", "digit"])
     near = materialize(near.groupBy(_GROUP, "c", "key").agg(F.first("x").alias("x"), F.count(F.lit(1)).alias("n")))
     for above, below in zip(SHIFTS, SHIFTS[1:], strict=False):

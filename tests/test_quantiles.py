@@ -61,19 +61,19 @@ def test_empty_tables_and_null_groups(spark):
 def test_sortable_integers_keep_the_order_of_doubles(spark):
     import struct
 
-    from barflow.operators.quantiles import sortable
+    from barflow.operators.quantiles import add_sortable
 
     rng = np.random.default_rng(3)
     bits = rng.integers(0, 1 << 63, 4000, np.uint64) | (rng.integers(0, 2, 4000).astype(np.uint64) << np.uint64(63))
     xs = [struct.unpack("<d", struct.pack("<Q", int(b)))[0] for b in bits]
     xs = [x for x in xs if x == x] + [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.7976931348623157e308, float("inf"), -float("inf")]
     xs += [s * 2.0**e * f for e in range(-1020, 1023, 7) for s in (1, -1) for f in (1.0, np.nextafter(1, 0), np.nextafter(1, 2))]
-    got = spark.createDataFrame([(float(x),) for x in xs], "x double").select("x", sortable(F.col("x")).alias("k")).collect()
+    got = spark.createDataFrame([(float(x),) for x in xs], "x double").transform(lambda d: add_sortable(d, "x", "k")).collect()
     got.sort(key=lambda r: r["x"])
     for a, b in zip(got, got[1:]):
         assert (a["k"] < b["k"]) == (a["x"] < b["x"]) and (a["k"] == b["k"]) == (a["x"] == b["x"]), (a, b)
-    nan = spark.createDataFrame([(float("nan"),)], "x double").select(sortable(F.col("x"))).first()[0]
-    assert nan > max(r["k"] for r in got)
+    nan, null = (r["key"] for r in add_sortable(spark.createDataFrame([(float("nan"),), (None,)], "x double")).collect())
+    assert null is None and nan > max(r["k"] for r in got)
 
 
 def test_near_equal_values_are_told_apart(spark):
