@@ -68,14 +68,15 @@ def phrase_counts(docs: DataFrame, longest: int, least: int) -> DataFrame:
     """``lang, size, phrase, f``: phrases of up to ``longest`` words found at least ``least`` times, and under size 0 all words.
 
     Only the windows are counted: within a task first, then shuffled once, by all their words but the last, so that sums over the
-    next shorter prefix stay where they are. ROLLUP sums these over fewer and fewer first words. A padded window is no
+    next shorter prefix stay where they are. Their sums over one word less are small, and ROLLUP sums those over fewer and fewer first words. A padded window is no
     phrase of the words it lacks, but counts for its beginnings.
     """
     combined = windows(docs, longest).mapInArrow(_combine, "lang string, window string, n bigint")
     head = F.substring_index("window", " ", longest - 1)
-    dealt = combined.withColumn("place", F.hash("lang", head)).repartition("place")
-    counted = dealt.groupBy("place", "lang", "window").agg(F.sum("n").alias("f"))
-    heads = dealt.groupBy("place", "lang", head.alias("head")).agg(F.sum("n").alias("f"))
+    # Dealt by the prefix, which is not sent along but taken from the window again.
+    dealt = combined.repartition("lang", head).withColumn("head", head)
+    counted = dealt.groupBy("lang", "head", "window").agg(F.sum("n").alias("f"))
+    heads = dealt.groupBy("lang", "head").agg(F.sum("n").alias("f"))
 
     def phrases(df, column, size):
         words = F.size(F.split(column, " "))
@@ -86,7 +87,7 @@ def phrase_counts(docs: DataFrame, longest: int, least: int) -> DataFrame:
     names = [f"w{k}" for k in range(longest - 2)]
     parts = F.split("head", " ")
     rolled = heads.select("lang", "f", *[F.coalesce(F.get(parts, F.lit(k)), F.lit("")).alias(c) for k, c in enumerate(names)])
-    rolled = rolled.rollup("lang", *names).agg(F.sum("f").alias("f")).filter("lang IS NOT NULL")
+    rolled = rolled.groupBy("lang", *names).agg(F.sum("f").alias("f")).rollup("lang", *names).agg(F.sum("f").alias("f")).filter("lang IS NOT NULL")
     size = reduce(lambda a, b: a + b, [F.col(c).isNotNull().cast("int") for c in names], F.lit(0))
     padded = reduce(lambda a, b: a | b, [F.coalesce(F.col(c) == "", F.lit(False)) for c in names], F.lit(False))
     short = rolled.filter(~padded).select("lang", size.alias("size"), F.concat_ws(" ", *names).alias("phrase"), "f")
