@@ -78,21 +78,27 @@ def phrase_counts(docs: DataFrame, longest: int, least: int) -> DataFrame:
     counted = dealt.groupBy("lang", "head", "window").agg(F.sum("n").alias("f"))
     heads = dealt.groupBy("lang", "head").agg(F.sum("n").alias("f"))
 
-    def phrases(df, column, size):
-        words = F.size(F.split(column, " "))
-        # One condition on both, or the second would be moved below the count, which is then made twice.
-        wanted = F.when(F.col("f") >= least, words == size)
-        return df.filter(wanted).select("lang", F.lit(size).alias("size"), F.col(column).alias("phrase"), "f")
+    # One condition on both, or the second would be moved below the count, which is then made twice.
+    wanted = F.when(F.col("f") >= least, F.size(F.split("window", " ")) == longest)
+    full = counted.filter(wanted).select("lang", F.lit(longest).alias("size"), F.col("window").alias("phrase"), "f")
+
+    # Every prefix goes on by its own first words; it stays beside them where it is a phrase found often enough.
+    shorter = F.substring_index("head", " ", longest - 2) if longest > 2 else F.lit("")
+    stays = F.when((F.col("f") >= least) & (F.size(F.split("head", " ")) == longest - 1), F.struct(F.lit(longest - 1).alias("size"), F.col("head").alias("phrase")))
+    kept = F.explode(F.array_compact(F.array(F.struct(F.lit(0).alias("size"), shorter.alias("phrase")), stays)))
+    sums = heads.select("lang", "f", kept.alias("p")).groupBy("lang", "p.size", "p.phrase").agg(F.sum("f").alias("f"))
+    # Conditions on the sum too, for the same reason as above: these sums are made once.
+    heads_kept = sums.filter(F.when(F.col("f") >= 1, F.col("size") > 0)).select("lang", "size", "phrase", "f")
 
     names = [f"w{k}" for k in range(longest - 2)]
-    parts = F.split("head", " ")
-    rolled = heads.select("lang", "f", *[F.coalesce(F.get(parts, F.lit(k)), F.lit("")).alias(c) for k, c in enumerate(names)])
-    rolled = rolled.groupBy("lang", *names).agg(F.sum("f").alias("f")).rollup("lang", *names).agg(F.sum("f").alias("f")).filter("lang IS NOT NULL")
+    parts = F.split("phrase", " ")
+    first = sums.filter(F.when(F.col("f") >= 1, F.col("size") == 0))
+    rolled = first.select("lang", "f", *[F.coalesce(F.get(parts, F.lit(k)), F.lit("")).alias(c) for k, c in enumerate(names)])
+    rolled = rolled.rollup("lang", *names).agg(F.sum("f").alias("f")).filter("lang IS NOT NULL")
     size = reduce(lambda a, b: a + b, [F.col(c).isNotNull().cast("int") for c in names], F.lit(0))
     padded = reduce(lambda a, b: a | b, [F.coalesce(F.col(c) == "", F.lit(False)) for c in names], F.lit(False))
     short = rolled.filter(~padded).select("lang", size.alias("size"), F.concat_ws(" ", *names).alias("phrase"), "f")
-    short = short.filter(f"size = 0 OR f >= {int(least)}")
-    return phrases(counted, "window", longest).unionByName(phrases(heads, "head", longest - 1)).unionByName(short)
+    return full.unionByName(heads_kept).unionByName(short.filter(f"size = 0 OR f >= {int(least)}"))
 
 
 def _look(left: DataFrame, counts: DataFrame, key: str, out: str) -> DataFrame:
