@@ -13,7 +13,6 @@ comes out is decoded and compared with the text; one that differed, as two chunk
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Iterator
 from functools import reduce
@@ -25,12 +24,15 @@ from pyspark.sql import functions as F
 
 from barflow.llm.byte_bpe import gather
 from barflow.llm.common import column, lookup, whole
+from barflow.llm.range_coder import Words
 from barflow.session import materialize
 
 #: Bytes the rolling hash sees, as a power of two, and how many bits of it are zero at a cut: chunks of about 2^10 bytes.
 WINDOW_DOUBLINGS, CUT_BITS = 5, 10
 #: Bytes of a chunk at least and at most.
 SHORTEST, LONGEST = 128, 1 << 14
+#: Distinct words whose ids a Python worker remembers before it starts anew.
+REMEMBERED = 300_000
 #: Bytes hashed, and bytes of text encoded, in one step.
 STEP = 1 << 21
 #: Places where a cut of the tokenizer's pattern is certain: before a blank or line end after a printable character, before an ASCII
@@ -111,7 +113,7 @@ def _cut(tokenizer):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        literals = _literals(tokenizer.value)
+        literals = _literals(tokenizer.value["json"])
         for b in batches:
             for lo, texts in _steps(b.column(1)):
                 joined = np.frombuffer(b"".join(texts), np.uint8)
@@ -141,20 +143,33 @@ def _steps(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
         yield at, lot
 
 
-def _load(tokenizer: str):
-    """The tokenizer without truncation and padding, on one thread."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class _Encoder:
+    """The tokenizer without truncation and padding, on one thread, with the ids of words met before."""
 
-    loaded = Tokenizer.from_str(tokenizer)
-    loaded.no_truncation()
-    loaded.no_padding()
-    return loaded
+    def __init__(self, tokenizer: str):
+        self.words = Words(tokenizer)
+        self.own = self.words.tokenizer
+        self.own.no_truncation()
+        self.own.no_padding()
 
+    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each text, as the library gives them."""
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+            self.words.closing.clear()
+        return [i.astype("<u4") for i in self.words.ids([t.decode(errors="replace") for t in texts])]
 
-def _ids(tokenizer, texts: list[bytes]) -> list[np.ndarray]:
-    encoded = tokenizer.encode_batch_fast([t.decode(errors="replace") for t in texts], add_special_tokens=False)
-    return [np.array(e.ids, "<u4") for e in encoded]
+    def plain(self, text: bytes) -> tuple[np.ndarray, bytes]:
+        """Ids and decoded text of a whole text by the library alone."""
+        ids = self.own.encode(text.decode(), add_special_tokens=False).ids
+        return np.array(ids, "<u4"), self.own.decode(ids, skip_special_tokens=False).encode()
+
+
+def _load(shared) -> _Encoder:
+    """A Python worker keeps the broadcast dictionary, and the encoder in it, for all its tasks."""
+    if "encoder" not in shared.value:
+        shared.value["encoder"] = _Encoder(shared.value["json"])
+    return shared.value["encoder"]
 
 
 def _token_bytes(tokenizer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -177,8 +192,8 @@ def _packing(vocabulary: int) -> str:
 
 def _encode_shared(tokenizer):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _load(tokenizer.value)
-        kind = _packing(own.get_vocab_size())
+        encoder = _load(tokenizer)
+        kind = _packing(encoder.own.get_vocab_size())
         for b in batches:
             wanted = b.column(1)
             for lo, texts in _steps(b.column(0)):
@@ -187,7 +202,7 @@ def _encode_shared(tokenizer):
                     for w in wanted[lo + k].as_py():
                         names.append(w["chunk"])
                         parts.append(text[w["lo"] : w["hi"]])
-                packed = [i.astype(kind).tobytes() for i in _ids(own, parts)]
+                packed = [i.astype(kind).tobytes() for i in encoder.ids(parts)]
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(packed, pa.binary())], names=["chunk", "packed"])
 
     return run
@@ -197,9 +212,9 @@ def _join_up(tokenizer, kept: int, names: list[str]):
     """Columns kept, text, pieces -> columns kept, ids, their number, decoded text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _load(tokenizer.value)
-        kind = _packing(own.get_vocab_size())
-        pool, starts, lengths = _token_bytes(own)
+        encoder = _load(tokenizer)
+        kind = _packing(encoder.own.get_vocab_size())
+        pool, starts, lengths = _token_bytes(encoder.own)
         for b in batches:
             pieces = b.column(kept + 1)
             for lo, texts in _steps(b.column(kept)):
@@ -216,7 +231,7 @@ def _join_up(tokenizer, kept: int, names: list[str]):
                         plan.append(len(gaps))
                         gaps.append(text[at:])
                     plans.append(plan)
-                coded = _ids(own, gaps)
+                coded = encoder.ids(gaps)
                 ids = [
                     np.concatenate([coded[p] if isinstance(p, int) else p.astype("<u4") for p in plan]) if plan else np.empty(0, "<u4")
                     for plan in plans
@@ -226,8 +241,8 @@ def _join_up(tokenizer, kept: int, names: list[str]):
                     if gather(pool, starts[ids[k]], lengths[ids[k]]).tobytes() == text:
                         back.append(text)
                         continue
-                    (ids[k],) = _ids(own, [text])
-                    back.append(own.decode(ids[k].tolist(), skip_special_tokens=False).encode())
+                    ids[k], decoded = encoder.plain(text)
+                    back.append(decoded)
                 arrays = [b.column(i).slice(lo, len(texts)) for i in range(kept)]
                 arrays += [pa.array([i.tobytes() for i in ids], pa.binary()), pa.array([len(i) for i in ids], pa.int64()), pa.array(back, pa.binary()).cast(pa.string())]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
@@ -249,7 +264,7 @@ def encode_chunks(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFr
     chunk, or of which one is taken: a filter of fixed size (``_maybe``) finds the others, which are encoded where they are read.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(tokenizer)
+    shared = spark.sparkContext.broadcast({"json": tokenizer})
     outs = ["ids", "n_tokens", "decoded"]
     keep = [c for c in docs.columns if c.lower() not in {text.lower(), *outs}]
     names = {c: f"kept_{i}" for i, c in enumerate(keep)}

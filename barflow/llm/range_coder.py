@@ -247,7 +247,7 @@ def join_crc(first: int, second: int, length: int) -> int:
     return _times(shift, first) ^ second
 
 
-class _Words(dict):
+class Words(dict):
     """Ids by word, each word encoded once by the tokenizers library, with the blank before it.
 
     A byte-level pre-tokenizer cuts before a blank unless white space stands in front of it; a text where that occurs
@@ -305,7 +305,7 @@ class _Words(dict):
 
 def _pack(tokenizer, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = tokenizer.value.setdefault("words", None) or _Words(tokenizer.value["json"])
+        memory = tokenizer.value.setdefault("words", None) or Words(tokenizer.value["json"])
         tokenizer.value["words"] = memory
         shard, number, start, made = TaskContext.get().partitionId(), 0, 0, 0
         entries, ids, blocks = [], [], []

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 from barflow.llm import range_coder
 from barflow.llm.queries import LLM_QUERIES
-from barflow.llm.range_coder import _ENTRY, _Words, decode_blocks, encode_blocks, join_crc, read_ids, seal, unseal, write_ids
+from barflow.llm.range_coder import _ENTRY, Words, decode_blocks, encode_blocks, join_crc, read_ids, seal, unseal, write_ids
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -53,7 +53,7 @@ def test_joined_checksums(a, b):
 def test_words_equal_the_library_on_whole_texts(texts):
     if "words" not in _MADE:
         with open(JSON, encoding="utf-8") as f:
-            _MADE["words"] = _Words(f.read())
+            _MADE["words"] = Words(f.read())
         _MADE["whole"] = Tokenizer.from_file(JSON)
         _MADE["whole"].encode_special_tokens = True
     expected = [e.ids for e in _MADE["whole"].encode_batch(texts, add_special_tokens=False)]
@@ -102,7 +102,7 @@ HELD = [END, f"hello {END} you", f"a{END}b", f" {END}", f"{END} ", f"a\n{END}\nb
 def test_literals_of_added_tokens_equal_the_untouched_library():
     whole = Tokenizer.from_file(JSON)
     with open(JSON, encoding="utf-8") as f:
-        words = _Words(f.read())
+        words = Words(f.read())
     expected = [whole.encode(t, add_special_tokens=False).ids for t in HELD]
     assert expected[1] == [31373, 220, 50256, 345]
     assert [x.tolist() for x in words.ids(HELD)] == expected
