@@ -30,16 +30,27 @@ def word_buckets(text: str | Column, dim: int = DEFAULT_DIM) -> Column:
     )
 
 
-def hash_embedding(text: str | Column, dim: int = DEFAULT_DIM, weights: Sequence[float] | None = None) -> Column:
-    """L2-normalised word-count vector over hash buckets, ``array<float>``; zero without words.
+def hash_embedding(
+    text: str | Column, dim: int = DEFAULT_DIM, weights: Sequence[float] | None = None, kind: str = "float"
+) -> Column:
+    """L2-normalised word-count vector over hash buckets, an array of ``kind`` (``float`` or ``double``); zero without words.
 
     ``weights``, one per bucket, multiply the counts first, such as the ``idf`` of ``fit_idf``.
     """
+    return embed_buckets(word_buckets(text, dim), dim, weights, kind)
+
+
+def embed_buckets(
+    buckets: str | Column, dim: int = DEFAULT_DIM, weights: Sequence[float] | None = None, kind: str = "float"
+) -> Column:
+    """``hash_embedding`` of the buckets of a text's words, where a query needs these as well."""
     scale = np.ones(dim) if weights is None else np.asarray(weights, dtype=np.float64)
     if len(scale) != dim:
         raise ValueError(f"{len(scale)} weights for {dim} buckets")
 
-    @F.pandas_udf("array<float>")
+    number = {"float": np.float32, "double": np.float64}[kind]
+
+    @F.pandas_udf(f"array<{kind}>")
     def count_buckets(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
             found = [np.empty(0)] * len(part)
@@ -49,10 +60,10 @@ def hash_embedding(text: str | Column, dim: int = DEFAULT_DIM, weights: Sequence
                 flat = np.concatenate([np.empty(0, np.int64), *some]).astype(np.int64)
                 counts = np.bincount(rows * dim + flat, minlength=len(some) * dim).reshape(len(some), dim) * scale
                 norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
-                found[lo : lo + len(some)] = list((counts / np.where(norms == 0, 1.0, norms)).astype(np.float32))
+                found[lo : lo + len(some)] = list((counts / np.where(norms == 0, 1.0, norms)).astype(number))
             yield pd.Series(found)
 
-    return count_buckets(F.coalesce(word_buckets(text, dim), F.array().cast("array<int>")))
+    return count_buckets(F.coalesce(_c(buckets), F.array().cast("array<int>")))
 
 
 def fit_idf(docs: DataFrame, text: str = "text", dim: int = DEFAULT_DIM) -> DataFrame:

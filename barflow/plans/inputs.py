@@ -18,6 +18,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def rounded(x: str | Column, digits: int) -> Column:
+    """``round`` as the SQL computes it: the scaled double to the nearest whole number, halves away from zero; a zero keeps its sign.
+
+    Spark rounds the shortest decimal text instead, which differs where a double lies beside a half.
+    """
+    value, scale = F.col(x) if isinstance(x, str) else x, float(10**digits)
+    return F.signum(value) * (F.round(F.abs(value) * scale) / scale)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spread(table(spark, folder, "documents"), "doc_id")
 

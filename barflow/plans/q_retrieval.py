@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from barflow.functions.vectors import custom_embedding, fit_idf, hash_embedding, idf_weights, l2_norm, l2_normalize, word_buckets
+from barflow.functions.vectors import custom_embedding, embed_buckets, fit_idf, hash_embedding, idf_weights, l2_norm, l2_normalize, word_buckets
 from barflow.operators import cells as C
 from barflow.operators import retrieval as R
 from barflow.plans import inputs as I
@@ -83,14 +83,21 @@ def _hashed(source: str, key: str, text: str) -> dict[str, str]:
     }
 
 
+def _entries(docs, weights=None):
+    """One row per bucket that occurs in a text. Words are hashed once per text, and only these buckets' numbers become rows."""
+    texts = docs.select("doc_id", word_buckets("text", DIM).alias("words"))
+    vectors = texts.select("doc_id", F.array_distinct("words").alias("own"), embed_buckets("words", DIM, weights, "double").alias("vec"))
+    vec = F.col("vec")
+    rows = vectors.select("doc_id", F.explode(F.transform("own", lambda b: F.struct(b.alias("bucket"), vec[b].alias("x")))).alias("e"))
+    return rows.select("doc_id", F.col("e.bucket").cast("bigint").alias("bucket"), I.rounded("e.x", 4).alias("x"))
+
+
 @query(
     "h04_hash_embedding",
     sql("SELECT id AS doc_id, bucket, round(x, 4) AS x FROM documents_vec", extra=_hashed("documents", "doc_id", "text")),
 )
 def embed_text(spark, folder):
-    docs = I.documents(spark, folder)
-    vec = docs.select("doc_id", F.posexplode(hash_embedding("text", DIM)).alias("bucket", "x")).where("x > 0")
-    return vec.select("doc_id", F.col("bucket").cast("bigint").alias("bucket"), F.round(F.col("x").cast("double"), 4).alias("x"))
+    return _entries(I.documents(spark, folder))
 
 
 _IDF = {
@@ -113,10 +120,7 @@ def fit_weights(spark, folder):
 )
 def embed_weighted(spark, folder):
     docs = I.documents(spark, folder)
-    weights = idf_weights(fit_idf(docs, dim=DIM))
-    vec = docs.select("doc_id", F.posexplode(hash_embedding("text", DIM, weights)).alias("bucket", "x"), word_buckets("text", DIM).alias("own"))
-    vec = vec.where(F.array_contains("own", F.col("bucket")))
-    return vec.select("doc_id", F.col("bucket").cast("bigint").alias("bucket"), F.round(F.col("x").cast("double"), 4).alias("x"))
+    return _entries(docs, idf_weights(fit_idf(docs, dim=DIM)))
 
 
 def _letters(texts):

@@ -243,3 +243,13 @@ def test_idf_and_weights(spark):
     assert np.isclose(sorted(rows[0])[-1], 2 * np.log(5 / 3) / np.hypot(2 * np.log(5 / 3), np.log(5 / 2)), atol=1e-6)
     with pytest.raises(ValueError):
         V.hash_embedding("text", 16, [1.0])
+
+
+def test_embedding_in_doubles_hashes_words_once_per_text(spark, small):
+    from barflow.plans import QUERIES
+
+    docs = spark.createDataFrame([(1, "one two two"), (2, ""), (3, None)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["v"] for r in docs.select("doc_id", V.hash_embedding("text", 8, kind="double").alias("v")).collect()}
+    assert sorted(x for x in got[1] if x) in ([1 / 5**0.5, 2 / 5**0.5], [1.0]) and not any(got[2]) and not any(got[3])
+    plan = QUERIES["h04_idf_embedding"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("md5(") == 1 and "posexplode" not in plan
