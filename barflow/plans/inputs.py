@@ -115,8 +115,8 @@ def fundamentals(spark: SparkSession, folder: str) -> DataFrame:
         F.col("r_name").alias("sector"),
         F.col("n_name").alias("industry"),
         F.col("s_acctbal").alias("market_cap"),
-        F.when(F.col("s_suppkey") % 10 != 0, F.round(F.col("s_acctbal") / 100, 2)).alias("pe_ratio"),
-        F.round("growth", 4).alias("revenue_growth"),
+        F.when(F.col("s_suppkey") % 10 != 0, rounded(F.col("s_acctbal") / 100, 2)).alias("pe_ratio"),
+        rounded("growth", 4).alias("revenue_growth"),
     )
 
 
