@@ -9,8 +9,9 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from barflow.functions.prompts import retrieval_query
+from barflow.functions.prompts import plain, retrieval_query
 from barflow.functions.vectors import DEFAULT_DIM, hash_embedding
 from barflow.operators.cells import CELLS, FIT_ROWS, Cells, checked, cut_cells, nearest_centre, search_exact, search_probed, unit
 from barflow.operators.numbering import number_rows
@@ -58,7 +59,10 @@ FUNDAMENTAL_TEXT = (
 
 
 def fundamental_documents(fundamentals: DataFrame) -> DataFrame:
-    parts = [F.concat(F.lit(f"{label}: "), _text(c)) for label, c in FUNDAMENTAL_TEXT]
+    """``(text, metadata)``: the labelled values, doubles without an exponent; symbol, sector and industry kept as metadata."""
+    real = {f.name for f in fundamentals.schema if isinstance(f.dataType, T.DoubleType)}
+    said = {c: F.coalesce(plain(c), F.lit("")) if c in real else _text(c) for _, c in FUNDAMENTAL_TEXT}
+    parts = [F.concat(F.lit(f"{label}: "), said[c]) for label, c in FUNDAMENTAL_TEXT]
     return fundamentals.select(
         F.concat_ws(" ", *parts).alias("text"),
         _metadata(["symbol", "sector", "industry"], "fundamental").alias("metadata"),
