@@ -8,17 +8,21 @@ gets smaller with every digit.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from barflow.operators.groups import BROADCAST_GROUPS
 from barflow.operators.series import key_text
 from barflow.session import materialize
 
 #: Bits below the digits looked at so far, level by level: digits of 16, 24 and 24 bits.
 SHIFTS = (48, 24, 0)
+LARGEST = (1 << 63) - 1
 _GROUP = "_run"
 
 
@@ -30,27 +34,29 @@ def quantile_names(column: str, probs: Sequence[float]) -> list[str]:
     return [_name(column, p) for p in probs]
 
 
+@F.arrow_udf(T.LongType())
+def _sortable(x: pa.Array) -> pa.Array:
+    values = x.fill_null(0.0).to_numpy()
+    bits = values.view(np.int64)
+    magnitude = bits & LARGEST
+    keys = np.where(np.isnan(values), LARGEST, np.where(bits < 0, -magnitude, magnitude))
+    return pa.array(keys, mask=x.is_null().to_numpy(zero_copy_only=False))
+
+
+@F.arrow_udf(T.DoubleType())
+def _double(key: pa.Array) -> pa.Array:
+    keys = key.fill_null(0).to_numpy()
+    values = np.abs(keys).view(np.float64)
+    return pa.array(np.where(keys < 0, -values, values), mask=key.is_null().to_numpy(zero_copy_only=False))
+
+
 def add_sortable(df: DataFrame, x: str = "x", out: str = "key") -> DataFrame:
-    """Add a 64-bit integer in the order of the doubles of ``x``: exponent and fraction of the magnitude, negated below zero; NaN is
+    """Add a 64-bit integer in the order of the doubles of ``x``: the bits of the magnitude, negated below zero; NaN is
     largest, null stays null.
 
-    Powers of two and quotients by them are exact, so different doubles get different integers, and both zeros get 0. Each step is a
-    column of its own, so that it is computed once.
+    Different doubles get different integers, and both zeros get 0.
     """
-    two, c = F.lit(2.0), F.col
-    steps = df.withColumn("_size", F.abs(c(x)))
-    steps = steps.withColumn("_guess", F.floor(F.log2(F.least(F.greatest("_size", F.lit(2.0**-1022)), F.lit(sys.float_info.max)))))
-    power = c("_guess") + F.when(F.pow(two, c("_guess")) > c("_size"), -1).when(F.pow(two, c("_guess") + 1) <= c("_size"), 1).otherwise(0)
-    steps = steps.withColumn("_power", F.greatest(F.least(power, F.lit(1023)), F.lit(-1022)))
-    # Halves of the power keep every factor a normal number.
-    steps = steps.withColumn("_half", F.floor(c("_power") / 2))
-    scaled = c("_size") / F.pow(two, c("_half")) / F.pow(two, c("_power") - c("_half")) * F.lit(2.0**52)
-    normal = (c("_power") + 1022) * F.lit(1 << 52) + scaled.cast("bigint")
-    tiny = (c("_size") * F.lit(2.0**537) * F.lit(2.0**537)).cast("bigint")
-    magnitude = F.when(c("_size") < F.lit(2.0**-1022), tiny).when(c("_size") == F.lit(float("inf")), F.lit(2047 << 52)).otherwise(normal)
-    steps = steps.withColumn("_magnitude", F.when(F.isnan(c(x)), F.lit((1 << 63) - 1)).otherwise(magnitude).cast("bigint"))
-    signed = F.when(c(x).isNotNull(), F.when(c(x) < 0, -c("_magnitude")).otherwise(c("_magnitude")))
-    return steps.withColumn(out, signed).drop("_size", "_guess", "_power", "_half", "_magnitude")
+    return df.withColumn(out, _sortable(F.col(x)))
 
 
 def exact_quantiles(
@@ -62,37 +68,34 @@ def exact_quantiles(
     twice; another one is stored first.
     """
     by, names = list(by), [f"_v{i}" for i in range(len(columns))]
-    values = [F.col(c).cast("double").alias(n) for c, n in zip(columns, names, strict=True)]
-    rows = df.select(*by, *values) if stored else materialize(df.select(*by, *values))
-    rows = rows.withColumn(_GROUP, key_text(by))
-    each = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(n).alias("x")) for i, n in enumerate(names)]))
-
-    first = rows.select(*by, _GROUP, each.alias("v")).select(*by, _GROUP, "v.c", "v.x")
-    held = [F.first(b).alias(b) for b in by]
-    level = add_sortable(first).withColumn("digit", F.shiftright("key", SHIFTS[0]))
-    level = materialize(level.groupBy(_GROUP, "c", "digit").agg(*held, F.count(F.lit(1)).alias("n")))
-    groups = level.groupBy(_GROUP).agg(F.count(F.lit(1)).alias("_all"), *held)
-    wanted = level.filter("digit IS NOT NULL").groupBy(_GROUP, "c").agg(F.sum("n").alias("total"))
+    keys = [_sortable(F.col(c).cast("double")).alias(n) for c, n in zip(columns, names, strict=True)]
+    rows = df.select(*by, *keys) if stored else materialize(df.select(*by, *keys))
+    groups = rows.select(*by).distinct() if by else df.sparkSession.range(1)
+    groups = groups.withColumn(_GROUP, key_text(by))
+    rows = rows.select(key_text(by).alias(_GROUP), *names)
+
+    first = rows.select(_GROUP, F.posexplode(F.array(*names)).alias("c", "key")).where("key IS NOT NULL")
+    level = first.groupBy(_GROUP, "c", F.shiftright("key", SHIFTS[0]).alias("digit")).agg(F.count(F.lit(1)).alias("n"))
+    level = materialize(level)
+    wanted = level.groupBy(_GROUP, "c").agg(F.sum("n").alias("total"))
     wanted = wanted.select(_GROUP, "c", F.explode(F.array(*[_ranks(k, p) for k, p in enumerate(probs)])).alias("r"))
     sides = [F.struct("r.k", F.lit(s).alias("side"), F.col(f"r.{s}").alias("rank"), "r.frac") for s in ("lo", "hi")]
     wanted = wanted.select(_GROUP, "c", F.explode(F.array(*sides)).alias("r")).select(_GROUP, "c", "r.*")
 
-    found = _narrow(level.filter("digit IS NOT NULL"), wanted, [_GROUP, "c"])
-    spots = found.select(_GROUP, "c", "digit").distinct()
-    near = add_sortable(first.filter("x IS NOT NULL").select(_GROUP, "c", "x"))
-    near = near.withColumn("digit", F.shiftright("key", SHIFTS[0])).join(spots, [_GROUP, "c", "digit"])
-    near = materialize(near.groupBy(_GROUP, "c", "key").agg(F.first("x").alias("x"), F.count(F.lit(1)).alias("n")))
+    found = materialize(_narrow(level, wanted, [_GROUP, "c"]))
+    near = _values_near(rows, names, found).groupBy(_GROUP, "c", "key").agg(F.count(F.lit(1)).alias("n"))
+    near = materialize(near)
     for above, below in zip(SHIFTS, SHIFTS[1:], strict=False):
         level = near.withColumns({"upper": F.shiftright("key", above), "digit": F.shiftright("key", below)})
-        level = level.groupBy(_GROUP, "c", "upper", "digit").agg(F.sum("n").alias("n"), F.min("x").alias("x"))
-        found = _narrow(level, found.withColumnRenamed("digit", "upper").drop("x"), [_GROUP, "c", "upper"])
+        level = level.groupBy(_GROUP, "c", "upper", "digit").agg(F.sum("n").alias("n"))
+        found = _narrow(level, found.withColumnRenamed("digit", "upper"), [_GROUP, "c", "upper"])
 
-    at = {(i, k, s): F.max(F.when((F.col("c") == i) & (F.col("k") == k) & (F.col("side") == s), F.col("x"))).alias(f"_{i}_{k}_{s}")
+    at = {(i, k, s): F.max(F.when((F.col("c") == i) & (F.col("k") == k) & (F.col("side") == s), F.col("digit"))).alias(f"_{i}_{k}_{s}")
           for i in range(len(columns)) for k in range(len(probs)) for s in ("lo", "hi")}
     part = {(i, k): F.max(F.when((F.col("c") == i) & (F.col("k") == k), F.col("frac"))).alias(f"_{i}_{k}") for i, k, _ in at}
     wide = found.groupBy(_GROUP).agg(*at.values(), *part.values())
-    if not by:
-        groups = df.sparkSession.range(1).select(key_text([]).alias(_GROUP))
+    # The last digits are the whole integers.
+    wide = wide.withColumns({f"_{i}_{k}_{s}": _double(F.col(f"_{i}_{k}_{s}")) for i, k, s in at})
     picks = []
     for i, c in enumerate(columns):
         for k, p in enumerate(probs):
@@ -101,6 +104,19 @@ def exact_quantiles(
     return groups.join(wide, _GROUP, "left").select(*by, *picks)
 
 
+def _values_near(rows: DataFrame, names: Sequence[str], found: DataFrame) -> DataFrame:
+    """The integers of ``rows`` in the digits that hold wanted ranks, as ``(group, c, key)``.
+
+    Those digits, a few for each column, lie in one row per group. Up to ``BROADCAST_GROUPS`` such rows are broadcast, so that no
+    value is shuffled for them; more of them are joined by group before the values become rows.
+    """
+    spots = [F.collect_set(F.when(F.col("c") == i, F.col("digit"))).alias(f"_s{i}") for i in range(len(names))]
+    spots = materialize(found.groupBy(_GROUP).agg(*spots))
+    side = F.broadcast(spots) if spots.count() <= BROADCAST_GROUPS else spots
+    near = [F.when(F.array_contains(f"_s{i}", F.shiftright(n, SHIFTS[0])), F.col(n)) for i, n in enumerate(names)]
+    return rows.join(side, _GROUP).select(_GROUP, F.posexplode(F.array(*near)).alias("c", "key")).where("key IS NOT NULL")
+
+
 def _ranks(k: int, prob: float) -> Column:
     """Places, from 0, of the two values a quantile lies between, and how far it lies from the lower one."""
     exact = (F.col("total") - 1) * F.lit(float(prob))
@@ -115,6 +131,5 @@ def _narrow(level: DataFrame, wanted: DataFrame, within: list[str]) -> DataFrame
     order = Window.partitionBy(*within).orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)
     before = level.withColumn("_before", F.coalesce(F.sum("n").over(order), F.lit(0)))
     inside = (F.col("rank") >= F.col("_before")) & (F.col("rank") < F.col("_before") + F.col("n"))
-    kept = [c for c in ("x",) if c in level.columns]
     held = before.join(wanted, within).filter(inside).withColumn("rank", F.col("rank") - F.col("_before"))
-    return held.select(*[c for c in within if c != "upper"], "digit", "k", "side", "rank", "frac", *kept)
+    return held.select(*[c for c in within if c != "upper"], "digit", "k", "side", "rank", "frac")
