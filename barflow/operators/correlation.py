@@ -1,4 +1,4 @@
-"""Pearson correlation of many column pairs in wide aggregations."""
+"""Pearson correlation of many column pairs in one pass."""
 
 from __future__ import annotations
 
@@ -12,27 +12,25 @@ def _name(names: Sequence[str]) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), F.col("pair").cast("int") + 1)
 
 
-#: Pairs that one aggregation takes; more go into further aggregations.
-PAIRS_AT_ONCE = 64
-
-
 def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """``(pair, a, b, n, corr)`` over the rows where both columns are present.
 
-    No row is copied: every pair is a count and a correlation of the same aggregation. A constant column has no
-    correlation (null).
+    One pass and one aggregation by pair, however many there are: within a task a row stands once for each pair, and the few sums of a
+    pair are all that is shuffled. A constant column has no correlation (null).
     """
-    found = None
-    for first in range(0, len(pairs), PAIRS_AT_ONCE):
-        some = []
-        for i, (a, b) in enumerate(pairs[first : first + PAIRS_AT_ONCE], first):
-            x, y = F.col(a).cast("double"), F.col(b).cast("double")
-            both = x.isNotNull() & y.isNotNull()
-            spread = F.sqrt(F.var_pop(F.when(both, x)) * F.var_pop(F.when(both, y)))
-            corr = F.try_divide(F.covar_pop(x, y), spread)
-            some.append(F.struct(F.lit(i).alias("pair"), F.count_if(both).alias("n"), corr.alias("corr")))
-        part = df.agg(F.array(*some).alias("p")).select(F.inline("p"))
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = df.sparkSession.createDataFrame([], "pair int, n bigint, corr double")
-    return found.select("pair", _name([a for a, _ in pairs] or [""]).alias("a"), _name([b for _, b in pairs] or [""]).alias("b"), "n", "corr")
+    names = list(dict.fromkeys(c for pair in pairs for c in pair))
+    at = F.array(*[F.struct(F.lit(i).alias("pair"), F.lit(names.index(a)).alias("a"), F.lit(names.index(b)).alias("b")) for i, (a, b) in enumerate(pairs)])
+    frame = df.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("pair"))
+    corr = F.lit(None).cast("double")
+    if pairs:
+        rows = df.select(F.array(*[F.col(c).cast("double") for c in names]).alias("v"), F.explode(at).alias("p"))
+        rows = rows.select("p.pair", F.col("v")[F.col("p.a")].alias("x"), F.col("v")[F.col("p.b")].alias("y"))
+        sums = rows.where("x IS NOT NULL AND y IS NOT NULL").groupBy("pair").agg(
+            F.count(F.lit(1)).alias("n"), F.covar_pop("x", "y").alias("xy"), F.var_pop("x").alias("xx"), F.var_pop("y").alias("yy")
+        )
+        frame = frame.join(F.broadcast(sums), "pair", "left")
+        corr = F.try_divide(F.col("xy"), F.sqrt(F.col("xx") * F.col("yy")))
+    else:
+        frame = frame.withColumn("n", F.lit(0).cast("bigint"))
+    named = [_name([a for a, _ in pairs] or [""]).alias("a"), _name([b for _, b in pairs] or [""]).alias("b")]
+    return frame.select("pair", *named, F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), corr.alias("corr"))

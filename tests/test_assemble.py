@@ -1,6 +1,7 @@
 import datetime as dt
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -207,3 +208,28 @@ def test_samples_with_contexts_and_ids(spark):
     assert "Context: b 2024-01-02 losses" in got[2]["prompt"] and "Features" not in got[3]["prompt"]
     assert all(len(r["input_ids"]) == len(r["attention_mask"]) == 6 for r in got.values())
     assert "context" not in prepare_datasets(samples, features=["Close"], docs=docs, include_context=False).columns
+
+
+def test_correlations_of_many_pairs_are_one_narrow_aggregation(spark):
+    """Buffers for every pair in one aggregation make code too long to be compiled; the sums of one pair do not."""
+    from barflow.operators.correlation import pair_correlations
+
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame(rng.normal(size=(60, 9)), columns=list("abcdefghi"))
+    pdf["i"] = 2.0
+    pairs = [(a, b) for a in pdf.columns for b in pdf.columns]
+    df = spark.createDataFrame(pdf).withColumn("b", F.when(F.col("a") > 0, F.col("b")))
+    held = pair_correlations(df, pairs)
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("covar_pop") <= 6 and "Union" not in plan
+    masked = pdf.assign(b=pdf["b"].where(pdf["a"] > 0))
+    for r in held.collect():
+        both = masked[[r["a"], r["b"]]].dropna() if r["a"] != r["b"] else masked[[r["a"]]].dropna()
+        assert r["n"] == len(both)
+        if "i" in (r["a"], r["b"]):
+            assert r["corr"] is None
+        else:
+            assert abs(r["corr"] - masked[r["a"]].corr(masked[r["b"]])) < 1e-12
+    empty = pair_correlations(df.limit(0), pairs[:2]).orderBy("pair").collect()
+    assert [(r["pair"], r["n"], r["corr"]) for r in empty] == [(0, 0, None), (1, 0, None)]
+    assert pair_correlations(df, []).collect() == []
