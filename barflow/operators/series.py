@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
@@ -30,6 +30,10 @@ from barflow.session import materialize
 BLOCK_ROWS = 65_536
 INTEGER_BUCKET_ROWS = 32_768
 UNROUTED_ROWS = 1 << 60
+#: Rows that a task sorts: where the session's shuffle partitions would hold more on average, there are more of them.
+SORTED_ROWS = 1 << 19
+#: Routes that Spark may send to all tasks; for more of them the rows are shuffled too, to be joined.
+SENT_ROUTES = 100_000
 ALL_KEY = "_series"
 RUN, BLOCK, ROW, CORE = "_run", "_blk", "_rn", "_core"
 
@@ -90,6 +94,12 @@ def key_text(keys: Sequence[str]) -> Column:
     return F.concat(*parts) if parts else F.lit("")
 
 
+def dealt(rows: DataFrame, n: int | None, *keys: str) -> DataFrame:
+    """``rows``, ``n`` of them, dealt by ``keys`` to more tasks than the session's if those would have to sort too many rows each."""
+    tasks = -(-(n or 0) // SORTED_ROWS)
+    return rows.repartition(tasks, *keys) if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows
+
+
 def cut_blocks(
     df: DataFrame,
     by: Sequence[str],
@@ -116,6 +126,8 @@ def cut_blocks(
     rows = rows.withColumn("_bucket", F.expr(bucket) if isinstance(bucket, str) else bucket)
 
     counts = rows.groupBy(RUN, "_bucket").agg(F.count(F.lit(1)).alias("_n"), *[agg.alias(name) for name, (agg, _) in carries.items()])
+    seen = Observation()
+    counts = counts.observe(seen, F.sum("_n").alias("rows"))
     per_key = Window.partitionBy(RUN)
     long_series = counts.withColumns(
         {
@@ -147,23 +159,28 @@ def cut_blocks(
         )
     )
     helpers = (RUN, BLOCK, ROW, CORE, *carries) + (() if by else (ALL_KEY,))
-    is_cut = not routed.isEmpty()
+    routes = routed.count()
+    is_cut = routes > 0
     if not is_cut:
         alone = Window.partitionBy(RUN, BLOCK).orderBy(*order)
-        whole = rows.drop("_bucket").withColumn(BLOCK, F.lit(0).cast("bigint"))
+        whole = dealt(rows.drop("_bucket"), seen.get["rows"], RUN).withColumn(BLOCK, F.lit(0).cast("bigint"))
         nothing = {name: F.lit(None).cast(routed.schema[name].dataType) for name in carries}
         whole = whole.withColumns({ROW: F.row_number().over(alone).cast("bigint") - 1, CORE: F.lit(True), **nothing})
         return Blocks(whole, (RUN,), order, helpers, is_cut)
 
-    match = (F.col(RUN) == F.col("_to_run")) & F.col("_bucket").eqNullSafe(F.col("_to_bucket"))
-    joined = rows.join(routed, match, "left").withColumns(
+    # Buckets as texts that are never null: a plain equality keeps to the tasks that the rows are dealt to.
+    rows = rows.withColumn("_spot", F.coalesce(F.col("_bucket").cast("string"), F.lit("")))
+    routed = routed.withColumn("_to_spot", F.coalesce(F.col("_to_bucket").cast("string"), F.lit("")))
+    if routes > SENT_ROUTES:
+        rows = dealt(rows, seen.get["rows"], RUN, "_spot")
+    joined = rows.join(routed, (F.col(RUN) == F.col("_to_run")) & (F.col("_spot") == F.col("_to_spot")), "left").withColumns(
         {
             BLOCK: F.coalesce("_to", F.lit(0)),
             "_size": F.coalesce("_to_size", F.lit(UNROUTED_ROWS)),
             "_base": F.coalesce("_base", F.lit(0)),
         }
     )
-    joined = joined.drop("_bucket", "_to_bucket", "_to", "_to_size", "_to_run")
+    joined = dealt(joined.drop("_bucket", "_to_bucket", "_spot", "_to_spot", "_to", "_to_size", "_to_run"), seen.get["rows"], RUN, BLOCK)
     numbered = joined.withColumn(
         ROW, F.col("_base") + F.row_number().over(Window.partitionBy(RUN, BLOCK).orderBy(*order)) - 1
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow.operators.indicators import pct_change, technical_indicators
-from barflow.operators.series import cut_blocks
+from barflow.operators.series import cut_blocks, dealt
 from barflow.session import materialize, spread
 from barflow.sources.market import resample_ohlcv
 
@@ -55,7 +55,7 @@ def trades(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_quantity").alias("size"),
         *TRADE_ORDER,
     )
-    return spread(found, "symbol", "ts")
+    return dealt(spread(found, "symbol", "ts"), li.count(), "symbol", "ts")
 
 
 def bars(spark: SparkSession, folder: str) -> DataFrame:

@@ -216,3 +216,23 @@ def test_zero_price_gives_null_change(spark):
     df = spark.createDataFrame([("a", 1, 0.0), ("a", 2, 2.0)], "symbol string, date int, Close double")
     got = technical_indicators(df, ["Price_change"]).where("date = 2").first()
     assert got["Price_change"] is None
+
+
+@pytest.mark.parametrize("block_rows", [10, 1000])
+def test_a_task_sorts_a_bounded_number_of_rows(spark, monkeypatch, block_rows):
+    """With more rows than the session's partitions should sort there are more partitions, not larger ones."""
+    from barflow.operators import series
+
+    df = spark.range(400).select((F.col("id") % 40).cast("string").alias("symbol"), "id", F.col("id").cast("double").alias("Close"))
+
+    def tasks_and_rows():
+        out = series.cut_blocks(df, ["symbol"], "id", 1, 0, block_rows, "id div 5")
+        out = out.with_columns({"before": F.lag("Close", 1).over(out.window)}).result()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        return "REPARTITION_BY_NUM" in plan, sorted(map(tuple, out.select("symbol", "id", "before").collect()), key=str)
+
+    few = tasks_and_rows()
+    monkeypatch.setattr(series, "SORTED_ROWS", 20)
+    monkeypatch.setattr(series, "SENT_ROUTES", 0)
+    many = tasks_and_rows()
+    assert (few[0], many[0]) == (False, True) and few[1] == many[1] and len(few[1]) == 400
