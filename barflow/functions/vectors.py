@@ -6,8 +6,10 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_DIM = 384
 #: Texts counted in one vector step.
@@ -48,20 +50,19 @@ def embed_buckets(
     if len(scale) != dim:
         raise ValueError(f"{len(scale)} weights for {dim} buckets")
 
-    number = {"float": np.float32, "double": np.float64}[kind]
-
-    @F.pandas_udf(f"array<{kind}>")
-    def count_buckets(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
-            found = [np.empty(0)] * len(part)
-            for lo in range(0, len(part), ROWS_AT_ONCE):
-                some = part.iloc[lo : lo + ROWS_AT_ONCE]
-                rows = np.repeat(np.arange(len(some)), some.map(len))
-                flat = np.concatenate([np.empty(0, np.int64), *some]).astype(np.int64)
-                counts = np.bincount(rows * dim + flat, minlength=len(some) * dim).reshape(len(some), dim) * scale
-                norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
-                found[lo : lo + len(some)] = list((counts / np.where(norms == 0, 1.0, norms)).astype(number))
-            yield pd.Series(found)
+    number, kind = {"float": (np.float32, T.FloatType()), "double": (np.float64, T.DoubleType())}[kind]
+
+    @F.arrow_udf(T.ArrayType(kind))
+    def count_buckets(part: pa.Array) -> pa.Array:
+        found = np.empty((len(part), dim), number)
+        for lo in range(0, len(part), ROWS_AT_ONCE):
+            some = part.slice(lo, ROWS_AT_ONCE)
+            rows = np.repeat(np.arange(len(some)), some.value_lengths().to_numpy(zero_copy_only=False))
+            flat = some.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            counts = np.bincount(rows * dim + flat, minlength=len(some) * dim).reshape(len(some), dim) * scale
+            norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+            found[lo : lo + len(some)] = counts / np.where(norms == 0, 1.0, norms)
+        return pa.ListArray.from_arrays(np.arange(len(part) + 1, dtype=np.int32) * dim, pa.array(found.ravel()))
 
     return count_buckets(F.coalesce(_c(buckets), F.array().cast("array<int>")))
 

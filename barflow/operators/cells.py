@@ -95,11 +95,13 @@ def sample_centres(docs: DataFrame, cells: int) -> np.ndarray:
 
 
 def cut_cells(docs: DataFrame, cells: int = CELLS) -> Cells:
-    """Deal documents to the cells of sampled centres and store them."""
+    """Deal documents to the cells of sampled centres and store them. The vectors are stored first: they are read for the centres
+    and to be dealt, and may be costly to compute."""
+    docs = materialize(docs.select("doc_id", "vec"))
     centres = sample_centres(docs, cells)
     if not len(centres):
         return Cells(docs.select(F.lit(0).alias("cell"), "doc_id", "vec").where("false"), centres, np.zeros(0), np.zeros(0, np.int64))
-    dealt = materialize(nearest_centre(docs.select("doc_id", "vec"), centres))
+    dealt = materialize(nearest_centre(docs, centres))
     return Cells(dealt.select("cell", "doc_id", "vec"), centres, *_measured(dealt.groupBy("cell").agg(*_measures()), len(centres)))
 
 

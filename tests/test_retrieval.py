@@ -253,3 +253,18 @@ def test_embedding_in_doubles_hashes_words_once_per_text(spark, small):
     assert sorted(x for x in got[1] if x) in ([1 / 5**0.5, 2 / 5**0.5], [1.0]) and not any(got[2]) and not any(got[3])
     plan = QUERIES["h04_idf_embedding"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("md5(") == 1 and "posexplode" not in plan
+
+
+def test_texts_are_embedded_once_per_search(spark, tmp_path):
+    """The centres and the cells read stored vectors."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<float>")
+    def embed(i):
+        seen.add(1)
+        return [float(i % 7), 1.0]
+
+    docs = spark.range(50).select(F.col("id").alias("doc_id"), embed.asNondeterministic()("id").alias("vec"))
+    queries = spark.createDataFrame([(0, [1.0, 1.0])], "query_id bigint, vec array<float>")
+    assert R.search_flat(docs, queries, 3).count() == 3
+    assert seen.value == 50
