@@ -95,3 +95,20 @@ def test_bounds_are_broadcast_or_joined(spark, monkeypatch):
     monkeypatch.setattr(groups, "BROADCAST_GROUPS", 0)
     found.append(sorted(map(tuple, cap_outliers(df, bounds, ["Close"]).collect()), key=str))
     assert found[0] == found[1] and len(found[0]) == 90 and max(r[2] for r in found[0]) < 36
+
+
+def test_keys_come_from_the_bits_and_histograms_are_hashed(spark):
+    """Arithmetic per value and a carried text per group made the first pass costly."""
+    from barflow.operators import quantiles
+
+    df = spark.createDataFrame([("a", 1.0), (None, 2.0)], "symbol string, x double")
+    assert "LOG2" not in quantiles.add_sortable(df)._jdf.queryExecution().executedPlan().toString().upper()
+    seen = []
+    real = quantiles.materialize
+    quantiles.materialize = lambda d: seen.append(d._jdf.queryExecution().executedPlan().toString()) or real(d)
+    try:
+        assert exact_quantiles(df, ["x"], (0.5,), ["symbol"]).count() == 2
+    finally:
+        quantiles.materialize = real
+    histogram = next(p for p in seen if "posexplode" in p)
+    assert "SortAggregate" not in histogram and "HashAggregate" in histogram
