@@ -302,14 +302,17 @@ _PROMPT = (
 )
 def prepare_datasets(spark, folder):
     t = target_variables(I.bars(spark, folder).select("symbol", "date", "Close", "Volume"), [1])
-    parts = materialize(assemble.three_way_split(t, mode="position"))
-    shown = ["Close", "Volume"]
-    vocab = tokens.vocabulary(datasets.prepare_datasets(parts, features=shown), "prompt", 500)
-    out = datasets.prepare_datasets(parts, features=shown, vocab=vocab, key="symbol")
-    known = F.size(F.filter("input_ids", lambda i: i > tokens.UNKNOWN_ID)).cast("bigint")
+    parts = assemble.three_way_split(t, mode="position")
+    # The prompts are stored, as the vocabulary and the ids both read them.
+    samples = materialize(datasets.prepare_datasets(parts, features=["Close", "Volume"]))
+    out = tokens.tokenize(samples, "symbol", "prompt", tokens.vocabulary(samples, "prompt", 500))
+    # The mask says where the padding begins; its zeros add nothing to either figure.
+    ids = F.slice("input_ids", 1, F.size(F.array_remove("attention_mask", 0)))
+    out = out.withColumn("ids", ids)
+    known = F.size(F.filter("ids", lambda i: i > tokens.UNKNOWN_ID)).cast("bigint")
     return out.select(
         "symbol", "date", "prompt", "label", "split", known.alias("known"),
-        F.aggregate("input_ids", F.lit(0).cast("bigint"), lambda s, i: s + i).alias("sum_ids"),
+        F.aggregate("ids", F.lit(0).cast("bigint"), lambda s, i: s + i).alias("sum_ids"),
     )
 
 

@@ -233,3 +233,21 @@ def test_correlations_of_many_pairs_are_one_narrow_aggregation(spark):
     empty = pair_correlations(df.limit(0), pairs[:2]).orderBy("pair").collect()
     assert [(r["pair"], r["n"], r["corr"]) for r in empty] == [(0, 0, None), (1, 0, None)]
     assert pair_correlations(df, []).collect() == []
+
+
+def test_words_are_counted_in_parts_and_split_at_ascii_white_space(spark, monkeypatch):
+
+    import pyarrow as pa
+
+    from barflow.operators import tokens
+
+    words = ["x", "y z", "x", "あ", "x "]
+    texts = [(" \t\n\x0b\f\r".join(words),), (None,), ("",), (" あ x ",)]
+    df = spark.createDataFrame(texts, "t string").coalesce(1)
+    vocab = tokens.vocabulary(df, "t", 3)
+    assert [tuple(r) for r in vocab.orderBy("token_id").collect()] == [("x", 2), ("あ", 3), ("x ", 4)]
+    ids = [list(r[0]) for r in tokens.tokenize(df, "t", "t", vocab, 6).select("input_ids").collect()]
+    assert ids == [[2, 1, 2, 3, 4, 0], [0] * 6, [0] * 6, [3, 2, 0, 0, 0, 0]]
+    monkeypatch.setattr(tokens, "COUNTED_WORDS", 2)
+    parts = list(tokens._count_words(iter([pa.RecordBatch.from_pydict({"t": ["a b", "a", "c d a"]})])))
+    assert max(p.num_rows for p in parts) <= 3 and len(parts) > 2 and sum(sum(p.column(1).to_pylist()) for p in parts) == 6
