@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barflow.operators.groups import beside_groups
-from barflow.operators.quantiles import exact_quantiles
+from barflow.operators.quantiles import group_quantiles
 from barflow.operators.series import BLOCK, BLOCK_ROWS, ROW, Blocks, cut_blocks
+from barflow.session import materialize
 
 TRADING_DAYS = 252
 IGNORED_LABEL = -100
@@ -148,8 +149,12 @@ def volatility_levels(
     columns: Sequence[str],
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """``<column>_level``: 2 above the 67th percentile, 1 above the 33rd, else 0, per column."""
-    cuts = exact_quantiles(df, columns, (0.33, 0.67), by)
+    """``<column>_level``: 2 above the 67th percentile, 1 above the 33rd, else 0, per column.
+
+    The table is stored, as it is read for the percentiles and for the levels.
+    """
+    df = materialize(df)
+    cuts = group_quantiles(df, columns, (0.33, 0.67), by, stored=True)
     joined = beside_groups(df, cuts, by) if by else _combine(df, cuts, by)
     levels = {
         f"{c}_level": F.when(F.col(c) > F.col(f"{c}_p67"), 2).when(F.col(c) > F.col(f"{c}_p33"), 1).otherwise(0)

@@ -1,4 +1,4 @@
-"""Exact linear-interpolated quantiles by radix selection, one way for every group size.
+"""Exact linear-interpolated quantiles by radix selection for groups of any size, by sorting for groups that a task can hold.
 
 A double is mapped to a 64-bit integer of the same order. A histogram over the integers' first digits, per group and column,
 tells in which digit each wanted rank lies; only the values there are looked at again, by their next digits, until the
@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barflow.operators.groups import BROADCAST_GROUPS
-from barflow.operators.series import key_text
+from barflow.operators.series import BLOCK_ROWS, dealt, key_text
 from barflow.session import materialize
 
 #: Bits below the digits looked at so far, level by level: digits of 16, 24 and 24 bits.
 SHIFTS = (48, 24, 0)
 LARGEST = (1 << 63) - 1
+#: Rows of a group that one task sorts at most, as many as a block of a series has.
+SORTED_GROUP_ROWS = BLOCK_ROWS
 _GROUP = "_run"
 
 
@@ -59,6 +61,44 @@ def add_sortable(df: DataFrame, x: str = "x", out: str = "key") -> DataFrame:
     return df.withColumn(out, _sortable(F.col(x)))
 
 
+def group_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), stored: bool = False
+) -> DataFrame:
+    """What ``exact_quantiles`` gives: groups of up to ``SORTED_GROUP_ROWS`` rows are sorted after one shuffle, which takes fewer passes
+    over the rows where there are many groups; larger ones go through ``exact_quantiles``."""
+    by = list(by)
+    rows = df if stored else materialize(df.select(*by, *columns))
+    keyed = rows.withColumn(_GROUP, key_text(by))
+    sizes = keyed.groupBy(_GROUP).agg(F.count(F.lit(1)).alias("n"))
+    n, most = sizes.agg(F.sum("n"), F.max("n")).first()
+    if (most or 0) <= SORTED_GROUP_ROWS:
+        return _sorted_quantiles(rows, columns, probs, by, n)
+    if not by:
+        return exact_quantiles(rows, columns, probs, by, stored=True)
+    # Fewer than rows / SORTED_GROUP_ROWS.
+    large = F.broadcast(materialize(sizes.where(F.col("n") > SORTED_GROUP_ROWS).select(_GROUP)))
+    small, rest = (keyed.join(large, _GROUP, how).select(*by, *columns) for how in ("left_anti", "left_semi"))
+    return _sorted_quantiles(small, columns, probs, by, n).unionByName(exact_quantiles(rest, columns, probs, by))
+
+
+def _sorted_quantiles(rows: DataFrame, columns: Sequence[str], probs: Sequence[float], by: list[str], n: int | None) -> DataFrame:
+    """From each group's values in order. The rows are shuffled before they are collected, so they are sorted by group only once."""
+    names = [f"_v{i}" for i in range(len(columns))]
+    # A sum with zero makes both zeros one.
+    values = rows.select(*by, *[(F.col(c).cast("double") + F.lit(0.0)).alias(x) for c, x in zip(columns, names, strict=True)])
+    whole = dealt(values.repartition(*by), n, *by) if by else values
+    lists = whole.groupBy(*by).agg(*[F.sort_array(F.collect_list(x)).alias(x) for x in names])
+    picks = []
+    for c, x in zip(columns, names, strict=True):
+        last = F.size(x) - 1
+        for p in probs:
+            exact = last * F.lit(float(p))
+            low = F.floor(exact).cast("int")
+            lo, hi = F.get(x, low), F.get(x, F.least(low + 1, last))
+            picks.append((lo + F.when(hi == lo, F.lit(0.0)).otherwise((hi - lo) * (exact - low))).alias(_name(c, p)))
+    return lists.select(*by, *picks)
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), stored: bool = False
 ) -> DataFrame:

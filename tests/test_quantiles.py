@@ -112,3 +112,24 @@ def test_keys_come_from_the_bits_and_histograms_are_hashed(spark):
         quantiles.materialize = real
     histogram = next(p for p in seen if "posexplode" in p)
     assert "SortAggregate" not in histogram and "HashAggregate" in histogram
+
+
+def test_sorted_groups_equal_selected_ones(spark, monkeypatch):
+    """Groups of both kinds in one table, with nulls, NaN, both zeros and ties; small ones alone store nothing but the values."""
+    from barflow.operators import quantiles
+
+    rng = np.random.default_rng(5)
+    rows = [(k, float(x)) for k, n in (("a", 30), ("b", 9), (None, 8), ("", 1)) for x in rng.integers(-3, 4, n)]
+    rows += [("b", None), ("b", -0.0), ("nan", float("nan")), ("nan", 1.0), ("none", None), ("a", float("inf")), ("a", -float("inf"))]
+    df = spark.createDataFrame(rows, "symbol string, x double")
+    want = sorted(map(str, exact_quantiles(df, ["x"], PROBS, ["symbol"]).collect()))
+    for most in (0, 9, 100):
+        monkeypatch.setattr(quantiles, "SORTED_GROUP_ROWS", most)
+        assert sorted(map(str, quantiles.group_quantiles(df, ["x"], PROBS, ["symbol"]).collect())) == want
+        whole = quantiles.group_quantiles(df.where("NOT isnan(x)"), ["x"], PROBS)
+        assert str(whole.first()) == str(exact_quantiles(df.where("NOT isnan(x)"), ["x"], PROBS).first())
+    stored = []
+    real = quantiles.materialize
+    monkeypatch.setattr(quantiles, "materialize", lambda d: stored.append(d) or real(d))
+    iqr_bounds(df, ["x"])
+    assert len(stored) == 1
