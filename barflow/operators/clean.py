@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barflow.operators.groups import beside_groups
-from barflow.operators.quantiles import exact_quantiles
+from barflow.operators.quantiles import group_quantiles
 from barflow.operators.series import BLOCK_ROWS, cut_blocks
 from barflow.session import materialize
 
@@ -52,7 +53,7 @@ def iqr_bounds(
     stored: bool = False,
 ) -> DataFrame:
     """Per group ``<column>_lo`` / ``<column>_hi``: quartiles -/+ ``factor`` times their distance."""
-    quartiles = exact_quantiles(df, columns, (0.25, 0.75), by, stored)
+    quartiles = group_quantiles(df, columns, (0.25, 0.75), by, stored)
     picks = []
     for c in columns:
         q1, q3 = F.col(f"{c}_p25"), F.col(f"{c}_p75")
@@ -87,7 +88,10 @@ def clean_price_data(
 
 
 def drop_missing_targets(df: DataFrame, target: str) -> DataFrame:
-    return df.dropna(subset=[target])
+    """Rows with a target; a NaN is none. Only that needs ``dropna``: a plain test goes where a target cannot be null, and with it,
+    where only the rows are counted, what the target is made of."""
+    kind = df.schema[target].dataType
+    return df.dropna(subset=[target]) if isinstance(kind, (T.FloatType, T.DoubleType)) else df.where(df[target].isNotNull())
 
 
 def fill_news_zeros(df: DataFrame) -> DataFrame:

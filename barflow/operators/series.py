@@ -6,8 +6,8 @@ of the rows just before and after it (its halo), so that framed windows and lead
 on every block the values they give on the whole series; recurrences hand on a state instead (``scan``). The cut needs exact row numbers; they come
 from row counts per time bucket, a table far smaller than the data:
 
-1. count rows per ``(key, bucket)`` (map-side combined),
-2. for series longer than a block, running sums of those counts give each bucket's first row number
+1. where a series is longer than a block, count rows per ``(key, bucket)`` (map-side combined),
+2. for such series, running sums of those counts give each bucket's first row number
    and thus its blocks; a shorter series is one block and needs no routing,
 3. join the routing to the rows on ``(key, bucket)`` and shuffle once on ``(key, block)``.
 
@@ -20,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
@@ -116,7 +116,7 @@ def cut_blocks(
     order key and coarse enough to count by, fine enough to hold few rows. ``carries`` maps a name to a bucket aggregate and a
     function giving its prefix over the buckets before; each row gets the prefix of its bucket.
 
-    The counts are made and stored at once; where no series is longer than a block there is nothing to route.
+    Series are counted first, at once; where none is longer than a block there is nothing to route and no bucket is counted.
     """
     order = (order,) if isinstance(order, str) else tuple(order)
     carries = carries or {}
@@ -126,8 +126,6 @@ def cut_blocks(
     rows = rows.withColumn("_bucket", F.expr(bucket) if isinstance(bucket, str) else bucket)
 
     counts = rows.groupBy(RUN, "_bucket").agg(F.count(F.lit(1)).alias("_n"), *[agg.alias(name) for name, (agg, _) in carries.items()])
-    seen = Observation()
-    counts = counts.observe(seen, F.sum("_n").alias("rows"))
     per_key = Window.partitionBy(RUN)
     long_series = counts.withColumns(
         {
@@ -148,22 +146,25 @@ def cut_blocks(
     first = F.expr(f"greatest(_start - {lookahead}, 0) div _size")
     last = F.expr(f"least(_total - 1, _start + _n - 1 + {lookback}) div _size")
     routed = spans.withColumn("_to", F.explode(F.sequence(first, last)))
-    routed = materialize(
-        routed.select(
-            F.col(RUN).alias("_to_run"),
-            F.col("_bucket").alias("_to_bucket"),
-            "_to",
-            F.col("_size").alias("_to_size"),
-            F.min("_start").over(Window.partitionBy(RUN, "_to")).alias("_base"),
-            *carries,
-        )
+    routed = routed.select(
+        F.col(RUN).alias("_to_run"),
+        F.col("_bucket").alias("_to_bucket"),
+        "_to",
+        F.col("_size").alias("_to_size"),
+        F.min("_start").over(Window.partitionBy(RUN, "_to")).alias("_base"),
+        *carries,
     )
     helpers = (RUN, BLOCK, ROW, CORE, *carries) + (() if by else (ALL_KEY,))
-    routes = routed.count()
+    totals = rows.groupBy(RUN).agg(F.count(F.lit(1)).alias("_n"))
+    n, longest = totals.agg(F.sum("_n"), F.max("_n")).first()
+    routes = 0
+    if (longest or 0) > block_rows:
+        routed = materialize(routed)
+        routes = routed.count()
     is_cut = routes > 0
     if not is_cut:
         alone = Window.partitionBy(RUN, BLOCK).orderBy(*order)
-        whole = dealt(rows.drop("_bucket"), seen.get["rows"], RUN).withColumn(BLOCK, F.lit(0).cast("bigint"))
+        whole = dealt(rows.drop("_bucket"), n, RUN).withColumn(BLOCK, F.lit(0).cast("bigint"))
         nothing = {name: F.lit(None).cast(routed.schema[name].dataType) for name in carries}
         whole = whole.withColumns({ROW: F.row_number().over(alone).cast("bigint") - 1, CORE: F.lit(True), **nothing})
         return Blocks(whole, (RUN,), order, helpers, is_cut)
@@ -172,7 +173,7 @@ def cut_blocks(
     rows = rows.withColumn("_spot", F.coalesce(F.col("_bucket").cast("string"), F.lit("")))
     routed = routed.withColumn("_to_spot", F.coalesce(F.col("_to_bucket").cast("string"), F.lit("")))
     if routes > SENT_ROUTES:
-        rows = dealt(rows, seen.get["rows"], RUN, "_spot")
+        rows = dealt(rows, n, RUN, "_spot")
     joined = rows.join(routed, (F.col(RUN) == F.col("_to_run")) & (F.col("_spot") == F.col("_to_spot")), "left").withColumns(
         {
             BLOCK: F.coalesce("_to", F.lit(0)),
@@ -180,7 +181,7 @@ def cut_blocks(
             "_base": F.coalesce("_base", F.lit(0)),
         }
     )
-    joined = dealt(joined.drop("_bucket", "_to_bucket", "_spot", "_to_spot", "_to", "_to_size", "_to_run"), seen.get["rows"], RUN, BLOCK)
+    joined = dealt(joined.drop("_bucket", "_to_bucket", "_spot", "_to_spot", "_to", "_to_size", "_to_run"), n, RUN, BLOCK)
     numbered = joined.withColumn(
         ROW, F.col("_base") + F.row_number().over(Window.partitionBy(RUN, BLOCK).orderBy(*order)) - 1
     )

@@ -235,6 +235,14 @@ def test_correlations_of_many_pairs_are_one_narrow_aggregation(spark):
     assert pair_correlations(df, []).collect() == []
 
 
+def test_counting_rows_with_a_target_makes_no_target(spark):
+    df = spark.createDataFrame([("a", i, float(i)) for i in range(5)], "symbol string, date int, Close double")
+    made = clean.drop_missing_targets(target_variables(df, [1]), "price_direction_1d")
+    assert "Window" not in made.groupBy("date").count()._jdf.queryExecution().optimizedPlan().toString()
+    nan = spark.createDataFrame([(float("nan"),), (None,), (1.0,)], "t double")
+    assert clean.drop_missing_targets(nan, "t").count() == 1
+
+
 def test_words_are_counted_in_parts_and_split_at_ascii_white_space(spark, monkeypatch):
 
     import pyarrow as pa

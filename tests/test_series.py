@@ -236,3 +236,14 @@ def test_a_task_sorts_a_bounded_number_of_rows(spark, monkeypatch, block_rows):
     monkeypatch.setattr(series, "SENT_ROUTES", 0)
     many = tasks_and_rows()
     assert (few[0], many[0]) == (False, True) and few[1] == many[1] and len(few[1]) == 400
+
+
+def test_short_series_count_no_buckets(spark, monkeypatch):
+    from barflow.operators import series
+
+    df = spark.createDataFrame([("a", i) for i in range(10)], "symbol string, i int")
+    stored = []
+    real = series.materialize
+    monkeypatch.setattr(series, "materialize", lambda d: stored.append(d) or real(d))
+    assert not series.cut_blocks(df, ["symbol"], "i", block_rows=10).is_cut and not stored
+    assert series.cut_blocks(df, ["symbol"], "i", block_rows=4, bucket="i div 2").is_cut and stored
