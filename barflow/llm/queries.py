@@ -158,6 +158,11 @@ def op7(spark, folder):
     return near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def labelled_texts(docs, labelled):
+    """Rows of ``docs`` with a label. Shuffled at any size: sent to all tasks, the labels would grow with the table."""
+    return docs.join(labelled.hint("merge"), "doc_id", "left_semi")
+
+
 @query("op8_token_counts")
 def op8(spark, folder):
     """All documents are inserted, those whose labels say low quality are deleted, the inserts are sent again, which changes nothing,
@@ -171,7 +176,7 @@ def op8(spark, folder):
         return materialize(with_version(count_tokens(rows, ranks, public_tokenizers.PATTERN), tokenizer_version(ranks)))
 
     before = counted(docs, RANKS)
-    after = counted(docs.join(labelled, "doc_id", "left_semi"), MANY_LANGUAGES)
+    after = counted(labelled_texts(docs, labelled), MANY_LANGUAGES)
     rollup = Rollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
     rollup.commit("inserts", signed(before, 1))
     rollup.commit("junk", signed(before.join(junk, "doc_id", "left_semi"), -1))

@@ -69,3 +69,14 @@ def test_query(spark, small):
         for m in ("documents", "tokens"):
             found[r["source"], r["lang"], r["tokenizer"], m] += r[m]
     assert found == expected and len({k[2] for k in found}) == 2
+
+
+def test_labels_of_any_number_are_joined_the_same_way(spark):
+    """Few labels were broadcast and more of them shuffled with the texts, so the shuffle grew faster than the input."""
+    from barflow.llm.queries import labelled_texts
+
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "doc_id bigint, text string")
+    found = labelled_texts(docs, spark.createDataFrame([(2,)], "doc_id bigint"))
+    assert [tuple(r) for r in found.collect()] == [(2, "b")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
