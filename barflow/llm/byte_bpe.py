@@ -27,7 +27,7 @@ _SPREAD, _STRIDE = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 #: Displacements tried at once, and at most, for one bucket; seeds tried for a whole table.
 _TRIES, _MOST_TRIES, _SEEDS = 256, 1 << 16, 64
 #: Bytes of words, pre-tokens and ids, with what Python adds to each, that a worker remembers, in two generations.
-REMEMBERED_BYTES, _ENTRY_BYTES = 320 << 20, 240
+REMEMBERED_BYTES, _ENTRY_BYTES = 192 << 20, 240
 #: Words resolved in one vectorised step, and bytes of text handed on in one batch.
 STEP, BATCH_BYTES = 1 << 20, 4 << 20
 
@@ -190,6 +190,7 @@ class _Memory(dict):
         if older is not None:
             older.older = None
         self.pool, self.start, self.length, self.piece_ids = array("i"), array("q"), array("i"), array("i")
+        self.alone = bytearray()
         self.space = regex.compile(r"\s").match
         self.bytes = 0
 
@@ -201,6 +202,7 @@ class _Memory(dict):
             self.start.append(len(self.pool))
             self.pool.extend(old.pool[old.start[at] : old.start[at] + old.length[at]])
             self.length.append(old.length[at])
+            self.alone.append(old.alone[at])
             code = len(self.start) - 1
         else:
             code = self.add(" " + word)
@@ -211,23 +213,34 @@ class _Memory(dict):
     def add(self, text: str) -> int:
         """A new number for the ids of a text."""
         self.start.append(len(self.pool))
-        for piece in self.encoder.split(text):
-            at = self.pieces.get(piece)
-            if at is None:
-                at = self.pieces[piece] = len(self.piece_ids)
-                old = self.older.pieces.get(piece) if self.older is not None else None
-                if old is None:
-                    ids = self.encoder.piece(piece.encode())
-                else:
-                    ids = self.older.piece_ids[old + 1 : old + 1 + self.older.piece_ids[old]]
-                self.piece_ids.append(len(ids))
-                self.piece_ids.extend(ids)
-                self.bytes += 4 * len(piece) + 4 * len(ids) + _ENTRY_BYTES
-            self.pool.extend(self.piece_ids[at + 1 : at + 1 + self.piece_ids[at]])
+        pieces = list(self.encoder.split(text))
+        self.alone.append(len(pieces) == 1)
+        for piece in pieces:
+            ids = self.known(piece)
+            if ids is None:
+                ids = self.older.known(piece) if self.older is not None else None
+                if ids is None:
+                    ids = array("i", self.encoder.piece(piece.encode()))
+                if not self.alone[-1]:
+                    self.pieces[piece] = len(self.piece_ids)
+                    self.piece_ids.append(len(ids))
+                    self.piece_ids.extend(ids)
+                    self.bytes += 4 * len(piece) + 4 * len(ids) + _ENTRY_BYTES
+            self.pool.extend(ids)
         self.length.append(len(self.pool) - self.start[-1])
         self.bytes += 4 * self.length[-1] + 16
         return len(self.start) - 1
 
+    def known(self, piece: str) -> array | None:
+        """Ids of a pre-token met before: kept as such, or as those of a word that is one pre-token with its blank."""
+        at = self.pieces.get(piece)
+        if at is not None:
+            return self.piece_ids[at + 1 : at + 1 + self.piece_ids[at]]
+        code = self.get(piece[1:]) if piece[0] == " " else None
+        if code is None or not self.alone[code]:
+            return None
+        return self.pool[self.start[code] : self.start[code] + self.length[code]]
+
     def codes(self, text: str) -> np.ndarray:
         first, *words = text.split(" ")
         codes = np.fromiter(map(self.__getitem__, words), np.int32, len(words))

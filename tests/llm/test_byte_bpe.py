@@ -112,3 +112,17 @@ def test_query(spark, small, peer):
         assert r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256((docs[r["doc_id"]] or "").encode()).hexdigest()
+
+
+def test_a_word_of_one_pre_token_is_remembered_once(vocabulary, peer):
+    """It was kept twice, as a word and as a pre-token, which took twice the memory."""
+    import pyarrow as pa
+
+    from barflow.llm import byte_bpe
+
+    held = vocabulary.plain()
+    texts = ["start " + " ".join(f"word{chr(97 + i)}" for i in range(20)), "start wordc, wordd. don't 12345 wordc"]
+    (got,) = byte_bpe.encode_batches(iter([pa.array(texts)]), held)
+    assert got.to_pylist() == [peer.encode_ordinary(t) for t in texts]
+    memory = held["memory"]
+    assert len(memory) >= 20 and not any(f" {word}" in memory.pieces for word in memory)
