@@ -37,6 +37,9 @@ WORDS = 5
 COORDINATES, BITS = 32, 4096
 #: Chances that signature and finer sketch miss a pair of just the similarity asked for; and the lowest one, in a hundred.
 MISSED, MISSED_BITS, LEAST = 1e-6, 5e-7, 80
+#: Comparisons per row of the lists above which further pivots are tried, how often at most, and the pairs of a turn for each
+#: link found above which no further turn follows.
+PAIRS_A_ROW, TURNS, PAIRS_A_LINK = 2, 12, 300
 #: Distinct words whose hashes a task remembers.
 REMEMBERED = 500_000
 #: Shingles hashed in one vectorised step.
@@ -200,15 +203,50 @@ def _close(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def _collide(pairs: DataFrame, classes: DataFrame, percent: int, matches: int) -> DataFrame:
-    """Of distinct pairs (a, b) of classes, those that sizes, shared shingles and collisions allow to be links."""
+def _apart(p: str, q: str) -> Column:
+    """In how many one-bit coordinates two sketches differ."""
+    return sum(F.bit_count(F.col(p)[i].bitwiseXOR(F.col(q)[i])) for i in range(BITS // 64))
+
+
+def _collide(pairs: DataFrame, classes: DataFrame, percent: int, matches: int, far: int | None = None) -> DataFrame:
+    """Of distinct pairs (a, b) of classes, those that sizes, shared shingles and collisions allow to be links; with ``far``, the
+    finer sketch too."""
+    read = ("n", "shared", "sig") if far is None else ("n", "shared", "sig", "bits")
     for x in ("a", "b"):
-        of = classes.select(F.col("node").alias(x), *[F.col(k).alias(f"{k}_{x}") for k in ("n", "shared", "sig")])
+        of = classes.select(F.col("node").alias(x), *[F.col(k).alias(f"{k}_{x}") for k in read])
         pairs = pairs.join(of, x)
     n, shared = F.col("n_a") + F.col("n_b"), F.least("shared_a", "shared_b")
     same = F.aggregate(F.zip_with("sig_a", "sig_b", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
     close = _close(F.col("n_a"), F.col("n_b"), percent) & _enough(shared, n, percent)
-    return materialize(pairs.filter(close & (same >= matches)).select("a", "b"))
+    near = F.lit(True) if far is None else _apart("bits_a", "bits_b") <= far
+    return materialize(pairs.filter(close & (same >= matches) & near).select("a", "b"))
+
+
+def _unsettled(postings: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows of the lists that hold several components of the links, with the row's (``comp``) and the list's largest (``giant``)."""
+    rows = postings.join(components(links), "node", "left")
+    rows = materialize(rows.select("token", "node", "n", "shared", F.coalesce("comp", "node").alias("comp")))
+    sizes = rows.groupBy("token", "comp").agg(F.count("*").alias("rows"))
+    several = sizes.groupBy("token").agg(
+        F.count("*").alias("comps"), F.max(F.struct("rows", "comp")).alias("most"), F.sum("rows").alias("all")
+    )
+    several = several.filter("comps > 1").select("token", F.col("most.comp").alias("giant"), "all", F.col("most.rows").alias("most"))
+    return materialize(rows.join(materialize(several), "token"))
+
+
+def _many(rows: DataFrame) -> bool:
+    """Whether the comparisons across the components of all lists are many more than the lists' rows."""
+    outside = F.col("comp") != F.col("giant")
+    pairs = F.sum(F.when(outside, F.col("most") + (F.col("all") - F.col("most")) / 2))
+    return bool(rows.agg((pairs > PAIRS_A_ROW * F.count("*")).alias("many")).first()[0])
+
+
+def _turn(rows: DataFrame, tried: DataFrame, turn: int) -> DataFrame:
+    """Pairs of each class outside the largest component of a list and a member of it, another one in each turn."""
+    some = F.min_by("node", F.xxhash64("node", "token", F.lit(turn))).alias("b")
+    pivots = rows.filter("comp = giant").groupBy("token").agg(some)
+    pairs = rows.filter("comp <> giant").join(pivots, "token").select(F.col("node").alias("a"), "b").distinct()
+    return materialize(pairs.join(tried.union(tried.select("b", "a")), ["a", "b"], "left_anti"))
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -271,17 +309,18 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id: str = "doc_id", text
     stars = materialize(postings.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
     links = materialize(_confirm(_collide(stars, able, percent, matches), sets, percent))
 
-    first = components(links)
-    rows = materialize(
-        postings.join(first, "node", "left").select("token", "node", "n", "shared", F.coalesce("comp", "node").alias("comp"))
-    )
-    sizes = rows.groupBy("token", "comp").agg(F.count("*").alias("rows"))
-    several = sizes.groupBy("token").agg(F.count("*").alias("comps"), F.max(F.struct("rows", "comp")).alias("most"))
-    several = materialize(several.filter("comps > 1").select("token", F.col("most.comp").alias("giant")))
-    rows = materialize(rows.join(several, "token"))
+    tried, rows = stars, _unsettled(postings, links)
+    for turn in range(TURNS):
+        if not _many(rows):
+            break
+        pairs = _turn(rows, tried, turn)
+        found = materialize(_confirm(_collide(pairs, able, percent, matches, far), sets, percent))
+        tried, links = tried.union(pairs), links.union(found)
+        rows = _unsettled(postings, links)
+        if found.count() * PAIRS_A_LINK < pairs.count():
+            break
     lists = rows.groupBy("node").agg(F.collect_set("token").alias("tokens"))  # as many as were posted, at most
     rows = materialize(rows.join(lists, "node").join(able.select("node", "bits"), "node"))
-    apart = sum(F.bit_count(F.col("r.bits")[i].bitwiseXOR(F.col("p.bits")[i])) for i in range(BITS // 64))
     r = rows.filter("comp <> giant").alias("r")
     across = r.join(
         rows.alias("p"),
@@ -289,12 +328,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id: str = "doc_id", text
         & ((F.col("p.comp") == F.col("p.giant")) | (F.col("r.comp") < F.col("p.comp")))
         & _close(F.col("r.n"), F.col("p.n"), percent)
         & _enough(F.least("r.shared", "p.shared"), F.col("r.n") + F.col("p.n"), percent)
-        & (apart <= far)
+        & (_apart("r.bits", "p.bits") <= far)
         & (F.array_min(F.array_intersect("r.tokens", "p.tokens")) == F.col("r.token")),  # each pair on one list only
     )
     across = across.select(F.col("r.node").alias("a"), F.col("p.node").alias("b")).distinct()
-    tried = stars.union(stars.select("b", "a"))
-    across = materialize(across.join(tried, ["a", "b"], "left_anti"))
+    across = materialize(across.join(tried.union(tried.select("b", "a")), ["a", "b"], "left_anti"))
     more = materialize(_confirm(across, sets, percent))
 
     final = components(links.unionByName(more))

@@ -5,6 +5,7 @@ from math import comb
 import pytest
 
 import corpus_pipeline
+from barflow.llm import minhash
 from barflow.llm.components import components
 from barflow.llm.minhash import bounds, near_duplicates
 
@@ -129,3 +130,20 @@ def test_bounds_miss_one_pair_in_a_million():
         below = [sum(comb(32, i) * p**i * (1 - p) ** (32 - i) for i in range(m)) for m in (matches, matches + 1)]
         assert below[0] < 1e-6 <= below[1]
         assert 4096 * q + 4.5 * (4096 * q * (1 - q)) ** 0.5 < far < 4096 * q + 5.2 * (4096 * q * (1 - q)) ** 0.5
+
+
+def test_near_copies_that_few_of_their_group_are_linked_to(spark, docs_of, monkeypatch):
+    """Copies of one text with two changes each are linked through the few with one change; not every pair is compared."""
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for i in range(300):
+        new = list(base)
+        for at in rng.sample(range(4, 146), 1 if i % 30 == 29 else 2):
+            new[at] = f"x{rng.randint(0, 10**6)}"
+        rows.append((i, " ".join(new)))
+    compared, confirm = [], minhash._confirm
+    monkeypatch.setattr(minhash, "_confirm", lambda pairs, *rest: compared.append(pairs.count()) or confirm(pairs, *rest))
+    found = sorted(tuple(r) for r in near_duplicates(docs_of(rows), percent=80).collect())
+    assert found == _brute(rows, 80)
+    assert sum(compared) < 30 * len(rows)
