@@ -2,7 +2,8 @@
 
 A text is cut into pre-tokens by the tokenizer's pattern. Tier one is a minimal perfect hash over the vocabulary: it
 resolves a pre-token that is itself a token with one hash, one displacement and one comparison. Tier two merges a missed
-pre-token's bytes, held as a linked list, lowest rank first, with a heap of candidate pairs.
+pre-token's bytes, held as a linked list, lowest rank first, with a heap of candidate pairs; a short one's few pairs are
+looked through instead.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ _SPREAD, _STRIDE = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 _TRIES, _MOST_TRIES, _SEEDS = 256, 1 << 16, 64
 #: Bytes of words, pre-tokens and ids, with what Python adds to each, that a worker remembers, in two generations.
 REMEMBERED_BYTES, _ENTRY_BYTES = 192 << 20, 240
+#: Bytes up to which the pairs of a pre-token are looked through, and a rank above all.
+SHORT, _NO_PAIR = 48, 1 << 40
 #: Words resolved in one vectorised step, and bytes of text handed on in one batch.
 STEP, BATCH_BYTES = 1 << 20, 4 << 20
 
@@ -129,14 +132,32 @@ class Encoder:
     def __init__(self, tokens: list[bytes], pattern: str, shift: list[int], owner: list[int], seed: int = 0):
         self.tokens, self.shift, self.owner, self.seed = tokens, shift, owner, seed
         self.ranks = {t: r for r, t in enumerate(tokens)}
-        self.split = regex.compile(pattern).findall
+        self.pattern, self.split = pattern, regex.compile(pattern).findall
         self.single = [self.ranks.get(bytes([b])) for b in range(256)]
-        self.double = {(a, b): self.ranks.get(bytes([a, b])) for a in range(256) for b in range(256)}
+        self.double = {(a, b): self.ranks.get(bytes([a, b]), _NO_PAIR) for a in range(256) for b in range(256)}
 
     def piece(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
         found = slot_owner(piece, self.shift, self.owner, self.seed)
-        return [found] if self.tokens[found] == piece else self.merge(piece)
+        if self.tokens[found] == piece:
+            return [found]
+        return self.merge(piece) if len(piece) > SHORT else self.merge_short(piece)
+
+    def merge_short(self, piece: bytes) -> list[int]:
+        """What ``merge`` gives, for few pairs: ``pairs`` holds the rank of each pair of neighbours, ``at`` where the parts start."""
+        at, rank = list(range(len(piece) + 1)), self.ranks.get
+        pairs = list(map(self.double.__getitem__, zip(piece, piece[1:], strict=False)))
+        while pairs and (least := min(pairs)) < _NO_PAIR:
+            i = pairs.index(least)
+            del at[i + 1], pairs[i]
+            if i < len(pairs):
+                pairs[i] = rank(piece[at[i] : at[i + 2]], _NO_PAIR)
+            if i:
+                pairs[i - 1] = rank(piece[at[i - 1] : at[i + 1]], _NO_PAIR)
+        out = [rank(piece[a:b]) for a, b in zip(at, at[1:], strict=False)]
+        if None in out:
+            raise ValueError("a byte is not in the vocabulary")
+        return out
 
     def merge(self, piece: bytes) -> list[int]:
         """Merge neighbours, lowest rank first and leftmost among equals, until no pair is a token.
@@ -148,7 +169,7 @@ class Encoder:
         after, before = list(range(1, n + 1)), list(range(-1, n))
         ids = [self.single[b] for b in piece]
         pairs = map(self.double.__getitem__, zip(piece, piece[1:], strict=False))
-        heap = [r << 64 | i << 32 | i + 2 for i, r in enumerate(pairs) if r is not None]
+        heap = [r << 64 | i << 32 | i + 2 for i, r in enumerate(pairs) if r < _NO_PAIR]
         heapify(heap)
         while heap:
             best = heappop(heap)
@@ -175,6 +196,11 @@ class Encoder:
         return [i for p in self.split(text) for i in self.piece(p.encode())]
 
 
+#: Patterns that take letters with the blank before them as one pre-token and a last mark after them as another.
+_PLAIN = {r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"}
+_MARKS = frozenset(".,;:!?")
+
+
 class _Memory(dict):
     """Distinct words met so far, cut at blanks: a number for each, under which the ids of ``' ' + word`` stand in a pool.
 
@@ -192,33 +218,41 @@ class _Memory(dict):
         self.pool, self.start, self.length, self.piece_ids = array("i"), array("q"), array("i"), array("i")
         self.alone = bytearray()
         self.space = regex.compile(r"\s").match
+        self.plain = encoder.pattern in _PLAIN
         self.bytes = 0
 
     def __missing__(self, word: str) -> int:
-        if not word or self.space(word[-1]):
+        if not word or (not word[-1].isalnum() and self.space(word[-1])):
             self.closing.add(word)
-        if self.older is not None and word in self.older:
-            old, at = self.older, self.older[word]
+        old = self.older
+        at = None if old is None else old.get(word)
+        if at is not None:
+            first, length = old.start[at], old.length[at]
             self.start.append(len(self.pool))
-            self.pool.extend(old.pool[old.start[at] : old.start[at] + old.length[at]])
-            self.length.append(old.length[at])
+            self.pool.extend(old.pool[first : first + length])
+            self.length.append(length)
             self.alone.append(old.alone[at])
             code = len(self.start) - 1
+        elif word.isascii() and word.isalpha():  # one pre-token with its blank, and so is all but a last mark
+            code = self.add(" " + word, (" " + word,))
+        elif word[-1:] in _MARKS and word.isascii() and word[:-1].isalpha():
+            code = self.add(" " + word, (" " + word[:-1], word[-1]))
         else:
             code = self.add(" " + word)
         self[word] = code
         self.bytes += 4 * len(word) + _ENTRY_BYTES
         return code
 
-    def add(self, text: str) -> int:
-        """A new number for the ids of a text."""
+    def add(self, text: str, pieces: tuple[str, ...] | None = None) -> int:
+        """A new number for the ids of a text, whose pre-tokens may be known."""
         self.start.append(len(self.pool))
-        pieces = list(self.encoder.split(text))
+        if pieces is None or not self.plain:
+            pieces = self.encoder.split(text)
         self.alone.append(len(pieces) == 1)
         for piece in pieces:
             ids = self.known(piece)
             if ids is None:
-                ids = self.older.known(piece) if self.older is not None else None
+                ids = None if self.older is None else self.older.known(piece)
                 if ids is None:
                     ids = array("i", self.encoder.piece(piece.encode()))
                 if not self.alone[-1]:

@@ -126,3 +126,26 @@ def test_a_word_of_one_pre_token_is_remembered_once(vocabulary, peer):
     assert got.to_pylist() == [peer.encode_ordinary(t) for t in texts]
     memory = held["memory"]
     assert len(memory) >= 20 and not any(f" {word}" in memory.pieces for word in memory)
+
+
+def test_short_pre_tokens_without_a_heap(vocabulary, peer, monkeypatch):
+    """Pre-tokens of a few bytes went through the heap, and plain words through the pattern, which took op3 over its budget."""
+    import random
+
+    import pyarrow as pa
+
+    from barflow.llm import byte_bpe
+
+    rng = random.Random(3)
+    encoder = Encoder(*(vocabulary.plain()[k] for k in ("tokens", "pattern", "shift", "owner", "seed")))
+    for alphabet in ("ab", "thereinaton", "aé漢🙂 "):
+        for _ in range(200):
+            piece = "".join(rng.choices(alphabet, k=rng.randint(1, 60))).encode()
+            assert encoder.merge_short(piece) == encoder.merge(piece)
+    with pytest.raises(ValueError):
+        Encoder([b"a"], ".+", [-1], [0]).merge_short(b"bc")
+    monkeypatch.setattr(Encoder, "merge", lambda *a: 1 / 0)
+    monkeypatch.setattr(byte_bpe, "REMEMBERED_BYTES", 4000)
+    texts = [" ".join(rng.choice(["don't", "it's.", "Ünd,", "x1,", "thstinnt", "Onhalyti,", "'s,", ",", "é.", "a..", "a,b", "ſ's"]) for _ in range(80)) for _ in range(30)]
+    (got,) = byte_bpe.encode_batches(iter([pa.array(texts)]), vocabulary.plain())
+    assert got.to_pylist() == [peer.encode_ordinary(t) for t in texts]
