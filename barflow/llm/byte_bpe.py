@@ -355,7 +355,7 @@ def _rest(docs: DataFrame, *gone: str) -> list[str]:
     return [c for c in docs.columns if c.lower() not in {g.lower() for g in gone}]
 
 
-def _lots(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+def lots(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``BATCH_BYTES`` of text, one row at least."""
     sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     lot = np.cumsum(sizes) // BATCH_BYTES
@@ -378,7 +378,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lot in _lots(b, len(keep)):
+            for lot in lots(b, len(keep)):
                 (found,) = encode_batches(iter([lot.column(len(keep))]), shared.value)
                 made = [found] if decoded is None else [found, *decode_batches(iter([found]), shared.value["tokens"])]
                 yield pa.RecordBatch.from_arrays([*lot.columns[: len(keep)], *made], names=[*keep, *outs])

@@ -13,55 +13,110 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from barflow.llm.common import only, whole
+from barflow.llm.byte_bpe import lots
+from barflow.llm.common import only
 from barflow.session import materialize
 
-PIECE_ENDS = r"[.,;:!?\x0A-\x0D]"
-BLANKS = r"[\x20\x09]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+PIECE_ENDS, BLANKS = b".,;:!?\n\v\f\r", b" \t"
+#: Bytes with A-Z lowered, and of which kind each is: of a word, blank or the end of a piece.
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+_KIND = np.array([2 if b in PIECE_ENDS else 1 if b in BLANKS else 0 for b in range(256)], np.uint8)
 NO_LANG = "und"
 #: Scores are ratios in millionths.
 SCALE = 1_000_000
-#: Windows a task counts before it hands them on, and rows of a batch it hands on.
-COMBINED, ARROW_ROWS = 2_000_000, 50_000
+#: Windows a task counts at once before it hands them on, and rows of a batch it hands on.
+COMBINED, ARROW_ROWS = 1_000_000, 50_000
 #: Parts that the rows of one key are dealt over when they look a phrase up.
 SALTS = 16
 
 
-def windows(docs: DataFrame, longest: int) -> DataFrame:
-    """One row for each word: ``lang`` and the window that starts there, its words joined by blanks; fewer at a piece's end."""
-    low = F.translate(whole(F.col("text")), UPPER, LOWER)
-    pieces = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), F.explode(F.split(low, PIECE_ENDS)).alias("piece"))
-    pieces = pieces.select("lang", F.btrim("piece", F.lit(" \t")).alias("piece")).filter("piece <> ''")
-    words = pieces.select("lang", F.split("piece", BLANKS).alias("words"))
-    leads = [F.col("words")] + [
-        F.when(F.size("words") > k, F.slice("words", k + 1, F.size("words") - k)).otherwise(F.array().cast("array<string>"))
-        for k in range(1, longest)
-    ]
-    each = words.select("lang", F.explode(F.arrays_zip(*[c.alias(f"w{k}") for k, c in enumerate(leads)])).alias("w"))
-    return each.select("lang", F.concat_ws(" ", *[F.col(f"w.w{k}") for k in range(longest)]).alias("window"))
-
-
-def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Count equal windows of a task before they are shuffled, ``COMBINED`` rows at a time."""
-    held, rows = [], 0
-
-    def flush():
-        counted = pa.Table.from_batches(held).group_by(["lang", "window"], use_threads=False).aggregate([("n", "sum")])
-        return counted.rename_columns(["lang", "window", "n"])
-
-    for b in batches:
-        held.append(b.append_column("n", pa.array(np.ones(b.num_rows, np.int64))))
-        rows += b.num_rows
-        if rows >= COMBINED:
-            yield from flush().to_batches(max_chunksize=ARROW_ROWS)
-            held, rows = [], 0
-    if held:
-        yield from flush().to_batches(max_chunksize=ARROW_ROWS)
+def _words(text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Words of the texts, A-Z lowered, as one array, with each word's text and piece. Pieces and words end at ASCII bytes."""
+    text = text.cast(pa.large_string()).fill_null("")
+    _, offsets, data = text.buffers()
+    upto = np.frombuffer(offsets, np.int64)[text.offset : text.offset + len(text) + 1]
+    data = _LOWER[np.frombuffer(data or b"", np.uint8)[upto[0] : upto[-1]]]
+    upto = upto - upto[0]
+    kind = _KIND[data]
+    inside = kind == 0
+    starts, ends = inside.copy(), inside.copy()
+    starts[1:] &= ~inside[:-1]
+    ends[:-1] &= ~inside[1:]
+    cut = upto[1:-1][(upto[1:-1] > 0) & (upto[1:-1] < len(data))]  # a text's first word starts there, whatever stood before
+    starts[cut] |= inside[cut]
+    ends[cut - 1] |= inside[cut - 1]
+    starts, ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
+    of = np.searchsorted(upto, starts, side="right") - 1
+    piece = np.searchsorted(np.flatnonzero(kind == 2), starts) + of
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)])
+    words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+    return words, of, piece
+
+
+def _windows(lang: pa.DictionaryArray, words: pa.DictionaryArray, piece: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
+    """Distinct windows of words given with their langs and pieces, and how often each is found, ``ARROW_ROWS`` in a batch."""
+    code = words.indices.to_numpy() + np.int32(1)  # 0 stands for no word
+    names, key, words = lang.dictionary, lang.indices.to_numpy().astype(np.int64), words.dictionary
+    many, size, packed = len(words) + 1, len(names), []
+    for k in range(longest):
+        kept = None
+        if size * many >= 1 << 62:  # numbers of the distinct beginnings instead of the beginnings
+            kept = np.unique(key)
+            key, size = np.searchsorted(kept, key), len(kept)
+        packed.append(kept)
+        key *= many
+        n = max(0, len(key) - k)
+        key[:n] += np.where(piece[k:] == piece[:n], code[k:], np.int32(0))
+        size *= many
+    key.sort()
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    counts, key = np.diff(np.append(first, len(key))), key[first]
+    del code, piece, lang, first
+    for at in range(0, len(key), ARROW_ROWS):
+        rest, parts = key[at : at + ARROW_ROWS], []
+        for kept in reversed(packed):
+            rest, own = np.divmod(rest, many)
+            parts.append(words.take(pa.array(own - 1, mask=own == 0)))
+            rest = rest if kept is None else kept[rest]
+        window = pc.binary_join_element_wise(*reversed(parts), pa.scalar(" ", pa.large_string()), null_handling="skip")
+        columns = [names.take(pa.array(rest)), window.cast(pa.string()), pa.array(counts[at : at + ARROW_ROWS])]
+        yield pa.RecordBatch.from_arrays(columns, names=["lang", "window", "n"])
+
+
+def _count(longest: int):
+    """Windows of the texts: one for each word, itself and the words that lead it up to ``longest``, fewer at a piece's end, joined by
+    blanks. Equal ones of a task are counted before they are shuffled, ``COMBINED`` words at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, pieces = [], 0, 0
+
+        def flush():
+            lang, words = (pa.chunked_array([h[k] for h in held]).dictionary_encode().combine_chunks() for k in (0, 1))
+            made = _windows(lang, words, np.concatenate([h[2] for h in held]), longest)
+            held.clear()
+            del lang, words
+            yield from made
+            pa.default_memory_pool().release_unused()
+
+        for batch in batches:
+            for b in lots(batch, 1):
+                words, of, piece = _words(b.column(1))
+                if not len(words):
+                    continue
+                held.append((b.column(0).take(pa.array(of)), words, (piece + pieces).astype(np.int32)))
+                rows, pieces = rows + len(words), pieces + int(piece[-1]) + 1
+                if rows >= COMBINED:
+                    yield from flush()
+                    rows = pieces = 0
+        if held:
+            yield from flush()
+
+    return run
 
 
 def phrase_counts(docs: DataFrame, longest: int, least: int) -> DataFrame:
@@ -71,7 +126,8 @@ def phrase_counts(docs: DataFrame, longest: int, least: int) -> DataFrame:
     next shorter prefix stay where they are. Their sums over one word less are small, and ROLLUP sums those over fewer and fewer first words. A padded window is no
     phrase of the words it lacks, but counts for its beginnings.
     """
-    combined = windows(docs, longest).mapInArrow(_combine, "lang string, window string, n bigint")
+    texts = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), "text")
+    combined = texts.mapInArrow(_count(longest), "lang string, window string, n bigint")
     head = F.substring_index("window", " ", longest - 1)
     # Dealt by the prefix, which is not sent along but taken from the window again.
     dealt = combined.repartition("lang", head).withColumn("head", head)

@@ -103,3 +103,24 @@ def test_empty_table_and_one_shuffle_of_windows(spark):
     counts.collect()
     plan = counts._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("MapInArrow") == 1 and plan.count("ReusedExchange") == 2 and plan.count("Expand") == 1
+
+
+def test_windows_are_made_and_counted_in_one_step(spark):
+    """They were made by exploding arrays of words, a row for each word, and counted after that, which took op12 over its budget."""
+    import numpy as np
+    import pyarrow as pa
+
+    from barflow.llm.collocations import _count, _windows
+
+    lang = pa.array(["en", "en", "de", "en", "en"])
+    texts = pa.array(["A b\tc", None, " é;É x  y", "", "c. a b c!a"])
+    batch = pa.RecordBatch.from_arrays([lang, texts], names=["lang", "text"]).slice(0, 5)
+    got = {(r["lang"], r["window"]): r["n"] for b in _count(3)(iter([batch.slice(0, 2), batch.slice(2)])) for r in b.to_pylist()}
+    assert got == {("en", "a b c"): 2, ("en", "b c"): 2, ("en", "c"): 3, ("en", "a"): 1, ("de", "é"): 1, ("de", "É x y"): 1, ("de", "x y"): 1, ("de", "y"): 1}
+    plan = phrase_counts(spark.createDataFrame(ROWS, "lang string, text string"), 3, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "arrays_zip" not in plan
+
+    # Beginnings of long windows of many words, whose numbers pass 64 bits together, get numbers of their own.
+    words = [f"w{i % 3000}" for i in range(6000)]
+    (made,) = _windows(pa.array(["en"] * 6000).dictionary_encode(), pa.array(words, pa.large_string()).dictionary_encode(), np.zeros(6000, np.int64), 9)
+    assert made.num_rows == 3000 + 8 and set(made.column(1).to_pylist()) == {" ".join(words[i : i + 9]) for i in range(6000)}
