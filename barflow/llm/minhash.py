@@ -39,7 +39,7 @@ COORDINATES, BITS = 32, 4096
 MISSED, MISSED_BITS, LEAST = 1e-6, 5e-7, 80
 #: Comparisons per row of the lists above which further pivots are tried, how often at most, and the pairs of a turn for each
 #: link found above which no further turn follows.
-PAIRS_A_ROW, TURNS, PAIRS_A_LINK = 2, 12, 300
+PAIRS_A_ROW, TURNS, PAIRS_A_LINK = 16, 4, 300
 #: Distinct words whose hashes a task remembers.
 REMEMBERED = 500_000
 #: Shingles hashed in one vectorised step.
