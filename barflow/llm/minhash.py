@@ -8,8 +8,9 @@
 3. Of the classes left on some list, the shingles that no other of them has are counted: none of these can be in
    common. Classes that have too many cannot be linked at all, and pairs are held against the rest of their sets. A
    finer sketch of one-bit coordinates tells most other pairs that are too far apart.
-4. Each list is first compared with one pivot. What turns out linked joins the pivot's component, so a large group of
-   near copies costs a comparison each, not one per pair.
+4. Each list is first compared with one pivot, the class with the largest share of shingles that others have too: the
+   fewer changes of its own a copy has, the more copies it is linked with. What turns out linked joins the pivot's
+   component, so a large group of near copies costs a comparison each, not one per pair.
 5. Lists that still hold several components are joined across components: the largest one of the list against the others,
    and the others among themselves. Pairs inside a component can add nothing.
 """
@@ -37,9 +38,6 @@ WORDS = 5
 COORDINATES, BITS = 32, 4096
 #: Chances that signature and finer sketch miss a pair of just the similarity asked for; and the lowest one, in a hundred.
 MISSED, MISSED_BITS, LEAST = 1e-6, 5e-7, 80
-#: Comparisons per row of the lists above which further pivots are tried, how often at most, and the pairs of a turn for each
-#: link found above which no further turn follows.
-PAIRS_A_ROW, TURNS, PAIRS_A_LINK = 16, 4, 300
 #: Distinct words whose hashes a task remembers.
 REMEMBERED = 500_000
 #: Shingles hashed in one vectorised step.
@@ -208,18 +206,15 @@ def _apart(p: str, q: str) -> Column:
     return sum(F.bit_count(F.col(p)[i].bitwiseXOR(F.col(q)[i])) for i in range(BITS // 64))
 
 
-def _collide(pairs: DataFrame, classes: DataFrame, percent: int, matches: int, far: int | None = None) -> DataFrame:
-    """Of distinct pairs (a, b) of classes, those that sizes, shared shingles and collisions allow to be links; with ``far``, the
-    finer sketch too."""
-    read = ("n", "shared", "sig") if far is None else ("n", "shared", "sig", "bits")
+def _collide(pairs: DataFrame, classes: DataFrame, percent: int, matches: int) -> DataFrame:
+    """Of distinct pairs (a, b) of classes, those that sizes, shared shingles and collisions allow to be links."""
     for x in ("a", "b"):
-        of = classes.select(F.col("node").alias(x), *[F.col(k).alias(f"{k}_{x}") for k in read])
+        of = classes.select(F.col("node").alias(x), *[F.col(k).alias(f"{k}_{x}") for k in ("n", "shared", "sig")])
         pairs = pairs.join(of, x)
     n, shared = F.col("n_a") + F.col("n_b"), F.least("shared_a", "shared_b")
     same = F.aggregate(F.zip_with("sig_a", "sig_b", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, v: s + v)
     close = _close(F.col("n_a"), F.col("n_b"), percent) & _enough(shared, n, percent)
-    near = F.lit(True) if far is None else _apart("bits_a", "bits_b") <= far
-    return materialize(pairs.filter(close & (same >= matches) & near).select("a", "b"))
+    return materialize(pairs.filter(close & (same >= matches)).select("a", "b"))
 
 
 def _unsettled(postings: DataFrame, links: DataFrame) -> DataFrame:
@@ -234,21 +229,6 @@ def _unsettled(postings: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(rows.join(materialize(several), "token"))
 
 
-def _many(rows: DataFrame) -> bool:
-    """Whether the comparisons across the components of all lists are many more than the lists' rows."""
-    outside = F.col("comp") != F.col("giant")
-    pairs = F.sum(F.when(outside, F.col("most") + (F.col("all") - F.col("most")) / 2))
-    return bool(rows.agg((pairs > PAIRS_A_ROW * F.count("*")).alias("many")).first()[0])
-
-
-def _turn(rows: DataFrame, tried: DataFrame, turn: int) -> DataFrame:
-    """Pairs of each class outside the largest component of a list and a member of it, another one in each turn."""
-    some = F.min_by("node", F.xxhash64("node", "token", F.lit(turn))).alias("b")
-    pivots = rows.filter("comp = giant").groupBy("token").agg(some)
-    pairs = rows.filter("comp <> giant").join(pivots, "token").select(F.col("node").alias("a"), "b").distinct()
-    return materialize(pairs.join(tried.union(tried.select("b", "a")), ["a", "b"], "left_anti"))
-
-
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets are as similar as asked."""
     whole = sets.select("node", "shingles")
@@ -302,23 +282,15 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id: str = "doc_id", text
     able = classes.select("node", "low", "n", "sig").join(_shared(sets), "node")
     able = materialize(able.filter(F.col("shared") * 100 >= F.col("n") * percent))
     postings = materialize(posted.join(able.select("key", "node", "low", "n", "shared"), "key").drop("key"))
-    lists = postings.groupBy("token").agg(F.count("*").alias("rows"), F.min(F.struct("low", "node")).alias("pivot"))
+    central = F.min(F.struct((-F.col("shared") / F.col("n")).alias("share"), "low", "node"))
+    lists = postings.groupBy("token").agg(F.count("*").alias("rows"), central.alias("pivot"))
     lists = materialize(lists.filter("rows > 1").select("token", F.col("pivot.node").alias("pivot")))
     postings = materialize(postings.join(lists, "token"))
 
     stars = materialize(postings.filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct())
     links = materialize(_confirm(_collide(stars, able, percent, matches), sets, percent))
 
-    tried, rows = stars, _unsettled(postings, links)
-    for turn in range(TURNS):
-        if not _many(rows):
-            break
-        pairs = _turn(rows, tried, turn)
-        found = materialize(_confirm(_collide(pairs, able, percent, matches, far), sets, percent))
-        tried, links = tried.union(pairs), links.union(found)
-        rows = _unsettled(postings, links)
-        if found.count() * PAIRS_A_LINK < pairs.count():
-            break
+    rows = _unsettled(postings, links)
     lists = rows.groupBy("node").agg(F.collect_set("token").alias("tokens"))  # as many as were posted, at most
     rows = materialize(rows.join(lists, "node").join(able.select("node", "bits"), "node"))
     r = rows.filter("comp <> giant").alias("r")
@@ -332,7 +304,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id: str = "doc_id", text
         & (F.array_min(F.array_intersect("r.tokens", "p.tokens")) == F.col("r.token")),  # each pair on one list only
     )
     across = across.select(F.col("r.node").alias("a"), F.col("p.node").alias("b")).distinct()
-    across = materialize(across.join(tried.union(tried.select("b", "a")), ["a", "b"], "left_anti"))
+    across = materialize(across.join(stars.union(stars.select("b", "a")), ["a", "b"], "left_anti"))
     more = materialize(_confirm(across, sets, percent))
 
     final = components(links.unionByName(more))

@@ -147,3 +147,20 @@ def test_near_copies_that_few_of_their_group_are_linked_to(spark, docs_of, monke
     found = sorted(tuple(r) for r in near_duplicates(docs_of(rows), percent=80).collect())
     assert found == _brute(rows, 80)
     assert sum(compared) < 30 * len(rows)
+
+
+def test_the_most_central_copy_is_the_pivot(spark, docs_of, monkeypatch):
+    """Copies with two changes each are linked through the unchanged text, whose id is the largest; the first comparison finds it."""
+    rng = random.Random(6)
+    base = [f"w{k}" for k in range(150)]
+    rows = [(300, " ".join(base))]
+    for i in range(300):
+        new = list(base)
+        for at in rng.sample(range(4, 146), 2):
+            new[at] = f"x{rng.randint(0, 10**6)}"
+        rows.append((i, " ".join(new)))
+    compared, confirm = [], minhash._confirm
+    monkeypatch.setattr(minhash, "_confirm", lambda pairs, *rest: compared.append(pairs.count()) or confirm(pairs, *rest))
+    found = near_duplicates(docs_of(rows), percent=80).collect()
+    assert {r["component_id"] for r in found} == {0}
+    assert sum(compared) < 4 * len(rows)
